@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, decontam, quality_rules, simhash
 from .common import table
+from .oracles import ORACLES as _SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,10 +20,29 @@ def tokenizer_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("runs")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer_file()
     return bpe.bpe_encode(table(spark, sf_dir, "documents"), path, pattern, blank_cuts=True)
 
 
-QUERIES: dict[str, Query] = {"op2_byte_bpe": op2_byte_bpe}
-ORACLES: dict[str, str] = {}
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return judged.drop("char_distance", "word_distance")
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_byte_bpe": op2_byte_bpe,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_simhash": op5_simhash,
+}
+ORACLES: dict[str, str] = dict(_SQL)
