@@ -28,3 +28,44 @@ FROM docs d LEFT JOIN words_hit h ON d.doc_id = h.doc_id LEFT JOIN listed l ON d
 """
 
 ORACLES: dict[str, str] = {"op1_decontaminate": OP1}
+
+OP4 = r"""
+WITH units AS (
+  SELECT doc_id, text, regexp_extract_all(text, '(?s).+?(?:[.!?]+\s+|\n\s*|[。！？]+|\z)') AS us FROM documents
+),
+forms AS (SELECT doc_id, us, list_transform(us, lambda u: lower(regexp_replace(u, '^[ \t\n\r]+|[ \t\n\r]+$', '', 'g'))) AS fs FROM units),
+runs AS (
+  SELECT doc_id, ix, fs[ix + 1:ix + 3] AS run
+  FROM (SELECT doc_id, fs, unnest(range(greatest(len(fs) - 2, 0))) AS ix FROM forms)
+),
+counted AS (SELECT doc_id, ix, row_number() OVER (PARTITION BY run ORDER BY doc_id, ix) AS k
+  FROM runs WHERE length(run[1]) + length(run[2]) + length(run[3]) >= 40),
+covered AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(ix, ix + 3)) AS i FROM counted WHERE k > 1) GROUP BY doc_id)
+SELECT f.doc_id, CAST(coalesce(len(us), 0) AS BIGINT) AS n_sentences, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  CASE WHEN gone IS NULL THEN u.text
+    ELSE array_to_string(list_transform(list_filter(range(len(us)), lambda i: NOT list_contains(gone, i)), lambda i: us[i + 1]), '') END AS text
+FROM forms f JOIN (SELECT doc_id, text FROM units) u ON f.doc_id = u.doc_id LEFT JOIN covered c ON f.doc_id = c.doc_id
+"""
+
+OP6 = r"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests
+),
+rules AS (SELECT * FROM (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('block', 'net', '/de/'),
+  ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')) AS r(verdict, rule_host, rule_path)),
+fits AS (
+  SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(verdict, length(rule_host || rule_path)) AS verdict
+  FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id
+),
+keys AS (SELECT page_id, CASE WHEN host <> '' THEN regexp_replace(host, '^(?:www|m)\.', '') || regexp_replace(path, '/+$', '') END AS key FROM parts),
+listed AS (SELECT key FROM keys WHERE key IS NOT NULL GROUP BY key HAVING count(*) >= 2)
+SELECT p.page_id, p.host, p.path, f.rule,
+  CASE WHEN f.rule IS NOT NULL THEN f.verdict WHEN l.key IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM parts p JOIN keys k ON p.page_id = k.page_id LEFT JOIN fits f ON p.page_id = f.page_id LEFT JOIN listed l ON k.key = l.key
+"""
+
+ORACLES |= {"op4_substring_dedup": OP4, "op6_url_filter": OP6}

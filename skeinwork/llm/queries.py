@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, quality_rules, simhash
+from . import bpe, decontam, quality_rules, sharding, simhash, substring_dedup, url_filter
 from .common import table
 from .oracles import ORACLES as _SQL
 
@@ -39,10 +39,36 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = [
+    ("block", "com", "/en/"),
+    ("allow", "example.com", "/en/7"),
+    ("block", "net", "/de/"),
+    ("block", "example.net", "/de/8"),
+    ("block", "org", "/es/"),
+]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: urls that several pages share once canonical (mirrors and crawl traps)."""
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.url_filter(pages, URL_RULES, url_filter.repeated_urls(pages))
+
+
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash": op5_simhash,
+    "op6_url_filter": op6_url_filter,
+    "op7_shards": op7_shards,
 }
 ORACLES: dict[str, str] = dict(_SQL)
