@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, quality_rules, sharding, simhash, substring_dedup, url_filter
+from . import bpe, decontam, lm, quality_rules, sharding, simhash, substring_dedup, url_filter
 from .common import table
 from .oracles import ORACLES as _SQL
 
@@ -62,6 +62,10 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_byte_bpe": op2_byte_bpe,
@@ -70,5 +74,6 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": op5_simhash,
     "op6_url_filter": op6_url_filter,
     "op7_shards": op7_shards,
+    "op10_lm_scores": op10_lm_scores,
 }
 ORACLES: dict[str, str] = dict(_SQL)
