@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .license_scan import TEMPLATES
+
 WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"""
 
 OP1 = f"""
@@ -69,3 +71,46 @@ FROM parts p JOIN keys k ON p.page_id = k.page_id LEFT JOIN fits f ON p.page_id
 """
 
 ORACLES |= {"op4_substring_dedup": OP4, "op6_url_filter": OP6}
+
+TEMPLATE_ROWS = ", ".join(f"('{label}', '{body}')" for label, body in TEMPLATES)
+
+OP9 = f"""
+WITH docs AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+phrases AS (SELECT label, string_split(phrase, ' ') AS ps FROM (VALUES ('under the mit license', 'mit'),
+  ('apache license version 2', 'apache-2'), ('cc by nc', 'cc-by-nc')) AS p(phrase, label)),
+places AS (
+  SELECT doc_id, label, i FROM (
+    SELECT doc_id, ws, label, ps, unnest(range(greatest(len(ws) - len(ps) + 1, 0))) AS i FROM docs CROSS JOIN phrases)
+  WHERE ws[i + 1:i + len(ps)] = ps
+),
+base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM places GROUP BY doc_id),
+templates AS (SELECT row_number() OVER () AS template, label, string_split(body, ' ') AS ts
+  FROM (VALUES {TEMPLATE_ROWS}) AS t(label, body)),
+tgrams AS (SELECT template, label, len(ts) AS n_template, t_at, ts[t_at + 1:t_at + 4] AS gram
+  FROM (SELECT template, label, ts, unnest(range(len(ts) - 3)) AS t_at FROM templates)),
+grams AS (SELECT doc_id, i, ws[i + 1:i + 4] AS gram
+  FROM (SELECT doc_id, ws, unnest(range(greatest(len(ws) - 3, 0))) AS i FROM docs)),
+matches AS (SELECT doc_id, template, label, n_template, i, t_at, i - t_at AS diagonal FROM grams JOIN tgrams USING (gram)),
+marked AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w > 4 OR lag(diagonal) OVER w IS NULL THEN 1 ELSE 0 END AS starts
+  FROM (SELECT DISTINCT doc_id, template, diagonal FROM matches) WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+aligned AS (SELECT doc_id, template, diagonal,
+  sum(starts) OVER (PARTITION BY doc_id, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS alignment FROM marked),
+covers AS (
+  SELECT m.doc_id, m.template, m.label, m.n_template, a.alignment, min(m.i) AS first, max(m.i) + 3 AS last, list(m.t_at) AS t_ats
+  FROM matches m JOIN aligned a ON m.doc_id = a.doc_id AND m.template = a.template AND m.diagonal = a.diagonal
+  GROUP BY m.doc_id, m.template, m.label, m.n_template, a.alignment),
+verified AS (
+  SELECT doc_id, label, covered FROM (
+    SELECT *, len(list_distinct(flatten(list_transform(t_ats, lambda t: range(t, t + 4))))) / n_template AS covered FROM covers)
+  WHERE covered >= 0.6 AND last - first + 1 <= 2 * n_template),
+named AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels
+  FROM (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM verified) GROUP BY doc_id),
+base_named AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT DISTINCT doc_id, label FROM places) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(b.n_base, 0) AS BIGINT) AS n_base,
+  CAST(b.first_word AS BIGINT) AS first_word, CAST(b.last_word AS BIGINT) AS last_word,
+  coalesce(bn.labels, '') AS base_labels, coalesce(n.labels, '') AS labels,
+  CASE WHEN b.n_base > 0 THEN 1.0::DOUBLE ELSE coalesce((SELECT max(covered) FROM verified v WHERE v.doc_id = d.doc_id), 0)::DOUBLE END AS score
+FROM docs d LEFT JOIN base b ON d.doc_id = b.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id LEFT JOIN base_named bn ON d.doc_id = bn.doc_id
+"""
+
+ORACLES |= {"op9_license_scan": OP9}

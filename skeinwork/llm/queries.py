@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, lm, quality_rules, sharding, simhash, substring_dedup, url_filter
+from . import bpe, decontam, license_scan, lm, quality_rules, sharding, simhash, substring_dedup, url_filter
 from .common import table
 from .oracles import ORACLES as _SQL
 
@@ -62,6 +62,15 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    templates = spark.sql(
+        "SELECT * FROM VALUES "
+        + ", ".join(f"('{label}', '{body}')" for label, body in license_scan.TEMPLATES)
+        + " AS t(label, body)"
+    )
+    return license_scan.license_scan(table(spark, sf_dir, "documents"), templates)
+
+
 def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_scores(table(spark, sf_dir, "documents"))
 
@@ -74,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": op5_simhash,
     "op6_url_filter": op6_url_filter,
     "op7_shards": op7_shards,
+    "op9_license_scan": op9_license_scan,
     "op10_lm_scores": op10_lm_scores,
 }
 ORACLES: dict[str, str] = dict(_SQL)
