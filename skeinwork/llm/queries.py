@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, license_scan, lm, quality_rules, sharding, simhash, substring_dedup, url_filter
+from . import bpe, classifier, decontam, license_scan, lm, quality_rules, sharding, simhash, substring_dedup, url_filter
 from .common import table
 from .oracles import ORACLES as _SQL
 
@@ -62,6 +62,10 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op8_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     templates = spark.sql(
         "SELECT * FROM VALUES "
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": op5_simhash,
     "op6_url_filter": op6_url_filter,
     "op7_shards": op7_shards,
+    "op8_classifier": op8_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_lm_scores": op10_lm_scores,
 }
