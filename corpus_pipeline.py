@@ -1,12 +1,72 @@
-"""Corpus preparation, stage by stage; see README."""
+"""Corpus preparation for language-model training, stage by stage.
+
+Each stage is a function of (spark, docs, sf_dir); its result is written as Parquet
+to the shared folder and read again as the next stage's ``docs``.
+
+1. ``quality_classifier``: documents that the co-trained classifier rejects go.
+2. ``simhash_near_dedup``: of each group of near duplicates the smallest doc_id stays.
+3. ``substring_dedup``: sentences in repeated spans go; a document that held text
+   and keeps none goes too.
+4. ``benchmark_decontamination``: documents with a window of a benchmark item go.
+5. ``byte_bpe``: whole texts become token ids, with digests of ids and of the text
+   decoded from them.
+
+Stages 1 to 4 return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skeinwork.llm import bpe, classifier, decontam, simhash
+from skeinwork.llm import substring_dedup as spans
+from skeinwork.llm.common import cut, table
+from skeinwork.llm.queries import tokenizer_file
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return classifier.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_first(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cleaned = spans.remove_repeated_spans(docs)
+    changed = F.col("__n_removed") > 0
+    emptied = changed & (F.length(F.btrim("text", F.lit(" \t\n\r"))) == 0)
+    out = cleaned.filter(~emptied)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    path, pattern = tokenizer_file()
+    return bpe.bpe_encode(docs, path, pattern, blank_cuts=True)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("SimHash near-dedup", simhash_near_dedup),
+    ("substring dedup", substring_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("byte-level BPE encoding and decoding", byte_bpe),
+]
 
-STAGES: list = []
+#: SQL expresses neither the classifier nor XXH64 nor BPE; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = cut(stage(spark, docs, sf_dir), f"stage{i + 1}")
+    return docs
