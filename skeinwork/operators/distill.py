@@ -25,9 +25,17 @@ Provide ONLY the corrected code with appropriate comments. No explanations outsi
 
 
 def one_decimal(x: Column) -> Column:
-    """Text with one decimal, exact halves (as the double has them) to the even digit."""
-    tenths = x.cast("double").cast("decimal(38,18)") * F.lit(10).cast("decimal(3,0)")
-    return F.format_string("%.1f", (F.bround(tenths, 0) / 10).cast("double"))
+    """A number from 0 on as text with one decimal, rounded as its exact binary value asks.
+
+    Twenty times the number is compared with the odd number that stands for the middle
+    between two decimals; in two steps, each of which is exact near that middle.
+    """
+    tenths = F.floor(x * 10)
+    middle = tenths * 2 + 1
+    off = (x * 16 - middle) + x * 4
+    up = (off > 0) | ((off == 0) & (tenths % 2 == 1))
+    rounded = (tenths + up.cast("int")).cast("long")
+    return F.format_string("%d.%d", F.floor(rounded / 10), rounded % 10)
 
 
 def correction_prompt(prompt: Column, output: Column, score: Column) -> Column:
@@ -91,7 +99,8 @@ def convergence(epochs: DataFrame, run: str = "run", score: float = CONVERGED_SC
 def stop_at_convergence(checked: DataFrame, max_epochs: int, run: str = "run") -> DataFrame:
     """Epochs that are run: up to the first converged one, and ``max_epochs`` at most."""
     first = F.min(F.when(F.col("converged"), F.col("epoch"))).over(Window.partitionBy(run))
-    return checked.filter(F.col("epoch") <= F.least(F.coalesce(first, F.lit(max_epochs)), F.lit(max_epochs)))
+    last = F.least(F.coalesce("__first", F.lit(max_epochs)), F.lit(max_epochs))
+    return checked.withColumn("__first", first).filter(F.col("epoch") <= last).drop("__first")
 
 
 def run_summary(checked: DataFrame, run: str = "run") -> DataFrame:

@@ -73,4 +73,4 @@ def watch_runs(log: DataFrame, patience: int = 3, threshold: float = 0.0) -> Dat
         state.update((best, wait, stopped))
         yield pd.DataFrame(found, columns=["run", "step", "reason"])
 
-    return log.groupBy("run").applyInPandasWithState(step, STOP_SCHEMA, STATE_SCHEMA, "append", "NoTimeout")
+    return log.filter("loss is not null").groupBy("run").applyInPandasWithState(step, STOP_SCHEMA, STATE_SCHEMA, "append", "NoTimeout")
