@@ -38,6 +38,8 @@ LABELLED, UNLABELLED = 8000, 3000
 FEATURES = 1500
 #: Documents of the sample that must have a feature.
 LEAST_DOCS = 4
+#: Chi squared that a feature must reach, far above what chance gives one of them.
+LEAST_TOLD = 15.0
 ROUNDS, HANDED_OVER, SURE = 3, 150, 0.97
 META = 512
 KEEP_FROM = 0.5
@@ -168,11 +170,14 @@ def _chosen_features(sampled: DataFrame) -> list[bytes]:
     )
     chosen: list[bytes] = []
     for kind, with_label in (("low", total[1]), ("toxic", total[2])):
-        # Chi squared of the two by two table of feature and label, without constants.
-        a, n = F.col(kind).cast("double"), F.col("n").cast("double")
-        off = a * float(total[0]) - n * float(with_label)
-        told = off * off / (n * (float(total[0]) - n) + 1.0)
-        rows = counts.orderBy(told.desc(), "feature").limit(FEATURES // 2).select("feature").collect()
+        # Chi squared of the two by two table of feature and label.
+        a, n, all_, on = F.col(kind).cast("double"), F.col("n").cast("double"), float(total[0]), float(with_label)
+        if not 0 < on < all_:
+            continue
+        off = a * all_ - n * on
+        told = off * off * all_ / ((n * (all_ - n) + 1.0) * on * (all_ - on))
+        strong = counts.withColumn("told", told).filter(F.col("told") >= LEAST_TOLD)
+        rows = strong.orderBy(F.desc("told"), "feature").limit(FEATURES // 2).select("feature").collect()
         chosen += [bytes(r[0]) for r in rows]
     return list(dict.fromkeys(chosen))
 
@@ -268,11 +273,8 @@ def train(docs: DataFrame, labels: DataFrame) -> CoTrained | None:
     small_batches(docs.sparkSession)
     # The sample has at most LABELLED + UNLABELLED rows of three numbers.
     sampled = _parts(docs).join(F.broadcast(_sample(docs, labels)), "doc_id")
-    rows = None
-    features = _chosen_features(sampled)
-    if features:
-        rows = _vectors(sampled, features)
-    labelled = [r for r in rows or [] if r["low"] is not None]
+    rows = _vectors(sampled, features := _chosen_features(sampled))
+    labelled = [r for r in rows if r["low"] is not None]
     if len({bool(r["low"] or r["toxic"]) for r in labelled}) < 2:
         return None
     return CoTrained(features).fit(labelled, [r for r in rows if r["low"] is None])
