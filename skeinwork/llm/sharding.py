@@ -130,7 +130,11 @@ def minimax_cuts(ends: DataFrame, shards: int) -> list[int]:
         return []
     # With capacity ``high`` each shard is left open by less than the largest group.
     low, high = max(largest, -(-total // shards)), -(-total // shards) + largest
+    spans = [(0, total)]
     while True:
+        near = _within(ends, spans)
+        if near.count() <= FETCHED:
+            return _search_here(sorted(r[0] for r in near.collect()), low, high, total, shards)
         step = max(1, -(-(high - low) // (TRIED - 1)))
         tried = list(dict.fromkeys([*range(low, high, step), high]))
         cuts = _greedy(ends, tried, total, largest, shards)
@@ -142,9 +146,6 @@ def minimax_cuts(ends: DataFrame, shards: int) -> list[int]:
             return cuts[first]
         least, most = cuts[first - 1], cuts[first]
         spans = [(least[j], most[j] if j < len(most) else total) for j in range(len(least))]
-        near = _within(ends, spans)
-        if near.count() <= FETCHED:
-            return _search_here(sorted(r[0] for r in near.collect()), low, high, total, shards)
 
 
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:

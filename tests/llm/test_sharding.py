@@ -35,7 +35,7 @@ def rows(seed, n):
     return docs
 
 
-@pytest.mark.parametrize(("seed", "n", "shards", "fetched"), [(1, 400, 24, 100_000), (2, 300, 7, 5)])
+@pytest.mark.parametrize(("seed", "n", "shards", "fetched"), [(1, 400, 24, 100_000), (2, 300, 7, 5), (3, 400, 24, 60)])
 def test_minimax(spark, monkeypatch, seed, n, shards, fetched):
     monkeypatch.setattr(sharding, "FETCHED", fetched)
     docs = rows(seed, n)
