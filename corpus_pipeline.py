@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from skeinwork.llm import bpe, classifier, decontam, simhash
 from skeinwork.llm import substring_dedup as spans
-from skeinwork.llm.common import cut, table
+from skeinwork.llm.common import cut, cut_tables, drop_cut_tables, table
 from skeinwork.llm.queries import tokenizer_file
 
 
@@ -66,7 +66,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, since = table(spark, sf_dir, "documents"), cut_tables()
     for i, (_, stage) in enumerate(STAGES):
         docs = cut(stage(spark, docs, sf_dir), f"stage{i + 1}")
+        drop_cut_tables(spark, since, keep=f"stage{i + 1}")
     return docs
