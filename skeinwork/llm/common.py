@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +29,9 @@ WORD_TABLE = bytes(
 BATCH_ROWS = 1000
 BATCH_BYTES = 16 << 20
 
+#: Paths that cut() has written.
+_WRITTEN: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,11 +60,30 @@ def cut(df: DataFrame, name: str, *sort: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again, which ends its lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/skeinwork/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     writer = df.sortWithinPartitions(*sort) if sort else df
     writer.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_tables() -> int:
+    """How many tables ``cut`` has written in this process."""
+    return len(_WRITTEN)
+
+
+def drop_cut_tables(spark: SparkSession, since: int = 0, keep: str = "") -> None:
+    """Remove the tables written after the first ``since``, but for those named ``keep``.
+
+    For use once all results that are read from them are stored.
+    """
+    for i, path in enumerate(_WRITTEN):
+        if i < since or not path or keep and path.rsplit("/", 1)[1].startswith(keep + "-"):
+            continue
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+        _WRITTEN[i] = ""
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches by rows and bytes, whatever the length of the texts."""
     for key, value in (
@@ -78,20 +99,7 @@ def utf8(column: str | Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit("")).cast("binary")
 
 
-def pieces(values: list, size: int) -> Iterator[list]:
-    for i in range(0, len(values), size):
-        yield values[i : i + size]
-
-
 def record_batch(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema
     )
-
-
-def hot_safe(df: DataFrame) -> DataFrame:
-    """Let adaptive execution split the large partitions of joins (its default)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    return df
