@@ -17,6 +17,8 @@ the same result, as often as they came.  A document may end up with empty text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,24 +101,39 @@ def remove_repeated_spans(docs: DataFrame, run: int = RUN, min_chars: int = MIN_
         _text_mark(docs["text"].cast("string")).alias("mark"),
     )
     met = docs.withColumn("__key", key).join(spans, "__key", "left")
-    split = met.withColumn("__units", sentences(F.col("text").cast("string")))
-    n = F.size("__units")
-    covered = F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (run - 1))))
-    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    kept = F.array_except(every, covered)
-    changed = F.col("__starts").isNotNull()
-    text = F.when(changed, F.array_join(F.transform(kept, lambda i: F.get("__units", i)), "")).otherwise(F.col("text"))
+    starts, text = F.col("__starts"), F.col("text").cast("string")
+
+    def rebuilt(units: Column) -> Column:
+        n = F.size(units)
+        covered = F.flatten(F.transform(starts, lambda s: F.sequence(s, s + (run - 1))))
+        every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        left = _let(F.array_except(every, covered), lambda kept: F.transform(kept, lambda i: F.get(units, i)))
+        changed = _let(
+            left,
+            lambda kept: F.struct(
+                n.cast("long").alias("n"), (n - F.size(kept)).cast("long").alias("gone"), F.array_join(kept, "").alias("text")
+            ),
+        )
+        same = F.struct(n.cast("long").alias("n"), F.lit(0).cast("long").alias("gone"), text.alias("text"))
+        return F.when(starts.isNotNull(), changed).otherwise(same)
+
+    made = met.withColumn("__made", _let(F.coalesce(sentences(text), F.array().cast("array<string>")), rebuilt))
     return (
-        split.withColumn("__n_sentences", F.greatest(n, F.lit(0)).cast("long"))
-        .withColumn("__n_removed", F.when(changed, n - F.size(kept)).otherwise(0).cast("long"))
-        .withColumn("text", text)
-        .drop("__key", "__starts", "__units")
+        made.withColumn("__n_sentences", F.col("__made.n"))
+        .withColumn("__n_removed", F.col("__made.gone"))
+        .withColumn("text", F.col("__made.text"))
+        .drop("__key", "__starts", "__made")
     )
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, wherever the optimizer moves the whole."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def substring_dedup(docs: DataFrame, run: int = RUN, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, n_sentences, n_removed, text: a row per row of ``docs``."""
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     return remove_repeated_spans(chosen, run, min_chars).select(
-        "doc_id", F.coalesce("__n_sentences", F.lit(0)).alias("n_sentences"), F.col("__n_removed").alias("n_removed"), "text"
+        "doc_id", F.col("__n_sentences").alias("n_sentences"), F.col("__n_removed").alias("n_removed"), "text"
     )
