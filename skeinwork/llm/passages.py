@@ -1,0 +1,231 @@
+"""Repeated passages of at least ``WORDS`` words, wherever they begin (operator 4).
+
+Sentence runs miss a passage that has no three whole sentences of its own, so every
+window of ``WORDS`` consecutive words counts too: the first occurrence of a window,
+by doc_id and then by place, stays, and the words that a later one covers go.
+
+Not every window travels.  Of each window the shorter run of ``SEED`` words with the
+least hash is its seed (winnowing), some one in thirteen places.  Equal windows have
+equal seeds, so only windows around a seed that occurs again are hashed in full, to
+128 bits, and meet over all documents.  Nothing that repeats is lost by this.
+
+Words are what ASCII white space parts, without case; ideographs, kana and Thai
+letters, which are written without blanks, are words each.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import substring_dedup as spans
+from .common import cut, cut_tables, drop_cut_tables, small_batches, utf8
+
+WORDS, SEED = 50, 25
+UNSPACED = r"฀-๿぀-ヿ㐀-䶿一-鿿豈-﫿"
+ANY_UNSPACED = re.compile(f"[{UNSPACED}]")
+WORD = re.compile(f"[{UNSPACED}]|[^{UNSPACED} \t\n\x0b\f\r]+")
+#: As ``spans.SENTENCE``, whose white space is ASCII.
+SENTENCE = re.compile(r"(?s).+?(?:[.!?]+[ \t\n\x0b\f\r]+|\n[ \t\n\x0b\f\r]*|[。！？]+|\Z)")
+#: Odd bases of the rolling hashes.
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _settled(df: DataFrame, name: str) -> DataFrame:
+    """As ``cut``; the shuffle files behind the table go once it is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        return cut(df, name)
+    finally:
+        conf.set(CLEANUP, before)
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    text = raw.decode("utf-8", "replace").lower()
+    if text.isascii() or not ANY_UNSPACED.search(text):
+        words = text.encode("utf-8", "replace").split()
+    else:
+        words = [w.encode("utf-8", "replace") for w in WORD.findall(text)]
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, dtype=np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+def rolling(hashes: np.ndarray, size: int, base: int) -> np.ndarray:
+    """A hash of each run of ``size`` words; the same wherever the run stands."""
+    n = len(hashes)
+    if n < size:
+        return np.zeros(0, dtype=np.uint64)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(hashes * _powers(base, n), dtype=np.uint64, out=sums[1:])
+    made = (sums[size:] - sums[:-size]) * _powers(pow(base, -1, 1 << 64), n - size + 1)
+    made ^= made >> np.uint64(32)
+    made *= np.uint64(0xD6E8FEB86659FD93)
+    return made ^ (made >> np.uint64(29))
+
+
+def seeds_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the seeds of all windows."""
+    if len(hashes) < WORDS:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    runs = rolling(hashes, SEED, BASES[0])
+    least = np.lib.stride_tricks.sliding_window_view(runs, WORDS - SEED + 1).argmin(axis=1)
+    at = np.unique(least + np.arange(len(least)))
+    return runs[at], at
+
+
+def windows_around(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """First words of the windows that hold one of the seeds."""
+    n = len(hashes) - WORDS + 1
+    edge = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(edge, np.clip(seeds - (WORDS - SEED), 0, n), 1)
+    np.add.at(edge, np.clip(seeds + 1, 0, n), -1)
+    return np.nonzero(np.cumsum(edge[:n]) > 0)[0]
+
+
+def _signed(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64))
+
+
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """doc_id, mark, starts: first words of the windows to remove, by document."""
+    small_batches(docs.sparkSession)
+    texts = docs.select(
+        F.coalesce(docs["doc_id"].cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
+        spans._text_mark(docs["text"].cast("string")).alias("mark"),
+        utf8(docs["text"]).alias("raw"),
+    )
+    schema = pa.schema([("h1", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64())])
+
+    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, mark, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                found, at = seeds_of(word_hashes(raw.as_py()))
+                if len(at):
+                    made = [_signed(found), pa.array(np.full(len(at), doc)), pa.array(at + (mark << 32))]
+                    yield pa.RecordBatch.from_arrays(made, schema=schema)
+
+    schema2 = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64())])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, mark, raw, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                hashes = word_hashes(raw.as_py())
+                starts = windows_around(hashes, at.values.to_numpy(zero_copy_only=False).astype(np.int64))
+                both = [_signed(rolling(hashes, WORDS, b)[starts]) for b in BASES]
+                yield pa.RecordBatch.from_arrays([*both, pa.array(np.full(len(starts), doc)), pa.array(starts + (mark << 32))], schema=schema2)
+
+    since = cut_tables()
+    seeded = _settled(texts.mapInArrow(_joined(seeds, schema), "h1 long, doc_id long, place long"), "seeds")
+    again = seeded.groupBy("h1").count().filter("count > 1").select("h1")
+    places = spans._by_document(seeded.join(again, "h1").select("doc_id", "place"))
+    # Rows that agree in doc_id and text are one document.
+    once = texts.join(places, ["doc_id", "mark"]).select("doc_id", "mark", "raw", "starts")
+    made = _settled(once.mapInArrow(_joined(windows, schema2), "h1 long, h2 long, doc_id long, place long"), "windows")
+    drop_cut_tables(docs.sparkSession, since, keep="windows")
+    return _settled(spans._by_document(spans.later_places(made)), "window-starts")
+
+
+def _joined(run, schema: pa.Schema):  # noqa: ANN001, ANN202
+    """The batches of ``run`` in larger ones."""
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in run(batches):
+            held.append(batch)
+            rows += batch.num_rows
+            if rows > 50_000:
+                yield from pa.Table.from_batches(held, schema).combine_chunks().to_batches()
+                held, rows = [], 0
+        if held:
+            yield from pa.Table.from_batches(held, schema).combine_chunks().to_batches()
+
+    return joined
+
+
+def cut_out(text: str, runs: list[int] | None, windows: list[int] | None, run: int) -> tuple[str, int]:
+    """``text`` without the sentences of ``runs`` and the words of ``windows``; sentences that lost text."""
+    ends = [m.end() for m in SENTENCE.finditer(text)]
+    begins = [0, *ends[:-1]]
+    gone = [(begins[s], ends[s + run - 1]) for s in runs or []]
+    if windows:
+        words = [m.start() for m in WORD.finditer(text)] + [len(text)]
+        gone += [(words[s], words[s + WORDS]) for s in windows]
+    merged: list[list[int]] = []
+    for a, b in sorted(gone):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    left, at = [], 0
+    for a, b in merged:
+        left.append(text[at:a])
+        at = b
+    left.append(text[at:])
+    lost = sum(_count(begins, ends, a, b) for a, b in merged) - sum(
+        _sentence(ends, x[1] - 1) == _sentence(ends, y[0]) for x, y in zip(merged, merged[1:], strict=False)
+    )
+    return "".join(left), lost
+
+
+def _sentence(ends: list[int], at: int) -> int:
+    return int(np.searchsorted(ends, at, side="right"))
+
+
+def _count(begins: list[int], ends: list[int], a: int, b: int) -> int:
+    return _sentence(ends, b - 1) - _sentence(ends, a) + 1
+
+
+def remove_repeated_passages(docs: DataFrame, run: int = spans.RUN, min_chars: int = spans.MIN_CHARS) -> DataFrame:
+    """``docs``, all columns, without repeated runs and windows in ``text``, and __n_removed."""
+    small_batches(docs.sparkSession)
+    a = _settled(spans.repeated_spans(docs, run, min_chars), "run-starts").select("doc_id", "mark", F.col("starts").alias("runs"), F.lit(None).cast("array<int>").alias("windows"))
+    b = repeated_windows(docs).select("doc_id", "mark", F.lit(None).cast("array<int>").alias("runs"), F.col("starts").alias("windows"))
+    both = a.unionByName(b).groupBy("doc_id", "mark").agg(F.first("runs", True).alias("__runs"), F.first("windows", True).alias("__windows"))
+    keyed = both.select(F.struct("doc_id", "mark").alias("__key"), "__runs", "__windows")
+    key = F.struct(
+        F.coalesce(docs["doc_id"].cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
+        spans._text_mark(docs["text"].cast("string")).alias("mark"),
+    )
+    columns = docs.columns
+    text_at = columns.index("text")
+    met = docs.withColumn("__key", key).withColumn("text", F.col("text").cast("string")).join(keyed, "__key", "left").drop("__key")
+    made = T.StructType([*[met.schema[c] for c in columns], T.StructField("__n_removed", T.LongType())])
+
+    def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = len(columns)
+        for batch in batches:
+            texts, removed = [], []
+            for text, runs, windows in zip(batch.column(text_at).to_pylist(), batch.column(n).to_pylist(), batch.column(n + 1).to_pylist(), strict=True):
+                lost = 0
+                if runs or windows:
+                    text, lost = cut_out(text, runs, windows, run)
+                texts.append(text)
+                removed.append(lost)
+            arrays = [batch.column(i) for i in range(n)]
+            arrays[text_at] = pa.array(texts, type=batch.schema.field(text_at).type)
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(removed, type=pa.int64())], names=[*columns, "__n_removed"])
+
+    return met.select(*[F.col(f"`{c}`") for c in columns], "__runs", "__windows").mapInArrow(rebuild, made)
+
+
+def passage_dedup(docs: DataFrame) -> DataFrame:
+    """doc_id, n_sentences, n_removed (sentences that lost text), text: a row per row of ``docs``."""
+    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    counted = chosen.withColumn("n_sentences", F.coalesce(F.size(spans.sentences(F.col("text"))), F.lit(0)).cast("long"))
+    counted = counted.withColumn("n_sentences", F.greatest("n_sentences", F.lit(0)))
+    return remove_repeated_passages(counted).select("doc_id", "n_sentences", F.col("__n_removed").alias("n_removed"), "text")

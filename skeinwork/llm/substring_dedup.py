@@ -76,6 +76,11 @@ def repeated_spans(docs: DataFrame, run: int = RUN, min_chars: int = MIN_CHARS)
             (F.shiftleft(F.col("mark"), 32) + F.col("at")).alias("place"),
         )
     )
+    return _by_document(later_places(spans))
+
+
+def later_places(spans: DataFrame) -> DataFrame:
+    """doc_id, place of all but the first occurrence of each (h1, h2)."""
     found = spans.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"))
     repeats = found.filter("n > 1").select("h1", "h2", "first_doc")
     met = spans.join(repeats, ["h1", "h2"])
@@ -84,10 +89,12 @@ def repeated_spans(docs: DataFrame, run: int = RUN, min_chars: int = MIN_CHARS)
     own = met.filter("doc_id = first_doc")
     firsts = own.groupBy("h1", "h2").agg(F.min("place").alias("first_place"))
     again = own.join(firsts, ["h1", "h2"]).filter("place > first_place").select("doc_id", "place")
-    return (
-        later.unionByName(again)
-        .groupBy("doc_id", F.shiftright("place", 32).alias("mark"))
-        .agg(F.collect_set(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias("starts"))
+    return later.unionByName(again)
+
+
+def _by_document(places: DataFrame) -> DataFrame:
+    return places.groupBy("doc_id", F.shiftright("place", 32).alias("mark")).agg(
+        F.collect_set(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias("starts")
     )
 
 

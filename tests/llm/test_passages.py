@@ -1,0 +1,61 @@
+import random
+
+from test_substring_dedup import SENTENCE
+
+from skeinwork.llm import passages
+
+
+def brute(docs, run=3, min_chars=40):
+    seen, out = set(), []
+    for d, text in docs:
+        text = text or ""
+        units = [(m.start(), m.end()) for m in SENTENCE.finditer(text)]
+        words = [(m.start(), m.end()) for m in passages.WORD.finditer(text)]
+        gone = set()
+        forms = [text[a:b].strip(" \t\n\r").lower() for a, b in units]
+        for i in range(len(units) - run + 1):
+            key = ("run", *forms[i : i + run])
+            if sum(map(len, key[1:])) >= min_chars:
+                if key in seen:
+                    gone.update(range(units[i][0], units[i + run - 1][1]))
+                seen.add(key)
+        for i in range(len(words) - 49):
+            key = ("words", *[text[a:b].lower() for a, b in words[i : i + 50]])
+            if key in seen:
+                gone.update(range(words[i][0], words[i + 50][0] if i + 50 < len(words) else len(text)))
+            seen.add(key)
+        out.append((d, "".join(c for i, c in enumerate(text) if i not in gone), sum(bool(gone.intersection(range(a, b))) for a, b in units)))
+    return out
+
+
+def make(rng):
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(3))
+    fresh = lambda n: " ".join(word() for _ in range(n))
+    table, short, exact = fresh(50), fresh(49), fresh(60) + ". " + fresh(3) + "."
+    pool = [fresh(rng.randrange(2, 9)) + rng.choice([".", "!", "?\n"]) for _ in range(12)]
+    docs = []
+    for i in range(60):
+        parts = [fresh(rng.randrange(0, 40))] + [rng.choice([table, short, table.upper(), *pool]) for _ in range(rng.randrange(0, 5))]
+        rng.shuffle(parts)
+        docs.append((i, rng.choice([" ", "\n"]).join(parts)))
+    han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(80))
+    return docs + [(100, exact), (101, exact), (102, "één " + exact), (103, han), (104, "前" + han[5:] + "后"), (105, "x " * 300), (106, ""), (107, "y" * 5000)]
+
+
+def test_windows_match_brute_force(spark):
+    docs = make(random.Random(3))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text, r.n_removed) for r in passages.passage_dedup(frame).collect())
+    assert got == sorted(brute(docs))
+    kept = {d: t for d, t, _ in got}
+    assert kept[101] == "" and kept[104] == "前后"
+
+
+def test_null_and_repeated_rows(spark):
+    long = " ".join(f"w{i}" for i in range(70))
+    rows = [(None, long, 1), (5, long, 2), (5, long, 3), (6, None, 4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, runs int")
+    out = passages.remove_repeated_passages(frame)
+    assert out.columns == [*frame.columns, "__n_removed"]
+    assert sorted((str(r.doc_id), r.text, r.runs) for r in out.collect()) == [("5", "", 2), ("5", "", 3), ("6", None, 4), ("None", long, 1)]
+    assert passages.passage_dedup(frame.limit(0)).collect() == []

@@ -1,0 +1,23 @@
+import random
+
+import pytest
+
+corpus_pipeline = pytest.importorskip("corpus_pipeline")
+
+SF = "/root/testdata/sf0.001"
+
+
+def _words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(n))
+
+
+def test_passage_within_a_sentence_goes(spark):
+    """No three whole sentences are shared, and the border sentences differ."""
+    rng = random.Random(1)
+    table = _words(rng, 55)
+    rows = [(i, f"{_words(rng, 9)} {table} {_words(rng, 9)}.", "en", "s", 0) for i in range(3)] + [(9, table, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    left = {r.doc_id: r for r in corpus_pipeline.substring_dedup(spark, docs, SF).collect()}
+    assert sorted(left) == [0, 1, 2]
+    assert [table in left[i].text for i in range(3)] == [True, False, False]
+    assert left[1].text == rows[1][1].replace(table + " ", "") and left[1].n_chars == len(left[1].text)
