@@ -23,7 +23,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, record_batch, small_batches, utf8
@@ -67,18 +67,22 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(set_bits, bitorder="little").view("<u8")[0])
 
 
+def _text_mark(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long), a row per document."""
+    """doc_id, fp (the fingerprint as a signed long) and mark (of the text), a row per document."""
     small_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("mark", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), batch.column(2)], schema=schema)
 
-    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), utf8(docs["text"]).alias("raw"))
-    return chosen.mapInArrow(run, "doc_id long, fp long")
+    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), utf8(docs["text"]).alias("raw"), _text_mark(docs).alias("mark"))
+    return chosen.mapInArrow(run, "doc_id long, fp long, mark long")
 
 
 def _quarters(fp: str = "fp") -> list:
@@ -187,27 +191,34 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int =
     return _with_components(known, radius)
 
 
-def _with_components(known: DataFrame, radius: int) -> DataFrame:
+def _components_by_fp(known: DataFrame, radius: int) -> DataFrame:
+    """fp, root (which names a component even where ids are null), component_id."""
     classes = cut(known.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
     roots = connected_components(link_edges(classes.select("fp"), radius))
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_fp = rooted.join(named, "root").select("fp", "component_id")
-    return known.join(by_fp, "fp").select(
+    return rooted.join(named, "root").select("fp", "root", "component_id")
+
+
+def _with_components(known: DataFrame, radius: int) -> DataFrame:
+    return known.join(_components_by_fp(known, radius), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs``, all columns, that have the smallest doc_id of their group.
+    """One row of ``docs``, all columns, for each group: one that has its smallest doc_id.
 
-    Rows that share that doc_id and its fingerprint are all one document; one stays.
+    Where several texts of a group have that doc_id, or all its ids are null, the
+    least fingerprint decides, then the text's mark.  A row of another text with the
+    same doc_id, in whatever group, is judged by its own group.
     """
-    groups = near_duplicate_groups(docs, shingle, radius)
+    known = cut(fingerprints(docs, shingle), "fingerprints")
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    # A struct, so that a null id equals another and one exchange serves both steps.
-    firsts = groups.filter(first).select(F.struct("doc_id").alias("__key")).distinct()
-    keyed = docs.withColumn("__key", F.struct(docs["doc_id"].cast("long").alias("doc_id")))
-    return keyed.join(firsts, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    # Structs, so that a null id equals another and one exchange serves both steps.
+    firsts = known.join(_components_by_fp(known, radius), "fp").filter(first).groupBy("root").agg(F.min(F.struct("fp", "mark", "doc_id")).alias("kept"))
+    keys = firsts.select(F.struct(F.col("kept.doc_id").alias("doc_id"), F.col("kept.mark").alias("mark")).alias("__key"))
+    keyed = docs.withColumn("__key", F.struct(docs["doc_id"].cast("long").alias("doc_id"), _text_mark(docs).alias("mark")))
+    return keyed.join(keys, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
