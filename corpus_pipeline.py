@@ -5,8 +5,8 @@ to the shared folder and read again as the next stage's ``docs``.
 
 1. ``quality_classifier``: documents that the co-trained classifier rejects go.
 2. ``simhash_near_dedup``: of each group of near duplicates the smallest doc_id stays.
-3. ``substring_dedup``: sentences in repeated spans and repeated windows of 50 words
-   go; a document that held text and keeps none goes too.
+3. ``substring_dedup``: sentences in repeated spans go; a document that held text and
+   keeps none goes too.
 4. ``benchmark_decontamination``: documents with a window of a benchmark item go.
 5. ``byte_bpe``: whole texts become token ids, with digests of ids and of the text
    decoded from them.
@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinwork.llm import bpe, classifier, decontam, passages, simhash
+from skeinwork.llm import bpe, classifier, decontam, simhash
+from skeinwork.llm import substring_dedup as spans
 from skeinwork.llm.common import cut, cut_tables, drop_cut_tables, table
 from skeinwork.llm.queries import tokenizer_file
 
@@ -33,14 +34,16 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = passages.remove_repeated_passages(docs)
-    changed = F.col("__n_removed") > 0
-    emptied = changed & (F.length(F.btrim("text", F.lit(" \t\n\r"))) == 0)
-    out = cleaned.filter(~emptied)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    cleaned = spans.remove_repeated_spans(docs)
+    changed = F.col("n_removed") > 0
+    emptied = changed & (F.length(F.btrim("row.text", F.lit(" \t\n\r"))) == 0)
+    columns = []
+    for field in docs.schema:
+        value = F.col("row").getField(field.name)
+        if field.name == "n_chars":
+            value = F.when(changed, F.length("row.text").cast(field.dataType)).otherwise(value)
+        columns.append(value.alias(field.name))
+    return cleaned.filter(~emptied).select(*columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,21 +32,49 @@ FROM docs d LEFT JOIN words_hit h ON d.doc_id = h.doc_id LEFT JOIN listed l ON d
 ORACLES: dict[str, str] = {"op1_decontaminate": OP1}
 
 OP4 = r"""
-WITH units AS (
-  SELECT doc_id, text, regexp_extract_all(text, '(?s).+?(?:[.!?]+\s+|\n\s*|[。！？]+|\z)') AS us FROM documents
+WITH docs AS (
+  SELECT doc_id, text, regexp_extract(text, '^[ \t\n\x0b\x0c\r]*') AS head,
+    regexp_extract_all(text, '(?:[\x{0E00}-\x{0E7F}\x{3000}-\x{9FFF}\x{F900}-\x{FAFF}]|[^ \t\n\x0b\x0c\r\x{0E00}-\x{0E7F}\x{3000}-\x{9FFF}\x{F900}-\x{FAFF}]+)[ \t\n\x0b\x0c\r]*') AS toks
+  FROM documents
+),
+toks AS (SELECT doc_id, len(toks) AS n, unnest(toks) AS tok, generate_subscripts(toks, 1) AS p, head FROM docs),
+words AS (
+  SELECT doc_id, n, p, CASE WHEN p = 1 THEN head || tok ELSE tok END AS piece, strpos(tok, chr(10)) > 0 AS breaks,
+    translate(regexp_extract(tok, '^[^ \t\n\x0b\x0c\r]+'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM toks
+),
+closed AS (SELECT *, coalesce(lag(breaks OR regexp_matches(w, '[.!?]["'')\]]?$') OR w IN ('。', '！', '？')) OVER (PARTITION BY doc_id ORDER BY p), true) AS first FROM words),
+least AS (
+  SELECT doc_id, n, p, min({'w': w, 'p': p}) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING) AS m,
+    count(*) FILTER (first) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS near
+  FROM closed
+),
+places AS (SELECT DISTINCT doc_id, m.p AS p FROM least WHERE p + 11 <= n),
+starting AS (
+  SELECT c.doc_id, c.n, c.p, c.piece, c.w, c.first OR (a.p IS NOT NULL AND l.near = 0) AS first
+  FROM closed c JOIN least l ON c.doc_id = l.doc_id AND c.p = l.p LEFT JOIN places a ON c.doc_id = a.doc_id AND c.p = a.p
+),
+numbered AS (SELECT *, count(*) FILTER (first) OVER (PARTITION BY doc_id ORDER BY p) AS u FROM starting),
+lists AS (SELECT doc_id, any_value(n) AS n, max(u) AS n_units, list(w ORDER BY p) AS ws FROM numbered GROUP BY doc_id),
+units AS (SELECT doc_id, u, min(p) AS p FROM numbered GROUP BY doc_id, u),
+reach AS (
+  SELECT s.doc_id, s.u, s.p, l.n, l.n_units, l.ws,
+    greatest(s.u + 2, CASE WHEN s.p + 30 = l.n + 1 THEN l.n_units + 1 WHEN e.first THEN e.u ELSE e.u + 1 END) AS e
+  FROM units s JOIN lists l ON s.doc_id = l.doc_id LEFT JOIN numbered e ON e.doc_id = s.doc_id AND e.p = s.p + 30
+  WHERE s.p + 30 <= l.n + 1
 ),
-forms AS (SELECT doc_id, us, list_transform(us, lambda u: lower(regexp_replace(u, '^[ \t\n\r]+|[ \t\n\r]+$', '', 'g'))) AS fs FROM units),
 runs AS (
-  SELECT doc_id, ix, fs[ix + 1:ix + 3] AS run
-  FROM (SELECT doc_id, fs, unnest(range(greatest(len(fs) - 2, 0))) AS ix FROM forms)
+  SELECT r.doc_id, r.u, r.e, array_to_string(r.ws[r.p:coalesce(x.p - 1, r.n)], ' ') AS run
+  FROM reach r LEFT JOIN units x ON x.doc_id = r.doc_id AND x.u = r.e WHERE r.e <= r.n_units + 1
 ),
-counted AS (SELECT doc_id, ix, row_number() OVER (PARTITION BY run ORDER BY doc_id, ix) AS k
-  FROM runs WHERE length(run[1]) + length(run[2]) + length(run[3]) >= 40),
-covered AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(ix, ix + 3)) AS i FROM counted WHERE k > 1) GROUP BY doc_id)
-SELECT f.doc_id, CAST(coalesce(len(us), 0) AS BIGINT) AS n_sentences, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
-  CASE WHEN gone IS NULL THEN u.text
-    ELSE array_to_string(list_transform(list_filter(range(len(us)), lambda i: NOT list_contains(gone, i)), lambda i: us[i + 1]), '') END AS text
-FROM forms f JOIN (SELECT doc_id, text FROM units) u ON f.doc_id = u.doc_id LEFT JOIN covered c ON f.doc_id = c.doc_id
+ranked AS (SELECT doc_id, u, e, row_number() OVER (PARTITION BY run ORDER BY doc_id, u) AS k FROM runs),
+gone AS (SELECT DISTINCT doc_id, unnest(range(u, e)) AS u FROM ranked WHERE k > 1),
+counted AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id),
+left_over AS (
+  SELECT c.doc_id, string_agg(s.piece, '' ORDER BY s.p) AS text
+  FROM counted c JOIN numbered s ON s.doc_id = c.doc_id ANTI JOIN gone g ON g.doc_id = s.doc_id AND g.u = s.u GROUP BY c.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(c.n_removed, 0) AS BIGINT) AS n_removed, CASE WHEN c.doc_id IS NULL THEN d.text ELSE coalesce(o.text, '') END AS text
+FROM docs d LEFT JOIN counted c ON d.doc_id = c.doc_id LEFT JOIN left_over o ON d.doc_id = o.doc_id
 """
 
 OP6 = r"""
