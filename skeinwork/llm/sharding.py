@@ -2,150 +2,138 @@
 
 Rows with equal texts form an atomic group.  Groups stand in the order of their
 text's MD5.  The smallest capacity for which the greedy cut needs no more than the
-given number of shards is found by search, and the cuts are made there: the law is
-``bytes``, shard sizes as near equal as whole groups in this order allow.
-
-The groups' running sizes are a table in the shared folder, sorted by size.  A
-greedy step asks it for the last group end within reach of the previous cut, for
-many candidate capacities at once; as group sizes are bounded by the largest, each
-answer lies in a narrow range, which is pushed down to the scan.  Only these
-answers, and at the end a bounded number of group ends, come to the driver.
-
-Slots count the rows of a shard from 0: by group, then by doc_id modulo
-``LANES``, then doc_id.  Rank within a group is counted by lane and put together
-from lane totals, so a group that holds a third of all rows is spread over many
-tasks.
-
-Null text: size 8, one group with the empty text; a null doc_id is ranked as 0.
-Rows that agree in all are each given a slot.  An empty table gives an empty result.
+given number of shards is found by binary search, and the cuts are made there: the
+law is ``bytes``, shard sizes as near equal as whole groups in this order allow.
+
+The search runs on the driver over totals of ranges of the order, named by their
+first hexadecimal digits.  For a capacity, cuts at ends of ranges only, and cuts
+anywhere within them, enclose each greedy cut from below and above, which shows
+some capacities to do and some not to do.  Ranges in which a cut may lie for a
+capacity between these are totalled again by two more digits, until the two meet;
+a range that holds one group leaves nothing open.  A round brings a bounded number
+of totals, whatever the table's size, and no more rounds come than digits.
+
+Slots count the rows of a shard from 0.  Rows are numbered when they are first
+written, and dealt into lanes of some ``LANE_ROWS`` rows by a hash of the number;
+rank within a lane and lane totals make the slot.  So neither a large group nor
+any repeated doc_id gathers in one task.
+
+Null text: size 8, one group with the empty text; a null doc_id is like any other.
+Rows that agree in all are each given a slot.  Shards depend on the texts only,
+slots also on the order in which rows are read.  An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
 
 SHARDS = 24
-#: Running totals start in so many ranges of the hash, each summed apart.
-RANGE_DIGITS = 3
-#: Parts of a group that are ranked apart.
-LANES = 64
-#: Capacities tried at once.
-TRIED = 48
-#: Group ends that may come to the driver for the end of the search.
-FETCHED = 100_000
+#: Digits of the first totals (65,536 ranges at most), and how many each round adds.
+FIRST_DIGITS, MORE_DIGITS = 4, 2
+KEY_DIGITS = 32
+#: Rows that a lane holds on average.
+LANE_ROWS = 1000
 OVERHEAD = 8
 
 
-def _group_ends(rows: DataFrame) -> DataFrame:
-    """gkey, size, n, end (bytes up to and with the group), n_before (rows before it)."""
-    groups = rows.groupBy("gkey").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
-    ranged = groups.withColumn("range", F.substring("gkey", 1, RANGE_DIGITS))
-    within = Window.partitionBy("range").orderBy("gkey").rowsBetween(Window.unboundedPreceding, 0)
-    summed = cut(
-        ranged.withColumn("end", F.sum("size").over(within)).withColumn("through", F.sum("n").over(within)),
-        "groups",
-    )
-    # One row a range, 16 to the power of RANGE_DIGITS at most.
-    totals = summed.groupBy("range").agg(F.sum("size").alias("bytes"), F.sum("n").alias("rows"))
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "range",
-        F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes_before"),
-        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
-    )
-    placed = summed.join(F.broadcast(offsets), "range").select(
-        "gkey",
-        "size",
-        (F.col("end") + F.col("bytes_before")).alias("end"),
-        (F.col("through") - F.col("n") + F.col("rows_before")).alias("n_before"),
-    )
-    return cut(placed, "ends", "end")
-
-
-def _reach(ends: DataFrame, limits: list[int], largest: int) -> list[int | None]:
-    """For each limit the last group end that is no larger; None if there is none."""
-    near = reduce(
-        Column.__or__, [(F.col("end") <= x) & (F.col("end") > x - largest) for x in dict.fromkeys(limits)]
-    )
-    answers = [F.max(F.when(F.col("end") <= x, F.col("end"))).alias(f"a{i}") for i, x in enumerate(limits)]
-    return list(ends.filter(near).agg(*answers).first())
-
-
-def _greedy(ends: DataFrame, capacities: list[int], total: int, largest: int, shards: int) -> list[list[int]]:
-    """The ends of the shards of the greedy cut, for each capacity; at most ``shards``."""
-    cuts: list[list[int]] = [[] for _ in capacities]
-    for _ in range(shards):
-        open_ = [i for i, c in enumerate(cuts) if not c or c[-1] < total]
-        if not open_:
-            break
-        limits = [(cuts[i][-1] if cuts[i] else 0) + capacities[i] for i in open_]
-        beyond = [i for i, x in zip(open_, limits, strict=True) if x >= total]
-        asked = [(i, x) for i, x in zip(open_, limits, strict=True) if x < total]
-        for i in beyond:
-            cuts[i].append(total)
-        if asked:
-            for (i, _), end in zip(asked, _reach(ends, [x for _, x in asked], largest), strict=True):
-                cuts[i].append(end)
-    return cuts
-
-
-def _within(ends: DataFrame, spans: list[tuple[int, int]]) -> DataFrame:
-    return ends.select("end").filter(reduce(Column.__or__, [F.col("end").between(a, b) for a, b in spans]))
-
-
-def _search_here(ends: list[int], low: int, high: int, total: int, shards: int) -> list[int]:
-    """The smallest feasible capacity in (low - 1, high], with all ends that can be cuts."""
-
-    def greedy(capacity: int) -> list[int]:
-        cuts = [0]
-        while cuts[-1] < total and len(cuts) <= shards:
-            limit = cuts[-1] + capacity
-            cuts.append(total if limit >= total else ends[bisect_right(ends, limit) - 1])
-        return cuts[1:]
-
+@dataclass
+class Ranges:
+    """Totals of ranges in order: their digits, bytes, number of groups and largest group."""
+
+    digits: list[str]
+    bytes: np.ndarray
+    groups: np.ndarray
+    largest: int
+
+    def __post_init__(self):
+        self.ends = np.cumsum(self.bytes)
+        self.total = int(self.ends[-1])
+
+    def least_cuts(self, capacity: int, shards: int) -> list[int]:
+        """Greedy cuts at ends of ranges only: each at or before the true one."""
+        cuts, at = [], 0
+        for _ in range(shards):
+            i = int(np.searchsorted(self.ends, at + capacity, side="right"))
+            at = int(self.ends[i - 1]) if i else 0
+            cuts.append(at)
+        return cuts
+
+    def most_cuts(self, capacity: int, shards: int) -> list[int]:
+        """Greedy cuts anywhere but within a group that has a range of its own."""
+        cuts, at = [], 0
+        for _ in range(shards):
+            limit = at + capacity
+            i = int(np.searchsorted(self.ends, limit, side="right"))
+            if i == len(self.ends):
+                at = self.total
+            else:
+                at = (int(self.ends[i - 1]) if i else 0) if self.groups[i] == 1 else limit
+            cuts.append(at)
+        return cuts
+
+    def open_ranges(self, low: int, high: int, shards: int) -> list[int]:
+        """Ranges of several groups that a cut for a capacity from ``low`` to ``high`` may divide."""
+        found: set[int] = set()
+        for least, most in zip(self.least_cuts(low, shards), self.most_cuts(high, shards), strict=True):
+            a, b = (int(np.searchsorted(self.ends, x, side="right")) for x in (least, most))
+            found.update(i for i in range(a, min(b, len(self.ends) - 1) + 1) if self.groups[i] > 1)
+        return sorted(found)
+
+    def replaced(self, old: list[int], new: list[tuple[str, int, int]]) -> Ranges:
+        gone = set(old)
+        kept = [(d, int(b), int(g)) for i, (d, b, g) in enumerate(zip(self.digits, self.bytes, self.groups, strict=True)) if i not in gone]
+        return ranges_of(kept + new, self.largest)
+
+
+def ranges_of(rows: list[tuple[str, int, int]], largest: int) -> Ranges:
+    rows = sorted(rows)
+    return Ranges([r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.int64), np.array([r[2] for r in rows], dtype=np.int64), largest)
+
+
+def _first(low: int, high: int, holds) -> int:  # noqa: ANN001
+    """The smallest number from ``low`` on for which ``holds``, which it does for ``high``."""
     while low < high:
         middle = (low + high) // 2
-        if greedy(middle)[-1] >= total:
-            high = middle
-        else:
-            low = middle + 1
-    return greedy(high)
-
-
-def minimax_cuts(ends: DataFrame, shards: int) -> list[int]:
-    """Shard ends under the smallest feasible capacity; every cut is a group's end.
-
-    Rounds of greedy cuts for many capacities narrow the range.  The cuts of a
-    capacity in that range lie between those of its two ends, and as soon as the
-    group ends between them are few, they are fetched and the search ends here.
-    """
-    total, largest = ends.agg(F.max("end"), F.max("size")).first()
-    if total is None:
-        return []
-    # With capacity ``high`` each shard is left open by less than the largest group.
-    low, high = max(largest, -(-total // shards)), -(-total // shards) + largest
-    spans = [(0, total)]
+        low, high = (low, middle) if holds(middle) else (middle + 1, high)
+    return high
+
+
+def _totals(groups: DataFrame, digits: int, within: list[str] | None = None) -> list[tuple[str, int, int, int]]:
+    """digits, bytes, groups, largest of all ranges, or of those inside the ranges ``within``."""
+    if within is not None:
+        groups = groups.filter(F.substring("gkey", 1, len(within[0])).isin(within))
+    found = groups.groupBy(F.substring("gkey", 1, digits).alias("digits")).agg(F.sum("bytes"), F.count(F.lit(1)), F.max("bytes"))
+    return [tuple(r) for r in found.collect()]
+
+
+def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[str]]:
+    """The smallest feasible capacity, and the digits of the last range before each cut."""
+    first = _totals(groups, FIRST_DIGITS)
+    if not first:
+        return 0, []
+    ranges = ranges_of([r[:3] for r in first], max(r[3] for r in first))
+    low, high = max(ranges.largest, -(-ranges.total // shards)), ranges.total
+    digits = FIRST_DIGITS
     while True:
-        near = _within(ends, spans)
-        if near.count() <= FETCHED:
-            return _search_here(sorted(r[0] for r in near.collect()), low, high, total, shards)
-        step = max(1, -(-(high - low) // (TRIED - 1)))
-        tried = list(dict.fromkeys([*range(low, high, step), high]))
-        cuts = _greedy(ends, tried, total, largest, shards)
-        first = next(i for i, c in enumerate(cuts) if c[-1] >= total)
-        if first == 0:
-            return cuts[0]
-        low, high = tried[first - 1] + 1, tried[first]
+        total = ranges.total
+        high = _first(low, high, lambda c, r=ranges: r.least_cuts(c, shards)[-1] >= total)
+        low = _first(low, high, lambda c, r=ranges: r.most_cuts(c, shards)[-1] >= total)
         if low == high:
-            return cuts[first]
-        least, most = cuts[first - 1], cuts[first]
-        spans = [(least[j], most[j] if j < len(most) else total) for j in range(len(least))]
+            ends = dict.fromkeys(x for x in ranges.least_cuts(high, shards) if x < total)
+            return high, [ranges.digits[int(np.searchsorted(ranges.ends, x))] for x in ends]
+        # All are of the last round's length: a cut never leaves the ranges it was found in.
+        again = ranges.open_ranges(low, high, shards)
+        digits = min(digits + MORE_DIGITS, KEY_DIGITS)
+        found = _totals(groups, digits, [ranges.digits[i] for i in again])
+        ranges = ranges.replaced(again, [r[:3] for r in found])
 
 
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -157,28 +145,26 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             (F.octet_length(text) + F.lit(OVERHEAD)).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.md5(text.cast("binary")).alias("gkey"),
+            F.monotonically_increasing_id().alias("number"),
         ),
         "rows",
     )
-    ends = _group_ends(rows)
-    cuts = minimax_cuts(ends, shards)
-    number = reduce(lambda a, c: a + (F.col("end") > c).cast("int"), cuts, F.lit(0))
-    placed = ends.select("gkey", number.alias("shard"), "n_before")
-    heads = placed.groupBy("shard").agg(F.min("n_before").alias("shard_before"))
-    placed = placed.join(F.broadcast(heads), "shard").select(
-        "gkey", "shard", (F.col("n_before") - F.col("shard_before")).alias("first_slot")
-    )
-    laned = rows.withColumn("order", F.coalesce(F.col("doc_id").cast("long"), F.lit(0))).withColumn(
-        "lane", F.pmod("order", F.lit(LANES))
-    )
-    ranked = laned.withColumn("rank", F.row_number().over(Window.partitionBy("gkey", "lane").orderBy("order")))
-    lanes = laned.groupBy("gkey", "lane").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("gkey").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
-    lane_heads = lanes.select("gkey", "lane", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("lane_before"))
-    lane_slots = lane_heads.join(placed, "gkey").select(
-        "gkey", "lane", "shard", (F.col("first_slot") + F.col("lane_before")).alias("lane_slot")
-    )
-    return ranked.join(lane_slots, ["gkey", "lane"]).select(
+    groups = cut(rows.groupBy("gkey").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "groups")
+    _, cuts = minimax_cuts(groups, shards)
+    # "g" comes after every digit, so a key is greater only if it lies beyond the range.
+    number = reduce(lambda a, c: a + (F.col("gkey") > F.lit(c + "g")).cast("int"), cuts, F.lit(0))
+    counted = groups.groupBy(number.alias("shard")).agg(F.sum("n").alias("n")).collect()
+    lanes = [1] * shards
+    for r in counted:
+        lanes[r["shard"]] = -(-r["n"] // LANE_ROWS)
+    lane = F.pmod(F.xxhash64("number"), F.get(F.lit(lanes), F.col("shard")).cast("long")).alias("lane")
+    dealt = rows.withColumn("shard", number).select("doc_id", "size", "text_crc32", "gkey", "number", "shard", lane)
+    own = Window.partitionBy("shard", "lane").orderBy("gkey", "doc_id", "number")
+    ranked = dealt.withColumn("rank", F.row_number().over(own))
+    before = Window.partitionBy("shard").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("shard", "lane").agg(F.count(F.lit(1)).alias("n"))
+    heads = sizes.select("shard", "lane", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("lane_slot"))
+    return ranked.join(heads, ["shard", "lane"]).select(
         "doc_id",
         "size",
         "text_crc32",
