@@ -18,9 +18,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-import sys
 from collections.abc import Callable, Iterator
 from itertools import chain
+from operator import itemgetter
 
 import ahocorasick
 import pyarrow as pa
@@ -29,14 +29,19 @@ from pyspark.sql import DataFrame
 
 from .common import record_batch, small_batches, utf8
 
-#: Entries in a generation of the memo of pieces, and in the memo of token pairs.
-MEMO_ENTRIES = 150_000
+#: Entries in a generation of the memos of chunks and of pieces (some 350 bytes for
+#: each at two generations), and in the memo of token pairs.
+MEMO_ENTRIES = 400_000
+PIECE_ENTRIES = 200_000
 PAIR_ENTRIES = 500_000
 #: Longer pieces are encoded each time: the memo holds short ones only.
 MEMO_PIECE = 64
 #: Blanks at which a text may be cut, and what shows that others are there too.
 AFTER_NON_SPACE = re.compile(r"(?<=\S) ")
-BEFORE_BLANK = [c + " " for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()]
+RARE_BEFORE_BLANK = re.compile(r"[^\S \n] ")
+#: Characters of every kind that patterns tell apart, to try the cuts with.
+PROBES = ["", "a", "Z", "é", "ß", "7", "½", "你", "'", "'s", ".", ",", "(", "#", "_", "$", "\u0301", "\U0001f600", "\n", "\t", "\u2003"]
+COUNT, DECIMALS, BYTES = itemgetter(0), itemgetter(1), itemgetter(2)
 #: A vocabulary beyond this many bytes is not sent to the executors.
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -58,6 +63,8 @@ class BytePairCodec:
                 self.rank[token] = int(rank)
                 self.token_bytes[int(rank)] = token
         self.split = regex.compile(pattern).findall
+        if blank_cuts and any(re.search(r"\S ", p) for a in PROBES for b in PROBES for p in self.split(f"{a} {b}")):
+            raise ValueError("the pattern joins a blank to what stands before it")
         self.halves = {r: self._last_merge(b, r) for b, r in self.rank.items() if len(b) > 1}
         self.joined = {pair: r for r, pair in self.halves.items() if pair}
         places = max(self.token_bytes, default=-1) + 1
@@ -68,8 +75,8 @@ class BytePairCodec:
         self.automaton.make_automaton()
         self.size = [len(self.token_bytes.get(r, b"")) for r in range(places)]
         self.pairs: dict[int, bool] = {}
-        self.memo = _Memo(self._encode_after_blank)
-        self.piece_memo = _Memo(self._encode_piece)
+        self.memo = _Memo(self._entry_after_blank, MEMO_ENTRIES)
+        self.piece_memo = _Memo(self._encode_piece, PIECE_ENTRIES)
         self.decimal = {r: str(r) for r in self.token_bytes}
 
     def _last_merge(self, token: bytes, below: int) -> tuple[int, int] | None:
@@ -172,41 +179,58 @@ class BytePairCodec:
             return self.piece_memo[pieces[0]]
         return tuple(chain.from_iterable(map(self.piece_memo.__getitem__, pieces)))
 
-    def _encode_after_blank(self, chunk: str) -> tuple[int, ...]:
-        return self._encode_text(" " + chunk)
+    def _entry(self, text: str) -> tuple[int, bytes, bytes]:
+        """The number of tokens, their ids in decimals, and the bytes that they decode to."""
+        ids = self._encode_text(text)
+        return len(ids), ",".join(map(self.decimal.__getitem__, ids)).encode(), self.decode(ids)
 
-    def encode(self, text: str) -> list[int]:
-        self.memo.turn()
-        self.piece_memo.turn()
+    def _entry_after_blank(self, chunk: str) -> tuple[int, bytes, bytes]:
+        return self._entry(" " + chunk)
+
+    def _chunks(self, text: str) -> tuple[str, list[str]]:
+        """The text up to its first cut, and what stands after each cut's blank."""
         if not self.blank_cuts:
-            return list(self._encode_text(text))
-        if any(s in text for s in BEFORE_BLANK):
+            return text, []
+        if "  " in text or "\n " in text or RARE_BEFORE_BLANK.search(text):
             first, *rest = AFTER_NON_SPACE.split(text)
         else:
             first, *rest = text.split(" ")
+        return first, rest
+
+    def encode(self, text: str) -> list[int]:
+        self.piece_memo.turn()
+        first, rest = self._chunks(text)
         ids = list(self._encode_text(first))
-        ids.extend(chain.from_iterable(map(self.memo.__getitem__, rest)))
+        for chunk in rest:
+            ids.extend(self._encode_text(" " + chunk))
         return ids
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: list[int] | tuple[int, ...]) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))
 
-    def digest(self, ids: list[int]) -> str:
-        return hashlib.sha256(",".join(map(self.decimal.__getitem__, ids)).encode()).hexdigest()
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """The number of tokens, and the SHA-256 of their ids in decimals and of the decoded bytes."""
+        self.memo.turn()
+        self.piece_memo.turn()
+        first, rest = self._chunks(text)
+        entries = [self._entry(first)] if first else []
+        entries += map(self.memo.__getitem__, rest)
+        ids, decoded = b",".join(map(DECIMALS, entries)), b"".join(map(BYTES, entries))
+        return sum(map(COUNT, entries)), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
 class _Memo(dict):
-    """Token ids by piece, in two generations: what is in use survives a full memo.
+    """What a piece is encoded to, in two generations: what is in use survives a full memo.
 
     Long ones pass through unkept.
     """
 
-    def __init__(self, encode: Callable[[str], tuple[int, ...]]):
+    def __init__(self, encode: Callable[[str], tuple], entries: int):
         super().__init__()
-        self.encode_piece = encode
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.encode_piece, self.entries = encode, entries
+        self.older: dict[str, tuple] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> tuple:
         ids = self.older.get(piece)
         if ids is None:
             ids = self.encode_piece(piece)
@@ -215,7 +239,7 @@ class _Memo(dict):
         return ids
 
     def turn(self) -> None:
-        if len(self) > MEMO_ENTRIES:
+        if len(self) > self.entries:
             self.older = dict(self)
             self.clear()
 
@@ -269,14 +293,12 @@ def bpe_encode(
             out: dict[str, list] = {f.name: [] for f in schema}
             out["doc_id"] = batch.column(0).to_pylist()
             for raw in batch.column(1):
-                ids = codec.encode(raw.as_py().decode("utf-8", "replace"))
-                decoded = codec.decode(ids)
-                out["n_tokens"].append(len(ids))
-                out["ids_sha256"].append(codec.digest(ids))
-                out["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
+                text = raw.as_py().decode("utf-8", "replace")
+                for name, value in zip(("n_tokens", "ids_sha256", "decoded_sha256"), codec.digests(text), strict=True):
+                    out[name].append(value)
                 if keep_ids:
-                    out["ids"].append(ids)
-                    out["decoded"].append(decoded)
+                    out["ids"].append(codec.encode(text))
+                    out["decoded"].append(codec.decode(out["ids"][-1]))
             yield record_batch(out, schema)
 
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), utf8(docs["text"]).alias("text"))

@@ -27,14 +27,28 @@ def test_equals_the_library(codec, library):
         ids = codec.encode(t)
         assert ids == library.encode_ordinary(t)
         assert codec.decode(ids) == t.encode()
+        assert codec.digests(t) == digests(library, t)
+
+
+def digests(library, text):
+    ids = library.encode_ordinary(text)
+    return len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_blank_cuts_are_tried(codec):
+    path, pattern = queries.tokenizer_file()
+    with pytest.raises(ValueError, match="blank"):
+        bpe.BytePairCodec(bpe.read_vocabulary(path), r"[a-z]+ ?|[\s\S]", blank_cuts=True)
 
 
 def test_memo_turns_over(codec, library, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 5)
+    monkeypatch.setattr(codec.memo, "entries", 5)
+    monkeypatch.setattr(codec.piece_memo, "entries", 5)
     monkeypatch.setattr(bpe, "PAIR_ENTRIES", 5)
     for i in range(200):
         t = f"word{i} other{i % 7}, thing{i * i}"
         assert codec.encode(t) == library.encode_ordinary(t)
+        assert codec.digests(t) == digests(library, t)
 
 
 def test_operator(spark, library):
