@@ -2,22 +2,30 @@
 
 Two views of a document: its text (words, word beginnings and style) and its
 metadata (source, language, length).  A logistic regression for each view is fitted
-on a bounded sample of labelled documents.  Over some rounds each view labels the
-unlabelled documents of a second bounded sample that it is most sure of, and hands
-them to the other view's training set.  Both views are then calibrated on labelled
-documents held out of training, and a last regression on the two calibrated log
-odds gives the score of every document of the table.
+on a bounded sample of labelled documents.  Over some rounds each view labels those
+of all unlabelled documents of the table that it is most sure of, and hands them to
+the other view's training set.  Both views are then calibrated on labelled documents
+held out of training, and a last regression on the two calibrated log odds gives the
+score of every document of the table.
+
+The text is read once for the labelled sample, which gives the features, and once
+for all documents, whose features are written as a table of short lists.  Rounds and
+scores read that table.  A round's best documents are found by task and then over
+all, so only they come to the driver; fitting is a task of its own.
 
 A document is good if its quality label is 1 and its toxic label is not; several
 labels of one document count as the worst of them; labels with null ids, or null
-in both columns, are left out.
+in both columns, are left out.  Rows of one doc_id with several texts give one
+example, that of the text with the least hash.
 
-Bounds (documented parameters): LABELLED and UNLABELLED documents by the lowest
-hash of their doc_id, FEATURES text features.  All documents are scored.
+Bounds (documented parameters): LABELLED labelled documents by the lowest hash of
+their doc_id, FEATURES text features, HANDED_OVER documents a view, label and round.
+Documents with equal features are one example; of equally sure ones the least hash
+of the features goes first.  All documents are scored.
 
-Null text counts as empty, null metadata as a value of its own.  Repeated rows get
-equal scores.  Without labels of both kinds nothing can be learned: every document
-scores 1 and is kept.  An empty table gives an empty result.
+Null text counts as empty, null or missing metadata as a value of its own.  Repeated
+rows get equal scores.  Without labels of both kinds nothing can be learned: every
+document scores 1 and is kept.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,16 +33,20 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import record_batch, small_batches, utf8
+from .common import cut, in_task, record_batch, small_batches, utf8
 from .quality_rules import char_histogram, repeated_words, shares
 
-LABELLED, UNLABELLED = 8000, 3000
+LABELLED = 8000
 FEATURES = 1500
 #: Documents of the sample that must have a feature.
 LEAST_DOCS = 4
@@ -121,28 +133,24 @@ def _labels(labels: DataFrame) -> DataFrame:
     )
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, low, toxic of the sampled documents (null for unlabelled ones)."""
-    known = _labels(labels)
+def _metadata(docs: DataFrame) -> list[Column]:
+    """raw, source, lang, n_chars; what ``docs`` lacks is null."""
+    kinds = {"source": "string", "lang": "string", "n_chars": "long"}
+    given = [(docs[f"`{c}`"] if c in docs.columns else F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()]
+    return [utf8(docs["text"]).alias("raw"), *given]
+
+
+def _sample(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, raw, source, lang, n_chars, low, toxic of the labelled sample, written once."""
     ids = docs.select(docs["doc_id"].cast("long").alias("doc_id")).filter("doc_id is not null")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    labelled = known.join(ids, "doc_id", "left_semi").orderBy(*order).limit(LABELLED)
-    unlabelled = ids.join(known, "doc_id", "left_anti").distinct().orderBy(*order).limit(UNLABELLED)
-    return labelled.unionByName(unlabelled.select("doc_id", F.lit(None).cast("int").alias("low"), F.lit(None).cast("int").alias("toxic")))
-
-
-def _parts(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"),
-        utf8(docs["text"]).alias("raw"),
-        docs["source"].cast("string").alias("source"),
-        docs["lang"].cast("string").alias("lang"),
-        docs["n_chars"].cast("long").alias("n_chars"),
-    )
+    chosen = known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), *_metadata(docs)).join(F.broadcast(chosen), "doc_id")
+    one = F.min(F.struct(F.xxhash64("raw", "source", "lang", "n_chars"), "raw", "source", "lang", "n_chars", "low", "toxic"))
+    return cut(rows.groupBy("doc_id").agg(one.alias("x")).select("doc_id", *[f"x.{c}" for c in ("raw", "source", "lang", "n_chars", "low", "toxic")]), "sample")
 
 
 def _chosen_features(sampled: DataFrame) -> list[bytes]:
-    """The features of the labelled sample that tell most about either label."""
+    """The features of the sample that tell most about either label."""
     schema = pa.schema([("feature", pa.binary())] + [(n, pa.int64()) for n in ("n", "low", "toxic")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +166,7 @@ def _chosen_features(sampled: DataFrame) -> list[bytes]:
             out = {"feature": keys} | {n: [c[k] for k in keys] for n, c in zip(("n", "low", "toxic"), counts, strict=True)}
             yield record_batch(out, schema)
 
-    labelled = sampled.filter("low is not null").select("raw", "low", "toxic")
+    labelled = sampled.select("raw", "low", "toxic")
     total = labelled.agg(F.count(F.lit(1)), F.sum("low"), F.sum("toxic")).first()
     if not total[0]:
         return []
@@ -182,146 +190,215 @@ def _chosen_features(sampled: DataFrame) -> list[bytes]:
     return list(dict.fromkeys(chosen))
 
 
-def _vectors(sampled: DataFrame, features: list[bytes]) -> list:
-    """low, toxic, text (places of features), style, meta of the sample, in order of doc_id."""
-    sent = sampled.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(features)})
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("low", pa.int32()), ("toxic", pa.int32()), ("text", pa.list_(pa.int32())),
-        ("style", pa.list_(pa.float64())), ("meta", pa.list_(pa.int32())),
-    ])
+class Example(NamedTuple):
+    """Places of text features, style, places of metadata."""
+
+    text: list[int]
+    style: list[float]
+    meta: list[int]
+
+
+VECTOR_SQL = "text array<int>, style array<float>, meta array<int>, mark long"
+_VECTOR = [("text", pa.list_(pa.int32())), ("style", pa.list_(pa.float32())), ("meta", pa.list_(pa.int32())), ("mark", pa.int64())]
+
+
+def _featured(given: DataFrame, features: list[bytes]) -> DataFrame:
+    """``given`` (any columns, last raw, source, lang, n_chars), with the vectors in place of these four."""
+    sent = given.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(features)})
+    schema = given.select(*given.columns[:-4]).schema
+    n = len(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = sent.value
         for batch in batches:
-            out = {c: batch.column(c).to_pylist() for c in ("doc_id", "low", "toxic")} | {"text": [], "style": [], "meta": []}
-            columns = [batch.column(c).to_pylist() for c in ("raw", "source", "lang", "n_chars")]
-            for raw, source, lang, n_chars in zip(*columns, strict=True):
+            out: dict[str, list] = {f: [] for f, _ in _VECTOR}
+            for raw, source, lang, n_chars in zip(*[batch.column(n + i).to_pylist() for i in range(4)], strict=True):
                 lowered = raw.lower().split()
-                out["text"].append(sorted(place[f] for f in text_features(lowered) if f in place))
-                out["style"].append(style_features(raw, lowered))
-                out["meta"].append(meta_features(source, lang, n_chars))
-            yield record_batch(out, schema)
+                text = sorted(place[f] for f in text_features(lowered) if f in place)
+                style = np.array(style_features(raw, lowered), dtype=np.float32)
+                meta = meta_features(source, lang, n_chars)
+                mark = xxhash.xxh64_intdigest(np.array(text + meta, dtype=np.int32).tobytes() + style.tobytes()) >> 1
+                for f, value in zip(out, (text, style, meta, mark), strict=True):
+                    out[f].append(value)
+            arrays = [pa.array(out[f], type=kind) for f, kind in _VECTOR]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(n)], *arrays], names=[*schema.names, *out])
+
+    ints, floats = T.ArrayType(T.IntegerType()), T.ArrayType(T.FloatType())
+    more = [("text", ints), ("style", floats), ("meta", ints), ("mark", T.LongType())]
+    return given.mapInArrow(run, T.StructType([*schema.fields, *[T.StructField(name, kind) for name, kind in more]]))
 
-    sql = "doc_id long, low int, toxic int, text array<int>, style array<double>, meta array<int>"
-    rows = sampled.mapInArrow(run, sql).collect()
-    return sorted(rows, key=lambda r: (r["doc_id"], r["text"], r["style"]))
 
+def _sums(weights: np.ndarray, lists: pa.ListArray) -> np.ndarray:
+    """The sum of the weights at the places of each list."""
+    offsets = lists.offsets.to_numpy()
+    places = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+    rows = np.repeat(np.arange(len(lists)), np.diff(offsets))
+    return np.bincount(rows, weights=weights[places], minlength=len(lists))
 
+
+@dataclass
 class CoTrained:
     """Both views, their calibrations and the regression that joins them."""
 
-    def __init__(self, features: list[bytes]):
-        self.place = {f: i for i, f in enumerate(features)}
-
-    def _content(self, rows: list) -> np.ndarray:
-        x = np.zeros((len(rows), len(self.place) + STYLE), dtype=np.float32)
+    mean: np.ndarray
+    spread: np.ndarray
+    models: list[Logistic]
+    scale: list[Logistic]
+    joint: Logistic
+
+    def view_odds(self, batch: pa.RecordBatch) -> list[np.ndarray]:
+        """Log odds of the text and of the metadata; columns text, style, meta."""
+        text, meta = self.models
+        n = batch.num_rows
+        style = batch.column("style").flatten().to_numpy(zero_copy_only=False).reshape(n, STYLE)
+        known = len(text.w) - STYLE
+        content = _sums(text.w[:known], batch.column("text")) if known else np.zeros(n)
+        content = content + ((style - self.mean) / self.spread) @ text.w[known:].astype(float) + text.b
+        return [content, _sums(meta.w, batch.column("meta")) + meta.b]
+
+    def joined(self, odds: list[np.ndarray]) -> np.ndarray:
+        calibrated = [s.log_odds(o[:, None] / 10) for s, o in zip(self.scale, odds, strict=True)]
+        return _sigmoid(self.joint.log_odds(np.stack(calibrated, 1)))
+
+
+def fit(n_features: int, labelled: list[Example], y: np.ndarray, handed: list[list[tuple[Example, int]]]) -> CoTrained:
+    """``handed``: pseudo-labelled examples for the view of the text and that of the metadata."""
+    style = np.array([r.style for r in labelled])
+    mean, spread = style.mean(0), style.std(0) + 1e-3
+
+    def content(rows: list[Example]) -> np.ndarray:
+        x = np.zeros((len(rows), n_features + STYLE), dtype=np.float32)
         for i, r in enumerate(rows):
-            x[i, r["text"]] = 1
-            x[i, len(self.place) :] = (np.array(r["style"]) - self.mean) / self.spread
+            x[i, r.text] = 1
+            x[i, n_features:] = (np.array(r.style) - mean) / spread
         return x
 
-    @staticmethod
-    def _meta(rows: list) -> np.ndarray:
+    def metadata(rows: list[Example]) -> np.ndarray:
         x = np.zeros((len(rows), META), dtype=np.float32)
         for i, r in enumerate(rows):
-            x[i, r["meta"]] = 1
+            np.add.at(x[i], r.meta, 1)
         return x
 
-    def fit(self, labelled: list, unlabelled: list) -> CoTrained:
-        y = np.array([int(not r["low"] and not r["toxic"]) for r in labelled])
-        style = np.array([r["style"] for r in labelled])
-        self.mean, self.spread = style.mean(0), style.std(0) + 1e-3
-        held = np.arange(len(labelled)) % 4 == 0
-        if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
-            held = np.zeros(len(labelled), dtype=bool)
-        views = (self._content, self._meta)
-        known = [f(labelled) for f in views]
-        pool = [f(unlabelled) for f in views] if unlabelled else None
-        train = [(k[~held], y[~held]) for k in known]
-        open_ = np.ones(len(unlabelled), dtype=bool)
-        models = [Logistic().fit(*t) for t in train]
-        for _ in range(ROUNDS if unlabelled else 0):
-            handed = []
-            for k, model in enumerate(models):
-                p = _sigmoid(model.log_odds(pool[k]))
-                for label, sure in ((1, p), (0, 1 - p)):
-                    best = np.argsort(-np.where(open_, sure, -1), kind="stable")[:HANDED_OVER]
-                    best = best[open_[best] & (sure[best] >= SURE)]
-                    handed.append((1 - k, best, label))
-            for other, rows, label in handed:
-                rows = rows[open_[rows]]
-                open_[rows] = False
-                x, old = train[other]
-                train[other] = (np.vstack([x, pool[other][rows]]), np.append(old, np.full(len(rows), label)))
-            models = [Logistic().fit(*t) for t in train]
-        self.models = models
-        test = held if held.any() else ~held
-        odds = [m.log_odds(k[test]) for m, k in zip(models, known, strict=True)]
-        # Calibration maps each view's log odds to those of the held-out labels.
-        self.scale = [Logistic(1e-3).fit(o[:, None].astype(np.float32) / 10, y[test]) for o in odds]
-        joint = np.stack([s.log_odds(o[:, None] / 10) for s, o in zip(self.scale, odds, strict=True)], 1)
-        self.joint = Logistic(1e-3).fit(joint.astype(np.float32), y[test])
-        return self
-
-    def scores(self, rows: list) -> np.ndarray:
-        views = (self._content(rows), self._meta(rows))
-        odds = [s.log_odds(m.log_odds(x)[:, None] / 10) for s, m, x in zip(self.scale, self.models, views, strict=True)]
-        return _sigmoid(self.joint.log_odds(np.stack(odds, 1)))
-
+    held = np.arange(len(labelled)) % 4 == 0
+    if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
+        held = np.zeros(len(labelled), dtype=bool)
+    test = held if held.any() else ~held
+    models, odds = [], []
+    for make, more in zip((content, metadata), handed, strict=True):
+        x = make(labelled)
+        added = make([e for e, _ in more])
+        models.append(Logistic().fit(np.vstack([x[~held], added]), np.append(y[~held], [label for _, label in more])))
+        odds.append(models[-1].log_odds(x[test]))
+    # Calibration maps each view's log odds to those of the held-out labels.
+    scale = [Logistic(1e-3).fit(o[:, None].astype(np.float32) / 10, y[test]) for o in odds]
+    joint = np.stack([s.log_odds(o[:, None] / 10) for s, o in zip(scale, odds, strict=True)], 1)
+    return CoTrained(mean, spread, models, scale, Logistic(1e-3).fit(joint.astype(np.float32), y[test]))
+
+
+def surest(pool: DataFrame, model: CoTrained, done: set[int]) -> list[tuple[int, int, int, Example]]:
+    """view, label, mark, example: those of all rows of ``pool`` that a view is most sure of.
+
+    ``pool``: text, style, meta, mark.  ``done``: marks that are not asked for again.
+    """
+    sent = pool.sparkSession.sparkContext.broadcast((model, done))
+    schema = pa.schema([("view", pa.int32()), ("label", pa.int32()), ("sure", pa.float64()), *_VECTOR])
 
-def train(docs: DataFrame, labels: DataFrame) -> CoTrained | None:
-    small_batches(docs.sparkSession)
-    # The sample has at most LABELLED + UNLABELLED rows of three numbers.
-    sampled = _parts(docs).join(F.broadcast(_sample(docs, labels)), "doc_id")
-    rows = _vectors(sampled, features := _chosen_features(sampled))
-    labelled = [r for r in rows if r["low"] is not None]
-    if len({bool(r["low"] or r["toxic"]) for r in labelled}) < 2:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted, left_out = sent.value
+        best: dict[tuple[int, int], dict[int, tuple[float, Example]]] = {(v, k): {} for v in (0, 1) for k in (0, 1)}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = batch.column("mark").to_numpy()
+            for view, odds in enumerate(fitted.view_odds(batch)):
+                for label in (0, 1):
+                    sure = _sigmoid(odds if label else -odds)
+                    held = best[view, label]
+                    least = min(x[0] for x in held.values()) if len(held) >= HANDED_OVER else SURE
+                    at = np.flatnonzero(sure >= max(SURE, least))
+                    order = at[np.lexsort((marks[at], -sure[at]))]
+                    taken = 0
+                    for i in order.tolist():
+                        mark = int(marks[i])
+                        if mark in left_out or mark in held:
+                            continue
+                        held[mark] = (float(sure[i]), Example(*[batch.column(c)[i].as_py() for c in ("text", "style", "meta")]))
+                        taken += 1
+                        if taken >= HANDED_OVER:
+                            break
+                    if len(held) > HANDED_OVER:
+                        kept = sorted(held, key=lambda m: (-held[m][0], m))[:HANDED_OVER]
+                        best[view, label] = {m: held[m] for m in kept}
+        out: dict[str, list] = {f.name: [] for f in schema}
+        for (view, label), held in best.items():
+            for mark, (sure, example) in held.items():
+                for name, value in zip(out, (view, label, sure, *example, mark), strict=True):
+                    out[name].append(value)
+        yield record_batch(out, schema)
+
+    found = pool.select("text", "style", "meta", "mark").mapInArrow(run, "view int, label int, sure double, " + VECTOR_SQL)
+    order = Window.partitionBy("view", "label").orderBy(F.desc("sure"), "mark")
+    best = found.dropDuplicates(["view", "label", "mark"]).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= HANDED_OVER)
+    rows = best.select("view", "label", "mark", "place", "text", "style", "meta").collect()
+    return [(r["view"], r["label"], r["mark"], Example(r["text"], r["style"], r["meta"])) for r in sorted(rows, key=lambda r: (r["view"], r["label"], r["place"]))]
+
+
+def train(known: DataFrame, sampled: DataFrame, features: list[bytes], table: DataFrame) -> CoTrained | None:
+    """``table``: doc_id and the vectors of all documents; ``known``: the labels by document."""
+    spark = table.sparkSession
+    rows = sorted(_featured(sampled.select("doc_id", "low", "toxic", "raw", "source", "lang", "n_chars"), features).collect(), key=lambda r: r["doc_id"])
+    labelled = [Example(r["text"], r["style"], r["meta"]) for r in rows]
+    y = np.array([int(not r["low"] and not r["toxic"]) for r in rows])
+    if len(set(y.tolist())) < 2:
         return None
-    return CoTrained(features).fit(labelled, [r for r in rows if r["low"] is None])
-
-
-def classify(docs: DataFrame, labels: DataFrame, keep_columns: bool = False) -> DataFrame:
-    """doc_id, score (chance of a good document), kept: a row per row of ``docs``.
-
-    With ``keep_columns`` all columns of ``docs``, and __score.
-    """
+    pool = cut(table.select("doc_id", "text", "style", "meta", "mark").join(known.select("doc_id"), "doc_id", "left_anti").drop("doc_id"), "pool")
+    handed: list[list[tuple[Example, int]]] = [[], []]
+    done: set[int] = set()
+    model = in_task(spark, fit, len(features), labelled, y, handed)
+    for _ in range(ROUNDS):
+        found = surest(pool, model, done)
+        if not found:
+            break
+        for view, label, mark, example in found:
+            if mark not in done:
+                done.add(mark)
+                handed[1 - view].append((example, label))
+        model = in_task(spark, fit, len(features), labelled, y, handed)
+    return model
+
+
+def _scored(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
+    """row (a struct of these columns of ``docs``), score."""
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(train(docs, labels))
-    kept = docs.columns if keep_columns else ["doc_id"]
-    names = [f"c{i}" for i in range(len(kept))]
-    plain = [docs[f"`{c}`"].alias(a) for c, a in zip(kept, names, strict=True)]
-    given = docs.select(
-        *plain,
-        utf8(docs["text"]).alias("raw"),
-        docs["source"].cast("string").alias("source"),
-        docs["lang"].cast("string").alias("lang"),
-        docs["n_chars"].cast("long").alias("n_chars"),
-    )
+    small_batches(spark)
+    known = _labels(labels)
+    sampled = _sample(docs, known)
+    features = _chosen_features(sampled)
+    names = [f"c{i}" for i in range(len(columns))]
+    plain = [docs[f"`{c}`"].alias(a) for c, a in zip(columns, names, strict=True)]
+    given = docs.select(*plain, docs["doc_id"].cast("long").alias("doc_id"), *_metadata(docs))
+    # Written once: rounds and scores read lists of numbers, not texts.
+    table = cut(_featured(given, features), "features")
+    model = spark.sparkContext.broadcast(train(known, sampled, features, table))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = model.value
         for batch in batches:
             scores = np.ones(batch.num_rows)
-            if fitted is not None:
-                columns = [batch.column(c).to_pylist() for c in ("raw", "source", "lang", "n_chars")]
-                rows = []
-                for raw, source, lang, n_chars in zip(*columns, strict=True):
-                    lowered = raw.lower().split()
-                    found = [fitted.place[f] for f in text_features(lowered) if f in fitted.place]
-                    rows.append({"text": found, "style": style_features(raw, lowered), "meta": meta_features(source, lang, n_chars)})
-                if rows:
-                    scores = fitted.scores(rows)
-            columns = [batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores.astype(float))], names=[*names, "score"])
-
-    schema = given.select(*names).schema.add("score", "double")
-    done = given.mapInArrow(run, schema).select(*[F.col(a).alias(c) for a, c in zip(names, kept, strict=True)], F.col("score").alias("__score"))
-    if keep_columns:
-        return done
-    return done.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__score").alias("score"), (F.col("__score") >= KEEP_FROM).alias("kept"))
+            if model.value is not None and batch.num_rows:
+                scores = model.value.joined(model.value.view_odds(batch)).astype(float)
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(names))], pa.array(scores)], names=[*names, "score"])
+
+    schema = table.select(*names).schema.add("score", "double")
+    row = F.struct(*[F.col(a).alias(c) for a, c in zip(names, columns, strict=True)])
+    return table.select(*names, "text", "style", "meta").mapInArrow(run, schema).select(row.alias("row"), "score")
+
+
+def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, score (chance of a good document), kept: a row per row of ``docs``."""
+    scored = _scored(docs, labels, ["doc_id"])
+    return scored.select(F.col("row.doc_id").cast("long").alias("doc_id"), "score", (F.col("score") >= KEEP_FROM).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that the classifier does not reject."""
-    scored = classify(docs, labels, keep_columns=True)
-    return scored.filter(F.col("__score") >= KEEP_FROM).drop("__score")
+    return _scored(docs, labels, docs.columns).filter(F.col("score") >= KEEP_FROM).select("row.*")

@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
+from pyspark.serializers import CPickleSerializer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,6 +96,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(value))
 
 
+def in_task(spark: SparkSession, make: Callable[..., Any], *args: Any) -> Any:
+    """``make(*args)`` as a task of its own: it runs again if its executor is lost."""
+    sent = spark.sparkContext.broadcast(args)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            made = CPickleSerializer().dumps(make(*sent.value))
+            yield pa.RecordBatch.from_arrays([pa.array([made], type=pa.binary())], names=["made"])
+
+    row = spark.range(0, 1, 1, 1).mapInArrow(run, "made binary").first()
+    return CPickleSerializer().loads(bytes(row["made"]))
+
+
 def utf8(column: str | Column) -> Column:
     """The UTF-8 bytes of a text; null counts as empty."""
     column = F.col(column) if isinstance(column, str) else column
