@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from skeinwork.llm import license_scan as ls
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -24,7 +26,7 @@ def make():
     rng = random.Random(5)
     texts = ["Under the MIT license", "cc-by/NC", "cc by nc cc by nc 4", "Apache License, Version 2.0!", "the mit", "Kby nc", "éunder the mit license", "foo", "bar,", "\n"]
     docs = [(i, " ".join(rng.choice(texts) for _ in range(rng.randrange(9)))) for i in range(150)]
-    gpl = ls.TEMPLATES[3][1]
+    gpl = next(body for label, body in ls.TEMPLATES if label == "gpl-3")
     edited = gpl.replace("redistribute it", "freely redistribute it").replace("published by", "was published once by")
     docs += [(500, None), (501, ""), (502, "..."), (503, "Some text. " + edited.upper() + " More."), (504, gpl[: len(gpl) // 4]), (None, "cc by nc"), (3, docs[3][1]), (3, docs[3][1]), (505, "by " * 30000 + "nc")]
     return docs
@@ -42,3 +44,21 @@ def test_base_matches_brute_force_and_method_adds(spark):
     assert by_id[504].labels == "" and by_id[504].score == 0
     assert all(set(r.base_labels.split(",")) <= set(r.labels.split(",")) or not r.base_labels for r in rows)
     assert ls.license_scan(frame.limit(0), templates).collect() == []
+
+
+def test_order_and_partitions_do_not_matter(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    templates = spark.createDataFrame(ls.TEMPLATES, "label string, body string")
+    once = sorted(map(str, ls.license_scan(docs, templates).collect()))
+    assert once == sorted(map(str, ls.license_scan(docs.repartition(7), templates).collect()))
+    assert any("apache" in r for r in once)
+
+
+def test_many_and_short_templates(spark, monkeypatch):
+    frame = spark.createDataFrame(make(), "doc_id long, text string")
+    templates = spark.createDataFrame(ls.TEMPLATES, "label string, body string")
+    once = sorted(map(str, ls.license_scan(frame, templates).collect()))
+    monkeypatch.setattr(ls, "BROADCAST_GRAMS", 3)
+    assert once == sorted(map(str, ls.license_scan(frame, templates).collect()))
+    with pytest.raises(ValueError, match="fewer"):
+        ls.license_scan(frame, spark.createDataFrame([("mit", "mit license")], "label string, body string"))
