@@ -1,17 +1,23 @@
-"""Language-model scoring with a log-bilinear model (operator 10).
-
-Counts of all training tokens give the base score.  The model predicts the class
-of a token from the classes of the two tokens before it: the most frequent words
-and the end are classes of their own, all other words share one, within which the
-smoothed counts tell them apart.  The log-bilinear net is trained in numpy with
-noise-contrastive estimation.  Its data are the counts of all class triples of the
-whole training part, of which there are at most ``CLASSES`` cubed, whatever the
-size of the corpus.  Batched matrix products over the contexts then give log
-probabilities normalised over all classes, which documents look up.
+"""Language-model scoring with a class-based log-bilinear model (operator 10).
+
+Counts of all training tokens give the base score.  The model predicts a token from
+the two tokens before it in two levels: its class by a log-bilinear net, and the
+token within its class by smoothed counts.  The most frequent words and the end are
+classes of their own.  Some ten thousands of further words are clustered by the
+words that stand beside them: their counts next to each of the most frequent words,
+on either side, over the whole training part.  All other words share one class, in
+which unknown words have the share of one unseen word.
+
+The net is trained in numpy with noise-contrastive estimation.  Its data are the
+counts of all class triples of the whole training part, of which there are at most
+``CLASSES`` cubed; the more different ones the corpus has, the more steps are made.
+Batched matrix products over the contexts then give log probabilities normalised
+over all classes, which documents look up.
 
 A bounded list of the most frequent words is sent to the executors, and settles
-most tokens where the text is read.  Only (document, word) rows of the other words
-go through a join with the table of counts; those are rare, so no key is hot.
+most tokens where the text is read.  Other words go through a join with the table of
+counts as (document, word) rows; a frequent word that is too long to be sent makes
+at most one row a document there, and that join can be split where it is hot.
 
 Null text has the end token only.  A null doc_id counts as training (remainder 0).
 Repeated rows are counted and scored as often as they come.  An empty table gives
@@ -30,18 +36,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, record_batch, small_batches, utf8
+from .common import cut, in_task, record_batch, small_batches, utf8
 
 FOLDS, HELD_OUT = 7, 2
-#: Classes: frequent words, then the end, other words, and the start (context only).
-CLASSES = 64
+#: Classes: frequent words, clusters of words, then the end, other words, and the start
+#: (context only).
+CLASSES, SINGLES = 96, 45
 END, OTHER, START = CLASSES - 3, CLASSES - 2, CLASSES - 1
+#: Words that are put in classes, and frequent words beside which they are counted.
+CLASSED_WORDS, BESIDE = 30_000, 32
 #: Words that are sent to the executors with their counts, of at most so many bytes.
 SENT_WORDS, SENT_BYTES = 150_000, 48
 #: Distinct words that a task counts before it passes them on.
 TASK_WORDS = 300_000
 #: Training of the net.
-DIMENSIONS, STEPS, BATCH, NOISE, RATE, SEED = 24, 600, 2048, 64, 0.15, 7
+DIMENSIONS, BATCH, NOISE, RATE, SEED = 24, 2048, 64, 0.15, 7
+#: Draws for each different triple, and clustering rounds.
+PASSES, ROUNDS = 6, 15
 
 
 def _tokens(raw: bytes) -> list[bytes]:
@@ -108,17 +119,16 @@ def triple_codes(ids: np.ndarray) -> np.ndarray:
     return (ids[:-2] * CLASSES + ids[1:-1]) * CLASSES + ids[2:]
 
 
-def triple_counts(training: DataFrame, classes: dict[bytes, int]) -> np.ndarray:
-    """How often each class follows each pair of classes: CLASSES cubed counts."""
-    sent = training.sparkSession.sparkContext.broadcast(classes)
-    schema = pa.schema([("code", pa.int64()), ("n", pa.int64())])
-    cells = CLASSES**3
+def _cell_counts(training: DataFrame, shared: object, cells: int, codes_of) -> np.ndarray:  # noqa: ANN001
+    """How often each code from 0 to ``cells`` comes out of ``codes_of(tokens, shared)``."""
+    sent = training.sparkSession.sparkContext.broadcast(shared)
+    schema = pa.schema([("code", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, dtype=np.int64)
         for batch in batches:
             for raw in batch.column(0):
-                codes = triple_codes(class_ids(_tokens(raw.as_py()), sent.value))
+                codes = codes_of(_tokens(raw.as_py()), sent.value)
                 if len(codes) > cells // 8:
                     total += np.bincount(codes, minlength=cells)
                 else:
@@ -126,13 +136,68 @@ def triple_counts(training: DataFrame, classes: dict[bytes, int]) -> np.ndarray:
         code = np.nonzero(total)[0]
         for i in range(0, len(code), 50_000):
             part = code[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], schema=schema)
 
-    found = training.select("raw").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    found = training.select("raw").mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(cells)
-    for row in found.collect():
-        out[row[0]] = row[1]
-    return out.reshape(CLASSES, CLASSES, CLASSES)
+    out[found.column("code").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def beside_codes(tokens: list[bytes], places: dict[bytes, int]) -> np.ndarray:
+    """Codes (word, side, frequent word) of the words with a place next to one of the first ``BESIDE``."""
+    at = np.fromiter(map(places.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
+    out = []
+    for side, words, others in ((0, at[1:], at[:-1]), (1, at[:-1], at[1:])):
+        on = (words >= 0) & (others >= 0) & (others < BESIDE)
+        out.append((words[on] * 2 + side) * BESIDE + others[on])
+    return np.concatenate(out)
+
+
+def clustered(counts: np.ndarray, weights: np.ndarray, clusters: int) -> np.ndarray:
+    """A cluster for each row of ``counts``, by k-means over the roots of the rows' shares."""
+    # A little of the mean row draws words without much evidence to the middle.
+    mean = counts.sum(0) / max(1.0, counts.sum())
+    smooth = counts + 2.0 * mean
+    x = np.sqrt(smooth / np.maximum(smooth.sum(1, keepdims=True), 1e-12))
+    weights = weights / weights.sum()
+    rng = np.random.default_rng(SEED)
+    centres = x[[int(rng.choice(len(x), p=weights))]]
+    gap = np.full(len(x), np.inf)
+    for _ in range(min(clusters, len(x)) - 1):
+        gap = np.minimum(gap, ((x - centres[-1]) ** 2).sum(1))
+        chance = gap * weights
+        if chance.sum() <= 0:
+            break
+        centres = np.vstack([centres, x[int(rng.choice(len(x), p=chance / chance.sum()))]])
+    for _ in range(ROUNDS):
+        of = np.argmax(x @ centres.T - (centres**2).sum(1) / 2, axis=1)
+        mass = np.bincount(of, weights, minlength=len(centres))
+        moved = np.stack([np.bincount(of, weights * column, minlength=len(centres)) for column in x.T], 1)
+        filled = mass > 0
+        centres[filled] = moved[filled] / mass[filled, None]
+    return of
+
+
+def word_classes(training: DataFrame, words: list[tuple[bytes, int]]) -> dict[bytes, int]:
+    """The class of each word of ``words`` (with counts, most frequent first)."""
+    classes = {w: i for i, (w, _) in enumerate(words[:SINGLES])}
+    rest = words[SINGLES:]
+    if rest:
+        places = {w: i for i, (w, _) in enumerate(words)}
+        cells = _cell_counts(training, places, len(words) * 2 * BESIDE, beside_codes).reshape(len(words), 2 * BESIDE)
+        of = in_task(training.sparkSession, clustered, cells[SINGLES:], np.array([float(n) for _, n in rest]), END - SINGLES)
+        classes |= {w: SINGLES + int(c) for (w, _), c in zip(rest, of, strict=True)}
+    return classes
+
+
+def _triples(tokens: list[bytes], classes: dict[bytes, int]) -> np.ndarray:
+    return triple_codes(class_ids(tokens, classes))
+
+
+def triple_counts(training: DataFrame, classes: dict[bytes, int]) -> np.ndarray:
+    """How often each class follows each pair of classes: CLASSES cubed counts."""
+    return _cell_counts(training, classes, CLASSES**3, _triples).reshape(CLASSES, CLASSES, CLASSES)
 
 
 class LogBilinear:
@@ -149,9 +214,10 @@ class LogBilinear:
     def query(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
         return self.context[before] @ self.place[0] + self.context[last] @ self.place[1]
 
-    def fit(self, counts: np.ndarray, noise: np.ndarray, steps: int = STEPS) -> None:
+    def fit(self, counts: np.ndarray, noise: np.ndarray) -> None:
         """Noise-contrastive estimation with Adagrad over triples drawn by their counts."""
         codes = np.nonzero(counts.ravel())[0]
+        steps = 300 + PASSES * len(codes) // BATCH
         edges = np.cumsum(counts.ravel()[codes])
         names = ("context", "place", "output", "bias")
         squares = {n: np.full_like(getattr(self, n), 1e-4) for n in names}
@@ -183,13 +249,13 @@ class LogBilinear:
                 squares[n] += g * g
                 getattr(self, n).__iadd__(RATE * g / np.sqrt(squares[n]))
 
-    def log_probabilities(self) -> np.ndarray:
-        """Normalised natural logs for all contexts, one batch for each class before."""
+    def log_probabilities(self, possible: np.ndarray) -> np.ndarray:
+        """Natural logs, normalised over the possible classes, for all contexts, one batch for each class before."""
         out = np.empty((CLASSES, CLASSES, CLASSES))
         every = np.arange(CLASSES)
         for before in range(CLASSES):
             s = self.query(np.full(CLASSES, before), every) @ self.output.T + self.bias
-            s[:, START] = -np.inf
+            s[:, ~possible] = -np.inf
             top = s.max(1, keepdims=True)
             out[before] = s - top - np.log(np.exp(s - top).sum(1, keepdims=True))
         return out
@@ -197,25 +263,23 @@ class LogBilinear:
 
 def train(counts: np.ndarray) -> np.ndarray:
     """Log10 probabilities [class before, last class, class] from triple counts."""
-    seen = counts.sum((0, 1)) + 0.5
-    seen[START] = 1e-6
-    unigram = seen / seen.sum()
+    seen = counts.sum((0, 1))
+    possible = seen > 0
+    possible[[END, OTHER]] = True
+    smoothed = np.where(possible, seen + 0.5, 1e-6)
+    unigram = smoothed / smoothed.sum()
     model = LogBilinear(unigram)
     if counts.sum():
         model.fit(counts, unigram)
-    return model.log_probabilities() / math.log(10)
-
+    return model.log_probabilities(possible) / math.log(10)
 
-def train_in_task(spark: SparkSession, counts: np.ndarray) -> np.ndarray:
-    """``train`` as a task of its own: run again if its executor is lost, with one core."""
-    sent = spark.sparkContext.broadcast(counts)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _ in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([train(sent.value).tobytes()], type=pa.binary())], names=["logs"])
 
-    row = spark.range(0, 1, 1, 1).mapInArrow(run, "logs binary").first()
-    return np.frombuffer(bytes(row["logs"])).reshape(counts.shape)
+def _within(classed: list[tuple[bytes, int]], classes: dict[bytes, int]) -> dict[bytes, float]:
+    """Log10 probability of each word within its class, by counts plus one."""
+    totals = np.zeros(CLASSES)
+    for w, c in classed:
+        totals[classes[w]] += c + 1
+    return {w: math.log10((c + 1) / totals[classes[w]]) for w, c in classed}
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
@@ -228,16 +292,15 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     n_all, v_all = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     words = frequent_words(counts)
     end_count = counts.filter(F.octet_length("token") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    first = counts.filter(F.octet_length("token").between(1, SENT_BYTES)).orderBy(F.desc("c"), "token").limit(CLASSES - 3)
-    top = {bytes(r["token"]): r["c"] for r in first.collect()}
-    words |= top
-    classes = {w: i for i, w in enumerate(top)}
-    table = train_in_task(spark, triple_counts(training, classes))
-    other_tokens = n_all - end_count - sum(words[w] for w in classes)
-    other_words = v_all - (end_count > 0) - len(classes)
+    classed = sorted(words.items(), key=lambda x: (-x[1], x[0]))[:CLASSED_WORDS]
+    classes = word_classes(training, classed)
+    logs = in_task(spark, train, triple_counts(training, classes)).astype(np.float32)
+    within = _within(classed, classes)
+    other_tokens = n_all - end_count - sum(c for _, c in classed)
+    other_words = v_all - (end_count > 0) - len(classed)
     base_unit = math.log10(n_all + v_all + 1)
     other_unit = math.log10(other_tokens + other_words + 1)
-    sent = spark.sparkContext.broadcast((words, classes, table.ravel(), end_count))
+    sent = spark.sparkContext.broadcast((words, classes, within, logs.ravel(), end_count))
     fields = {
         "rid": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(),
         "n_other": pa.int64(), "log_sent": pa.float64(), "log_other": pa.float64(), "lm": pa.float64(),
@@ -246,7 +309,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     schema = pa.schema(list(fields.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, class_of, logs, ends = sent.value
+        known, class_of, in_class, logs, ends = sent.value
         log_of = {w: math.log10(c + 1) for w, c in known.items()}
         for batch in batches:
             out: dict[str, list] = {f: [] for f in fields}
@@ -255,7 +318,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
             for raw in batch.column("raw"):
                 tokens = _tokens(raw.as_py())
                 ids = class_ids(tokens, class_of)
-                n_known, in_class, log_sent, log_class = int(ends > 0), 0, math.log10(ends + 1), 0.0
+                n_known, n_classed, log_sent, log_other, log_class = int(ends > 0), 0, math.log10(ends + 1), 0.0, 0.0
                 rare, times = [], []
                 for word, n in Counter(tokens).items():
                     log = log_of.get(word)
@@ -265,15 +328,18 @@ def lm_scores(docs: DataFrame) -> DataFrame:
                         continue
                     n_known += n
                     log_sent += n * log
-                    if word in class_of:
-                        in_class += n
-                        log_class += n * log
+                    inner = in_class.get(word)
+                    if inner is None:
+                        log_other += n * log
+                    else:
+                        n_classed += n
+                        log_class += n * inner
                 out["n_tokens"].append(len(tokens) + 1)
                 out["n_known"].append(n_known)
-                out["n_other"].append(len(tokens) - in_class)
+                out["n_other"].append(len(tokens) - n_classed)
                 out["log_sent"].append(log_sent)
-                out["log_other"].append(log_sent - log_class - math.log10(ends + 1))
-                out["lm"].append(float(logs[triple_codes(ids)].sum()))
+                out["log_other"].append(log_other)
+                out["lm"].append(float(logs[triple_codes(ids)].sum(dtype=np.float64)) + log_class)
                 out["rare"].append(rare)
                 out["times"].append(times)
             yield record_batch(out, schema)

@@ -58,3 +58,52 @@ def test_empty_and_untrained(spark):
     out = [d for d in range(100) if zlib.crc32(str(d).encode()) % 7 == 2][:2]
     rows = lm.lm_scores(spark.createDataFrame([(d, "a b") for d in out], "doc_id long, text string")).collect()
     assert {(r.train_tokens, r.n_known, r.base_score) for r in rows} == {(0, 0, 0.0)}
+
+
+def test_score_matches_brute_force(spark, monkeypatch):
+    """Both levels restated from the net's table, and their probabilities sum to one."""
+    made = {}
+
+    def here(_, make, *args):
+        made[make.__name__] = make(*args)
+        return made[make.__name__]
+
+    word_classes = lm.word_classes
+    monkeypatch.setattr(lm, "in_task", here)
+    monkeypatch.setattr(lm, "word_classes", lambda *a: made.setdefault("classes", word_classes(*a)))
+    monkeypatch.setattr(lm, "CLASSED_WORDS", 120)
+    docs = corpus()
+    rows = lm.lm_scores(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    classes, table = made["classes"], made["train"].astype(np.float32).astype(float)
+    assert len(classes) == 120 and len(set(classes.values())) > lm.SINGLES
+    split = lambda t: [w for w in (t or "").encode().lower().split()]
+    counts = Counter(w for d, t in docs if zlib.crc32(("" if d is None else str(d)).encode()) % 7 != 2 for w in split(t))
+    totals = Counter()
+    for w, c in counts.items():
+        totals[classes.get(w, lm.OTHER)] += c + 1
+
+    def inner(w):
+        c = classes.get(w, lm.OTHER)
+        return (counts[w] + 1) / (totals[c] + (c == lm.OTHER))
+
+    want = []
+    for d, t in docs:
+        ws, total, before = split(t), 0.0, (lm.START, lm.START)
+        for w in [*ws, None]:
+            c = lm.END if w is None else classes.get(w, lm.OTHER)
+            total += table[before[0], before[1], c] + (0 if w is None else math.log10(inner(w)))
+            before = (before[1], c)
+        want.append((str(d), len(ws) + 1, round(total, 3)))
+    assert sorted((str(r.doc_id), r.n_tokens, round(r.score, 3)) for r in rows) == sorted(want)
+    for before in ((lm.START, lm.START), (3, lm.OTHER), (lm.OTHER, 60)):
+        every = sum(10 ** table[before][classes.get(w, lm.OTHER)] * inner(w) for w in counts) + 10 ** table[before][lm.END]
+        unknown = 10 ** table[before][lm.OTHER] / (totals[lm.OTHER] + 1)
+        assert abs(every + unknown - 1) < 1e-4
+
+
+def test_clusters_follow_neighbours():
+    rng = np.random.default_rng(2)
+    kinds = rng.integers(0, 4, 500)
+    counts = rng.poisson(np.eye(4)[kinds].repeat(8, axis=1) * 20 + 0.2).astype(float)
+    of = lm.clustered(counts, np.ones(500), 4)
+    assert len({(a, b) for a, b in zip(kinds.tolist(), of.tolist(), strict=True)}) == 4
