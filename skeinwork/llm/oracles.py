@@ -91,8 +91,11 @@ fits AS (
   SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(verdict, length(rule_host || rule_path)) AS verdict
   FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id
 ),
-keys AS (SELECT page_id, CASE WHEN host <> '' THEN regexp_replace(host, '^(?:www|m)\.', '') || regexp_replace(path, '/+$', '') END AS key FROM parts),
-listed AS (SELECT key FROM keys WHERE key IS NOT NULL GROUP BY key HAVING count(*) >= 2)
+queries AS (SELECT page_id, array_to_string(list_filter(string_split(regexp_extract(rest, '^[^#?]*\?([^#]*)', 1), '&'),
+  lambda q: q <> '' AND NOT regexp_matches(q, '^(?:utm_[^=]*|ref)(?:=|$)')), '&') AS told FROM rests),
+keys AS (SELECT p.page_id, CASE WHEN host <> '' THEN regexp_replace(host, '^(?:www|m)\.', '') || regexp_replace(path, '/+$', '')
+  || CASE WHEN told <> '' THEN '?' || told ELSE '' END END AS key FROM parts p JOIN queries q ON p.page_id = q.page_id),
+listed AS (SELECT DISTINCT key FROM keys WHERE key IS NOT NULL AND page_id % 50 = 0)
 SELECT p.page_id, p.host, p.path, f.rule,
   CASE WHEN f.rule IS NOT NULL THEN f.verdict WHEN l.key IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
 FROM parts p JOIN keys k ON p.page_id = k.page_id LEFT JOIN fits f ON p.page_id = f.page_id LEFT JOIN listed l ON k.key = l.key
@@ -112,7 +115,7 @@ places AS (
   WHERE ws[i + 1:i + len(ps)] = ps
 ),
 base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM places GROUP BY doc_id),
-templates AS (SELECT row_number() OVER () AS template, label, string_split(body, ' ') AS ts
+templates AS (SELECT row_number() OVER () AS template, label, {WORDS.replace("text", "body")} AS ts
   FROM (VALUES {TEMPLATE_ROWS}) AS t(label, body)),
 tgrams AS (SELECT template, label, len(ts) AS n_template, t_at, ts[t_at + 1:t_at + 4] AS gram
   FROM (SELECT template, label, ts, unnest(range(len(ts) - 3)) AS t_at FROM templates)),
@@ -127,10 +130,11 @@ covers AS (
   SELECT m.doc_id, m.template, m.label, m.n_template, a.alignment, min(m.i) AS first, max(m.i) + 3 AS last, list(m.t_at) AS t_ats
   FROM matches m JOIN aligned a ON m.doc_id = a.doc_id AND m.template = a.template AND m.diagonal = a.diagonal
   GROUP BY m.doc_id, m.template, m.label, m.n_template, a.alignment),
-verified AS (
-  SELECT doc_id, label, covered FROM (
+fitting AS (
+  SELECT doc_id, label, covered, max(covered) OVER (PARTITION BY doc_id, first) AS best_first, max(covered) OVER (PARTITION BY doc_id, last) AS best_last FROM (
     SELECT *, len(list_distinct(flatten(list_transform(t_ats, lambda t: range(t, t + 4))))) / n_template AS covered FROM covers)
   WHERE covered >= 0.6 AND last - first + 1 <= 2 * n_template),
+verified AS (SELECT doc_id, label, covered FROM fitting WHERE greatest(best_first, best_last) <= covered),
 named AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels
   FROM (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM verified) GROUP BY doc_id),
 base_named AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT DISTINCT doc_id, label FROM places) GROUP BY doc_id)

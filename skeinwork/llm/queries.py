@@ -53,9 +53,9 @@ URL_RULES = [
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list: urls that several pages share once canonical (mirrors and crawl traps)."""
+    """The list: urls of the pages whose id is divisible by 50, as if these had been reported."""
     pages = table(spark, sf_dir, "pages")
-    return url_filter.url_filter(pages, URL_RULES, url_filter.repeated_urls(pages))
+    return url_filter.url_filter(pages, URL_RULES, pages.filter("page_id % 50 = 0").select("url"))
 
 
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
