@@ -144,54 +144,50 @@ def scan(
     window: int = WINDOW,
     keep_text: bool = True,
 ) -> DataFrame:
-    """``docs`` with a struct column ``hit``: n_words, runs of hit words, items.
+    """row, hit: a struct of the columns of ``docs``, and one of n_words, runs of hit words, items.
 
     All columns of ``docs`` are kept (the text only with ``keep_text``) and travel by
-    place, so their names do no harm; only one named ``hit`` is replaced.
+    place, so their names do no harm.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    out = docs.drop("hit")
+    small_batches(docs.sparkSession)
+    kept = [c for c in docs.columns if keep_text or c != text]
+    names = [f"c{i}" for i in range(len(kept))]
+    plain: list[Column] = [docs[f"`{c}`"].alias(a) for c, a in zip(kept, names, strict=True)]
+    out = docs.select(*plain, utf8(docs[f"`{text}`"]).alias("raw"), F.lit(None).cast(HIT_SQL).alias("hit"))
     n, windows = _blocks(item_windows(benchmark, window))
     for block in range(n):
         rows = windows.filter(F.col("block") == block).select("pattern", "items").collect()
         listed = sorted((r["pattern"], list(r["items"])) for r in rows)
-        out = _scan_block(out, text, listed, keep_text or block < n - 1)
+        out = _scan_block(out, listed, block < n - 1)
         if n > 1:
             out = cut(out, "scan")
-    return out
+    row = F.struct(*[F.col(a).alias(c) for a, c in zip(names, kept, strict=True)])
+    return out.select(row.alias("row"), "hit")
 
 
-def _scan_block(
-    docs: DataFrame, text: str, windows: list[tuple[str, list[str]]], keep_text: bool
-) -> DataFrame:
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(windows)
+def _scan_block(given: DataFrame, windows: list[tuple[str, list[str]]], keep_raw: bool) -> DataFrame:
+    """``given`` (columns by place, raw, hit) with the hits of these windows added."""
+    sent = given.sparkSession.sparkContext.broadcast(windows)
     key = hashlib.sha256(repr(windows).encode()).hexdigest()
-    kept = [c for c in docs.columns if c != "hit" and (keep_text or c != text)]
-    names = [f"c{i}" for i in range(len(kept))]
-    plain: list[Column] = [docs[f"`{c}`"].alias(a) for c, a in zip(kept, names, strict=True)]
-    before = docs["hit"] if "hit" in docs.columns else F.lit(None).cast(HIT_SQL)
-    given = docs.select(*plain, before.alias("hit"), utf8(docs[f"`{text}`"]).alias("raw"))
     hit_type = pa.struct(_HIT_FIELDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanner(key, sent.value)
         for batch in batches:
             hits = []
-            for raw, earlier in zip(batch.column(batch.num_columns - 1), batch.column(batch.num_columns - 2), strict=True):
+            raw_at, hit_at = batch.num_columns - 2, batch.num_columns - 1
+            for raw, earlier in zip(batch.column(raw_at), batch.column(hit_at), strict=True):
                 words = alnum_words(raw.as_py())
                 runs, items = scanner.scan(words)
                 if earlier.is_valid and (old := earlier.as_py()):
                     runs = _join_runs(runs + [(r["first"], r["last"]) for r in old["runs"]])
                     items |= set(old["items"])
                 hits.append({"n_words": len(words), "runs": [{"first": a, "last": b} for a, b in runs], "items": sorted(items)})
-            columns = [batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(hits, type=hit_type)], names=[*names, "hit"])
+            columns = [batch.column(i) for i in range(hit_at if keep_raw else raw_at)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(hits, type=hit_type)], names=schema.names)
 
-    schema = given.drop("raw").schema
-    done = given.mapInArrow(run, schema)
-    return done.select(*[F.col(a).alias(c) for a, c in zip(names, kept, strict=True)], "hit")
+    schema = (given if keep_raw else given.drop("raw")).schema
+    return given.mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -204,7 +200,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     scanned = scan(chosen, benchmark, "text", window, keep_text=False)
     hit_words = F.aggregate("hit.runs", F.lit(0).cast("long"), lambda a, r: a + r["last"] - r["first"] + 1)
     return scanned.select(
-        "doc_id",
+        F.col("row.doc_id").alias("doc_id"),
         F.col("hit.n_words").alias("n_words"),
         hit_words.alias("n_hit"),
         F.size("hit.items").cast("long").alias("n_items"),
@@ -217,4 +213,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns, without a word of any benchmark window."""
     scanned = scan(docs, benchmark, "text", window)
-    return scanned.filter(F.size("hit.runs") == 0).drop("hit")
+    return scanned.filter(F.size("hit.runs") == 0).select("row.*")
