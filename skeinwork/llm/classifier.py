@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import cut, in_task, record_batch, small_batches, utf8
-from .quality_rules import char_histogram, repeated_words, shares
+from .quality_rules import CLASSES, char_histogram, repeated_words, shares
 
 LABELLED = 8000
 FEATURES = 1500
@@ -64,7 +64,7 @@ def text_features(lowered: list[bytes]) -> set[bytes]:
     return {w + b" " for w in words} | {w[:4] for w in words} | {w[:5] for w in words}
 
 
-STYLE = 18
+STYLE = len(CLASSES) + 9
 
 
 def style_features(text: bytes, lowered: list[bytes]) -> list[float]:

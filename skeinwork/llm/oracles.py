@@ -101,7 +101,70 @@ SELECT p.page_id, p.host, p.path, f.rule,
 FROM parts p JOIN keys k ON p.page_id = k.page_id LEFT JOIN fits f ON p.page_id = f.page_id LEFT JOIN listed l ON k.key = l.key
 """
 
-ORACLES |= {"op4_substring_dedup": OP4, "op6_url_filter": OP6}
+OP3 = r"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, lang, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+grams AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
+repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 8)) AS p FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS k FROM grams) WHERE k > 1)
+  GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+counts AS (
+  SELECT w.doc_id, w.lang, w.t, w.ws, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(l.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN lines l ON w.doc_id = l.doc_id LEFT JOIN repeated r ON w.doc_id = r.doc_id),
+classes AS (
+  SELECT doc_id, unnest(range(20)) AS place, unnest([lower, upper, digit, space, newline, point,
+    total - list_sum([lower, upper, digit, space, newline, point, symbol]) - list_sum(scripts), symbol] || scripts) / total AS p
+  FROM (
+    SELECT doc_id, length(t)::DOUBLE AS total,
+      length(t) - length(regexp_replace(t, '[a-z]', '', 'g')) AS lower, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS upper,
+      length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS digit, length(t) - length(regexp_replace(t, '[ \t\r\x0b\x0c]', '', 'g')) AS space,
+      length(t) - length(regexp_replace(t, '\n', '', 'g')) AS newline, length(t) - length(regexp_replace(t, '[.,;:!?''"()-]', '', 'g')) AS point, n_symbols AS symbol,
+      list_transform(['[\x{80}-\x{2FF}]', '[\x{300}-\x{3FF}]', '[\x{400}-\x{53F}]', '[\x{540}-\x{5FF}]', '[\x{600}-\x{7FF}]', '[\x{800}-\x{FFF}]',
+        '[\x{1000}-\x{1FFF}]', '[\x{2000}-\x{2FFF}]', '[\x{3000}-\x{9FFF}]', '[\x{A000}-\x{DFFF}]', '[\x{E000}-\x{FFFF}]', '[\x{10000}-\x{10FFFF}]'],
+        lambda c: length(t) - length(regexp_replace(t, c, '', 'g'))) AS scripts
+    FROM counts WHERE strlen(t) >= 200)),
+words AS (SELECT doc_id, lang, trim(translate(unnest(ws), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.,;:!?''"()-') AS word FROM w),
+sizes AS (SELECT lang, count(*) AS n_docs FROM d WHERE lang IS NOT NULL GROUP BY lang),
+common AS (
+  SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place
+  FROM (SELECT lang, word, count(DISTINCT doc_id) AS n FROM words WHERE word <> '' AND lang IS NOT NULL GROUP BY lang, word) JOIN sizes USING (lang)
+  WHERE n >= 0.1::DOUBLE * n_docs QUALIFY place <= 64),
+judged AS (SELECT doc_id, lang, n_words FROM counts WHERE strlen(t) >= 200 AND n_words >= 100),
+slots AS (SELECT lang, place FROM common UNION ALL SELECT lang, 65 FROM sizes),
+tallies AS (
+  SELECT j.doc_id, l.lang, coalesce(c.place, 65) AS place, count(*) AS n
+  FROM judged j JOIN words x ON x.doc_id = j.doc_id JOIN sizes l ON true LEFT JOIN common c ON c.lang = l.lang AND c.word = x.word
+  GROUP BY j.doc_id, l.lang, coalesce(c.place, 65)),
+numbers AS (SELECT lang, count(*) AS n FROM judged WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) >= 20),
+word_refs AS (SELECT s.lang, s.place, coalesce(sum(t.n / j.n_words::DOUBLE), 0) / any_value(m.n) AS q
+  FROM slots s JOIN numbers m ON s.lang = m.lang JOIN judged j ON j.lang = s.lang
+  LEFT JOIN tallies t ON t.doc_id = j.doc_id AND t.lang = s.lang AND t.place = s.place GROUP BY s.lang, s.place),
+char_refs AS (SELECT j.lang, c.place, sum(c.p) / any_value(m.n) AS q FROM judged j JOIN numbers m ON j.lang = m.lang JOIN classes c ON c.doc_id = j.doc_id GROUP BY j.lang, c.place),
+held AS (
+  SELECT d.doc_id, m.lang FROM d JOIN numbers m ON m.lang = d.lang
+  UNION ALL
+  SELECT d.doc_id, m.lang FROM d JOIN (SELECT lang FROM numbers ORDER BY n DESC, lang LIMIT 20) m ON true WHERE d.lang IS NULL OR d.lang NOT IN (SELECT lang FROM numbers)),
+pairs AS (
+  SELECT 'char' AS kind, h.doc_id, h.lang, c.p, q.q FROM held h JOIN classes c ON c.doc_id = h.doc_id JOIN char_refs q ON q.lang = h.lang AND q.place = c.place
+  UNION ALL
+  SELECT 'word', h.doc_id, h.lang, coalesce(t.n, 0) / c.n_words::DOUBLE, q.q
+  FROM held h JOIN counts c ON c.doc_id = h.doc_id JOIN word_refs q ON q.lang = h.lang LEFT JOIN tallies t ON t.doc_id = h.doc_id AND t.lang = h.lang AND t.place = q.place
+  WHERE c.n_words >= 100 AND strlen(c.t) >= 200),
+gaps AS (
+  SELECT kind, doc_id, lang, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS gap
+  FROM pairs GROUP BY kind, doc_id, lang),
+far AS (SELECT doc_id FROM (SELECT kind, doc_id, min(gap) AS gap FROM gaps GROUP BY kind, doc_id) WHERE gap > CASE kind WHEN 'char' THEN 0.34 ELSE 0.40 END GROUP BY doc_id),
+failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts)
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND far.doc_id IS NULL AS kept
+FROM failed f LEFT JOIN far ON far.doc_id = f.doc_id
+"""
+
+ORACLES |= {"op3_quality_rules": OP3, "op4_substring_dedup": OP4, "op6_url_filter": OP6}
 
 TEMPLATE_ROWS = ", ".join(f"('{label}', '{body}')" for label, body in TEMPLATES)
 

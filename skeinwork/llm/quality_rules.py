@@ -7,11 +7,14 @@ other words.  A document is rejected where a Jensen-Shannon distance (the root o
 the divergence to base 2, from 0 to 1) exceeds its limit.  Short documents have
 ragged histograms, so each comparison has a length below which it is not made.
 
-The references are the corpus' own: the mean of the shares over all documents of
-the language, each weighing the same, so neither one long document nor junk of
-great length bends them.  They come from one aggregation over the whole table and
-hold a few dozen numbers a language.  Languages with few documents, and null,
-are judged by the nearest reference of all.
+The references are the corpus' own.  A language's common words are those that the
+largest shares of all its documents hold, counted over the whole table.  Its shares
+are the means over all its documents that are long enough to be judged, each weighing
+the same, so neither one long document nor junk of great length bends them.  Both
+are kept in a table by language, which meets the documents in a join, however many
+languages there are.  Documents without a language, or of one with fewer than
+``REFERENCE_MIN_DOCS`` judged documents, are held against the references of the
+``WIDESPREAD`` largest languages, of which the nearest counts.
 
 Null text: no words; base_failed is true as n_words is below 20.  Repeated rows
 are judged each for itself.  An empty table gives an empty result.
@@ -24,40 +27,43 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import record_batch, small_batches, utf8
+from .common import cut, record_batch, small_batches, utf8
 
 WINDOW, MIN_WORDS, REPEATED_PERCENT = 8, 20, 30
 #: Limits of the distances and the sizes from which they are judged.
-CHAR_LIMIT, CHAR_MIN = 0.30, 200
-WORD_LIMIT, WORD_MIN = 0.45, 100
-#: Fewer documents of a language make no reference of their own.
+CHAR_LIMIT, CHAR_MIN = 0.34, 200
+WORD_LIMIT, WORD_MIN = 0.40, 100
+#: Fewer judged documents of a language make no reference of their own.
 REFERENCE_MIN_DOCS = 20
-#: At most so many languages, by their number of documents, have a reference.
-MAX_LANGUAGES = 500
+#: Common words: so many at most for each language, each in this share of its documents.
+COMMON_WORDS, COMMON_SHARE = 64, 0.1
+#: Languages whose references stand for those that have none.
+WIDESPREAD = 20
+#: Distinct words that a task counts before it passes them on.
+TASK_WORDS = 300_000
 
 SPACE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
 CONTINUATION = bytes(range(0x80, 0xC0))
 
-#: Frequent function words of four languages.
-COMMON_WORDS = (
-    "the of and to in a is that it for was on are with as by be this at from or an not but have he "
-    "de la le et les des en un une du que qui dans est pour par sur au pas avec plus ne se ce il "
-    "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an "
-    "que el en y a los se del las un por con no una su para es al lo como más o pero sus"
-).split()
-COMMON = {w.encode(): i for i, w in enumerate(dict.fromkeys(COMMON_WORDS))}
+MARKS = b".,;:!?'\"()-"
 
-CLASSES = ("lower", "upper", "digit", "space", "newline", "point", "mark", "symbol", "other")
+#: Of ASCII by use, and beyond it by script, as the first byte of a code point tells.
+CLASSES = (
+    "lower", "upper", "digit", "space", "newline", "point", "mark", "symbol",
+    "latin", "greek", "cyrillic", "hebrew", "arabic", "indic", "various", "sign", "ideograph", "hangul", "private", "beyond",
+)
+#: The first byte from which each of the scripts holds.
+SCRIPTS = (0xC0, 0xCC, 0xD0, 0xD5, 0xD8, 0xE0, 0xE1, 0xE2, 0xE3, 0xEA, 0xEE, 0xF0)
 
 
 def _class_of(b: int) -> int:
     c = chr(b)
-    if 0xC0 <= b:
-        return CLASSES.index("other")
+    if b >= 0xC0:
+        return CLASSES.index("latin") + sum(b >= at for at in SCRIPTS) - 1
     if b >= 0x80:
         return -1
     if c.islower():
@@ -68,9 +74,9 @@ def _class_of(b: int) -> int:
         return 2
     if c == "\n":
         return 4
-    if c.isspace():
+    if c in " \t\r\x0b\x0c":
         return 3
-    if c in ".,;:!?'\"()-":
+    if b in MARKS:
         return 5
     if c in "#*$%&|<>":
         return 7
@@ -86,11 +92,15 @@ def char_histogram(text: bytes) -> np.ndarray:
     return np.bincount(np.frombuffer(text, np.uint8), minlength=256) @ CLASS_MATRIX
 
 
-def word_histogram(words: list[bytes]) -> np.ndarray:
+def bare(word: bytes) -> bytes:
+    return word.strip(MARKS)
+
+
+def word_histogram(lowered: list[bytes], places: dict[bytes, int]) -> np.ndarray:
     """Counts of the common words, and last of all others; marks at the ends are cut off."""
-    out = np.zeros(len(COMMON) + 1)
-    for word, n in Counter(words).items():
-        out[COMMON.get(word.strip(b".,;:!?'\"()-"), -1)] += n
+    out = np.zeros(len(places) + 1)
+    for word, n in Counter(lowered).items():
+        out[places.get(bare(word), -1)] += n
     return out
 
 
@@ -164,68 +174,105 @@ def fails_base(counts: dict[str, int]) -> bool:
     return counts["n_words"] < MIN_WORDS or 100 * counts["n_repeat_words"] > REPEATED_PERCENT * counts["n_words"]
 
 
-def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Mean shares by language, from all documents with at least the judged sizes."""
+def _texts(docs: DataFrame, *columns: Column) -> DataFrame:
+    return docs.select(*columns, utf8(docs["text"]).alias("raw"), docs["lang"].cast("string").alias("lang"))
+
+
+def common_words(docs: DataFrame) -> DataFrame:
+    """lang, n_docs, words: the common words of each language, in order of their shares."""
     small_batches(docs.sparkSession)
-    width = len(CLASSES) + len(COMMON) + 1
-    schema = pa.schema([("lang", pa.string()), ("n", pa.int64()), ("sums", pa.list_(pa.float64()))])
+    schema = pa.schema([("lang", pa.string()), ("word", pa.binary()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
-        numbers: Counter = Counter()
+        counts: dict[str, Counter] = {}
 
-        def flush() -> pa.RecordBatch:
-            out = {"lang": list(sums), "n": [numbers[x] for x in sums], "sums": [v.tolist() for v in sums.values()]}
-            return record_batch(out, schema)
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, words in counts.items():
+                keys = list(words)
+                for i in range(0, len(keys), 50_000):
+                    part = keys[i : i + 50_000]
+                    yield record_batch({"lang": [lang] * len(part), "word": part, "n": [words[w] for w in part]}, schema)
+            counts.clear()
 
         for batch in batches:
-            for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = raw.as_py().lower()
-                words = text.split()
-                if lang is None or len(text) < CHAR_MIN or len(words) < WORD_MIN:
+            for raw, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                # The empty word counts the documents.
+                counts.setdefault(lang, Counter()).update({*map(bare, raw.as_py().lower().split()), b""})
+            if sum(map(len, counts.values())) > TASK_WORDS:
+                yield from flush()
+        yield from flush()
+
+    found = _texts(docs).filter("lang is not null").mapInArrow(run, "lang string, word binary, n long")
+    counted = cut(found.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+    totals = counted.filter(F.octet_length("word") == 0).select("lang", F.col("n").alias("n_docs"))
+    shared = counted.filter(F.octet_length("word") > 0).join(totals, "lang").filter(F.col("n") >= COMMON_SHARE * F.col("n_docs"))
+    # A document's different words over COMMON_SHARE: so few rows of a language are left.
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    top = shared.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= COMMON_WORDS)
+    listed = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("words"))
+    words = F.coalesce(F.transform("words", lambda x: x["word"]), F.array().cast("array<binary>"))
+    return totals.join(listed, "lang", "left").select("lang", "n_docs", words.alias("words"))
+
+
+class _Places(dict):
+    """The places of a language's common words, made once a worker."""
+
+    def of(self, lang: str | None, words: pa.Scalar) -> dict[bytes, int]:
+        key = (lang, len(words)) if words.is_valid else None
+        if key not in self:
+            self[key] = {w: i for i, w in enumerate(words.as_py() or [])} if key else {}
+        return self[key]
+
+
+def references(docs: DataFrame) -> DataFrame:
+    """lang, words, n, chars, shares: the common words, the number of judged documents and their mean shares."""
+    listed = cut(common_words(docs), "common")
+    schema = pa.schema([("lang", pa.string()), ("n", pa.int64()), ("chars", pa.list_(pa.float64())), ("shares", pa.list_(pa.float64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, list] = {}
+        places = _Places()
+        for batch in batches:
+            for raw, lang, words in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                text = raw.as_py()
+                lowered = text.lower().split()
+                if len(text) < CHAR_MIN or len(lowered) < WORD_MIN:
                     continue
-                both = np.concatenate([shares(char_histogram(raw.as_py())), shares(word_histogram(words))])
-                sums[lang] = sums[lang] + both if lang in sums else both
-                numbers[lang] += 1
-            if len(sums) > MAX_LANGUAGES:
-                yield flush()
-                sums, numbers = {}, Counter()
-        yield flush()
-
-    parts = docs.select(docs["lang"].cast("string").alias("lang"), utf8(docs["text"]).alias("raw")).mapInArrow(
-        run, "lang string, n long, sums array<double>"
-    )
+                own = [1, shares(char_histogram(text)), shares(word_histogram(lowered, places.of(lang, words)))]
+                sums[lang] = [a + b for a, b in zip(sums[lang], own, strict=True)] if lang in sums else own
+        out = {"lang": list(sums), "n": [x[0] for x in sums.values()]}
+        yield record_batch(out | {c: [x[i].tolist() for x in sums.values()] for i, c in ((1, "chars"), (2, "shares"))}, schema)
+
+    given = _texts(docs).join(listed.select("lang", "words"), "lang").select("raw", "lang", "words")
+    parts = given.mapInArrow(run, "lang string, n long, chars array<double>, shares array<double>")
     # Summed by place, in whole billionths, so that the order of tasks changes nothing.
-    places = parts.select("lang", "n", F.posexplode("sums").alias("place", "x"))
+    both = parts.select("lang", "n", F.posexplode(F.concat("chars", "shares")).alias("place", "x"))
     whole = F.round(F.col("x") * 1e9).cast("decimal(38,0)")
-    summed = places.groupBy("lang", "place").agg(F.sum("n").alias("n"), F.sum(whole).alias("s"))
-    per_lang = (
-        summed.groupBy("lang")
-        .agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("place", "s"))).alias("sums"))
-        .filter(F.col("n") >= REFERENCE_MIN_DOCS)
-        .orderBy(F.desc("n"), "lang")
-        .limit(MAX_LANGUAGES)
+    summed = both.groupBy("lang", "place").agg(F.sum("n").alias("n"), F.sum(whole).alias("s"))
+    means = summed.groupBy("lang").agg(
+        F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("place", (F.col("s").cast("double") / F.col("n") / 1e9).alias("x")))).alias("means")
     )
-    out = {}
-    for row in per_lang.collect():
-        mean = np.array([float(x["s"]) for x in row["sums"]])
-        assert len(mean) == width
-        out[row["lang"]] = (shares(mean[: len(CLASSES)]), shares(mean[len(CLASSES) :]))
-    return out
+    mean = F.transform("means", lambda x: x["x"])
+    made = means.filter(F.col("n") >= REFERENCE_MIN_DOCS).select(
+        "lang", "n", F.slice(mean, 1, len(CLASSES)).alias("chars"), F.slice(mean, len(CLASSES) + 1, COMMON_WORDS + 1).alias("shares")
+    )
+    return cut(made.join(listed.select("lang", "words"), "lang"), "references")
 
 
-def distances(
-    text: bytes, lowered: list[bytes], lang: str | None, known: dict[str, tuple[np.ndarray, np.ndarray]]
-) -> tuple[float | None, float | None]:
-    """Distances of character classes and of common words; None where not judged."""
-    refs = [known[lang]] if lang in known else list(known.values())
+class Reference:
+    def __init__(self, words: list[bytes], chars: list[float], word_shares: list[float]):
+        self.places = {w: i for i, w in enumerate(words)}
+        self.chars, self.shares = np.array(chars), np.array(word_shares)
+
+
+def distances(text: bytes, lowered: list[bytes], refs: list[Reference]) -> tuple[float | None, float | None]:
+    """Least distances of character classes and of common words; None where not judged."""
     chars = words = None
     if refs and len(text) >= CHAR_MIN:
         own = shares(char_histogram(text))
-        chars = min(jensen_shannon(own, r[0]) for r in refs)
-    if refs and len(lowered) >= WORD_MIN:
-        own = shares(word_histogram(lowered))
-        words = min(jensen_shannon(own, r[1]) for r in refs)
+        chars = min(jensen_shannon(own, r.chars) for r in refs)
+    if refs and len(text) >= CHAR_MIN and len(lowered) >= WORD_MIN:
+        words = min(jensen_shannon(shares(word_histogram(lowered, r.places)), r.shares) for r in refs)
     return chars, words
 
 
@@ -235,7 +282,10 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     One row per row of ``docs``; columns used: doc_id, text, lang.
     """
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(references(docs))
+    known = references(docs)
+    # At most WIDESPREAD rows of some hundred numbers.
+    largest = known.orderBy(F.desc("n"), "lang").limit(WIDESPREAD).select("words", "chars", "shares").collect()
+    sent = spark.sparkContext.broadcast([([bytes(w) for w in r["words"]], list(r["chars"]), list(r["shares"])) for r in largest])
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     schema = pa.schema(
         [("doc_id", pa.int64())]
@@ -244,13 +294,18 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        widespread = [Reference(*x) for x in sent.value]
+        own: dict[str, Reference] = {}
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in schema}
             out["doc_id"] = batch.column(0).to_pylist()
-            for raw, lang in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+            for raw, lang, ref in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3), strict=True):
                 text = raw.as_py()
                 counts = base_counts(text, text.split())
-                chars, words = distances(text, text.lower().split(), lang, known.value)
+                if ref.is_valid and lang not in own:
+                    given = ref.as_py()
+                    own[lang] = Reference(given["words"], given["chars"], given["shares"])
+                chars, words = distances(text, text.lower().split(), [own[lang]] if ref.is_valid else widespread)
                 failed = fails_base(counts)
                 far = (chars or 0) > CHAR_LIMIT or (words or 0) > WORD_LIMIT
                 for n in names:
@@ -261,8 +316,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
                 out["word_distance"].append(words)
             yield record_batch(out, schema)
 
-    chosen = docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"), utf8(docs["text"]).alias("raw"), docs["lang"].cast("string").alias("lang")
-    )
+    refs = known.select("lang", F.struct("words", "chars", "shares").alias("ref"))
+    chosen = _texts(docs, docs["doc_id"].cast("long").alias("doc_id")).join(refs, "lang", "left").select("doc_id", "raw", "lang", "ref")
     sql = "doc_id long, " + ", ".join(f"{n} long" for n in names)
     return chosen.mapInArrow(run, sql + ", base_failed boolean, kept boolean, char_distance double, word_distance double")

@@ -59,3 +59,44 @@ def test_distance():
 
     p, q = np.array([1.0, 0.0]), np.array([0.0, 1.0])
     assert qr.jensen_shannon(p, p) == 0 and abs(qr.jensen_shannon(p, q) - 1) < 1e-12
+
+
+def languages(n):
+    """So many languages with 25 documents each of words of their own, and one odd document each."""
+    rng = random.Random(n)
+    docs = []
+    for k in range(n):
+        frequent = [f"{chr(97 + k % 26)}{chr(97 + k // 26)}{i}" for i in range(12)]
+        word = lambda f=frequent: rng.choice(f) if rng.random() < 0.6 else f"w{rng.randrange(10**6)}"
+        docs += [(100 * k + i, " ".join(word() for _ in range(150)), f"l{k}") for i in range(25)]
+        docs.append((100 * k + 99, " ".join(f"w{rng.randrange(10**6)}" for _ in range(150)), f"l{k}"))
+    return docs
+
+
+def test_common_words_and_every_language(spark, monkeypatch):
+    monkeypatch.setattr(qr, "WIDESPREAD", 3)
+    docs = languages(30)
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(5)
+    common = {r.lang: (r.n_docs, [bytes(w).decode() for w in r.words]) for r in qr.common_words(frame).collect()}
+    for k in (0, 7, 29):
+        own = [set(t.split()) for _, t, lang in docs if lang == f"l{k}"]
+        share = {w: sum(w in x for x in own) for w in set().union(*own)}
+        want = sorted((w for w in share if share[w] >= 0.1 * len(own)), key=lambda w: (-share[w], w))[: qr.COMMON_WORDS]
+        assert common[f"l{k}"] == (26, want)
+    rows = {r.doc_id: r for r in qr.quality_rules(frame).collect()}
+    assert all(rows[d].kept == (d % 100 != 99) for d, _, _ in docs)
+
+
+def test_kept_matches_sql(spark):
+    import duckdb
+
+    from skeinwork.llm import oracles
+
+    docs = make() + [(1000 + d, t, lang) for d, t, lang in languages(3)] + [(9000, "слово и " * 90, "l1"), (9001, "ab " * 120 + "你好 \U0001f600 --(x)", None)]
+    docs = [(i, t, lang) for i, (_, t, lang) in enumerate(docs)]
+    rows = qr.quality_rules(spark.createDataFrame(docs, "doc_id long, text string, lang string")).drop("char_distance", "word_distance").collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", docs)
+    assert sorted(tuple(r) for r in rows) == sorted(con.execute(oracles.ORACLES["op3_quality_rules"]).fetchall())
+    assert 0 < sum(r.kept for r in rows) < len(rows)
