@@ -4,7 +4,8 @@ Each stage is a function of (spark, docs, sf_dir); its result is written as Parq
 to the shared folder and read again as the next stage's ``docs``.
 
 1. ``quality_classifier``: documents that the co-trained classifier rejects go.
-2. ``simhash_near_dedup``: of each group of near duplicates the smallest doc_id stays.
+2. ``simhash_near_dedup``: of each group of documents whose five-word shingles are alike
+   by 0.8 or more, as two fingerprints tell, the smallest doc_id stays.
 3. ``substring_dedup``: sentences in repeated spans go; a document that held text and
    keeps none goes too.
 4. ``benchmark_decontamination``: documents with a window of a benchmark item go.
@@ -30,7 +31,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_first(docs)
+    return simhash.keep_similar(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer_file()
-    return bpe.bpe_encode(docs, path, pattern, blank_cuts=True)
+    return bpe.bpe_encode(docs, path, pattern)
 
 
 STAGES = [

@@ -27,7 +27,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer_file()
-    return bpe.bpe_encode(table(spark, sf_dir, "documents"), path, pattern, blank_cuts=True)
+    return bpe.bpe_encode(table(spark, sf_dir, "documents"), path, pattern)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,12 +3,18 @@
 Fingerprints: the bit majority over the XXH64 of all three-word shingles.  Equal
 fingerprints are one class.  The distinct fingerprints are compared exactly, tile
 by tile, with numpy's exclusive-or and bit counts.  A tile holds fingerprints
-with the same population counts in each of four 16-bit quarters.  Two
-fingerprints within the radius differ in these four counts by no more than the
-radius altogether, so tiles further apart are skipped.  Neighbouring tiles meet
-through a join on the counts; a task keeps a union-find over the links it finds
-and passes on a spanning forest, so a dense group gives few edges.  Components are
-then found by rounds of joins.
+with the same population counts, in each of four 16-bit quarters where the radius
+is small and altogether where it is not.  Two fingerprints within the radius differ
+in these counts by no more than the radius, so tiles further apart are skipped.
+Neighbouring tiles meet through a join on the counts; a task keeps a union-find
+over the links it finds and passes on a spanning forest, so a dense group gives few
+edges.  Components are then found by rounds of joins.
+
+``keep_similar`` looks for documents whose sets of five-word shingles are alike by
+0.8 or more (Jaccard).  Fingerprints of so similar texts differ in 10 of 64 bits on
+average, so its radius is wide, and a link also asks of a second, independent
+fingerprint that both together differ in no more bits than that similarity lets
+expect, and of the numbers of shingles that they are alike by 0.8.
 
 Null text counts as empty: no words, fingerprint zero, linked like any other.  A
 null doc_id never names a component unless all its members' are null (then null).
@@ -32,30 +38,45 @@ from .components import connected_components
 SHINGLE, SEED, RADIUS = 3, 42, 2
 #: Fingerprints that a tile holds on average where a combination of counts has many.
 TILE = 2048
-#: Rows of a tile that are compared at a time with all of another (memory: 8 bytes each).
-STRIP = 256
+#: Pairs of fingerprints that are compared at a time (memory: 9 bytes each).
+STRIP = 1 << 20
+#: Similar documents: shingles, similarity, bits of the first fingerprint, its tiles.
+#: Of 128 bits, texts alike by 0.8 differ in 128 * acos(0.8 * 2 / 1.8) / pi = 19.4.
+SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, SIMILAR_BITS, SIMILAR_TILE, SECOND_SEED = 5, 0.8, 14, 20, 1 << 16, 43
 #: Links in a task's union-find before its forest is passed on.
 FOREST = 500_000
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """Majority bits of the shingles' hashes; bit i is set if over half of them set it."""
+def shingle_hashes(text: bytes, shingle: int, seed: int = SEED) -> np.ndarray:
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(words)
     if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        ends = np.cumsum(sizes + 1) - 1
-        starts = ends - sizes
-        digest = xxhash.xxh64_intdigest
-        hashes = [
-            digest(joined[a:b], SEED)
-            for a, b in zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
-        ]
-    return majority(np.array(hashes, dtype=np.uint64))
+        return np.array([xxhash.xxh64_intdigest(joined, seed)], dtype=np.uint64)
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    starts = ends - sizes
+    digest = xxhash.xxh64_intdigest
+    places = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
+    return np.array([digest(joined[a:b], seed) for a, b in places], dtype=np.uint64)
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """Majority bits of the shingles' hashes; bit i is set if over half of them set it."""
+    hashes = shingle_hashes(text, shingle)
+    return majority(hashes) if len(hashes) else 0
+
+
+def similar_prints(text: bytes, shingle: int) -> tuple[int, int, int]:
+    """Two fingerprints of the set of shingles, and its size."""
+    first = np.unique(shingle_hashes(text, shingle))
+    if not len(first):
+        return 0, 0, 0
+    # The second hash is made of the first, which tells shingles apart already.
+    second = (first ^ (first >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15 + 2 * SECOND_SEED)
+    second = (second ^ (second >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return majority(first), majority(second ^ (second >> np.uint64(32))), len(first)
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -85,27 +106,51 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return chosen.mapInArrow(run, "doc_id long, fp long, mark long")
 
 
-def _quarters(fp: str = "fp") -> list:
-    """Population counts of the four 16-bit quarters."""
-    return [F.bit_count(F.shiftrightunsigned(fp, 16 * i).bitwiseAND(0xFFFF)) for i in range(4)]
+def similar_fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, mark, fp, fp2, size (of the set of shingles), and node, which stands for the three."""
+    small_batches(docs.sparkSession)
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("fp", pa.int64()), ("fp2", pa.int64()), ("size", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = np.array([similar_prints(t.as_py(), shingle) for t in batch.column(2)], dtype=np.uint64).reshape(-1, 3)
+            prints = [pa.array(np.ascontiguousarray(made[:, i]).view(np.int64)) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *prints], schema=schema)
 
+    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), _text_mark(docs).alias("mark"), utf8(docs["text"]).alias("raw"))
+    made = chosen.mapInArrow(run, "doc_id long, mark long, fp long, fp2 long, size long")
+    return made.withColumn("node", F.xxhash64("fp", "fp2", "size"))
 
-def _steps(radius: int) -> list[tuple[int, ...]]:
+
+def _counts(parts: int) -> list:
+    """Population counts of so many equal parts of the fingerprint."""
+    bits = 64 // parts
+    return [F.bit_count(F.shiftrightunsigned("fp", bits * i).bitwiseAND((1 << bits) - 1 if bits < 64 else -1)) for i in range(parts)]
+
+
+def _steps(radius: int, parts: int) -> list[tuple[int, ...]]:
     """Differences of counts within the radius, one of each pair of opposites, zero first."""
-    near = [d for d in product(range(-radius, radius + 1), repeat=4) if sum(map(abs, d)) <= radius]
-    return sorted((d for d in near if d >= (0, 0, 0, 0)), key=lambda d: sum(map(abs, d)))
+    near = [d for d in product(range(-radius, radius + 1), repeat=parts) if sum(map(abs, d)) <= radius]
+    return sorted((d for d in near if d >= (0,) * parts), key=lambda d: sum(map(abs, d)))
+
+
+def _shifted(step: tuple[int, ...]) -> int:
+    out = 0
+    for d in step:
+        out = out * 128 + d
+    return out
 
 
 def _code(parts: list) -> F.Column:
-    """Four counts (each up to 16, shifted by the radius) as one number."""
+    """Counts (each up to 64, and shifted so that differences don't carry over) as one number."""
     out = F.lit(0)
     for p in parts:
-        out = out * F.lit(64) + p + F.lit(8)
+        out = out * F.lit(128) + p + F.lit(16)
     return out
 
 
 class Forest:
-    """Union-find over the fingerprints that a task has linked."""
+    """Union-find over the nodes that a task has linked."""
 
     def __init__(self):
         self.parent: dict[int, int] = {}
@@ -127,56 +172,86 @@ class Forest:
         self.parent.setdefault(min(a, b), min(a, b))
         return True
 
+    def link_all(self, left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+        """Links nodes left[a[i]] with right[b[i]] (a in order); returns the links that joined two trees.
+
+        One link of each node comes first: in a dense group these join almost all, and
+        what is left is seen by the roots.
+        """
+        rows = np.flatnonzero(np.diff(a, prepend=-1))
+        first = np.full(len(right), -1)
+        first[b[::-1]] = np.arange(len(b))[::-1]
+        columns = np.flatnonzero(first >= 0)
+        new = self._link(left[a[rows]], right[b[rows]]) + self._link(left[a[first[columns]]], right[columns])
+        left_root, right_root = np.zeros(len(left), dtype=np.int64), np.zeros(len(right), dtype=np.int64)
+        left_root[a[rows]] = [self.find(x) for x in left[a[rows]].tolist()]
+        right_root[columns] = [self.find(x) for x in right[columns].tolist()]
+        apart = left_root[a] != right_root[b]
+        return new + self._link(left[a[apart]], right[b[apart]])
+
+    def _link(self, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+        return [(u, v) for u, v in zip(a.tolist(), b.tolist(), strict=True) if self.link(u, v)]
 
-def links_between(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (in left, in right) of fingerprints within the radius, strip by strip."""
-    for i in range(0, len(left), STRIP):
-        near = np.bitwise_count(left[i : i + STRIP, None] ^ right[None, :]) <= radius
+
+def links_between(left: list[np.ndarray], right: list[np.ndarray], radius: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (in left, in right) of linked nodes, strip by strip.
+
+    Each side is [fp], or [fp, fp2, size, node].
+    """
+    x, y = left[0].view(np.uint64), right[0].view(np.uint64)
+    height = max(1, STRIP // max(1, len(y)))
+    for i in range(0, len(x), height):
+        near = np.bitwise_count(x[i : i + height, None] ^ y[None, :]) <= radius
         a, b = np.nonzero(near)
         a += i
         if same:
             a, b = a[a < b], b[a < b]
+        if len(left) > 1 and len(a):
+            differ = np.bitwise_count(x[a] ^ y[b]).astype(np.int64)
+            differ += np.bitwise_count(left[1].view(np.uint64)[a] ^ right[1].view(np.uint64)[b])
+            m, n = left[2][a], right[2][b]
+            fits = (differ <= SIMILAR_BITS) & (np.minimum(m, n) >= SIMILARITY * np.maximum(m, n))
+            a, b = a[fits], b[fits]
         if len(a):
             yield a, b
 
 
-def link_edges(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Edges (u, v) between distinct fingerprints that keep all components whole.
+def link_edges(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """Edges (u, v) between distinct nodes that keep all components whole.
 
-    ``distinct``: column fp.  The edges are a spanning forest for each task.
+    ``distinct``: column fp, or fp, fp2, size, node.  The edges are a spanning forest
+    for each task.
     """
     small_batches(distinct.sparkSession)
-    coded = distinct.select("fp", _code(_quarters()).alias("code"))
+    columns = ["fp"] if "node" not in distinct.columns else ["fp", "fp2", "size", "node"]
+    parts = 4 if radius <= 4 else 1
+    coded = distinct.select(*columns, _code(_counts(parts)).alias("code"))
     # At most 17 to the 4th power combinations, so this side may be broadcast.
-    sized = coded.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE)).cast("int").alias("n_tiles"))
-    dealt = coded.join(F.broadcast(sized), "code").withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("n_tiles")).cast("int"))
-    tiles = cut(dealt.groupBy("code", "tile").agg(F.sort_array(F.collect_list("fp")).alias("fps")), "tiles")
-    shift = F.array(*[F.lit(((a * 64 + b) * 64 + c) * 64 + d) for a, b, c, d in _steps(radius)])
-    probes = tiles.select("code", "tile", F.explode(shift).alias("step"), "fps").select(
-        (F.col("code") + F.col("step")).alias("meets"), F.col("tile").alias("own"), (F.col("step") == 0).alias("same"), F.col("fps").alias("left_fps")
+    sized = coded.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("n_tiles"))
+    dealt = coded.join(F.broadcast(sized), "code").withColumn("tile", F.pmod(F.xxhash64(columns[-1]), F.col("n_tiles")).cast("int"))
+    tiles = cut(dealt.groupBy("code", "tile").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows")), "tiles")
+    shift = F.array(*[F.lit(_shifted(d)) for d in _steps(radius, parts)])
+    probes = tiles.select("code", "tile", F.explode(shift).alias("step"), "rows").select(
+        (F.col("code") + F.col("step")).alias("meets"), F.col("tile").alias("own"), (F.col("step") == 0).alias("same"), F.col("rows").alias("left_rows")
     )
     pairs = (
-        probes.join(tiles.select("code", "tile", F.col("fps").alias("right_fps")), F.col("meets") == F.col("code"))
+        probes.join(tiles.select("code", "tile", F.col("rows").alias("right_rows")), F.col("meets") == F.col("code"))
         .filter(~F.col("same") | (F.col("own") <= F.col("tile")))
-        .select((F.col("same") & (F.col("own") == F.col("tile"))).alias("same"), "left_fps", "right_fps")
+        .select((F.col("same") & (F.col("own") == F.col("tile"))).alias("same"), "left_rows", "right_rows")
     )
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest, us, vs = Forest(), [], []
+        forest, found = Forest(), []
         for batch in batches:
             for same, left, right in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                left = left.values.to_numpy(zero_copy_only=False)
-                right = right.values.to_numpy(zero_copy_only=False)
-                for a, b in links_between(left.view(np.uint64), right.view(np.uint64), radius, same):
-                    for u, v in zip(left[a].tolist(), right[b].tolist(), strict=True):
-                        if forest.link(u, v):
-                            us.append(u)
-                            vs.append(v)
-            if len(us) > FOREST:
-                yield record_batch({"u": us, "v": vs}, schema)
-                forest, us, vs = Forest(), [], []
-        yield record_batch({"u": us, "v": vs}, schema)
+                sides = [[side.values.field(i).to_numpy(zero_copy_only=False) for i in range(len(columns))] for side in (left, right)]
+                for a, b in links_between(*sides, radius, same):
+                    found += forest.link_all(sides[0][-1], sides[1][-1], a, b)
+            if len(found) > FOREST:
+                yield record_batch({"u": [x[0] for x in found], "v": [x[1] for x in found]}, schema)
+                forest, found = Forest(), []
+        yield record_batch({"u": [x[0] for x in found], "v": [x[1] for x in found]}, schema)
 
     return pairs.mapInArrow(run, "u long, v long")
 
@@ -191,23 +266,38 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int =
     return _with_components(known, radius)
 
 
-def _components_by_fp(known: DataFrame, radius: int) -> DataFrame:
-    """fp, root (which names a component even where ids are null), component_id."""
-    classes = cut(known.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    roots = connected_components(link_edges(classes.select("fp"), radius))
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root")
+def _components(known: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
+    """node, root (which names a component even where ids are null), component_id."""
+    prints = [c for c in ("fp", "fp2", "size") if c in known.columns]
+    classes = cut(known.groupBy("node", *prints).agg(F.min("doc_id").alias("rep")), "classes")
+    distinct = classes.select("fp") if prints == ["fp"] else classes.select(*prints, "node")
+    roots = connected_components(link_edges(distinct, radius, tile))
+    rooted = classes.withColumnRenamed("node", "own").join(roots, F.col("own") == F.col("node"), "left").select(
+        F.col("own").alias("node"), "rep", F.coalesce("root", "own").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return rooted.join(named, "root").select("fp", "root", "component_id")
+    return rooted.join(named, "root").select("node", "root", "component_id")
 
 
 def _with_components(known: DataFrame, radius: int) -> DataFrame:
-    return known.join(_components_by_fp(known, radius), "fp").select(
+    known = known.withColumn("node", F.col("fp"))
+    return known.join(_components(known, radius), "node").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def _first_of_each(docs: DataFrame, known: DataFrame, components: DataFrame) -> DataFrame:
+    """``known``: doc_id, mark, node of every row of ``docs``."""
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    firsts = known.join(components, "node").filter(first).groupBy("root").agg(F.min(F.struct("node", "mark", "doc_id")).alias("kept"))
+    # Structs, so that a null id equals another and one exchange serves both steps.
+    keys = firsts.select(F.struct(F.col("kept.doc_id").alias("doc_id"), F.col("kept.mark").alias("mark")).alias("key"))
+    # The columns go in a struct, where no name can clash.
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    key = F.struct(docs["doc_id"].cast("long").alias("doc_id"), _text_mark(docs).alias("mark")).alias("key")
+    return docs.select(row, key).join(keys, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+
+
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of ``docs``, all columns, for each group: one that has its smallest doc_id.
 
@@ -215,10 +305,11 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
     least fingerprint decides, then the text's mark.  A row of another text with the
     same doc_id, in whatever group, is judged by its own group.
     """
-    known = cut(fingerprints(docs, shingle), "fingerprints")
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    # Structs, so that a null id equals another and one exchange serves both steps.
-    firsts = known.join(_components_by_fp(known, radius), "fp").filter(first).groupBy("root").agg(F.min(F.struct("fp", "mark", "doc_id")).alias("kept"))
-    keys = firsts.select(F.struct(F.col("kept.doc_id").alias("doc_id"), F.col("kept.mark").alias("mark")).alias("__key"))
-    keyed = docs.withColumn("__key", F.struct(docs["doc_id"].cast("long").alias("doc_id"), _text_mark(docs).alias("mark")))
-    return keyed.join(keys, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    known = cut(fingerprints(docs, shingle).withColumn("node", F.col("fp")), "fingerprints")
+    return _first_of_each(docs, known, _components(known, radius))
+
+
+def keep_similar(docs: DataFrame, shingle: int = SIMILAR_SHINGLE, radius: int = SIMILAR_RADIUS) -> DataFrame:
+    """As ``keep_first``, for groups of documents whose sets of shingles are alike."""
+    known = cut(similar_fingerprints(docs, shingle), "fingerprints")
+    return _first_of_each(docs, known, _components(known, radius, SIMILAR_TILE))

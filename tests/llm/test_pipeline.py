@@ -21,10 +21,15 @@ def test_stage_by_stage(spark):
     assert len(good) < len(first)
     rows = {r.doc_id: r.text for r in first if r.doc_id in good}
 
-    fps = {d: simhash.fingerprint(t.encode()) for d, t in rows.items()}
+    prints = {d: simhash.similar_prints(t.encode(), 5) for d, t in rows.items()}
+
+    def linked(x, y):
+        first, second = (x[0] ^ y[0]).bit_count(), (x[1] ^ y[1]).bit_count()
+        return first <= simhash.SIMILAR_RADIUS and first + second <= simhash.SIMILAR_BITS and min(x[2], y[2]) >= 0.8 * max(x[2], y[2])
+
     group = {d: d for d in rows}
     for _ in rows:
-        best = {d: min(group[e] for e in rows if (fps[d] ^ fps[e]).bit_count() <= 2) for d in rows}
+        best = {d: min(group[e] for e in rows if linked(prints[d], prints[e])) for d in rows}
         if best == group:
             break
         group = best
@@ -52,13 +57,41 @@ def test_stage_by_stage(spark):
     assert sorted(got) == sorted(want)
 
 
+CLASHES = ["hit", "__key", "__starts", "__score", "key", "row", "raw", "score", "starts", "mark", "c0", "doc", "n_removed", "a.b"]
+
+
+def clashing(spark):
+    texts = [(1, "a b c. " * 9), (2, None), (3, ""), (None, "one of no id"), (None, "another of no id"), (3, "a text of its own"), (7, "x " * 30000)]
+    rows = [(d, t, *(["en", "s", len(t)] if t else [None] * 3), *[f"{c}{i}" for c in CLASHES]) for i, (d, t) in enumerate(texts)]
+    rows += rows[-1:]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    return spark.createDataFrame(rows, schema)
+
+
 def test_stages_keep_columns(spark):
-    docs = spark.createDataFrame(
-        [(1, "a b c. " * 9, "en", "s", 63, "x"), (2, None, None, None, None, None), (3, "", "en", "s", 0, "y")],
-        "doc_id long, text string, lang string, source string, n_chars long, hit string",
-    )
-    for _, stage in corpus_pipeline.STAGES[1:3]:
+    """Nulls, repeated rows, empty and long texts and clashing names through every stage."""
+    docs = clashing(spark)
+    by_row = {r.hit: r for r in docs.collect()}
+    for _, stage in corpus_pipeline.STAGES[:4]:
         out = stage(spark, docs, SF)
-        assert out.columns == docs.columns
-        out.collect()
+        assert out.schema.names == docs.schema.names and out.dtypes == docs.dtypes
+        for r in out.collect():
+            want = by_row[r.hit]
+            assert [r[c] for c in CLASHES] == [want[c] for c in CLASHES] and r.doc_id == want.doc_id
         assert stage(spark, docs.limit(0), SF).collect() == []
+    kept = {r.hit for r in simhash.keep_similar(docs).collect()}
+    assert len(kept) == 6  # the empty texts are one group
+    assert corpus_pipeline.STAGES[4][1](spark, docs, SF).count() == 8
+
+
+def test_run_over_odd_documents(spark, tmp_path):
+    clashing(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len({r.decoded_sha256 for r in rows}) == len(rows) > 0
+    empty = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)
+    empty.write.parquet(f"{tmp_path}/none/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []

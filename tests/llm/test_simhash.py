@@ -86,3 +86,41 @@ def test_keep_first_and_empty(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "9", "None"]
     assert simhash.near_duplicate_groups(docs.limit(0)).collect() == []
+
+
+def jaccard(a, b):
+    a, b = ({tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_keep_similar(spark, monkeypatch):
+    """Texts alike by 0.9 and more go, those below 0.6 stay; a dense group gives one."""
+    monkeypatch.setattr(simhash, "STRIP", 200)
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice(LETTERS) for _ in range(4))
+    docs, near, far = [], [], []
+    for k in range(60):
+        base = [word() for _ in range(300)]
+        near_copy, far_copy = list(base), list(base)
+        for i in rng.sample(range(300), 2):
+            near_copy[i] = word()
+        for i in range(0, 300, 11):
+            far_copy[i] = word()
+        texts = [" ".join(x) for x in (base, near_copy, far_copy)]
+        assert jaccard(texts[0], texts[1]) >= 0.9 and jaccard(texts[0], texts[2]) < 0.6
+        docs += [(10 * k, texts[0], 1), (10 * k + 1, texts[1], 2), (10 * k + 2, texts[2], 3)]
+        near.append(10 * k + 1)
+        far += [10 * k, 10 * k + 2]
+    hot = [word() for _ in range(400)]
+    for i in range(150):
+        copy = list(hot)
+        copy[rng.randrange(400)] = word()
+        docs.append((5000 + i, " ".join(copy), 4))
+    docs += [(None, None, 5), (9000, "", 6), (9001, "one two", 7), (9002, "one  TWO", 8), (9003, "one three", 9)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, key int")
+    kept = simhash.keep_similar(frame)
+    assert kept.columns == frame.columns
+    got = {r.doc_id for r in kept.collect()}
+    assert set(far) <= got and not got & set(near)
+    assert {d for d in got if d is not None and d >= 5000} == {5000, 9000, 9001, 9003}
+    assert simhash.keep_similar(frame.limit(0)).collect() == []
