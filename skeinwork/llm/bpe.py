@@ -7,7 +7,8 @@ right, takes the longest entry, and backtracks to shorter ones until each
 adjacent pair of tokens is *compatible*, that is, until plain merging of their
 joint bytes would leave exactly these two tokens.  Such a sequence is unique and
 equals the merges' own result.  Places that turned out dead ends are marked, so
-each is left once and the work is linear in the piece.
+each is left once and the work is linear in the piece.  What a piece gives is
+remembered, decimals of its ids and all, for the next time it comes.
 
 Null text: encoded like the empty text, with no tokens.  Repeated rows are
 encoded row by row; nothing is shuffled.
@@ -17,10 +18,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Callable, Iterator
-from itertools import chain
-from operator import itemgetter
+from itertools import islice
 
 import ahocorasick
 import pyarrow as pa
@@ -29,19 +28,14 @@ from pyspark.sql import DataFrame
 
 from .common import record_batch, small_batches, utf8
 
-#: Entries in a generation of the memos of chunks and of pieces (some 350 bytes for
-#: each at two generations), and in the memo of token pairs.
+#: Entries in a generation of the memo of pieces (some 160 bytes each), and in the memo
+#: of token pairs.
 MEMO_ENTRIES = 400_000
-PIECE_ENTRIES = 200_000
 PAIR_ENTRIES = 500_000
 #: Longer pieces are encoded each time: the memo holds short ones only.
 MEMO_PIECE = 64
-#: Blanks at which a text may be cut, and what shows that others are there too.
-AFTER_NON_SPACE = re.compile(r"(?<=\S) ")
-RARE_BEFORE_BLANK = re.compile(r"[^\S \n] ")
-#: Characters of every kind that patterns tell apart, to try the cuts with.
-PROBES = ["", "a", "Z", "é", "ß", "7", "½", "你", "'", "'s", ".", ",", "(", "#", "_", "$", "\u0301", "\U0001f600", "\n", "\t", "\u2003"]
-COUNT, DECIMALS, BYTES = itemgetter(0), itemgetter(1), itemgetter(2)
+#: Texts of more characters are split into so many pieces at a time.
+LONG_TEXT, PIECES = 1 << 20, 100_000
 #: A vocabulary beyond this many bytes is not sent to the executors.
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -49,11 +43,7 @@ MAX_VOCABULARY_BYTES = 64 << 20
 class BytePairCodec:
     """Encodes and decodes with the ranks of a tiktoken vocabulary file."""
 
-    def __init__(self, rank_file: bytes, pattern: str, blank_cuts: bool = False):
-        """``blank_cuts``: the pattern never has a blank after a non-space character
-        in one piece with it, so that a text may be cut before each such blank, and
-        what lies between two cuts be remembered as a whole."""
-        self.blank_cuts = blank_cuts
+    def __init__(self, rank_file: bytes, pattern: str):
         self.token_bytes: dict[int, bytes] = {}
         self.rank: dict[bytes, int] = {}
         for line in rank_file.splitlines():
@@ -62,21 +52,20 @@ class BytePairCodec:
                 token = base64.b64decode(token)
                 self.rank[token] = int(rank)
                 self.token_bytes[int(rank)] = token
-        self.split = regex.compile(pattern).findall
-        if blank_cuts and any(re.search(r"\S ", p) for a in PROBES for b in PROBES for p in self.split(f"{a} {b}")):
-            raise ValueError("the pattern joins a blank to what stands before it")
-        self.halves = {r: self._last_merge(b, r) for b, r in self.rank.items() if len(b) > 1}
-        self.joined = {pair: r for r, pair in self.halves.items() if pair}
+        self.split = regex.compile(pattern)
         places = max(self.token_bytes, default=-1) + 1
+        halves = {r: self._last_merge(b, r) for b, r in self.rank.items() if len(b) > 1}
+        self.joined = {pair: r for r, pair in halves.items() if pair}
+        #: By rank, the two tokens whose merge makes a token; -1 where there are none.
+        self.left, self.right = ([(halves.get(r) or (-1, -1))[i] for r in range(places)] for i in (0, 1))
         self.shorter = [self._longest_prefix(self.token_bytes.get(r, b"")) for r in range(places)]
         self.automaton = ahocorasick.Automaton()
         for token, rank in self.rank.items():
-            self.automaton.add_word(token.decode("latin-1"), rank)
+            self.automaton.add_word(token.decode("latin-1"), (rank, len(token) - 1))
         self.automaton.make_automaton()
         self.size = [len(self.token_bytes.get(r, b"")) for r in range(places)]
-        self.pairs: dict[int, bool] = {}
-        self.memo = _Memo(self._entry_after_blank, MEMO_ENTRIES)
-        self.piece_memo = _Memo(self._encode_piece, PIECE_ENTRIES)
+        self.pairs: dict[tuple[int, int], bool] = {}
+        self.memo = _Memo(self._decimals, MEMO_ENTRIES)
         self.decimal = {r: str(r) for r in self.token_bytes}
 
     def _last_merge(self, token: bytes, below: int) -> tuple[int, int] | None:
@@ -110,21 +99,22 @@ class BytePairCodec:
         if len(self.pairs) > PAIR_ENTRIES:
             self.pairs.clear()
         a, b, horizon = left, right, 1 << 62
+        joined, lefts, rights = self.joined.get, self.left, self.right
         good = True
         while True:
-            across = self.joined.get((a, b))
+            across = joined((a, b))
             if across is not None and across < horizon:
                 good = False
                 break
-            undo_a, undo_b = self.halves.get(a), self.halves.get(b)
+            undo_a, undo_b = rights[a], lefts[b]
             # Equal tokens merge from the left, so the right one is undone first.
-            if undo_a and (not undo_b or a > b):
-                horizon, a = a, undo_a[1]
-            elif undo_b:
-                horizon, b = b + 1, undo_b[0]
+            if undo_a >= 0 and (undo_b < 0 or a > b):
+                horizon, a = a, undo_a
+            elif undo_b >= 0:
+                horizon, b = b + 1, undo_b
             else:
                 break
-        self.pairs[left << 32 | right] = good
+        self.pairs[left, right] = good
         return good
 
     def _encode_piece(self, piece: str) -> tuple[int, ...]:
@@ -136,8 +126,8 @@ class BytePairCodec:
         stop = len(raw)
         longest: list[int | None] = [None] * (stop + 1)
         # Ends come in rising order, so the last entry at a start is its longest.
-        for end, rank in self.automaton.iter(raw.decode("latin-1")):
-            longest[end + 1 - size[rank]] = rank
+        for end, (rank, back) in self.automaton.iter(raw.decode("latin-1")):
+            longest[end - back] = rank
         dead: set[int] = set()
         token = longest[0]
         out = [token]
@@ -149,7 +139,7 @@ class BytePairCodec:
             token = longest[at]
             while token is not None:
                 if not dead or at + size[token] not in dead:
-                    fits = pairs.get(last << 32 | token)
+                    fits = pairs.get((last, token))
                     if fits or fits is None and self.compatible(last, token):
                         break
                 token = shorter[token]
@@ -173,50 +163,48 @@ class BytePairCodec:
             at += size[token]
         return tuple(out)
 
-    def _encode_text(self, text: str) -> tuple[int, ...]:
-        pieces = self.split(text)
-        if len(pieces) == 1:
-            return self.piece_memo[pieces[0]]
-        return tuple(chain.from_iterable(map(self.piece_memo.__getitem__, pieces)))
-
-    def _entry(self, text: str) -> tuple[int, bytes, bytes]:
-        """The number of tokens, their ids in decimals, and the bytes that they decode to."""
-        ids = self._encode_text(text)
-        return len(ids), ",".join(map(self.decimal.__getitem__, ids)).encode(), self.decode(ids)
-
-    def _entry_after_blank(self, chunk: str) -> tuple[int, bytes, bytes]:
-        return self._entry(" " + chunk)
-
-    def _chunks(self, text: str) -> tuple[str, list[str]]:
-        """The text up to its first cut, and what stands after each cut's blank."""
-        if not self.blank_cuts:
-            return text, []
-        if "  " in text or "\n " in text or RARE_BEFORE_BLANK.search(text):
-            first, *rest = AFTER_NON_SPACE.split(text)
-        else:
-            first, *rest = text.split(" ")
-        return first, rest
+    def _decimals(self, piece: str) -> bytes:
+        """The piece's ids in decimals, once they are seen to decode to the piece."""
+        ids = self._encode_piece(piece)
+        if self.decode(ids) != piece.encode():
+            raise ValueError("the vocabulary does not decode to the bytes it encodes")
+        return ",".join(map(self.decimal.__getitem__, ids)).encode()
+
+    def _pieces(self, text: str) -> Iterator[list[str]]:
+        """The pieces of a text; of a long one so many at a time."""
+        if len(text) <= LONG_TEXT:
+            yield self.split.findall(text)
+            return
+        found = (m.group() for m in self.split.finditer(text))
+        while some := list(islice(found, PIECES)):
+            yield some
 
     def encode(self, text: str) -> list[int]:
-        self.piece_memo.turn()
-        first, rest = self._chunks(text)
-        ids = list(self._encode_text(first))
-        for chunk in rest:
-            ids.extend(self._encode_text(" " + chunk))
+        self.memo.turn()
+        ids: list[int] = []
+        for pieces in self._pieces(text):
+            for part in map(self.memo.__getitem__, pieces):
+                ids.extend(map(int, part.split(b",")))
         return ids
 
     def decode(self, ids: list[int] | tuple[int, ...]) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))
 
     def digests(self, text: str) -> tuple[int, str, str]:
-        """The number of tokens, and the SHA-256 of their ids in decimals and of the decoded bytes."""
+        """The number of tokens, and the SHA-256 of their ids in decimals and of the decoded bytes.
+
+        Every piece's ids are decoded when it is first met, and must give the piece; so
+        the bytes that a text decodes to are put together from its pieces.
+        """
         self.memo.turn()
-        self.piece_memo.turn()
-        first, rest = self._chunks(text)
-        entries = [self._entry(first)] if first else []
-        entries += map(self.memo.__getitem__, rest)
-        ids, decoded = b",".join(map(DECIMALS, entries)), b"".join(map(BYTES, entries))
-        return sum(map(COUNT, entries)), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        n, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
+        for pieces in self._pieces(text):
+            if pieces:
+                part = b",".join(map(self.memo.__getitem__, pieces))
+                ids.update(b"," + part if n else part)
+                decoded.update("".join(pieces).encode())
+                n += part.count(b",") + 1
+        return n, ids.hexdigest(), decoded.hexdigest()
 
 
 class _Memo(dict):
@@ -225,12 +213,12 @@ class _Memo(dict):
     Long ones pass through unkept.
     """
 
-    def __init__(self, encode: Callable[[str], tuple], entries: int):
+    def __init__(self, encode: Callable[[str], bytes], entries: int):
         super().__init__()
         self.encode_piece, self.entries = encode, entries
-        self.older: dict[str, tuple] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
             ids = self.encode_piece(piece)
@@ -247,11 +235,11 @@ class _Memo(dict):
 _CODECS: dict[str, BytePairCodec] = {}
 
 
-def codec_for(rank_file: bytes, pattern: str, blank_cuts: bool = False) -> BytePairCodec:
+def codec_for(rank_file: bytes, pattern: str) -> BytePairCodec:
     """One codec for each vocabulary in a Python worker, which serves many tasks."""
-    key = hashlib.sha256(rank_file + pattern.encode() + bytes([blank_cuts])).hexdigest()
+    key = hashlib.sha256(rank_file + pattern.encode()).hexdigest()
     if key not in _CODECS:
-        _CODECS[key] = BytePairCodec(rank_file, pattern, blank_cuts)
+        _CODECS[key] = BytePairCodec(rank_file, pattern)
     return _CODECS[key]
 
 
@@ -267,7 +255,6 @@ def bpe_encode(
     docs: DataFrame,
     vocabulary_path: str,
     pattern: str,
-    blank_cuts: bool = False,
     keep_ids: bool = False,
 ) -> DataFrame:
     """Encode every whole text and decode the ids again.
@@ -288,7 +275,7 @@ def bpe_encode(
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_for(vocabulary.value, pattern, blank_cuts)
+        codec = codec_for(vocabulary.value, pattern)
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in schema}
             out["doc_id"] = batch.column(0).to_pylist()

@@ -10,7 +10,7 @@ from skeinwork.llm import bpe, queries
 @pytest.fixture(scope="module")
 def codec():
     path, pattern = queries.tokenizer_file()
-    return bpe.BytePairCodec(bpe.read_vocabulary(path), pattern, blank_cuts=True)
+    return bpe.BytePairCodec(bpe.read_vocabulary(path), pattern)
 
 
 @pytest.fixture(scope="module")
@@ -35,15 +35,23 @@ def digests(library, text):
     return len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
 
 
-def test_blank_cuts_are_tried(codec):
-    path, pattern = queries.tokenizer_file()
-    with pytest.raises(ValueError, match="blank"):
-        bpe.BytePairCodec(bpe.read_vocabulary(path), r"[a-z]+ ?|[\s\S]", blank_cuts=True)
+def test_long_texts_in_parts(codec, library, monkeypatch):
+    monkeypatch.setattr(bpe, "LONG_TEXT", 20)
+    monkeypatch.setattr(bpe, "PIECES", 3)
+    for t in ("", "one two", "it's  a long, long text 123 of\n\n many pieces é " * 5):
+        assert codec.encode(t) == library.encode_ordinary(t)
+        assert codec.digests(t) == digests(library, t)
+
+
+def test_vocabulary_without_some_bytes():
+    small = bpe.BytePairCodec(b"YQ== 0\nYg== 1\n", ".")
+    assert small.encode("ab") == [0, 1]
+    with pytest.raises(ValueError, match="lacks"):
+        small.encode("ac")
 
 
 def test_memo_turns_over(codec, library, monkeypatch):
     monkeypatch.setattr(codec.memo, "entries", 5)
-    monkeypatch.setattr(codec.piece_memo, "entries", 5)
     monkeypatch.setattr(bpe, "PAIR_ENTRIES", 5)
     for i in range(200):
         t = f"word{i} other{i % 7}, thing{i * i}"
@@ -55,7 +63,7 @@ def test_operator(spark, library):
     docs = [(1, "Hello wörld"), (2, None), (3, ""), (None, "x  y"), (1, "Hello wörld"), (4, "z " * 40000)]
     frame = spark.createDataFrame([(d, t, 5, "q") for d, t in docs], "doc_id long, text string, n_tokens int, raw string")
     path, pattern = queries.tokenizer_file()
-    rows = bpe.bpe_encode(frame, path, pattern, blank_cuts=True, keep_ids=True).collect()
+    rows = bpe.bpe_encode(frame, path, pattern, keep_ids=True).collect()
     want = []
     for d, t in docs:
         ids = library.encode_ordinary(t or "")
