@@ -282,17 +282,20 @@ def fit(n_features: int, labelled: list[Example], y: np.ndarray, handed: list[li
     held = np.arange(len(labelled)) % 4 == 0
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(labelled), dtype=bool)
-    test = held if held.any() else ~held
+    trained = [e for e, h in zip(labelled, held, strict=True) if not h]
+    tested = [e for e, h in zip(labelled, held, strict=True) if h]
+    y_tested = y[held] if tested else y
     models, odds = [], []
     for make, more in zip((content, metadata), handed, strict=True):
-        x = make(labelled)
-        added = make([e for e, _ in more])
-        models.append(Logistic().fit(np.vstack([x[~held], added]), np.append(y[~held], [label for _, label in more])))
-        odds.append(models[-1].log_odds(x[test]))
+        # One matrix a view: those of training, those handed over, those held out.
+        x = make([*trained, *[e for e, _ in more], *tested])
+        n = len(trained) + len(more)
+        models.append(Logistic().fit(x[:n], np.append(y[~held], [label for _, label in more])))
+        odds.append(models[-1].log_odds(x[n:] if tested else x[: len(trained)]))
     # Calibration maps each view's log odds to those of the held-out labels.
-    scale = [Logistic(1e-3).fit(o[:, None].astype(np.float32) / 10, y[test]) for o in odds]
+    scale = [Logistic(1e-3).fit(o[:, None].astype(np.float32) / 10, y_tested) for o in odds]
     joint = np.stack([s.log_odds(o[:, None] / 10) for s, o in zip(scale, odds, strict=True)], 1)
-    return CoTrained(mean, spread, models, scale, Logistic(1e-3).fit(joint.astype(np.float32), y[test]))
+    return CoTrained(mean, spread, models, scale, Logistic(1e-3).fit(joint.astype(np.float32), y_tested))
 
 
 def surest(pool: DataFrame, model: CoTrained, done: set[int]) -> list[tuple[int, int, int, Example]]:
