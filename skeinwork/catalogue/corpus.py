@@ -7,13 +7,49 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tf
 from ..operators import examples, manifest, monitor, splits
-from ..schemas import MESSAGES
+from ..plans import corpus
+from ..schemas import MESSAGES, USAGE
+from ..sources import files
 from ..sources.files import cap_per_domain
-from .tables import CODE, CODE_ROWS, code_rows, table
+from ..sources.fixed import EVAL_PROMPTS
+from ..streaming import streams
+from .tables import CODE, code_rows, scratch, table
 
 
-def a2_source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+def _code_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Code as text files in five folders, and one folder of no source."""
+    root = scratch(spark, "code")
+    rows = code_rows(spark, sf_dir).selectExpr("code", "concat('d', id % 6) AS folder")
+    rows.write.partitionBy("folder").text(root)
+    return root
+
+
+FOLDERS = [(f"folder=d{i}/", f"domain {i}", ["CAN bus"] * i) for i in range(5)]
+
+
+def a2_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is read from real files, by source: characters, functions' heads, contexts."""
+    root = _code_folder(spark, sf_dir)
+    read = files.with_source(files.read_code_files(spark, root), root, FOLDERS)
+    heads = F.regexp_count("code", F.lit("static int fn_"))
+    return read.groupBy("domain").agg(
+        F.sum(F.length("code")).alias("chars"), F.sum(heads).cast("long").alias("heads"), F.max(F.size("contexts")).alias("n_contexts")
+    )
+
+
+A2 = f"""SELECT 'domain ' || (p_partkey % 6) AS domain, CAST(sum(length(code) + 1) AS BIGINT) AS chars, count(*) AS heads, CAST(max(p_partkey % 6) AS INT) AS n_contexts
+FROM (SELECT p_partkey, {CODE} AS code FROM part) AS t WHERE p_partkey % 6 < 5 GROUP BY p_partkey % 6"""
+
+
+def x1_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes below a prefix that is listed, by folder; markers have none."""
+    listed = files.list_files(spark, _code_folder(spark, sf_dir))
+    folder = F.regexp_extract("path", r"folder=(d\d)/[^/]*$", 1)
+    return listed.filter("length > 0").groupBy(folder.alias("folder")).agg(F.sum("length").alias("bytes"))
+
+
+X1P = f"""SELECT 'd' || (p_partkey % 6) AS folder, CAST(sum(strlen(code) + 1) AS BIGINT) AS bytes
+FROM (SELECT p_partkey, {CODE} AS code FROM part) AS t GROUP BY p_partkey % 6"""
 
 
 _BYTES = """CASE p_size % 3 WHEN 0 THEN concat('caf', chr(233), ' ', p_name, chr(13), chr(10), 'x')
@@ -129,8 +165,8 @@ A9X = """SELECT doc_id, lang, CASE WHEN row_number() OVER (ORDER BY md5('42|' ||
 
 
 def a9_domain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return docs.groupBy("source").agg(F.count(F.lit(1)).alias("n")).filter("n > 0").orderBy(F.desc("n"), "source")
+    examples = table(spark, sf_dir, "documents").select(F.struct(F.col("source").alias("domain")).alias("metadata"))
+    return corpus.domain_counts(examples)
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,9 +175,44 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("conv_id", F.transform("ts", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).cast(MESSAGES).alias("messages"))
 
 
-def a10_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _split_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Conversations as written splits: every tenth for validation."""
+    folder = scratch(spark, "splits")
+    named = _messages(spark, sf_dir).withColumn("split", F.when(F.col("conv_id") % 10 == 0, "val").otherwise("train"))
+    corpus.write(named, folder)
+    return folder
+
+
+def _digests(rows: DataFrame) -> DataFrame:
     m = F.col("messages")
-    return _messages(spark, sf_dir).select("conv_id", F.size(m).alias("n"), F.md5(F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit(":"), x["content"])), "\n")).alias("digest"))
+    return rows.select(F.size(m).alias("n"), F.md5(F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit(":"), x["content"])), "\n")).alias("digest"))
+
+
+def a10_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training split as it is written and read again."""
+    return _digests(files.read_split(spark, f"{_split_folder(spark, sf_dir)}/train.jsonl"))
+
+
+def x5_cached_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No splits where nothing is written, both where they are."""
+    found = files.cached_splits(spark, scratch(spark, "nothing"))
+    assert found is None
+    train, val = files.cached_splits(spark, _split_folder(spark, sf_dir))
+    return _digests(train).withColumn("split", F.lit("train")).unionByName(_digests(val).withColumn("split", F.lit("val")))
+
+
+def e2_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without splits and prompts: accumulated corrections, and the built-in prompts."""
+    out = scratch(spark, "run")
+    fixed = _messages(spark, sf_dir).select(
+        F.col("conv_id").cast("string").alias("id"), F.lit("p").alias("original_prompt"), F.lit("o").alias("student_output"), F.lit(1.0).alias("student_score"),
+        F.lit("t").alias("teacher_correction"), F.lit(1).alias("epoch"), "messages", F.lit(None).cast(USAGE).alias("usage"),
+    )
+    for epoch in (1, 2):
+        files.write_corrections(fixed.filter(F.col("id") % 2 == epoch - 1), f"{out}/corrections", epoch)
+    train, prompts = files.load_datasets(spark, f"{out}/train", out, f"{out}/eval")
+    asked = prompts.select(F.lit(0).alias("n"), F.md5(F.concat("id", F.lit(":"), "prompt")).alias("digest"))
+    return _digests(train).unionByName(asked)
 
 
 def e3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,8 +233,7 @@ SELECT count(*) AS n_rows, count(*) FILTER (WHERE conv_id % 7 = 0) AS no_message
 
 
 def e10_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.split("text", " ")
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.slice(words, 1, 32), " ").alias("head"))
+    return table(spark, sf_dir, "documents").select("doc_id", tf.first_tokens(F.col("text"), 32).alias("head"))
 
 
 def g2_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,19 +255,33 @@ def t2_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that both halves of the corpus hold, by digest."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("digest"))
     left, right = docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 = 1")
-    return left.select("digest").intersect(right.select("digest"))
+    return splits.shared_rows(left.select("digest"), right, "digest").distinct()
 
 
 def t3_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Assistant turns that hold the first word of the turn before them."""
+    """Assistant turns that hold the whole turn before them; every third is given it, in lower case if odd."""
     turns = table(spark, sf_dir, "conversations")
-    users = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.split("text", " ")[0].alias("prompt"))
-    pairs = turns.filter("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("response")).join(users, ["conv_id", "turn"])
-    return splits.prompt_in_response(pairs).select("conv_id", "turn", "prompt")
+    users = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("prompt"))
+    pairs = turns.filter("role = 'assistant'").join(users, ["conv_id", "turn"])
+    echo = F.when(F.col("conv_id") % 6 == 0, F.col("prompt")).when(F.col("conv_id") % 6 == 3, F.lower("prompt")).otherwise(F.lit(""))
+    told = pairs.select("conv_id", "turn", "prompt", F.concat("text", F.lit(" "), echo).alias("response"))
+    return splits.prompt_in_response(told).select("conv_id", "turn", "prompt")
+
 
+T3 = """SELECT conv_id, turn, prompt FROM (SELECT a.conv_id, a.turn, u.text AS prompt,
+  a.text || ' ' || CASE a.conv_id % 6 WHEN 0 THEN u.text WHEN 3 THEN lower(u.text) ELSE '' END AS response
+  FROM conversations a JOIN conversations u ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE a.role = 'assistant') AS t WHERE contains(response, prompt)"""
 
-T3 = """SELECT a.conv_id, a.turn, string_split(u.text, ' ')[1] AS prompt FROM conversations a JOIN conversations u
-ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE a.role = 'assistant' AND contains(a.text, string_split(u.text, ' ')[1])"""
+
+def a9e_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct texts by the stateful form, over the table as a stream."""
+    docs = table(spark, sf_dir, "documents")
+    # A stream reads folders; the table may be one file.
+    at = scratch(spark, "stream")
+    docs.select(F.col("text").alias("value")).write.parquet(f"{at}/in")
+    stream = spark.readStream.schema("value string").parquet(f"{at}/in")
+    streams.append_to(streams.dedup_lines(stream).select("digest"), f"{at}/out", f"{at}/state").awaitTermination()
+    return spark.read.schema("digest string").json(f"{at}/out")
 
 
 def x4_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,13 +293,20 @@ def x4_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 X4 = """SELECT s.split, CAST(coalesce(sum(length(d.text) - length(replace(d.text, chr(10), '')) + 1) FILTER (WHERE length(d.text) > 0), 0) AS BIGINT) AS n_lines
 FROM (VALUES ('en'), ('de'), ('fr'), ('es'), ('none')) AS s(split) LEFT JOIN documents d ON d.lang = s.split GROUP BY s.split"""
 
+A10 = "SELECT CAST(count(*) AS INT) AS n, md5(string_agg(role || ':' || text, chr(10) ORDER BY turn)) AS digest FROM conversations WHERE conv_id % 10 <> 0 GROUP BY conv_id"
+_EVAL = ", ".join("('" + f"{i}:{p}".replace("'", "''") + "')" for i, p in EVAL_PROMPTS)
+
 QUERIES = {f.__name__: f for f in (
-    a2_source_stats, a3_decode, a4_source_cap, a5_extract_functions, a6_prompt_template, a7_completion, a8_examples, a9_dedup,
+    a2_files, a3_decode, a4_source_cap, a5_extract_functions, a6_prompt_template, a7_completion, a8_examples, a9_dedup,
     a9_split, a9_domain_counts, a10_messages, e3_chat, e4_validate, e10_truncate, g2_token_count, t1_leakage, t2_intersection,
-    t3_contains, x4_line_counts,
+    t3_contains, x4_line_counts, x1_prefix, x5_cached_splits, e2_fallback, a9e_stream_dedup,
 )}
 ORACLES = {
-    "a2_source_stats": "SELECT source, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY source",
+    "a2_files": A2,
+    "x1_prefix": X1P,
+    "x5_cached_splits": f"SELECT *, 'train' AS split FROM ({A10}) AS t UNION ALL SELECT *, 'val' FROM ({A10.replace('<> 0', '= 0')}) AS v",
+    "e2_fallback": f"SELECT n, digest FROM ({A10.replace('WHERE conv_id % 10 <> 0', '')}) AS t UNION ALL SELECT 0, md5(x) FROM (VALUES {_EVAL}) AS v(x)",
+    "a9e_stream_dedup": "SELECT DISTINCT md5(text) AS digest FROM documents",
     "a3_decode": A3,
     "a4_source_cap": A4,
     "a5_extract_functions": A5,
@@ -224,8 +315,8 @@ ORACLES = {
     "a8_examples": A8,
     "a9_dedup": A9,
     "a9_split": A9X,
-    "a9_domain_counts": "SELECT source, count(*) AS n FROM documents GROUP BY source",
-    "a10_messages": "SELECT conv_id, CAST(count(*) AS INT) AS n, md5(string_agg(role || ':' || text, chr(10) ORDER BY turn)) AS digest FROM conversations GROUP BY conv_id",
+    "a9_domain_counts": "SELECT source AS domain, count(*) AS n FROM documents GROUP BY source",
+    "a10_messages": A10,
     "e3_chat": "SELECT conv_id, string_agg('<|' || role || '|>' || chr(10) || text || chr(10), '' ORDER BY turn) AS chat FROM conversations WHERE role IN ('user', 'assistant', 'system') GROUP BY conv_id",
     "e4_validate": E4,
     "e10_truncate": "SELECT doc_id, array_to_string(string_split(text, ' ')[1:32], ' ') AS head FROM documents",

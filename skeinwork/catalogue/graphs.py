@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tf
-from ..operators import graph, topics
-from .tables import table
+from ..operators import graph, inference, topics
+from ..plans.context_store import ContextStore
+from .tables import scratch, table
 
 
 def _contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,32 +59,40 @@ G5 = """SELECT DISTINCT l_partkey AS src, l_suppkey AS dst FROM lineitem
 WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 10) AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)"""
 
 
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors and a zero vector, which is similar to none."""
+    zero = spark.sql("SELECT -1L AS vec_id, array_repeat(0f, 64) AS embedding, 0 AS label")
+    return table(spark, sf_dir, "embeddings").unionByName(zero)
+
+
 def _first_vector(spark: SparkSession, sf_dir: str) -> list[float]:
     return list(table(spark, sf_dir, "embeddings").orderBy("vec_id").select("embedding").first()[0])
 
 
 def g6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = graph.nearest(table(spark, sf_dir, "embeddings"), _first_vector(spark, sf_dir), 10, "vec_id")
+    found = graph.nearest(_embeddings(spark, sf_dir), _first_vector(spark, sf_dir), 10, "vec_id")
     return found.select("vec_id", F.round("score", 6).alias("score"))
 
 
 def g6_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector whose id 50 divides asks; all answer."""
-    e = table(spark, sf_dir, "embeddings")
-    found = graph.nearest_batch(e, e.filter("vec_id % 50 = 0"), 10, "vec_id")
+    """Every vector whose id 50 divides asks, and the zero vector; all answer."""
+    e = _embeddings(spark, sf_dir)
+    found = graph.nearest_batch(e, e.filter("vec_id % 50 = 0 or vec_id = -1"), 10, "vec_id")
     return found.select("query_id", "rank", F.round("score", 6).alias("score"))
 
 
 COSINE = """list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: a.embedding[i]::DOUBLE * b.embedding[i]::DOUBLE))
   / sqrt(list_sum(list_transform(a.embedding, lambda x: x::DOUBLE * x::DOUBLE)) * list_sum(list_transform(b.embedding, lambda x: x::DOUBLE * x::DOUBLE)))"""
-SIMILAR = f"s AS (SELECT b.vec_id, {COSINE} AS score FROM embeddings a CROSS JOIN embeddings b WHERE a.vec_id = (SELECT min(vec_id) FROM embeddings))"
-G6B = f"""SELECT query_id, rank, score FROM (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INT) AS rank, round(score, 6) AS score FROM (
-  SELECT a.vec_id AS query_id, b.vec_id AS id, {COSINE} AS score FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0) AS t) AS u WHERE rank <= 10"""
+E = """e AS (SELECT * FROM (SELECT vec_id, embedding, label FROM embeddings UNION ALL SELECT -1, list_transform(range(64), lambda x: 0::FLOAT), 0) AS t
+  WHERE list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) > 0)"""
+SIMILAR = f"{E}, s AS (SELECT b.vec_id, {COSINE} AS score FROM e a CROSS JOIN e b WHERE a.vec_id = (SELECT min(vec_id) FROM embeddings))"
+G6B = f"""WITH {E} SELECT query_id, rank, score FROM (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INT) AS rank, round(score, 6) AS score FROM (
+  SELECT a.vec_id AS query_id, b.vec_id AS id, {COSINE} AS score FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0) AS t) AS u WHERE rank <= 10"""
 
 
 def g6_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best 20 first, then those over the threshold, with their label's and place's neighbours."""
-    e = table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "id")
+    e = _embeddings(spark, sf_dir).withColumnRenamed("vec_id", "id")
     labels = e.select(F.concat(F.lit("l"), F.col("label")).alias("id")).distinct().withColumn("name", F.col("id"))
     edges = e.select(F.col("id").alias("src"), F.concat(F.lit("l"), F.col("label")).alias("dst"))
     found = graph.search(e, _first_vector(spark, sf_dir), {"labels": (edges, labels, "name")}, 20, 0.3)
@@ -159,13 +168,12 @@ def g9_topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def g10_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents; the SQL holds those of ASCII only, as the engines' word boundaries differ beyond."""
     return topics.topics(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 _STOP = ", ".join(f"'{w}'" for w in topics.STOP_WORDS)
 G10 = rf"""WITH w AS (SELECT doc_id, unnest(ws) AS name, unnest(range(len(ws))) AS at FROM (
-  SELECT doc_id, regexp_extract_all(lower(text), '\b[a-zA-Z_]\w*\b') AS ws FROM documents WHERE strlen(text) = length(text)) AS t),
+  SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+'), lambda w: regexp_matches(w, '^[a-z_]')) AS ws FROM documents) AS t),
 c AS (SELECT doc_id, name, count(*) AS frequency, min(at) AS first_at FROM w WHERE length(name) >= 2 AND name NOT IN ({_STOP}) GROUP BY doc_id, name)
 SELECT doc_id, name, frequency, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY frequency DESC, first_at) AS rank FROM c) AS u WHERE rank <= 5""".replace(" AS at ", " AS ix ").replace("min(at)", "min(ix)")
 
@@ -206,31 +214,76 @@ SELECT id AS src, prev AS dst FROM c WHERE prev IS NOT NULL AND id % 1000 <> 0 A
 
 
 def g15_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every table that new contexts make."""
-    c = _contexts(spark, sf_dir).select(
-        "id", F.substring("full_text", 1, 20).alias("summary"), "full_text", "session_id", F.lit("p").alias("project"), "timestamp",
+    """The rows of every table that new contexts make; each text names a file and a function."""
+    made = graph.ingest(_inputs(spark, sf_dir))
+    shown = {
+        "contexts": ("id", "summary", "session_id", "token_count"), "sessions": ("session_id", "project"), "topics": ("id", "name"),
+        "entities": ("entity", "file_path", "name", "entity_type"), "belongs_to": ("src", "dst"), "follows": ("src", "dst"),
+        "contains_topic": ("src", "dst"), "references_code": ("src", "dst"),
+    }
+    parts = [made[name].select(F.lit(name).alias("part"), F.concat_ws("|", *columns).alias("line")) for name, columns in shown.items()]
+    both = parts[0]
+    for x in parts[1:]:
+        both = both.unionByName(x)
+    return both
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contexts as they are stored: a turn, with a file by its number and a function by its role."""
+    named = F.concat("full_text", F.lit(" see src/turn_"), (F.col("id") % 1000).cast("string"), F.lit(".c and def run_"), "role", F.lit("(x)"))
+    return _contexts(spark, sf_dir).select(
+        F.col("id").cast("string").alias("id"), F.substring("full_text", 1, 20).alias("summary"), named.alias("full_text"),
+        F.col("session_id").cast("string").alias("session_id"), F.lit("p").alias("project"), "timestamp",
         F.array(F.lit(1.0)).cast("array<float>").alias("embedding"), F.array("role", F.lit("all")).alias("topics"),
     )
-    counts = [df.select(F.lit(name).alias("part")) for name, df in graph.ingest(c).items()]
-    both = counts[0]
-    for x in counts[1:]:
-        both = both.unionByName(x)
-    return both.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
-G15 = """WITH c AS (SELECT conv_id, turn, role FROM conversations), n AS (SELECT count(*) AS n, count(DISTINCT conv_id) AS s, count(DISTINCT role) AS r FROM c)
-SELECT 'contexts' AS part, n FROM n UNION ALL SELECT 'belongs_to', n FROM n UNION ALL SELECT 'sessions', s FROM n UNION ALL SELECT 'topics', r + 1 FROM n
-UNION ALL SELECT 'follows', n - s FROM n UNION ALL SELECT 'contains_topic', 2 * n FROM n"""
+G15 = r"""WITH c AS (SELECT CAST(conv_id * 1000 + turn AS VARCHAR) AS id, CAST(conv_id AS VARCHAR) AS s, turn, role, text,
+    CAST(lag(conv_id * 1000 + turn) OVER (PARTITION BY conv_id ORDER BY turn) AS VARCHAR) AS prev,
+    'src/turn_' || (conv_id * 1000 + turn) % 1000 || '.c' AS file, 'turn_' || (conv_id * 1000 + turn) % 1000 AS stem,
+    len(list_filter(regexp_split_to_array(text || ' see src/turn_1.c and def run_x(x)', '\s+'), lambda w: w <> '')) AS tokens FROM conversations)
+SELECT 'contexts' AS part, concat_ws('|', id, substr(text, 1, 20), s, tokens) AS line FROM c
+UNION ALL SELECT DISTINCT 'sessions', s || '|p' FROM c UNION ALL SELECT DISTINCT 'topics', role || '|' || role FROM c UNION ALL SELECT 'topics', 'all|all'
+UNION ALL SELECT DISTINCT 'entities', file || chr(31) || stem || '|' || file || '|' || stem || '|file' FROM c
+UNION ALL SELECT DISTINCT 'entities', chr(31) || 'run_' || role || '||run_' || role || '|function' FROM c
+UNION ALL SELECT 'belongs_to', id || '|' || s FROM c UNION ALL SELECT 'follows', id || '|' || prev FROM c WHERE prev IS NOT NULL
+UNION ALL SELECT 'contains_topic', id || '|' || role FROM c UNION ALL SELECT 'contains_topic', id || '|all' FROM c
+UNION ALL SELECT 'references_code', id || '|' || file || chr(31) || stem FROM c UNION ALL SELECT 'references_code', id || '|' || chr(31) || 'run_' || role FROM c"""
+
+
+def g13_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors by a stand-in for a model: the length, and how often there is an e."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = inference.embed(docs, lambda texts: [[float(len(t)), float(t.count("e"))] for t in texts], "text")
+    return made.select("doc_id", F.col("embedding")[0].alias("n"), F.col("embedding")[1].alias("n_e"))
+
+
+def _store(spark: SparkSession, sf_dir: str) -> ContextStore:
+    """A store on disk with all turns, in two batches of which one is stored twice."""
+    store = ContextStore(spark, scratch(spark, "store"), lambda texts: [[1.0]] * len(texts), lambda: None)
+    store.init_schema()
+    inputs = _inputs(spark, sf_dir)
+    for batch, part in (("a", 0), ("b", 1), ("a", 0)):
+        store.store_batch(inputs.filter(F.col("id") % 2 == part), batch)
+    return store
 
 
 def g17_execute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table(spark, sf_dir, "documents").createOrReplaceTempView("skeinwork_documents")
-    return spark.sql("SELECT doc_id, lang FROM skeinwork_documents WHERE lang = :lang AND n_chars > :n", args={"lang": "de", "n": 500})
+    sql = "SELECT c.id, t.dst AS topic FROM store_contexts c JOIN store_contains_topic t ON t.src = c.id WHERE c.token_count > :n AND t.dst <> :topic"
+    return _store(spark, sf_dir).execute(sql, n=20, topic="all")
+
+
+def g18_file_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir).file_history("src/turn_2.c").select("id", "session_id")
+
+
+def g18_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir).topics_with_counts().select("name", "context_count")
 
 
 QUERIES = {f.__name__: f for f in (
     g1_unique, g3_upsert, g4_follows, g4_latest, g5_edges, g6_topk, g6_topk_batch, g6_threshold, g7_neighbours, g8_by_topic, g8_by_file,
-    g8_history, g8_chain, g9_topic_counts, g10_topics, g11_entities, g12_delete, g15_ingest, g17_execute,
+    g8_history, g8_chain, g9_topic_counts, g10_topics, g11_entities, g12_delete, g13_embed, g15_ingest, g17_execute, g18_file_history, g18_topics,
 )}
 ORACLES = {
     "g1_unique": "SELECT md5(text) AS digest, count(*) AS n FROM documents GROUP BY md5(text) HAVING count(*) > 1",
@@ -251,5 +304,9 @@ ORACLES = {
     "g11_entities": G11,
     "g12_delete": G12,
     "g15_ingest": G15,
-    "g17_execute": "SELECT doc_id, lang FROM documents WHERE lang = 'de' AND n_chars > 500",
+    "g13_embed": "SELECT doc_id, CAST(length(text) AS FLOAT) AS n, CAST(length(text) - length(replace(text, 'e', '')) AS FLOAT) AS n_e FROM documents",
+    "g17_execute": r"""SELECT CAST(conv_id * 1000 + turn AS VARCHAR) AS id, role AS topic FROM conversations
+      WHERE len(list_filter(regexp_split_to_array(text || ' see src/turn_1.c and def run_x(x)', '\s+'), lambda w: w <> '')) > 20""",
+    "g18_file_history": "SELECT CAST(conv_id * 1000 + turn AS VARCHAR) AS id, CAST(conv_id AS VARCHAR) AS session_id FROM conversations WHERE (conv_id * 1000 + turn) % 1000 = 2",
+    "g18_topics": "SELECT role AS name, count(*) AS context_count FROM conversations GROUP BY role UNION ALL SELECT 'all', count(*) FROM conversations",
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tf
-from ..operators import manifest
+from ..operators import manifest, monitor
 from .tables import table
 
 PREFIXES = [("http://m.", "mobile"), ("http://", "plain"), ("https://www.", "www"), ("https://m.", "mobile")]
@@ -45,7 +45,7 @@ def x3_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x6_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _files(spark, sf_dir).agg(F.sum("length").alias("total_size"))
+    return manifest.with_totals(_files(spark, sf_dir)).filter("domain is null").select("total_size")
 
 
 def x7_format_size(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,8 @@ SELECT '{"domains":[' || string_agg('{"domain":"' || source || '","file_count":'
 
 
 def x10_first_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").filter("value > 100").orderBy("event_id").limit(10).select("event_id", "event_type")
+    results = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("value") <= 100).alias("passed"))
+    return monitor.first_failures(results, "event_id").select("event_id", "event_type")
 
 
 QUERIES = {f.__name__: f for f in (

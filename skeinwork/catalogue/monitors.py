@@ -97,11 +97,11 @@ def t13_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def t13_label_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Largest over smallest squared norm within each label."""
-    n = table(spark, sf_dir, "embeddings").select("label", vf.dot(F.slice("embedding", 1, 8), F.slice("embedding", 1, 8)).alias("n"))
+    n = table(spark, sf_dir, "embeddings").select("label", vf.dot(F.col("embedding"), F.col("embedding")).alias("n"))
     return n.groupBy("label").agg(F.round(F.max("n") / F.min("n"), 4).alias("ratio"))
 
 
-T13R = """WITH t AS (SELECT label, list_sum(list_transform(embedding[1:8], lambda x: x::DOUBLE * x::DOUBLE)) AS n FROM embeddings)
+T13R = """WITH t AS (SELECT label, list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) AS n FROM embeddings)
 SELECT label, round(max(n) / min(n), 4) AS ratio FROM t GROUP BY label"""
 
 
@@ -115,12 +115,12 @@ T14 = """SELECT event_id, round((CASE WHEN event_id < 100 THEN 2e-4 * event_id /
 
 
 def t15_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = vf.softmax(F.slice("embedding", 1, 8), 0.5)
+    p = vf.softmax(F.col("embedding"), 0.5)
     rows = table(spark, sf_dir, "embeddings").select("vec_id", p.alias("p"))
     return rows.select("vec_id", F.round(F.array_max("p"), 6).alias("top"), F.array_position("p", F.array_max("p")).alias("place"))
 
 
-T15 = """WITH t AS (SELECT vec_id, list_transform(embedding[1:8], lambda x: exp(x::DOUBLE / 0.5)) AS e FROM embeddings)
+T15 = """WITH t AS (SELECT vec_id, list_transform(embedding, lambda x: exp(x::DOUBLE / 0.5)) AS e FROM embeddings)
 SELECT vec_id, round(list_max(e) / list_sum(e), 6) AS top, CAST(list_position(e, list_max(e)) AS BIGINT) AS place FROM t"""
 
 

@@ -6,27 +6,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import distill, inference
+from ..plans import epoch
 from ..plans.epoch import score_outputs
-from ..sources.fixed import EVAL_PROMPTS, SAMPLE_PROMPTS
-from .tables import table
+from ..schemas import CORRECTION
+from ..sources.files import accumulated_corrections, append_metrics, read_prompts, write_corrections, write_single_json
+from ..sources.fixed import CORRECTION_SYSTEM, EVAL_PROMPTS, SAMPLE_PROMPTS, TEACHER_SYSTEM
+from . import distillation
+from .tables import code_rows, scratch, table
 
 NOW = "2024-01-01T00:00:00"
 
 
-def stand_in(prompt: str) -> dict:
-    """A service that answers in upper case, and fails on some prompts."""
+def stand_in(prompt: str, system: str | None = None) -> dict:
+    """A service that repeats what it was told first, and fails on some prompts."""
     if len(prompt) % 11 == 0:
         raise inference.ServiceError("AccessDenied", "no access")
     if len(prompt) % 13 == 0:
         return {"content": []}
-    return {"content": [{"text": "// " + prompt[:10]}], "usage": {"input_tokens": len(prompt), "output_tokens": 7}}
+    return {"content": [{"text": f"// {(system or '')[:19]}" + prompt[:10]}], "usage": {"input_tokens": len(prompt), "output_tokens": 7}}
 
 
 def b2_sample_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Built-in prompts by id, and in which of the two lists they stand."""
+    """Built-in prompts, and in which of the two lists they stand."""
     rows = [(i, p, "sample") for i, p in SAMPLE_PROMPTS] + [(i, p, "eval") for i, p in EVAL_PROMPTS]
-    listed = spark.createDataFrame(rows, "id string, prompt string, kind string")
-    return listed.groupBy("id").agg(F.count(F.lit(1)).alias("n_lists"))
+    return spark.createDataFrame(rows, "id string, prompt string, kind string")
+
+
+def b1_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts as they are read from JSON lines."""
+    return read_prompts(spark, _prompt_file(spark, sf_dir))
+
+
+def _prompt_file(spark: SparkSession, sf_dir: str) -> str:
+    """User turns in order as JSON lines in one file; every fourth lacks its id."""
+    path = scratch(spark, "prompts")
+    c = table(spark, sf_dir, "conversations").filter("role = 'user'").orderBy("conv_id", "turn")
+    named = F.when(F.col("turn") % 4 != 0, (F.col("conv_id") * 1000 + F.col("turn")).cast("string"))
+    c.select(named.alias("id"), F.col("text").alias("prompt")).coalesce(1).write.json(path)
+    return path
+
+
+ASKED = """a AS (SELECT CASE WHEN turn % 4 <> 0 THEN CAST(conv_id * 1000 + turn AS VARCHAR) END AS id, text AS prompt,
+  CAST(row_number() OVER (ORDER BY conv_id, turn) - 1 AS VARCHAR) AS place FROM conversations WHERE role = 'user')"""
+
+
+def b6_default_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers to all prompts; one without an id goes by its place."""
+    done = inference.generate(b1_prompts(spark, sf_dir), stand_in, NOW, workers=4, system=TEACHER_SYSTEM)
+    return done.select("id", "success", "response")
+
+
+def b5_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that is asked for in part, and then as a whole: the first answers stay."""
+    path, prompts = scratch(spark, "answers"), _prompts(spark, sf_dir)
+    inference.generate_once(prompts.filter("CAST(id AS long) % 3 = 0"), stand_in, "first", path, parts=2, workers=2)
+    done = inference.generate_once(prompts, stand_in, "then", path, parts=3, workers=2)
+    return done.select("id", "response", "success", "timestamp")
 
 
 def b3_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,12 +76,14 @@ def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def b3b_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = inference.generate(_prompts(spark, sf_dir), stand_in, NOW, workers=4)
+    """With the teacher's system prompt, of which the stand-in repeats the beginning."""
+    done = inference.generate(_prompts(spark, sf_dir), stand_in, NOW, workers=4, system=TEACHER_SYSTEM)
     return done.select("id", "response", "success", "error", "usage.output_tokens", "timestamp")
 
 
+_TOLD = TEACHER_SYSTEM[:19].replace("'", "''")
 PROMPTS = "p AS (SELECT CAST(conv_id * 1000 + turn AS VARCHAR) AS id, text, length(text) AS n FROM conversations WHERE role = 'user' AND conv_id % 10 <> 0)"
-DONE = f"""{PROMPTS}, done AS (SELECT id, CASE WHEN n % 11 <> 0 AND n % 13 <> 0 THEN '// ' || substr(text, 1, 10) END AS response,
+DONE = f"""{PROMPTS}, done AS (SELECT id, CASE WHEN n % 11 <> 0 AND n % 13 <> 0 THEN '// {_TOLD}' || substr(text, 1, 10) END AS response,
   n % 11 <> 0 AND n % 13 <> 0 AS success, CASE WHEN n % 11 = 0 THEN 'no access' WHEN n % 13 = 0 THEN 'Empty response' END AS error,
   CASE WHEN n % 11 <> 0 AND n % 13 <> 0 THEN CAST(7 AS BIGINT) END AS output_tokens FROM p)"""
 
@@ -74,18 +111,73 @@ P1 = """SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'answer ' || event_id WHE
   CASE event_id % 3 WHEN 0 THEN event_id % 9 ELSE 0 END AS output_tokens FROM events"""
 
 
+def correct(prompt: str, system: str | None = None) -> dict:
+    """A teacher whose answer tells what it was asked; on some prompts it has none."""
+    if len(prompt) % 7 == 0:
+        return {"content": []}
+    return {"content": [{"text": f"{(system or '')[:12]} {len(prompt)}"}]}
+
+
+def _poor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = distillation._scored(spark, sf_dir).select(F.col("n").cast("string").alias("id"), "prompt", "output", "score")
+    return scored.filter("score < 8.5")
+
+
 def d4_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").filter("role = 'assistant'")
-    outputs = turns.select((F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("id"), F.lit("tsn").alias("prompt"), F.col("text").alias("output"))
-    poor = distill.worst(score_outputs(outputs), "id", 10.0, 40)
-    fixed = inference.corrections(poor, lambda p: {"content": [{"text": "ok"}]}, 3, NOW, workers=2)
-    return fixed.select(F.count(F.lit(1)).over(_all()).alias("n"), "epoch", F.substring_index("id", "_", -2).alias("suffix"), "teacher_correction").distinct()
+    """Corrections of every turn under the threshold, each answer asked for once."""
+    fixed = inference.corrections(_poor(spark, sf_dir), correct, 3, NOW, workers=2, path=scratch(spark, "answers"))
+    return fixed.select("id", F.md5("original_prompt").alias("prompt"), "student_score", "teacher_correction", "epoch")
+
+
+def d10_corrections_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two epochs' corrections as JSON lines, accumulated; the second epoch's are written twice."""
+    folder, poor = scratch(spark, "corrections"), _poor(spark, sf_dir)
+    for epoch in (1, 2, 2):
+        made = inference.corrections(poor.filter(F.length("output") % 2 == epoch - 1), correct, epoch, NOW, workers=2)
+        own = write_corrections(made, folder, epoch)
+    kept = spark.read.schema(CORRECTION).json(accumulated_corrections(folder)).unionByName(own.withColumn("epoch", F.lit(0)))
+    return kept.groupBy("epoch").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"), F.sum(F.size("messages")).cast("long").alias("n_messages"))
+
+
+D4 = f"""WITH {distillation.SCORED}, poor AS (SELECT n, prompt, output, score, length('{distill.CORRECTION_HEAD.replace("'", "''")}' || prompt || '{distill.CORRECTION_SCORED}' ||
+  printf('%.1f', score) || '{distill.CORRECTION_OUTPUT}' || output || '{distill.CORRECTION_TAIL.replace("'", "''")}') AS chars FROM scored WHERE score < 8.5),
+fixed AS (SELECT * FROM poor WHERE chars % 7 <> 0)"""
+_CORRECT = CORRECTION_SYSTEM[:12].replace("'", "''")
+
+
+def d9_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of all runs' epochs, appended epoch by epoch of the first three, and read again."""
+    path, checked = scratch(spark, "metrics"), distillation._checked(spark, sf_dir)
+    for epoch in (1, 2, 3):
+        append_metrics(checked.filter(F.col("epoch") == epoch).select("run", "epoch", "reason"), path)
+    return spark.read.schema("run long, epoch int, reason string").json(path)
+
+
+def d11_summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of one run as a JSON file."""
+    path = scratch(spark, "summary")
+    summary = distill.run_summary(distillation._checked(spark, sf_dir)).filter("run = 7")
+    write_single_json(summary.select("run", "total_epochs", "total_corrections", "converged", "reason"), path)
+    return spark.read.schema("run long, total_epochs long, total_corrections long, converged boolean, reason string").json(path)
+
+
+def d17_evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prompts that an epoch evaluates (the first 20, as the feature asks)."""
+    return epoch.evaluated(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("prompt")), 20, "id")
+
 
+def q0_outputs_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts with the outputs of their ids, whatever the order of either."""
+    turns = table(spark, sf_dir, "conversations")
+    prompts = turns.filter("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn") + 1).alias("id"), F.col("text").alias("prompt"))
+    outputs = turns.filter("role = 'assistant'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("output"))
+    return epoch.with_outputs(prompts, outputs.orderBy(F.desc("id")))
 
-def _all():  # noqa: ANN202
-    from pyspark.sql import Window
 
-    return Window.partitionBy(F.lit(1))
+def q4_compiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole scores with the executors' C compiler in place of the syntax rules."""
+    outputs = code_rows(spark, sf_dir).select("id", "prompt", F.col("code").alias("output"))
+    return score_outputs(outputs, compiler=True).select("id", F.col("quality.syntax").alias("syntax"), F.round("score", 6).alias("score"))
 
 
 def t11_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,15 +186,31 @@ def t11_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.groupBy("event_type").agg(F.sum(F.coalesce("u.output_tokens", F.lit(0))).alias("output_tokens"))
 
 
-QUERIES = {f.__name__: f for f in (b2_sample_prompts, b3_backoff, b3b_infer, b4_summary, b7_sorted, p1_parse, d4_corrections, t11_usage)}
-_SHARED = "('tsn_tas_001'), ('avb_srp_001'), ('tsn_ptp_001'), ('eth_frame_001')"
+QUERIES = {f.__name__: f for f in (
+    b1_prompts, b2_sample_prompts, b3_backoff, b3b_infer, b4_summary, b5_stored, b6_default_ids, b7_sorted, p1_parse, d4_corrections,
+    d9_metrics, d10_corrections_files, d11_summary_json, d17_evaluated, q0_outputs_by_id, q4_compiled, t11_usage,
+)}
+_LISTED = ", ".join("('%s', '%s', '%s')" % (i, p.replace("'", "''"), kind) for kind, listed in (("sample", SAMPLE_PROMPTS), ("eval", EVAL_PROMPTS)) for i, p in listed)
+_HALVES = f"""{D4}, h AS (SELECT CASE WHEN length(output) % 2 = 0 THEN 1 ELSE 2 END AS epoch FROM fixed)"""
 ORACLES = {
-    "b2_sample_prompts": f"SELECT id, CAST(2 AS BIGINT) AS n_lists FROM (VALUES {_SHARED}) AS t(id) UNION ALL SELECT id, 1 FROM (VALUES ('sensor_fusion_001'), ('tsn_cbs_001')) AS u(id)",
+    "b1_prompts": f"WITH {ASKED} SELECT id, prompt FROM a",
+    "b2_sample_prompts": f"SELECT * FROM (VALUES {_LISTED}) AS t(id, prompt, kind)",
+    "b5_stored": f"""WITH {DONE} SELECT id, replace(response, '{_TOLD}', '') AS response, success, CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN 'first' ELSE 'then' END AS timestamp FROM done""",
+    "b6_default_ids": f"""WITH {ASKED} SELECT coalesce(id, place) AS id, length(prompt) % 11 <> 0 AND length(prompt) % 13 <> 0 AS success,
+      CASE WHEN length(prompt) % 11 <> 0 AND length(prompt) % 13 <> 0 THEN '// {_TOLD}' || substr(prompt, 1, 10) END AS response FROM a WHERE prompt <> ''""",
     "b3_backoff": "SELECT DISTINCT event_id % 6 AS attempt, 0.1::DOUBLE * pow(2, event_id % 6) AS delay FROM events",
     "b3b_infer": f"WITH {DONE} SELECT id, response, success, error, output_tokens, '{NOW}' AS timestamp FROM done",
     "b4_summary": f"WITH {DONE} SELECT count(*) AS total, count(*) FILTER (WHERE success) AS successful, count(*) FILTER (WHERE NOT success) AS failed, CAST(coalesce(sum(output_tokens), 0) AS BIGINT) AS output_tokens FROM done",
-    "b7_sorted": "SELECT event_id AS id FROM events ORDER BY CAST(event_id AS VARCHAR) LIMIT 100",
+    "b7_sorted": "SELECT event_id AS id FROM events ORDER BY CAST(event_id AS VARCHAR)",
     "p1_parse": P1,
-    "d4_corrections": "SELECT least(count(*), 40) AS n, 3 AS epoch, 'correction_e3' AS suffix, 'ok' AS teacher_correction FROM conversations WHERE role = 'assistant'",
+    "d4_corrections": f"""{D4} SELECT n || '_correction_e3' AS id, md5(prompt) AS prompt, score AS student_score, '{_CORRECT} ' || chars AS teacher_correction, 3 AS epoch FROM fixed""",
+    "d9_metrics": f"WITH {distillation.EPOCHS}, {distillation.CHECKED} SELECT run, epoch, reason FROM checked WHERE epoch <= 3",
+    "d10_corrections_files": f"""{_HALVES} SELECT epoch, count(*) * epoch AS n, count(*) AS n_ids, CAST(count(*) * 2 * epoch AS BIGINT) AS n_messages FROM h GROUP BY epoch
+      UNION ALL SELECT 0, count(*), count(*), CAST(count(*) * 2 AS BIGINT) FROM h WHERE epoch = 2""",
+    "d11_summary_json": f"""WITH {distillation.EPOCHS}, {distillation.CHECKED} SELECT run, count(*) AS total_epochs, CAST(sum(n_corrections) AS BIGINT) AS total_corrections,
+      arg_max(reason IN ('score', 'rate'), epoch) AS converged, arg_max(reason, epoch) AS reason FROM checked WHERE run = 7 GROUP BY run""",
+    "d17_evaluated": "SELECT item_id AS id, text AS prompt FROM benchmark ORDER BY item_id LIMIT 20",
+    "q0_outputs_by_id": """SELECT u.conv_id * 1000 + u.turn + 1 AS id, u.text AS prompt, a.text AS output FROM conversations u JOIN conversations a
+      ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'""",
     "t11_usage": "SELECT event_type, CAST(sum(CASE event_id % 3 WHEN 0 THEN event_id % 9 ELSE 0 END) AS BIGINT) AS output_tokens FROM events GROUP BY event_type",
 }

@@ -127,9 +127,12 @@ def overall_score(syntax: Column, protocol: Column, safety: Column, style: Colum
     return terms[0] + terms[1] + terms[2] + terms[3]
 
 
-def quality(code: Column, prompt: Column) -> Column:
-    """struct<syntax, protocol, safety, style, overall> of extracted code."""
-    syntax, protocol = syntax_score(code), protocol_score(code, prompt)
+def quality(code: Column, prompt: Column, syntax: Column | None = None) -> Column:
+    """struct<syntax, protocol, safety, style, overall> of extracted code.
+
+    ``syntax`` is a compiler's score where there is one, else the rules' own.
+    """
+    syntax, protocol = syntax_score(code) if syntax is None else syntax, protocol_score(code, prompt)
     safety, style = safety_score(code), style_score(code)
     return F.struct(
         syntax.alias("syntax"),

@@ -52,6 +52,11 @@ def token_count(text: Column) -> Column:
     return F.size(F.filter(F.split(text, r"(?U)\s+"), lambda w: w != ""))
 
 
+def first_tokens(text: Column, n: int) -> Column:
+    """The first ``n`` tokens of a text parted by single blanks."""
+    return F.array_join(F.slice(F.split(text, " "), 1, n), " ")
+
+
 def code_block(text: Column) -> Column:
     """Bodies of fenced blocks joined by newlines; tilde fences next; else the text."""
 

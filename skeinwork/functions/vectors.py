@@ -16,15 +16,8 @@ def norm(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
-
-
-def normalise(a: Column) -> Column:
-    """Unit length; a zero vector stays as it is."""
-    length = norm(a)
-    return F.when(length > 0, F.transform(a, lambda x: x.cast("double") / length)).otherwise(
-        F.transform(a, lambda x: x.cast("double"))
-    )
+    """Null where a vector is zero, null or holds a null, or where the lengths differ."""
+    return F.when(F.size(a) == F.size(b), F.try_divide(dot(a, b), norm(a) * norm(b)))
 
 
 def softmax(logits: Column, temperature: float = 1.0) -> Column:

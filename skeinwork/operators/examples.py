@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +12,42 @@ from ..functions.text import strip
 from ..schemas import MESSAGES
 
 #: Fixed value: the head of a C function up to its opening brace.
-FUNCTION_HEAD = r"(?U)(?:static\s+)?(?:inline\s+)?(?:const\s+)?(\w+(?:\s*\*)*)\s+(\w+)\s*\(([^)]*)\)\s*\{"
+FUNCTION_HEAD = r"(?:static\s+)?(?:inline\s+)?(?:const\s+)?(\w+(?:\s*\*)*)\s+(\w+)\s*\(([^)]*)\)\s*\{"
+#: Fixed value: what examples name as their source.
+EXAMPLE_SOURCE = "automotive_codebase"
 #: Control words that the head also fits, as in ``else if (x) {``.
 CONTROL_WORDS = ["if", "for", "while", "switch", "return", "sizeof"]
 MIN_BODY = 50
 MIN_COMPLETION = 200
+FUNCTIONS = "array<struct<name:string,return_type:string,params:string,body:string,lines:int>>"
+#: A head that fits from within a word fits from the word's start too, unless it begins
+#: with one of the leading words; so other places in words need not be tried.
+_HEAD = re.compile(r"(?:(?<!\w)|(?=(?:static|inline|const)\s))" + FUNCTION_HEAD)
+_BRACE = re.compile(r"[{}]")
+
+
+def _closing(code: str) -> dict[int, int]:
+    """The place after the closing brace of each opening one, in one pass."""
+    found, open_ = {}, []
+    for m in _BRACE.finditer(code):
+        if m[0] == "{":
+            open_.append(m.start())
+        elif open_:
+            found[open_.pop()] = m.end()
+    return found
+
+
+def functions_of(code: str | None, strict: bool = False) -> list[dict]:
+    """The functions of one text; see ``functions_in``."""
+    heads = list(_HEAD.finditer(code or ""))
+    closing = _closing(code) if heads else {}
+    out = []
+    for m in heads:
+        body = code[m.start() : closing.get(m.end() - 1, len(code))]
+        if len(body) >= MIN_BODY and not (strict and m[2] in CONTROL_WORDS):
+            parts = {"name": m[2], "return_type": m[1], "params": m[3]}
+            out.append({k: v.strip() for k, v in parts.items()} | {"body": body, "lines": body.count("\n")})
+    return out
 
 
 def functions_in(code: Column, strict: bool = False) -> Column:
@@ -21,40 +55,16 @@ def functions_in(code: Column, strict: bool = False) -> Column:
 
     Heads are found in order; a body runs from its head to the brace that closes it,
     or to the end of the text.  Braces in strings and comments count.  Bodies under
-    50 characters are left out.  ``strict`` also leaves out control statements.
+    50 characters are left out.  ``strict`` also leaves out control statements.  Braces
+    are matched in one pass over the text, whatever the number of functions, which
+    Spark's array functions could only do with a copy of the text for each.
     """
-    heads = F.regexp_extract_all(code, F.lit(FUNCTION_HEAD), F.lit(0))
-    start = F.struct(F.lit(1).alias("cursor"), F.array().cast("array<struct<head:string,rest:string>>").alias("found"))
-
-    def locate(state: Column, head: Column) -> Column:
-        after = F.call_function("locate", head, code, state["cursor"]) + F.length(head)
-        entry = F.struct(head.alias("head"), F.substr(code, after).alias("rest"))
-        return F.struct(after.alias("cursor"), F.concat(state["found"], F.array(entry)).alias("found"))
-
-    def close(state: Column, piece: Column) -> Column:
-        step = F.when(piece.endswith("{"), 1).when(piece.endswith("}"), -1).otherwise(0)
-        open_ = state["depth"] > 0
-        return F.struct(
-            F.when(open_, state["depth"] + step).otherwise(state["depth"]).alias("depth"),
-            F.when(open_, state["used"] + 1).otherwise(state["used"]).alias("used"),
-        )
-
-    def record(x: Column) -> Column:
-        pieces = F.split(x["rest"], r"(?<=[{}])", -1)
-        state = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("used")), close)
-        body = F.concat(x["head"], F.array_join(F.slice(pieces, F.lit(1), state["used"]), ""))
-        part = lambda i: strip(F.regexp_extract(x["head"], FUNCTION_HEAD, i))
-        return F.struct(
-            part(2).alias("name"),
-            part(1).alias("return_type"),
-            part(3).alias("params"),
-            body.alias("body"),
-            (F.length(body) - F.length(F.replace(body, F.lit("\n")))).alias("lines"),
-        )
-
-    found = F.transform(F.aggregate(heads, start, locate)["found"], record)
-    kept = F.filter(found, lambda f: F.length(f["body"]) >= MIN_BODY)
-    return F.filter(kept, lambda f: ~f["name"].isin(*CONTROL_WORDS)) if strict else kept
+
+    @F.pandas_udf(FUNCTIONS)
+    def found(codes: pd.Series) -> pd.Series:
+        return pd.Series([functions_of(c, strict) for c in codes])
+
+    return found(code)
 
 
 def extract_functions(files: DataFrame, code: str = "code", strict: bool = False) -> DataFrame:
@@ -102,7 +112,7 @@ def function_examples(functions: DataFrame, contexts: Column, key: list[str], se
     metadata = F.struct(
         F.col("name").alias("function_name"),
         F.col("__context").alias("context"),
-        F.lit("extracted").alias("source"),
+        F.lit(EXAMPLE_SOURCE).alias("source"),
         F.lit(None).cast("string").alias("type"),
         F.col("domain"),
     )
@@ -131,7 +141,7 @@ def completion_examples(files: DataFrame, code: str = "code", ratio: float = 0.5
     )
     none = F.lit(None).cast("string")
     metadata = F.struct(
-        none.alias("function_name"), none.alias("context"), F.lit("completion").alias("source"), F.lit("code_completion").alias("type"), F.col("domain")
+        none.alias("function_name"), none.alias("context"), F.lit(EXAMPLE_SOURCE).alias("source"), F.lit("code_completion").alias("type"), F.col("domain")
     )
     return long_enough.filter("__p is not null").select(
         _messages(ask, fence(F.col("__p.suffix"))).alias("messages"), metadata.alias("metadata")

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import text as tf
 from ..functions import vectors as vf
 
-#: Query vectors that are sent to the executors at a time.
-QUERY_BLOCK = 1024
+#: Query vectors, and vectors, that are compared as one matrix.
+QUERY_BLOCK, VECTOR_BLOCK = 1024, 4096
 
 
 def upsert(rows: DataFrame, key: list[str], order: list[str], first: list[str], last: list[str]) -> DataFrame:
@@ -88,63 +88,67 @@ def delete_nodes(nodes: DataFrame, edges: DataFrame, gone: DataFrame) -> tuple[D
 
 
 def nearest(vectors: DataFrame, query: list[float], k: int = 10, key: str = "id", vector: str = "embedding") -> DataFrame:
-    """key, score of the ``k`` most similar vectors; ties by key.  Exact."""
+    """key, score of the ``k`` most similar vectors; ties by key.  Exact.
+
+    Vectors that have no similarity (zero, null, of another length) are left out; none
+    is similar to a zero query.
+    """
     q = F.array(*[F.lit(float(x)) for x in query])
-    scored = vectors.select(key, vf.cosine(F.col(vector), q).alias("score"))
+    scored = vectors.select(key, vf.cosine(F.col(vector), q).alias("score")).filter("score is not null")
     return scored.orderBy(F.desc("score"), key).limit(k or 10)
 
 
+def _blocks(rows: DataFrame, key: str, vector: str, size: int, name: str) -> DataFrame:
+    """dim, <name>, rows: vectors of one length in blocks of some ``size``, as arrays of (id, v)."""
+    usable = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    usable = usable.filter("id is not null and v is not null").withColumn("norm", vf.norm(F.col("v"))).filter("norm > 0")
+    n = max(1, -(-usable.count() // size))
+    unit = F.transform("v", lambda x: x / F.col("norm")).alias("v")
+    dealt = usable.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias(name), F.struct("id", unit).alias("x"))
+    return dealt.groupBy("dim", name).agg(F.collect_list("x").alias(f"{name}_rows"))
+
+
 def nearest_batch(
     vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "id", vector: str = "embedding"
 ) -> DataFrame:
-    """query_id, id, score, rank for every query: blocks of queries against all vectors.
+    """query_id, id, score, rank for every query: blocks of queries against blocks of vectors.
 
-    A block of at most QUERY_BLOCK queries is one matrix on the executors; each task
-    keeps its best ``k`` for each query, and only those meet.  A query is left out of
-    its own answers.
+    Both tables are read once, whatever the number of queries.  Blocks of vectors and of
+    queries meet as matrices; of each pair of blocks the best ``k`` of a query go on, and
+    only those meet.  A query is left out of its own answers; ties go by id.  Vectors
+    that are zero, null or of another length have no similarity and no rank.
     """
-    listed = queries.select(F.col(key).alias("q"), F.col(vector).alias("v")).toLocalIterator()
-    block, parts = [], []
-    for row in listed:
-        block.append((row["q"], row["v"]))
-        if len(block) == QUERY_BLOCK:
-            parts.append(_against(vectors, block, k, key, vector))
-            block = []
-    parts.append(_against(vectors, block, k, key, vector))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
-
-
-def _against(vectors: DataFrame, block: list, k: int, key: str, vector: str) -> DataFrame:
-    sent = vectors.sparkSession.sparkContext.broadcast(block)
+    asked = _blocks(queries, key, vector, QUERY_BLOCK, "q")
+    given = _blocks(vectors, key, vector, VECTOR_BLOCK, "b")
+    numbers = given.groupBy("dim").agg(F.collect_set("b").alias("bs"))
+    pairs = given.join(asked.join(numbers, "dim").select("dim", F.explode("bs").alias("b"), "q_rows"), ["dim", "b"])
     schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = np.array([q for q, _ in sent.value], dtype=np.int64)
-        best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * len(ids)
-        if len(ids):
-            asked = np.array([v for _, v in sent.value], dtype=np.float64)
-            asked /= np.linalg.norm(asked, axis=1, keepdims=True)
         for batch in batches:
-            if not len(ids) or not batch.num_rows:
-                continue
-            own = batch.column(0).to_numpy()
-            given = np.stack(batch.column(1).to_numpy(zero_copy_only=False)).astype(np.float64)
-            scores = asked @ (given / np.linalg.norm(given, axis=1, keepdims=True)).T
-            for i, q in enumerate(ids):
-                keys = np.concatenate([best[i][0], own[own != q]])
-                found = np.concatenate([best[i][1], scores[i][own != q]])
-                order = np.lexsort((keys, -found))[:k]
-                best[i] = (keys[order], found[order])
-        for q, (keys, found) in zip(ids, best, strict=True):
-            if len(keys):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), q)), pa.array(keys), pa.array(found)], schema=schema)
-
-    read = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).filter("id is not null and v is not null")
-    return read.mapInArrow(run, "query_id long, id long, score double")
+            for q_rows, b_rows in zip(batch.column(0), batch.column(1), strict=True):
+                (ids, asked_for), (own, known) = (_matrix(x.values) for x in (q_rows, b_rows))
+                scores = asked_for @ known.T
+                scores[ids[:, None] == own[None, :]] = -np.inf
+                if scores.shape[1] > k:
+                    least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+                else:
+                    least = np.full((len(ids), 1), -2.0)
+                rows, columns = np.nonzero((scores >= least) & (scores > -2))
+                order = np.lexsort((own[columns], -scores[rows, columns], rows))
+                rows, columns = rows[order], columns[order]
+                place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+                rows, columns = rows[place < k], columns[place < k]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(own[columns]), pa.array(scores[rows, columns])], schema=schema)
+
+    found = pairs.select("q_rows", "b_rows").mapInArrow(run, "query_id long, id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def _matrix(rows: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    ids = rows.field("id").to_numpy()
+    return ids, rows.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
 
 
 def search(contexts: DataFrame, query: list[float], kinds: dict, k: int = 10, least: float = 0.75) -> DataFrame:

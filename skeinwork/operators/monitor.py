@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,25 +13,42 @@ def early_stopping(log: DataFrame, run: str = "run", patience: int = 3, threshol
     """run, stop_step (null if it never stops), best: a fold over each run's eval losses.
 
     An evaluation improves if it is below the best by more than ``threshold``, and only
-    then moves the best.  Null losses are skipped; NaN never improves.
+    then moves the best.  Null losses are skipped; NaN never improves.  Runs stream past
+    in order of step, with three numbers of state, however long they are.
     """
-    points = F.sort_array(F.collect_list(F.struct("step", "loss")))
-    start = F.struct(
-        F.lit(None).cast("double").alias("best"), F.lit(0).alias("wait"), F.lit(None).cast("long").alias("stop")
-    )
-
-    def fold(state: Column, x: Column) -> Column:
-        better = ~F.isnan(x["loss"]) & (state["best"].isNull() | (x["loss"] < state["best"] - threshold))
-        wait = F.when(better, 0).otherwise(state["wait"] + 1)
-        done = state["stop"].isNotNull()
-        return F.struct(
-            F.when(done, state["best"]).when(better, x["loss"]).otherwise(state["best"]).alias("best"),
-            F.when(done, state["wait"]).otherwise(wait).alias("wait"),
-            F.when(done, state["stop"]).when(wait >= patience, x["step"].cast("long")).alias("stop"),
-        )
 
-    folded = log.filter("loss is not null").groupBy(run).agg(F.aggregate(points, start, fold).alias("s"))
-    return folded.select(run, F.col("s.stop").alias("stop_step"), F.col("s.best").alias("best"))
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, best, wait, stop = None, None, 0, None
+        started = False
+        for batch in batches:
+            runs, steps, losses = (batch.column(i) for i in range(3))
+            out: list[tuple] = []
+            for name, step, loss in zip(runs.to_pylist(), steps.to_pylist(), losses.to_pylist(), strict=True):
+                if not started or name != key:
+                    if started:
+                        out.append((key, stop, best))
+                    key, best, wait, stop, started = name, None, 0, None, True
+                if stop is not None:
+                    continue
+                if loss == loss and (best is None or loss < best - threshold):
+                    best, wait = loss, 0
+                else:
+                    wait += 1
+                if wait >= patience:
+                    stop = step
+            yield _rows(out, batch.schema.field(0).type)
+        if started:
+            yield _rows([(key, stop, best)], runs.type)
+
+    def _rows(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [(), (), ()]
+        kinds = (kind, pa.int64(), pa.float64())
+        return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)], names=["run", "stop_step", "best"])
+
+    points = log.select(F.col(run).alias("run"), F.col("step").cast("long").alias("step"), F.col("loss").cast("double").alias("loss")).filter("loss is not null")
+    ordered = points.repartition("run").sortWithinPartitions("run", "step", "loss")
+    kind = points.schema["run"].dataType.simpleString()
+    return ordered.mapInArrow(fold, f"run {kind}, stop_step long, best double").withColumnRenamed("run", run)
 
 
 def first_bad_loss(log: DataFrame, run: str = "run") -> DataFrame:
@@ -144,6 +164,11 @@ def pass_rates(results: DataFrame, by: str) -> DataFrame:
     )
 
 
+def first_failures(results: DataFrame, order: str, n: int = 10) -> DataFrame:
+    """The first ``n`` results that did not pass (a report)."""
+    return results.filter(~F.col("passed")).orderBy(order).limit(n)
+
+
 def trainable_share(parameters: DataFrame) -> DataFrame:
     """n, trainable, share over rows (n, trainable)."""
     all_, on = F.sum("n"), F.sum(F.when(F.col("trainable"), F.col("n")).otherwise(0))

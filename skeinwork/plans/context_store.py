@@ -23,6 +23,10 @@ INPUT = (
 )
 
 
+#: Rows of a page that comes to the driver as JSON.
+PAGE = 1000
+
+
 class ContextStore:
     """``encode`` turns texts into vectors; ``now`` gives the time of a write."""
 
@@ -82,24 +86,38 @@ class ContextStore:
             F.col("id").alias("context_id"), "summary", "full_text", F.col("timestamp").cast("string").alias("timestamp"),
             "token_count", F.col("score").alias("similarity_score"), "topics", "code_refs",
         )
-        return _json(shown)
+        return _json(shown, top_k, 0)
 
-    def get_topic_contexts(self, topic_name: str) -> str:
+    def topic_contexts(self, topic_name: str) -> DataFrame:
         made = self.tables()
-        return _json(graph.contexts_linked_to(made["contexts"], made["contains_topic"], made["topics"], F.col("name") == topic_name).drop("embedding"))
+        return graph.contexts_linked_to(made["contexts"], made["contains_topic"], made["topics"], F.col("name") == topic_name).drop("embedding")
 
-    def get_file_history(self, file_path: str) -> str:
+    def file_history(self, file_path: str) -> DataFrame:
         made = self.tables()
         nodes = made["entities"].select(F.col("entity").alias("id"), "file_path")
-        return _json(graph.contexts_linked_to(made["contexts"], made["references_code"], nodes, F.col("file_path") == file_path).drop("embedding"))
+        return graph.contexts_linked_to(made["contexts"], made["references_code"], nodes, F.col("file_path") == file_path).drop("embedding")
 
-    def get_session_history(self, session_id: str) -> str:
-        return _json(graph.session_history(self.tables()["contexts"], session_id).drop("embedding"))
+    def session_history(self, session_id: str) -> DataFrame:
+        return graph.session_history(self.tables()["contexts"], session_id).drop("embedding")
 
-    def list_topics(self) -> str:
+    def topics_with_counts(self) -> DataFrame:
         made = self.tables()
         nodes = made["topics"].withColumn("description", F.lit(""))
-        return _json(graph.topic_counts(nodes, made["contains_topic"]).orderBy(F.desc("context_count"), "name"))
+        return graph.topic_counts(nodes, made["contains_topic"]).orderBy(F.desc("context_count"), "name")
+
+    # The same as JSON texts, a page of at most ``limit`` rows from the row ``skip`` on.
+
+    def get_topic_contexts(self, topic_name: str, limit: int = PAGE, skip: int = 0) -> str:
+        return _json(self.topic_contexts(topic_name), limit, skip)
+
+    def get_file_history(self, file_path: str, limit: int = PAGE, skip: int = 0) -> str:
+        return _json(self.file_history(file_path), limit, skip)
+
+    def get_session_history(self, session_id: str, limit: int = PAGE, skip: int = 0) -> str:
+        return _json(self.session_history(session_id), limit, skip)
+
+    def list_topics(self, limit: int = PAGE, skip: int = 0) -> str:
+        return _json(self.topics_with_counts(), limit, skip)
 
     def execute(self, sql: str, **args: object) -> DataFrame:
         """SQL over the tables as views named ``store_<table>``."""
@@ -108,7 +126,8 @@ class ContextStore:
         return self.spark.sql(sql, args=args or None)
 
 
-def _json(rows: DataFrame) -> str:
-    """The rows, in their order, as a JSON list: for answers of a few rows."""
-    texts = rows.select(F.to_json(F.struct(*rows.columns))).collect()
+def _json(rows: DataFrame, limit: int, skip: int) -> str:
+    """A page of the rows, in their order, as a JSON list."""
+    page = rows.offset(skip).limit(limit) if skip else rows.limit(limit)
+    texts = page.select(F.to_json(F.struct(*rows.columns))).collect()
     return "[" + ", ".join(r[0] for r in texts) + "]"

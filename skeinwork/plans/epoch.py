@@ -2,27 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scoring import quality
 from ..functions.text import code_block
 from ..operators import distill, inference
+from ..sources.files import write_corrections
+
 
+def score_outputs(outputs: DataFrame, compiler: bool = False) -> DataFrame:
+    """``outputs`` (id, prompt, output) with ``quality`` and ``score``.
 
-def score_outputs(outputs: DataFrame) -> DataFrame:
-    """``outputs`` (id, prompt, output) with ``quality`` and ``score``."""
+    With ``compiler`` the syntax score is that of the executors' C compiler.
+    """
     code = outputs.withColumn("__code", code_block(F.col("output")))
-    return code.withColumn("quality", quality(F.col("__code"), F.col("prompt"))).withColumn("score", F.col("quality.overall")).drop("__code")
+    syntax = inference.compiled_score(F.col("__code")) if compiler else None
+    return code.withColumn("quality", quality(F.col("__code"), F.col("prompt"), syntax)).withColumn("score", F.col("quality.overall")).drop("__code")
+
+
+def evaluated(prompts: DataFrame, n: int, order: str) -> DataFrame:
+    """The first ``n`` prompts in order, which an epoch evaluates."""
+    return prompts.orderBy(order).limit(n)
+
+
+def with_outputs(prompts: DataFrame, outputs: DataFrame) -> DataFrame:
+    """id, prompt, output of the prompts that have an output: matched by id, never by place."""
+    return prompts.select("id", "prompt").join(outputs.select("id", "output"), "id")
 
 
 def run_epoch(
-    outputs: DataFrame, training: DataFrame, client: Callable[[str], dict], epoch: int, now: str
+    outputs: DataFrame, training: DataFrame, client: inference.Client, epoch: int, now: str, folder: str, compiler: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(summary, corrections, next training set)."""
-    scored = score_outputs(outputs)
+    """(summary, corrections, next training set).
+
+    The teacher's answers and the corrections are stored below ``folder``, and read
+    from there, so no later action asks the teacher again.
+    """
+    scored = score_outputs(outputs, compiler)
     poor = distill.worst(scored, "id")
-    fixed = inference.corrections(poor, client, epoch, now)
+    made = inference.corrections(poor, client, epoch, now, path=f"{folder}/epoch_{epoch}_answers.jsonl")
+    fixed = write_corrections(made, folder, epoch)
     return distill.score_summary(scored), fixed, distill.append_corrections(training, fixed)

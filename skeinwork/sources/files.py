@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import decode_code
-from ..schemas import PROMPT, SPLIT_LINE
+from ..operators.manifest import listing
+from ..schemas import CORRECTION, PROMPT, SPLIT_LINE
+from .fixed import EVAL_PROMPTS
 
 #: Suffixes of code files, in the order in which they are listed.
 EXTENSIONS = [".c", ".h", ".cpp", ".cc", ".cxx", ".txt"]
@@ -86,9 +88,35 @@ def append_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("append").json(path)
 
 
-def write_corrections(corrections: DataFrame, path: str) -> None:
-    """One folder an epoch; a repeated epoch replaces its own folder only."""
-    corrections.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("epoch").parquet(path)
+def write_corrections(corrections: DataFrame, folder: str, epoch: int) -> DataFrame:
+    """JSON lines of an epoch's corrections, also appended to those of all epochs; read back.
+
+    A repeated epoch replaces its own lines, and is appended once more.
+    """
+    spark, own = corrections.sparkSession, f"{folder}/epoch_{epoch}_corrections.jsonl"
+    corrections.write.mode("overwrite").json(own)
+    written = spark.read.schema(CORRECTION).json(own)
+    written.write.mode("append").json(accumulated_corrections(folder))
+    return written
+
+
+def accumulated_corrections(folder: str) -> str:
+    return f"{folder}/accumulated_corrections.jsonl"
+
+
+def load_datasets(spark: SparkSession, train_dir: str, output_dir: str, eval_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The training split, or else the accumulated corrections; evaluation prompts, or else the built-in ones."""
+    train = first_existing(spark, [f"{train_dir}/train.jsonl", accumulated_corrections(f"{output_dir}/corrections")])
+    prompts = f"{eval_dir}/eval_prompts.jsonl"
+    if exists(spark, prompts):
+        return train, read_prompts(spark, prompts)
+    return train, spark.createDataFrame(EVAL_PROMPTS, PROMPT)
+
+
+def list_files(spark: SparkSession, prefix: str) -> DataFrame:
+    """path, length of every file below a prefix, folders' empty keys left out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(prefix)
+    return listing(files.select("path", "length"))
 
 
 def write_single_json(row: DataFrame, path: str) -> None:

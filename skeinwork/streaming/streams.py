@@ -35,12 +35,6 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
-def windowed_counts(events: DataFrame, at: str, by: str, width: str, delay: str) -> DataFrame:
-    """Counts by window and ``by``, final once the watermark has passed."""
-    counted = events.withWatermark(at, delay).groupBy(F.window(at, width), by)
-    return counted.agg(F.count(F.lit(1)).alias("n"))
-
-
 STOP_SCHEMA = "run string, step long, reason string"
 STATE_SCHEMA = "best double, wait int, stopped boolean"
 

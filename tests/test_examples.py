@@ -9,7 +9,7 @@ from skeinwork.operators import examples, splits
 from skeinwork.plans import corpus
 from skeinwork.sources import files
 
-HEAD = re.compile(r"(?:static\s+)?(?:inline\s+)?(?:const\s+)?(\w+(?:\s*\*)*)\s+(\w+)\s*\(([^)]*)\)\s*\{")
+HEAD = re.compile(examples.FUNCTION_HEAD)
 
 
 def plain_functions(code):
@@ -35,6 +35,20 @@ def test_functions_on_random_texts(spark):
         assert [tuple(f) for f in r.fs] == plain_functions(texts[r.i]), texts[r.i]
 
 
+def test_many_functions_in_linear_time(spark):
+    code = "".join(f"int f{i}(int a) {{\n    return a + {i}; // a line of some length to count\n}}\n" for i in range(20000))
+    assert len(code) > 1_000_000
+    row = spark.createDataFrame([(code + "w" * 1_000_000,), (None,)], "code string").select(F.size(examples.functions_in(F.col("code"))).alias("n"))
+    assert sorted(r.n for r in row.collect()) == [0, 20000]
+
+
+def test_examples_name_their_source(spark):
+    body = "\n".join(f"    total += table[{i}];" for i in range(12))
+    rows = spark.createDataFrame([("p", "d", ["CAN"], f"int sum(int total) {{\n{body}\n    return total;\n}}\n")], "path string, domain string, contexts array<string>, code string")
+    made = examples.training_examples(rows).collect()
+    assert len(made) == 2 and {r.metadata.source for r in made} == {"automotive_codebase"}
+
+
 def test_strict_leaves_out_control_words(spark):
     code = "int work(int a) {\n  do_it(); else if (a > 1) {\n" + "  x();\n" * 12 + "}\n}"
     rows = spark.createDataFrame([(code,)], "code string")

@@ -1,11 +1,15 @@
+import json
 import math
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
+from skeinwork.functions import scoring
 from skeinwork.functions import text as tf
 from skeinwork.operators import distill, graph, inference, monitor
 from skeinwork.plans import epoch
+from skeinwork.sources import files
 
 
 def losses(spark, values, name="loss"):
@@ -69,31 +73,98 @@ def test_one_decimal_equals_printf(spark):
 def test_generate_and_retry(spark):
     waits, calls = [], []
 
-    def throttled(prompt):
+    def throttled(prompt, system):
         calls.append(prompt)
         if len(calls) < 3:
             raise inference.ServiceError("ThrottlingException")
         return {"content": [{"text": "ok"}], "usage": {"output_tokens": 5}}
 
-    assert inference.call_with_retry(throttled, "p", 3, 0.1, waits.append)["success"]
+    assert inference.call_with_retry(throttled, "p", None, 3, 0.1, waits.append)["success"]
     assert waits == [0.1, 0.2]
     denied = []
-    assert not inference.call_with_retry(lambda p: denied.append(p) or (_ for _ in ()).throw(inference.ServiceError("AccessDenied")), "p")["success"]
+    assert not inference.call_with_retry(lambda p, s: denied.append(p) or (_ for _ in ()).throw(inference.ServiceError("AccessDenied")), "p")["success"]
     assert len(denied) == 1
-    assert inference.call_with_retry(lambda p: {"content": []}, "p")["error"] == "Empty response"
+    assert inference.call_with_retry(lambda p, s: {"content": []}, "p")["error"] == "Empty response"
     prompts = spark.createDataFrame([("2", "b"), ("10", "a"), ("3", ""), ("4", None)], "id string, prompt string")
-    done = inference.generate(prompts, lambda p: {"content": [{"text": p.upper()}], "usage": {"input_tokens": 1, "output_tokens": 500}}, "now", 2)
+    done = inference.generate(prompts, lambda p, s: {"content": [{"text": p.upper()}], "usage": {"input_tokens": 1, "output_tokens": 500}}, "now", 2)
     assert [(r.id, r.response) for r in inference.by_text_id(done).collect()] == [("10", "A"), ("2", "B")]
     assert inference.batch_summary(done).first().output_tokens == 1000
 
 
-def test_epoch(spark):
+def test_system_prompt_and_default_ids(spark, tmp_path):
+    (tmp_path / "p.jsonl").write_text('{"prompt": "a"}\n{"id": "x", "prompt": "b"}\n{"prompt": ""}\n{"prompt": "c"}\n')
+    prompts = files.read_prompts(spark, str(tmp_path / "p.jsonl"))
+    done = inference.generate(prompts, lambda p, s: {"content": [{"text": f"{s}:{p}"}]}, "now", 2, system="told")
+    assert sorted((r.id, r.response) for r in done.collect()) == [("0", "told:a"), ("3", "told:c"), ("x", "told:b")]
+    spread = inference.numbered(spark.range(50).repartition(7).sortWithinPartitions("id"), "at")
+    assert sorted(r.at for r in spread.collect()) == list(range(50))
+
+
+def test_stored_answers_are_asked_for_once(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def client(prompt, system):
+        (calls / f"{prompt}-{len(list(calls.glob(prompt + '-*')))}").write_text("")
+        return {"content": [{"text": prompt}]}
+
+    prompts = spark.createDataFrame([(str(i), f"p{i}") for i in range(9)], "id string, prompt string")
+    path = str(tmp_path / "answers")
+    inference.generate_once(prompts.filter("id < '4'"), client, "now", path, parts=3, workers=2)
+    done = inference.generate_once(prompts, client, "now", path, parts=3, workers=2)
+    assert done.count() == done.count() == 9
+    assert sorted(p.name for p in calls.iterdir()) == [f"p{i}-0" for i in range(9)]
+
+
+def test_epoch(spark, tmp_path):
     outputs = spark.createDataFrame([("a", "tsn vlan eth", "goto x\nmalloc(1) free(2)\n(((("), ("b", "sort", "int ok;")], "id string, prompt string, output string")
     training = spark.createDataFrame([([("user", "q"), ("assistant", "r")],)], "messages array<struct<role:string,content:string>>")
-    summary, fixed, after = epoch.run_epoch(outputs, training, lambda p: {"content": [{"text": "better"}]}, 2, "now")
+    summary, fixed, after = epoch.run_epoch(outputs, training, lambda p, s: {"content": [{"text": "better"}]}, 2, "now", str(tmp_path))
     assert summary.first().n == 2
     assert [(r.id, r.teacher_correction) for r in fixed.collect()] == [("a_correction_e2", "better")]
     assert after.count() == 2
+    lines = [json.loads(x) for p in (tmp_path / "accumulated_corrections.jsonl").glob("*.json") for x in p.read_text().splitlines()]
+    assert [x["id"] for x in lines] == ["a_correction_e2"]
+
+
+GOOD = """
+        struct tsn_frame {
+            uint8_t pcp;
+            uint16_t vlan_id;
+            uint64_t timestamp;
+            uint8_t priority;
+        };
+        """
+
+
+def test_known_scores_by_the_compilers_score(spark):
+    """The two samples with what a compiler gives them: no warning, and one error."""
+    rows = [(GOOD, 10.0, 9.25), ("void foo() { goto error; }", 4.0, 5.35)]
+    frame = spark.createDataFrame(rows, "code string, syntax double, want double")
+    q = scoring.quality(F.col("code"), F.lit("Generate TSN code"), F.col("syntax"))
+    assert all(round(r.got, 6) == r.want for r in frame.select(q["overall"].alias("got"), "want").collect())
+
+
+def test_compiler_is_told_and_read(tmp_path):
+    """A stand-in for the compiler that notes its flags and says what it is asked to say."""
+    for name, says, code, want in (("none", "", 0, 10.0), ("two", "warning: a\nwarning: b", 0, 8.0), ("many", "warning: a\n" * 9, 0, 7.0), ("wrong", "error: a\nwarning: b", 1, 4.0), ("odd", "", 1, 6.0)):
+        (tmp_path / f"{name}.txt").write_text(says)
+        tool = tmp_path / name
+        tool.write_text(f'#!/bin/sh\necho "$@" > {tmp_path}/flags\ncat {tmp_path}/{name}.txt >&2\nexit {code}\n')
+        tool.chmod(0o755)
+        assert inference.compile_score("int x;", str(tool)) == want
+        flags = (tmp_path / "flags").read_text().split()
+        assert flags[:-1] == ["-fsyntax-only", "-std=c99", "-Wall", "-Wextra", "-Wno-unused-variable", "-Wno-unused-parameter"]
+
+
+@pytest.mark.skipif(not shutil.which("gcc") or inference.compile_score("int x;") != 10.0, reason="no working C compiler")
+def test_scores_with_the_compiler(spark):
+    """Known scores of two samples, and that unused parameters and variables cost nothing."""
+    rows = [("good", GOOD, "Generate TSN code"), ("bad", "void foo() { goto error; }", "Generate TSN code"), ("unused", "int f(int a) { int b; return 0; }", ""), ("blank", " \n", "")]
+    frame = spark.createDataFrame(rows, "id string, output string, prompt string")
+    got = {r.id: (r.quality.syntax, round(r.score, 6)) for r in epoch.score_outputs(frame, compiler=True).collect()}
+    assert got["good"][1] == 9.25 and got["bad"][1] == 5.35
+    assert got["unused"][0] == 10.0 and got["blank"][0] == 0.0
 
 
 def test_embed_and_compile(spark):
@@ -113,10 +184,21 @@ def test_search_threshold_after_top_k(spark):
 
 
 def test_batch_search_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(graph, "QUERY_BLOCK", 2)
-    rows = spark.createDataFrame([(i, [math.cos(i), math.sin(i)]) for i in range(20)], "id long, embedding array<float>")
-    got = graph.nearest_batch(rows, rows.filter("id < 5"), 3).collect()
-    assert len(got) == 15 and all(r.query_id != r.id for r in got)
+    """Against brute force, over blocks, with ties, zero and odd vectors."""
+    monkeypatch.setattr(graph, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(graph, "VECTOR_BLOCK", 4)
+    vectors = {i: [math.cos((i % 15) ** 2 / 100), math.sin((i % 15) ** 2 / 100)] for i in range(40)}
+    odd = [(90, [0.0, 0.0]), (91, None), (92, [1.0]), (93, [])]
+    rows = spark.createDataFrame([*vectors.items(), *odd], "id long, embedding array<float>")
+    got = graph.nearest_batch(rows, rows.filter("id < 9 or id >= 90"), 3).collect()
+    for q in range(9):
+        scores = {i: round(sum(a * b for a, b in zip(vectors[q], v, strict=True)), 6) for i, v in vectors.items() if i != q}
+        want = sorted(scores, key=lambda i: (-scores[i], i))[:3]
+        assert [r.id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == want
+    assert {r.query_id for r in got} == set(range(9))
+    assert [r.id for r in graph.nearest(rows, [1.0, 0.0], 2).collect()] == [0, 15]
+    assert graph.nearest(rows, [0.0, 0.0], 2).collect() == []
+    assert graph.nearest_batch(rows.limit(0), rows, 2).collect() == graph.nearest_batch(rows, rows.limit(0), 2).collect() == []
 
 
 def test_ingest_links_known_topics(spark):
