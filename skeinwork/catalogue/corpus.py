@@ -117,6 +117,16 @@ SELECT id, concat(CASE k WHEN 0 THEN concat('Generate a C function named ''', na
   CASE WHEN context <> '' THEN concat('. Context: ', context) ELSE '' END) AS prompt FROM t"""
 
 
+def a6r_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seeded choices of a function's form and context."""
+    key = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(key.alias("id"), examples._pick(42, 4, key).alias("form"), examples._pick(43, 7, key, F.col("p_brand")).alias("context"))
+
+
+A6R = """SELECT p_partkey AS id, CAST(CAST('0x' || substr(md5('42|' || p_partkey), 1, 8) AS BIGINT) % 4 AS INT) AS form,
+  CAST(CAST('0x' || substr(md5('43|' || p_partkey || '|' || p_brand), 1, 8) AS BIGINT) % 7 AS INT) AS context FROM part"""
+
+
 def a7_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").filter(F.length("text") > examples.MIN_COMPLETION)
     parts = rows.select("doc_id", examples.completion_parts(F.col("text")).alias("p")).filter("p is not null")
@@ -297,7 +307,7 @@ A10 = "SELECT CAST(count(*) AS INT) AS n, md5(string_agg(role || ':' || text, ch
 _EVAL = ", ".join("('" + f"{i}:{p}".replace("'", "''") + "')" for i, p in EVAL_PROMPTS)
 
 QUERIES = {f.__name__: f for f in (
-    a2_files, a3_decode, a4_source_cap, a5_extract_functions, a6_prompt_template, a7_completion, a8_examples, a9_dedup,
+    a2_files, a3_decode, a4_source_cap, a5_extract_functions, a6_prompt_template, a6r_choice, a7_completion, a8_examples, a9_dedup,
     a9_split, a9_domain_counts, a10_messages, e3_chat, e4_validate, e10_truncate, g2_token_count, t1_leakage, t2_intersection,
     t3_contains, x4_line_counts, x1_prefix, x5_cached_splits, e2_fallback, a9e_stream_dedup,
 )}
@@ -311,6 +321,7 @@ ORACLES = {
     "a4_source_cap": A4,
     "a5_extract_functions": A5,
     "a6_prompt_template": A6,
+    "a6r_choice": A6R,
     "a7_completion": A7,
     "a8_examples": A8,
     "a9_dedup": A9,
