@@ -231,13 +231,18 @@ def link_edges(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> D
     dealt = coded.join(F.broadcast(sized), "code").withColumn("tile", F.pmod(F.xxhash64(columns[-1]), F.col("n_tiles")).cast("int"))
     tiles = cut(dealt.groupBy("code", "tile").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows")), "tiles")
     shift = F.array(*[F.lit(_shifted(d)) for d in _steps(radius, parts)])
-    probes = tiles.select("code", "tile", F.explode(shift).alias("step"), "rows").select(
-        (F.col("code") + F.col("step")).alias("meets"), F.col("tile").alias("own"), (F.col("step") == 0).alias("same"), F.col("rows").alias("left_rows")
+    # Which tiles meet is settled on their names; every tile is then a join key of its own,
+    # so the tiles of a common population count are spread over the tasks.
+    names = tiles.select("code", "tile")
+    met = names.select(F.col("code").alias("left_code"), F.col("tile").alias("left_tile"), F.explode(shift).alias("step")).join(
+        F.broadcast(sized), F.col("left_code") + F.col("step") == F.col("code")
     )
-    pairs = (
-        probes.join(tiles.select("code", "tile", F.col("rows").alias("right_rows")), F.col("meets") == F.col("code"))
-        .filter(~F.col("same") | (F.col("own") <= F.col("tile")))
-        .select((F.col("same") & (F.col("own") == F.col("tile"))).alias("same"), "left_rows", "right_rows")
+    named = met.select("left_code", "left_tile", "step", "code", F.explode(F.sequence(F.lit(0), F.col("n_tiles") - 1)).alias("tile"))
+    wanted = named.filter((F.col("step") != 0) | (F.col("left_tile") <= F.col("tile")))
+    lefts = tiles.select(F.col("code").alias("left_code"), F.col("tile").alias("left_tile"), F.col("rows").alias("left_rows"))
+    same = (F.col("step") == 0) & (F.col("left_tile") == F.col("tile"))
+    pairs = wanted.join(lefts, ["left_code", "left_tile"]).join(tiles.withColumnRenamed("rows", "right_rows"), ["code", "tile"]).select(
+        same.alias("same"), "left_rows", "right_rows"
     )
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
