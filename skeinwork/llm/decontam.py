@@ -6,8 +6,11 @@ normalised to lower-case words between single blanks and scanned once; matches
 come as offsets in the normalised text and are mapped to words, and on request
 to byte spans of the original text.
 
-The windows go to the executors in blocks of bounded size, whatever the
-benchmark's: one automaton a block, and one scan of the documents for each.
+The automaton has a bounded size.  Where the windows of a large benchmark would exceed
+it, only those that occur in the documents at all go in: their hashes are first looked
+up, as one sorted array of eight bytes a window, among the rolling hashes of the
+documents' words.  Only what is still too much is cut into blocks, with an automaton
+and a scan of the documents for each.
 
 Null text has no words.  A benchmark row without words gives no window; a null
 item_id is listed as ``null``.  Repeated item rows count as one item.
@@ -20,7 +23,9 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +34,8 @@ from .common import LOWER, UPPER, WORD_TABLE, alnum_words, cut, record_batch, sm
 WINDOW = 10
 #: Characters of patterns in one automaton (about 60 bytes of memory for each).
 BLOCK_CHARS = 1 << 21
+#: Hashes of windows that are looked up at a time (8 bytes each).
+HASHES = 1 << 22
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -47,14 +54,80 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def _blocks(windows: DataFrame) -> tuple[int, DataFrame]:
+def _size(windows: DataFrame) -> int:
+    return windows.agg(F.sum(F.length("pattern") + F.length(F.array_join("items", ",")))).first()[0] or 0
+
+
+def _blocks(windows: DataFrame, docs: DataFrame, text: str) -> tuple[int, DataFrame]:
     """How many blocks the windows make, and the windows with their block."""
     windows = cut(windows, "windows")
-    chars = windows.agg(F.sum(F.length("pattern") + F.length(F.array_join("items", ",")))).first()[0] or 0
+    chars = _size(windows)
+    if chars > BLOCK_CHARS:
+        windows = cut(occurring(windows, docs, text), "occurring")
+        chars = _size(windows)
     n = max(1, -(-2 * chars // BLOCK_CHARS)) if chars > BLOCK_CHARS else 1
     return n, windows.withColumn("block", F.pmod(F.xxhash64("pattern"), F.lit(n)))
 
 
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return values ^ (values >> np.uint64(29))
+
+
+def window_hashes(words: list[bytes], size: int) -> np.ndarray:
+    """A hash of each run of ``size`` words."""
+    n = len(words) - size + 1
+    if n < 1:
+        return np.zeros(0, dtype=np.uint64)
+    own = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    out = np.full(n, size, dtype=np.uint64)
+    for i in range(size):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + own[i : i + n]
+    return _mixed(out)
+
+
+def occurring(windows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The windows that may occur in a text of ``docs``: all that do, and by chance others.
+
+    Hashes go to the executors in sorted arrays of at most HASHES; of the documents only
+    the hashes that are found come back, once a task each.
+    """
+    spark = docs.sparkSession
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [p.split(" ") for p in batch.column(0).to_pylist()]
+            values = [int(window_hashes([w.encode() for w in ws], len(ws))[0]) for ws in words]
+            arrays = [batch.column(0), batch.column(1), pa.array(np.array(values, dtype=np.uint64).view(np.int64)), pa.array([len(ws) for ws in words], type=pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["pattern", "items", "hash", "size"])
+
+    marked = cut(windows.select("pattern", "items").mapInArrow(hashed, "pattern string, items array<string>, hash long, size int"), "hashed")
+    sizes = [r[0] for r in marked.select("size").distinct().collect()]
+    n = max(1, -(-marked.count() // HASHES))
+    raw = docs.select(utf8(docs[f"`{text}`"]).alias("raw"))
+    found = None
+    for part in range(n):
+        rows = marked.filter(F.pmod("hash", F.lit(n)) == part).select("hash").distinct().toArrow()
+        sent = spark.sparkContext.broadcast(np.sort(rows.column("hash").to_numpy()))
+
+        def look(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            known = sent.value
+            seen = np.zeros(len(known), dtype=bool)
+            for batch in batches:
+                for text_ in batch.column(0):
+                    words = alnum_words(text_.as_py())
+                    for size in sizes:
+                        own = window_hashes(words, size).view(np.int64)
+                        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                        seen[at[known[at] == own]] = True
+            yield pa.RecordBatch.from_arrays([pa.array(known[seen])], names=["hash"])
+
+        if len(sent.value):
+            got = raw.mapInArrow(look, "hash long").distinct()
+            found = got if found is None else found.unionByName(got)
+    return windows.limit(0) if found is None else marked.join(found, "hash", "left_semi").select("pattern", "items")
+
+
 class Scanner:
     """One block of windows as an automaton over blank-separated Latin-1 text."""
 
@@ -154,7 +227,7 @@ def scan(
     names = [f"c{i}" for i in range(len(kept))]
     plain: list[Column] = [docs[f"`{c}`"].alias(a) for c, a in zip(kept, names, strict=True)]
     out = docs.select(*plain, utf8(docs[f"`{text}`"]).alias("raw"), F.lit(None).cast(HIT_SQL).alias("hit"))
-    n, windows = _blocks(item_windows(benchmark, window))
+    n, windows = _blocks(item_windows(benchmark, window), docs, text)
     for block in range(n):
         rows = windows.filter(F.col("block") == block).select("pattern", "items").collect()
         listed = sorted((r["pattern"], list(r["items"])) for r in rows)

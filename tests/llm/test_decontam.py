@@ -41,9 +41,10 @@ def data():
     return docs + [(200, None), (201, ""), (202, "?!"), (None, items[3][1]), (3, docs[3][1]), (3, docs[3][1]), (203, "cat " * 30000)], items
 
 
-@pytest.mark.parametrize("block", [1 << 21, 600])
-def test_matches_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "hashes"), [(1 << 21, 1 << 22), (600, 1 << 22), (600, 50)])
+def test_matches_brute_force(spark, monkeypatch, block, hashes):
     monkeypatch.setattr(decontam, "BLOCK_CHARS", block)
+    monkeypatch.setattr(decontam, "HASHES", hashes)
     docs, items = data()
     frame = spark.createDataFrame([(d, t, 1, "h", "p") for d, t in docs], "doc_id long, text string, hit int, items string, pattern string")
     bench = spark.createDataFrame([(i, t, "w") for i, t in items], "item_id long, text string, ws string")
@@ -63,6 +64,19 @@ def test_original_spans_and_filter(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3]
 
 
+def test_large_benchmark_in_one_automaton(spark, monkeypatch):
+    """Of many windows only those that occur go into the automaton."""
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 20_000)
+    text = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    bench = spark.createDataFrame([(k, text(k, 30)) for k in range(200)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"before {text(k, 12 if k % 2 else 9)} after", "x") for k in range(40)], "doc_id long, text string, hit string")
+    n, windows = decontam._blocks(decontam.item_windows(bench), docs, "text")
+    assert n == 1 and windows.count() == 20 * 3
+    kept = decontam.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 40, 2))
+
+
 def test_empty_tables(spark):
     frame = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a")], "item_id long, text string")
