@@ -8,6 +8,7 @@ in ``spark.checkpoint.dir``, so a lost executor never loses a table.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -52,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = jvm_dir.get() if jvm_dir.isDefined() else None
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="skeinwork-")
         spark.sparkContext.setCheckpointDir(base)
@@ -88,7 +89,10 @@ def drop_cut_tables(spark: SparkSession, since: int = 0, keep: str = "") -> None
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches by rows and bytes, whatever the length of the texts."""
+    """Bound the Arrow batches by rows and bytes, whatever the length of the texts.
+
+    The settings stay: plans are made when a result is used, after the operator has returned.
+    """
     for key, value in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
         ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES),
