@@ -78,3 +78,29 @@ def test_pseudo_labels_come_from_the_whole_table(spark, monkeypatch):
             want |= {(view, label, k) for k in sorted(sure, key=lambda k: (-round(min(odds[k], 30), 4), k))[:7]}
     got = {(v, k, m) for v, k, m, _ in classifier.surest(pool, model, done)}
     assert len(want) == 28 and len(got & want) >= 26 and len(got) == 28
+
+
+def test_scores_restated(spark):
+    """What a fitted model gives a batch, against the same sums by row."""
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    examples = []
+    for i in range(120):
+        text = sorted(int(x) for x in rng.choice(12, 3, replace=False)) + ([12] if i % 3 else [])
+        examples.append(classifier.Example(text, rng.normal(size=classifier.STYLE).tolist(), [int(x) for x in rng.choice(classifier.META, 5)]))
+    y = np.array([int(i % 3 > 0) for i in range(120)])
+    model = classifier.fit(13, examples, y, [[(examples[0], 0)], [(examples[1], 1), (examples[2], 1)]])
+    kinds = dict(classifier._VECTOR)
+    batch = pa.RecordBatch.from_arrays([pa.array([getattr(e, c) for e in examples], type=kinds[c]) for c in ("text", "style", "meta")], names=["text", "style", "meta"])
+    got = model.joined(model.view_odds(batch.slice(5, 100)))
+    content, meta = model.models
+    for e, score in zip(examples[5:105], got, strict=True):
+        style = (np.array(e.style) - model.mean) / model.spread
+        odds = (sum(content.w[t] for t in e.text) + style @ content.w[13:] + content.b, sum(meta.w[m] for m in e.meta) + meta.b)
+        joint = sum(w * (s.w[0] * o / 10 + s.b) for w, s, o in zip(model.joint.w, model.scale, odds, strict=True)) + model.joint.b
+        assert abs(score - 1 / (1 + math.exp(-joint))) < 1e-3
+    assert np.mean((got > 0.5) == (y[5:105] == 1)) > 0.95
