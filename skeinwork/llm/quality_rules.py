@@ -204,7 +204,8 @@ def common_words(docs: DataFrame) -> DataFrame:
 
     found = _texts(docs).filter("lang is not null").mapInArrow(run, "lang string, word binary, n long")
     counted = cut(found.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    totals = counted.filter(F.octet_length("word") == 0).select("lang", F.col("n").alias("n_docs"))
+    # A table of its own, whose size is known: where it is small, no words are moved to meet it.
+    totals = cut(counted.filter(F.octet_length("word") == 0).select("lang", F.col("n").alias("n_docs")), "languages")
     shared = counted.filter(F.octet_length("word") > 0).join(totals, "lang").filter(F.col("n") >= COMMON_SHARE * F.col("n_docs"))
     # A document's different words over COMMON_SHARE: so few rows of a language are left.
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
