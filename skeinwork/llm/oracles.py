@@ -44,11 +44,11 @@ words AS (
 ),
 closed AS (SELECT *, coalesce(lag(breaks OR regexp_matches(w, '[.!?]["'')\]]?$') OR w IN ('。', '！', '？')) OVER (PARTITION BY doc_id ORDER BY p), true) AS first FROM words),
 least AS (
-  SELECT doc_id, n, p, min({'w': w, 'p': p}) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING) AS m,
-    count(*) FILTER (first) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS near
+  SELECT doc_id, n, p, min({'w': w, 'p': p}) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS m,
+    count(*) FILTER (first) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS near
   FROM closed
 ),
-places AS (SELECT DISTINCT doc_id, m.p AS p FROM least WHERE p + 11 <= n),
+places AS (SELECT DISTINCT doc_id, m.p AS p FROM least WHERE p + 9 <= n),
 starting AS (
   SELECT c.doc_id, c.n, c.p, c.piece, c.w, c.first OR (a.p IS NOT NULL AND l.near = 0) AS first
   FROM closed c JOIN least l ON c.doc_id = l.doc_id AND c.p = l.p LEFT JOIN places a ON c.doc_id = a.doc_id AND c.p = a.p
@@ -58,9 +58,9 @@ lists AS (SELECT doc_id, any_value(n) AS n, max(u) AS n_units, list(w ORDER BY p
 units AS (SELECT doc_id, u, min(p) AS p FROM numbered GROUP BY doc_id, u),
 reach AS (
   SELECT s.doc_id, s.u, s.p, l.n, l.n_units, l.ws,
-    greatest(s.u + 2, CASE WHEN s.p + 30 = l.n + 1 THEN l.n_units + 1 WHEN e.first THEN e.u ELSE e.u + 1 END) AS e
-  FROM units s JOIN lists l ON s.doc_id = l.doc_id LEFT JOIN numbered e ON e.doc_id = s.doc_id AND e.p = s.p + 30
-  WHERE s.p + 30 <= l.n + 1
+    greatest(s.u + 2, CASE WHEN s.p + 40 = l.n + 1 THEN l.n_units + 1 WHEN e.first THEN e.u ELSE e.u + 1 END) AS e
+  FROM units s JOIN lists l ON s.doc_id = l.doc_id LEFT JOIN numbered e ON e.doc_id = s.doc_id AND e.p = s.p + 40
+  WHERE s.p + 40 <= l.n + 1
 ),
 runs AS (
   SELECT r.doc_id, r.u, r.e, array_to_string(r.ws[r.p:coalesce(x.p - 1, r.n)], ' ') AS run

@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from .common import cut, cut_tables, drop_cut_tables, small_batches, utf8
 
-MIN_WORDS, WINDOW, NEAR = 30, 12, 6
+MIN_WORDS, WINDOW, NEAR = 40, 10, 5
 #: UTF-8 of the letters that are words each: Thai, U+3000 to U+9FFF, compatibility ideographs.
 UNSPACED = rb"\xe0[\xb8\xb9][\x80-\xbf]|[\xe3-\xe9][\x80-\xbf]{2}|\xef[\xa4-\xab][\x80-\xbf]"
 ANY_UNSPACED = re.compile(UNSPACED)

@@ -18,14 +18,14 @@ def brute_sentences(text):
     words = [t.rstrip(WS).translate(UPPER) for t in tokens]
     n = len(words)
     first = [i == 0 or "\n" in tokens[i - 1] or bool(re.search(r"(?:[.!?][\"')\]]?|^[。！？])$", words[i - 1])) for i in range(n)]
-    places = {min(range(i, i + 12), key=lambda j: (words[j].encode(), j)) for i in range(n - 11)}
-    near = [any(first[max(0, i - 6) : i + 7]) for i in range(n)]
+    places = {min(range(i, i + 10), key=lambda j: (words[j].encode(), j)) for i in range(n - 9)}
+    near = [any(first[max(0, i - 5) : i + 6]) for i in range(n)]
     starts = [i for i in range(n) if first[i] or (i in places and not near[i])] + [n]
     out = [(words[a:b], "".join(tokens[a:b])) for a, b in zip(starts, starts[1:], strict=False)]
     return [(w, (head if i == 0 else "") + t) for i, (w, t) in enumerate(out)]
 
 
-def brute_remove(docs, min_words=30):
+def brute_remove(docs, min_words=40):
     """docs: (doc_id, text) in order; returns (doc_id, text, removed)."""
     seen, out = set(), []
     for d, text in docs:
@@ -46,7 +46,7 @@ def brute_remove(docs, min_words=30):
 def make(rng):
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(3))
     fresh = lambda n: " ".join(word() for _ in range(n))
-    table, short, exact = fresh(60), fresh(29), fresh(60) + ". " + fresh(3) + ".\n"
+    table, short, exact = fresh(60), fresh(39), fresh(60) + ". " + fresh(3) + ".\n"
     pool = [fresh(rng.randrange(2, 40)) + rng.choice([".", "!", "?\n", '."', ".)"]) for _ in range(12)]
     docs = []
     for i in range(60):
