@@ -12,8 +12,8 @@ edges.  Components are then found by rounds of joins.
 
 ``keep_similar`` looks for documents whose sets of five-word shingles are alike by
 0.8 or more (Jaccard).  Fingerprints of so similar texts differ in 10 of 64 bits on
-average, so its radius is wide, and a link also asks of a second, independent
-fingerprint that both together differ in no more bits than that similarity lets
+average, so its radius is wide, and a link also asks of three more, independent
+fingerprints that all together differ in no more bits than that similarity lets
 expect, and of the numbers of shingles that they are alike by 0.8.
 
 Null text counts as empty: no words, fingerprint zero, linked like any other.  A
@@ -41,8 +41,11 @@ TILE = 2048
 #: Pairs of fingerprints that are compared at a time (memory: 9 bytes each).
 STRIP = 1 << 20
 #: Similar documents: shingles, similarity, bits of the first fingerprint, its tiles.
-#: Of 128 bits, texts alike by 0.8 differ in 128 * acos(0.8 * 2 / 1.8) / pi = 19.4.
-SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, SIMILAR_BITS, SIMILAR_TILE, SECOND_SEED = 5, 0.8, 14, 20, 1 << 16, 43
+#: Of 256 bits, texts alike by 0.8 differ in 256 * acos(0.8 * 2 / 1.8) / pi = 38.7.
+SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, SIMILAR_BITS, SIMILAR_TILE = 5, 0.8, 14, 40, 1 << 16
+#: Odd factors that make further hashes of a shingle's first.
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+PRINTS = ["fp", *[f"fp{i + 2}" for i in range(len(FACTORS))]]
 #: Links in a task's union-find before its forest is passed on.
 FOREST = 500_000
 
@@ -68,15 +71,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return majority(hashes) if len(hashes) else 0
 
 
-def similar_prints(text: bytes, shingle: int) -> tuple[int, int, int]:
-    """Two fingerprints of the set of shingles, and its size."""
+def similar_prints(text: bytes, shingle: int) -> tuple[int, ...]:
+    """The fingerprints PRINTS of the set of shingles, and its size."""
     first = np.unique(shingle_hashes(text, shingle))
     if not len(first):
-        return 0, 0, 0
-    # The second hash is made of the first, which tells shingles apart already.
-    second = (first ^ (first >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15 + 2 * SECOND_SEED)
-    second = (second ^ (second >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return majority(first), majority(second ^ (second >> np.uint64(32))), len(first)
+        return (0,) * (len(PRINTS) + 1)
+    made = [majority(first)]
+    # Further hashes are made of the first, which tells shingles apart already.
+    for factor in FACTORS:
+        other = (first ^ (first >> np.uint64(31))) * np.uint64(factor)
+        other = (other ^ (other >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        made.append(majority(other ^ (other >> np.uint64(32))))
+    return *made, len(first)
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -107,19 +113,20 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def similar_fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, mark, fp, fp2, size (of the set of shingles), and node, which stands for the three."""
+    """doc_id, mark, PRINTS, size (of the set of shingles), and node, which stands for these."""
     small_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("fp", pa.int64()), ("fp2", pa.int64()), ("size", pa.int64())])
+    columns = ["doc_id", "mark", *PRINTS, "size"]
+    schema = pa.schema([(c, pa.int64()) for c in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([similar_prints(t.as_py(), shingle) for t in batch.column(2)], dtype=np.uint64).reshape(-1, 3)
-            prints = [pa.array(np.ascontiguousarray(made[:, i]).view(np.int64)) for i in range(3)]
+            made = np.array([similar_prints(t.as_py(), shingle) for t in batch.column(2)], dtype=np.uint64).reshape(-1, len(PRINTS) + 1)
+            prints = [pa.array(np.ascontiguousarray(made[:, i]).view(np.int64)) for i in range(len(PRINTS) + 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *prints], schema=schema)
 
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), _text_mark(docs).alias("mark"), utf8(docs["text"]).alias("raw"))
-    made = chosen.mapInArrow(run, "doc_id long, mark long, fp long, fp2 long, size long")
-    return made.withColumn("node", F.xxhash64("fp", "fp2", "size"))
+    made = chosen.mapInArrow(run, ", ".join(f"{c} long" for c in columns))
+    return made.withColumn("node", F.xxhash64(*PRINTS, "size"))
 
 
 def _counts(parts: int) -> list:
@@ -196,7 +203,7 @@ class Forest:
 def links_between(left: list[np.ndarray], right: list[np.ndarray], radius: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places (in left, in right) of linked nodes, strip by strip.
 
-    Each side is [fp], or [fp, fp2, size, node].
+    Each side is [fp], or PRINTS, size and node.
     """
     x, y = left[0].view(np.uint64), right[0].view(np.uint64)
     height = max(1, STRIP // max(1, len(y)))
@@ -207,9 +214,10 @@ def links_between(left: list[np.ndarray], right: list[np.ndarray], radius: int,
         if same:
             a, b = a[a < b], b[a < b]
         if len(left) > 1 and len(a):
-            differ = np.bitwise_count(x[a] ^ y[b]).astype(np.int64)
-            differ += np.bitwise_count(left[1].view(np.uint64)[a] ^ right[1].view(np.uint64)[b])
-            m, n = left[2][a], right[2][b]
+            differ = np.zeros(len(a), dtype=np.int64)
+            for i in range(len(PRINTS)):
+                differ += np.bitwise_count(left[i].view(np.uint64)[a] ^ right[i].view(np.uint64)[b])
+            m, n = left[-2][a], right[-2][b]
             fits = (differ <= SIMILAR_BITS) & (np.minimum(m, n) >= SIMILARITY * np.maximum(m, n))
             a, b = a[fits], b[fits]
         if len(a):
@@ -219,11 +227,11 @@ def links_between(left: list[np.ndarray], right: list[np.ndarray], radius: int,
 def link_edges(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """Edges (u, v) between distinct nodes that keep all components whole.
 
-    ``distinct``: column fp, or fp, fp2, size, node.  The edges are a spanning forest
+    ``distinct``: column fp, or PRINTS, size, node.  The edges are a spanning forest
     for each task.
     """
     small_batches(distinct.sparkSession)
-    columns = ["fp"] if "node" not in distinct.columns else ["fp", "fp2", "size", "node"]
+    columns = ["fp"] if "node" not in distinct.columns else [*PRINTS, "size", "node"]
     parts = 4 if radius <= 4 else 1
     coded = distinct.select(*columns, _code(_counts(parts)).alias("code"))
     # At most 17 to the 4th power combinations, so this side may be broadcast.
@@ -273,7 +281,7 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int =
 
 def _components(known: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     """node, root (which names a component even where ids are null), component_id."""
-    prints = [c for c in ("fp", "fp2", "size") if c in known.columns]
+    prints = [c for c in (*PRINTS, "size") if c in known.columns]
     classes = cut(known.groupBy("node", *prints).agg(F.min("doc_id").alias("rep")), "classes")
     distinct = classes.select("fp") if prints == ["fp"] else classes.select(*prints, "node")
     roots = connected_components(link_edges(distinct, radius, tile))

@@ -24,8 +24,8 @@ def test_stage_by_stage(spark):
     prints = {d: simhash.similar_prints(t.encode(), 5) for d, t in rows.items()}
 
     def linked(x, y):
-        first, second = (x[0] ^ y[0]).bit_count(), (x[1] ^ y[1]).bit_count()
-        return first <= simhash.SIMILAR_RADIUS and first + second <= simhash.SIMILAR_BITS and min(x[2], y[2]) >= 0.8 * max(x[2], y[2])
+        bits = [(a ^ b).bit_count() for a, b in zip(x[:-1], y[:-1], strict=True)]
+        return bits[0] <= simhash.SIMILAR_RADIUS and sum(bits) <= simhash.SIMILAR_BITS and min(x[-1], y[-1]) >= 0.8 * max(x[-1], y[-1])
 
     group = {d: d for d in rows}
     for _ in rows:
