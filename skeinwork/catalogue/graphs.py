@@ -6,6 +6,7 @@ documents, their labels and sources serve as nodes and edges too.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,6 +172,17 @@ def g10_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.topics(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def letters(texts: list[str]) -> list:
+    """A stand-in for a model: how often each letter occurs."""
+    counts = [np.bincount(np.frombuffer(t.encode().lower(), np.uint8), minlength=256)[97:123] for t in texts]
+    return [c.astype(float) for c in counts]
+
+
+def g10k_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of the benchmark's texts by their letters."""
+    return topics.key_phrases(table(spark, sf_dir, "benchmark"), "item_id", "text", letters).withColumn("score", F.round("score", 6))
+
+
 _STOP = ", ".join(f"'{w}'" for w in topics.STOP_WORDS)
 G10 = rf"""WITH w AS (SELECT doc_id, unnest(ws) AS name, unnest(range(len(ws))) AS at FROM (
   SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+'), lambda w: regexp_matches(w, '^[a-z_]')) AS ws FROM documents) AS t),
@@ -283,7 +295,7 @@ def g18_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     g1_unique, g3_upsert, g4_follows, g4_latest, g5_edges, g6_topk, g6_topk_batch, g6_threshold, g7_neighbours, g8_by_topic, g8_by_file,
-    g8_history, g8_chain, g9_topic_counts, g10_topics, g11_entities, g12_delete, g13_embed, g15_ingest, g17_execute, g18_file_history, g18_topics,
+    g8_history, g8_chain, g9_topic_counts, g10_topics, g10k_phrases, g11_entities, g12_delete, g13_embed, g15_ingest, g17_execute, g18_file_history, g18_topics,
 )}
 ORACLES = {
     "g1_unique": "SELECT md5(text) AS digest, count(*) AS n FROM documents GROUP BY md5(text) HAVING count(*) > 1",
