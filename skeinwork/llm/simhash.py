@@ -3,18 +3,21 @@
 Fingerprints: the bit majority over the XXH64 of all three-word shingles.  Equal
 fingerprints are one class.  The distinct fingerprints are compared exactly, tile
 by tile, with numpy's exclusive-or and bit counts.  A tile holds fingerprints
-with the same population counts, in each of four 16-bit quarters where the radius
-is small and altogether where it is not.  Two fingerprints within the radius differ
-in these counts by no more than the radius, so tiles further apart are skipped.
-Neighbouring tiles meet through a join on the counts; a task keeps a union-find
-over the links it finds and passes on a spanning forest, so a dense group gives few
-edges.  Components are then found by rounds of joins.
+with the same population counts in each of four 16-bit quarters.  Two fingerprints
+within the radius differ in these four counts by no more than the radius altogether,
+so tiles further apart are skipped.  Neighbouring tiles meet through a join on the
+counts; a task keeps a union-find over the links it finds and passes on a spanning
+forest, so a dense group gives few edges.  Components are then found by rounds of
+joins.
 
 ``keep_similar`` looks for documents whose sets of five-word shingles are alike by
 0.8 or more (Jaccard).  Fingerprints of so similar texts differ in 10 of 64 bits on
 average, so its radius is wide, and a link also asks of three more, independent
 fingerprints that all together differ in no more bits than that similarity lets
-expect, and of the numbers of shingles that they are alike by 0.8.
+expect, and of the numbers of shingles that they are alike by 0.8.  Its tiles are of
+one range of population counts, as wide as the radius, and of one range of numbers
+of shingles, as wide as 0.8 allows; only tiles of the same or neighbouring ranges
+meet.
 
 Null text counts as empty: no words, fingerprint zero, linked like any other.  A
 null doc_id never names a component unless all its members' are null (then null).
@@ -23,6 +26,7 @@ Repeated rows are returned as often as they came.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import product
 
@@ -135,24 +139,31 @@ def _counts(parts: int) -> list:
     return [F.bit_count(F.shiftrightunsigned("fp", bits * i).bitwiseAND((1 << bits) - 1 if bits < 64 else -1)) for i in range(parts)]
 
 
-def _steps(radius: int, parts: int) -> list[tuple[int, ...]]:
-    """Differences of counts within the radius, one of each pair of opposites, zero first."""
-    near = [d for d in product(range(-radius, radius + 1), repeat=parts) if sum(map(abs, d)) <= radius]
+def _ranges(radius: int) -> list:
+    """Ranges of the population count and of the size; what is linked is in the same or the next ones."""
+    # A little wider than needed, so that rounding never parts neighbours.
+    width = math.log(1 / SIMILARITY) * (1 + 1e-9)
+    return [F.floor(_counts(1)[0] / F.lit(radius + 1)), F.floor(F.ln(F.greatest("size", F.lit(1)).cast("double")) / F.lit(width))]
+
+
+def _steps(each: int, together: int, parts: int) -> list[tuple[int, ...]]:
+    """Differences by part and altogether, one of each pair of opposites, zero first."""
+    near = [d for d in product(range(-each, each + 1), repeat=parts) if sum(map(abs, d)) <= together]
     return sorted((d for d in near if d >= (0,) * parts), key=lambda d: sum(map(abs, d)))
 
 
 def _shifted(step: tuple[int, ...]) -> int:
     out = 0
     for d in step:
-        out = out * 128 + d
+        out = out * 256 + d
     return out
 
 
 def _code(parts: list) -> F.Column:
-    """Counts (each up to 64, and shifted so that differences don't carry over) as one number."""
+    """Numbers (each up to 200, and shifted so that differences don't carry over) as one."""
     out = F.lit(0)
     for p in parts:
-        out = out * F.lit(128) + p + F.lit(16)
+        out = out * F.lit(256) + p.cast("int") + F.lit(16)
     return out
 
 
@@ -232,13 +243,14 @@ def link_edges(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> D
     """
     small_batches(distinct.sparkSession)
     columns = ["fp"] if "node" not in distinct.columns else [*PRINTS, "size", "node"]
-    parts = 4 if radius <= 4 else 1
-    coded = distinct.select(*columns, _code(_counts(parts)).alias("code"))
-    # At most 17 to the 4th power combinations, so this side may be broadcast.
+    wide = "node" in columns
+    parts, steps = (_ranges(radius), _steps(1, 2, 2)) if wide else (_counts(4), _steps(radius, radius, 4))
+    coded = distinct.select(*columns, _code(parts).alias("code"))
+    # At most 17 to the 4th power combinations, or 65 by 100, so this side may be broadcast.
     sized = coded.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("n_tiles"))
     dealt = coded.join(F.broadcast(sized), "code").withColumn("tile", F.pmod(F.xxhash64(columns[-1]), F.col("n_tiles")).cast("int"))
     tiles = cut(dealt.groupBy("code", "tile").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows")), "tiles")
-    shift = F.array(*[F.lit(_shifted(d)) for d in _steps(radius, parts)])
+    shift = F.array(*[F.lit(_shifted(d)) for d in steps])
     # Which tiles meet is settled on their names; every tile is then a join key of its own,
     # so the tiles of a common population count are spread over the tasks.
     names = tiles.select("code", "tile")
