@@ -193,9 +193,13 @@ def _chosen_features(sampled: DataFrame) -> list[bytes]:
 class Example(NamedTuple):
     """Places of text features, style, places of metadata."""
 
-    text: list[int]
-    style: list[float]
-    meta: list[int]
+    text: np.ndarray
+    style: np.ndarray
+    meta: np.ndarray
+
+
+def _example(text: list[int], style: list[float], meta: list[int]) -> Example:
+    return Example(np.array(text, dtype=np.int32), np.array(style, dtype=np.float32), np.array(meta, dtype=np.int32))
 
 
 VECTOR_SQL = "text array<int>, style array<float>, meta array<int>, mark long"
@@ -303,7 +307,7 @@ def surest(pool: DataFrame, model: CoTrained, done: set[int]) -> list[tuple[int,
 
     ``pool``: text, style, meta, mark.  ``done``: marks that are not asked for again.
     """
-    sent = pool.sparkSession.sparkContext.broadcast((model, done))
+    sent = pool.sparkSession.sparkContext.broadcast((model, frozenset(done)))
     schema = pa.schema([("view", pa.int32()), ("label", pa.int32()), ("sure", pa.float64()), *_VECTOR])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,7 +329,7 @@ def surest(pool: DataFrame, model: CoTrained, done: set[int]) -> list[tuple[int,
                         mark = int(marks[i])
                         if mark in left_out or mark in held:
                             continue
-                        held[mark] = (float(sure[i]), Example(*[batch.column(c)[i].as_py() for c in ("text", "style", "meta")]))
+                        held[mark] = (float(sure[i]), _example(*[batch.column(c)[i].as_py() for c in ("text", "style", "meta")]))
                         taken += 1
                         if taken >= HANDED_OVER:
                             break
@@ -343,14 +347,14 @@ def surest(pool: DataFrame, model: CoTrained, done: set[int]) -> list[tuple[int,
     order = Window.partitionBy("view", "label").orderBy(F.desc("sure"), "mark")
     best = found.dropDuplicates(["view", "label", "mark"]).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= HANDED_OVER)
     rows = best.select("view", "label", "mark", "place", "text", "style", "meta").collect()
-    return [(r["view"], r["label"], r["mark"], Example(r["text"], r["style"], r["meta"])) for r in sorted(rows, key=lambda r: (r["view"], r["label"], r["place"]))]
+    return [(r["view"], r["label"], r["mark"], _example(r["text"], r["style"], r["meta"])) for r in sorted(rows, key=lambda r: (r["view"], r["label"], r["place"]))]
 
 
 def train(known: DataFrame, sampled: DataFrame, features: list[bytes], table: DataFrame) -> CoTrained | None:
     """``table``: doc_id and the vectors of all documents; ``known``: the labels by document."""
     spark = table.sparkSession
     rows = sorted(_featured(sampled.select("doc_id", "low", "toxic", "raw", "source", "lang", "n_chars"), features).collect(), key=lambda r: r["doc_id"])
-    labelled = [Example(r["text"], r["style"], r["meta"]) for r in rows]
+    labelled = [_example(r["text"], r["style"], r["meta"]) for r in rows]
     y = np.array([int(not r["low"] and not r["toxic"]) for r in rows])
     if len(set(y.tolist())) < 2:
         return None

@@ -91,7 +91,7 @@ def test_scores_restated(spark):
     examples = []
     for i in range(120):
         text = sorted(int(x) for x in rng.choice(12, 3, replace=False)) + ([12] if i % 3 else [])
-        examples.append(classifier.Example(text, rng.normal(size=classifier.STYLE).tolist(), [int(x) for x in rng.choice(classifier.META, 5)]))
+        examples.append(classifier._example(text, rng.normal(size=classifier.STYLE).tolist(), [int(x) for x in rng.choice(classifier.META, 5)]))
     y = np.array([int(i % 3 > 0) for i in range(120)])
     model = classifier.fit(13, examples, y, [[(examples[0], 0)], [(examples[1], 1), (examples[2], 1)]])
     kinds = dict(classifier._VECTOR)
