@@ -297,10 +297,10 @@ def _components(known: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     classes = cut(known.groupBy("node", *prints).agg(F.min("doc_id").alias("rep")), "classes")
     distinct = classes.select("fp") if prints == ["fp"] else classes.select(*prints, "node")
     roots = connected_components(link_edges(distinct, radius, tile))
-    rooted = classes.withColumnRenamed("node", "own").join(roots, F.col("own") == F.col("node"), "left").select(
-        F.col("own").alias("node"), "rep", F.coalesce("root", "own").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    joined = classes.withColumnRenamed("node", "own").join(roots, F.col("own") == F.col("node"), "left")
+    rooted = cut(joined.select(F.col("own").alias("node"), "rep", F.coalesce("root", "own").alias("root")), "rooted")
+    # Tables on both sides, so that the join can be split where a group is very large.
+    named = cut(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "named")
     return rooted.join(named, "root").select("node", "root", "component_id")
 
 
