@@ -5,7 +5,7 @@ to the shared folder and read again as the next stage's ``docs``.
 
 1. ``quality_classifier``: documents that the co-trained classifier rejects go.
 2. ``simhash_near_dedup``: of each group of documents whose five-word shingles are alike
-   by 0.8 or more, as two fingerprints tell, the smallest doc_id stays.
+   by 0.8 or more, as four fingerprints tell, the smallest doc_id stays.
 3. ``substring_dedup``: sentences in repeated spans go; a document that held text and
    keeps none goes too.
 4. ``benchmark_decontamination``: documents with a window of a benchmark item go.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from skeinwork.llm import bpe, classifier, decontam, simhash
 from skeinwork.llm import substring_dedup as spans
-from skeinwork.llm.common import cut, cut_tables, drop_cut_tables, table
+from skeinwork.llm.common import cut, table
 from skeinwork.llm.queries import tokenizer_file
 
 
@@ -69,8 +69,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, since = table(spark, sf_dir, "documents"), cut_tables()
+    docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = cut(stage(spark, docs, sf_dir), f"stage{i + 1}")
-        drop_cut_tables(spark, since, keep=f"stage{i + 1}")
     return docs
