@@ -12,6 +12,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from typing import Any
 
 import pyarrow as pa
@@ -33,8 +34,37 @@ WORD_TABLE = bytes(
 BATCH_ROWS = 1000
 BATCH_BYTES = 16 << 20
 
-#: Paths that cut() has written.
-_WRITTEN: list[str] = []
+
+class Tables:
+    """The tables that ``cut`` writes inside a ``with`` block, in this thread.
+
+    Only their owner removes them, so operators that run beside each other in one
+    session never take each other's.  What is left at the end of a block goes to the
+    block around it.
+    """
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Tables:
+        self._token = _OWNER.set(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _OWNER.reset(self._token)
+        if outer := _OWNER.get():
+            outer.paths += self.paths
+
+    def drop(self, spark: SparkSession, keep: str = "") -> None:
+        """Remove the tables, but for those named ``keep``, once all that reads them is stored."""
+        for path in self.paths:
+            if not keep or not path.rsplit("/", 1)[1].startswith(keep + "-"):
+                jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+                jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+        self.paths = [x for x in self.paths if keep and x.rsplit("/", 1)[1].startswith(keep + "-")]
+
+
+_OWNER: ContextVar[Tables | None] = ContextVar("owner", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,30 +94,13 @@ def cut(df: DataFrame, name: str, *sort: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again, which ends its lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/skeinwork/{name}-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
+    if owner := _OWNER.get():
+        owner.paths.append(path)
     writer = df.sortWithinPartitions(*sort) if sort else df
     writer.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut_tables() -> int:
-    """How many tables ``cut`` has written in this process."""
-    return len(_WRITTEN)
-
-
-def drop_cut_tables(spark: SparkSession, since: int = 0, keep: str = "") -> None:
-    """Remove the tables written after the first ``since``, but for those named ``keep``.
-
-    For use once all results that are read from them are stored.
-    """
-    for i, path in enumerate(_WRITTEN):
-        if i < since or not path or keep and path.rsplit("/", 1)[1].startswith(keep + "-"):
-            continue
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
-        _WRITTEN[i] = ""
-
-
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches by rows and bytes, whatever the length of the texts.
 

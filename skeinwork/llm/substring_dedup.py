@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, cut_tables, drop_cut_tables, small_batches, utf8
+from .common import Tables, cut, small_batches, utf8
 
 MIN_WORDS, WINDOW, NEAR = 40, 10, 5
 #: UTF-8 of the letters that are words each: Thai, U+3000 to U+9FFF, compatibility ideographs.
@@ -260,11 +260,11 @@ def later_runs(runs: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc, mark, starts: first sentences of the runs to remove, by document."""
-    since = cut_tables()
-    runs = _settled(run_places(docs, min_words), "runs")
-    spans = later_runs(runs).groupBy("doc", "mark").agg(F.collect_set("place").alias("starts"))
-    out = _settled(spans, "spans")
-    drop_cut_tables(docs.sparkSession, since, keep="spans")
+    with Tables() as tables:
+        runs = _settled(run_places(docs, min_words), "runs")
+        spans = later_runs(runs).groupBy("doc", "mark").agg(F.collect_set("place").alias("starts"))
+        out = _settled(spans, "spans")
+        tables.drop(docs.sparkSession, keep="spans")
     return out
 
 
