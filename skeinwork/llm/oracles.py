@@ -209,3 +209,67 @@ FROM docs d LEFT JOIN base b ON d.doc_id = b.doc_id LEFT JOIN named n ON d.doc_i
 """
 
 ORACLES |= {"op9_license_scan": OP9}
+
+
+def _valued(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(CAST(octet_length(encode({text})) AS VARCHAR) || ':' || {text}, '-')"
+
+
+def _tree_levels(name: str, levels: int) -> str:
+    """CTEs ``name``1 ... of the nodes (tree, i, h, cnt) of each level over ``name``0, and their siblings."""
+    made = []
+    for k in range(levels):
+        run = "PARTITION BY tree, i // 8 ORDER BY i ROWS BETWEEN"
+        made.append(f"""
+{name}_s{k} AS (
+  SELECT tree, i, cnt, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k} WHERE cnt > 1
+),
+{name}{k + 1} AS (
+  SELECT tree, i // 8 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h, (any_value(cnt) + 7) // 8 AS cnt FROM {name}{k} WHERE cnt > 1 GROUP BY tree, i // 8
+  UNION ALL SELECT tree, i, h, cnt FROM {name}{k} WHERE cnt = 1
+)""")
+    return ",".join(made)
+
+
+def _merkle(levels: int = 8, top_levels: int = 3) -> str:
+    """Levels: of a language's tree (8 to this power leaves) and of the languages' own."""
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaf = "sha256(" + " || ".join(_valued(c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+    now = "sha256(" + " || ".join(_valued(c) for c in ("doc_id", "source", "lang", "n_chars", lowered)) + ")"
+    digits = "list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT))"
+    bits = "list_prepend(xor(a, b), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[])"
+    crc = f"xor(list_reduce({digits}, lambda a, b: list_reduce({bits}, lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"
+    joins, path = [], []
+    for name, at, n in (("t", "d.i", levels), ("u", "d.place", top_levels)):
+        for k in range(n):
+            s = f"{name}_s{k}"
+            tree = "d.tree" if name == "t" else "'top'"
+            joins.append(f"LEFT JOIN {s} ON {s}.tree = {tree} AND {s}.i = {at} // {8**k}")
+            path.append(f"coalesce({s}.l || {s}.r, '')")
+    names = [f"t_s{k}" for k in range(levels)] + [f"u_s{k}" for k in range(top_levels)]
+    folds = []
+    for k, s in enumerate(names):
+        folds.append(f"f{k + 1} AS (SELECT * EXCLUDE (f), CASE WHEN s{k}.l IS NULL THEN f ELSE sha256(s{k}.l || f || s{k}.r) END AS f FROM f{k})")
+    steps = ", ".join(f"struct_pack(l := {s}.l, r := {s}.r) AS s{k}" for k, s in enumerate(names))
+    return f"""
+WITH hashed AS (SELECT doc_id, lang, {leaf} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {now} ELSE {leaf} END AS leaf_now FROM documents),
+d AS (
+  SELECT *, coalesce('=' || lang, '') AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place, count(*) OVER (PARTITION BY lang) AS cnt FROM hashed
+),
+t0 AS (SELECT tree, i, leaf AS h, cnt FROM d),{_tree_levels("t", levels)},
+subroots AS (SELECT DISTINCT d.tree, d.place, t{levels}.h AS subroot FROM d JOIN t{levels} ON t{levels}.tree = d.tree),
+u0 AS (SELECT 'top' AS tree, place AS i, subroot AS h, count(*) OVER () AS cnt FROM subroots),{_tree_levels("u", top_levels)},
+f0 AS (
+  SELECT d.doc_id, d.leaf, s.subroot, u{top_levels}.h AS root, sha256({" || ".join(path)}) AS proof_sha256, d.leaf_now AS f, {steps}
+  FROM d JOIN subroots s ON s.tree = d.tree CROSS JOIN u{top_levels} {" ".join(joins)}
+),
+{", ".join(folds)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, f AS folded_root, f = root AS verified FROM f{len(names)}
+"""
+
+
+ORACLES["op11_merkle_manifest"] = _merkle()

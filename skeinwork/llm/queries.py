@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, classifier, decontam, license_scan, lm, quality_rules, sharding, simhash, substring_dedup, url_filter
+from . import bpe, classifier, decontam, license_scan, lm, merkle, quality_rules, sharding, simhash, substring_dedup, url_filter
 from .common import table
 from .oracles import ORACLES as _SQL
 
@@ -79,6 +79,11 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.verified_manifest(docs, merkle.tampered_text(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_byte_bpe": op2_byte_bpe,
@@ -90,5 +95,6 @@ QUERIES: dict[str, Query] = {
     "op8_classifier": op8_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_lm_scores": op10_lm_scores,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 ORACLES: dict[str, str] = dict(_SQL)
