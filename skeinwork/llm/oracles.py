@@ -273,3 +273,57 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, f AS folded_root, f = root AS
 
 
 ORACLES["op11_merkle_manifest"] = _merkle()
+
+
+def _clusters(clusters: int = 16, rounds: int = 3, dim: int = 64) -> str:
+    finite = "list_bool_and(list_transform(embedding, lambda v: v IS NOT NULL AND isfinite(v)))"
+    made = []
+    for k in range(rounds + 1):
+        made.append(f"""
+a{k} AS (
+  SELECT pid, c, distance FROM (
+    SELECT pid, c, distance, row_number() OVER (PARTITION BY pid ORDER BY distance, c) AS r
+    FROM (SELECT x.pid, m.c, sum((x.v - m.v) * (x.v - m.v)) AS distance FROM x JOIN m{k} m ON x.d = m.d GROUP BY x.pid, m.c)
+  ) WHERE r = 1
+)""")
+        if k < rounds:
+            made.append(f"""
+m{k + 1} AS (
+  SELECT c, d, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS v
+  FROM (SELECT a.c, x.d, sum(x.v) AS s, count(*) AS n FROM x JOIN a{k} a ON a.pid = x.pid GROUP BY a.c, x.d)
+  UNION ALL SELECT c, d, v FROM m{k} WHERE c NOT IN (SELECT c FROM a{k})
+)""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS pid, vec_id, embedding, row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR))) - 1 AS place
+  FROM embeddings WHERE len(embedding) = {dim} AND {finite}
+),
+x AS (SELECT pid, place, d, CAST(floor(64 * CAST(embedding[d] AS DOUBLE)) AS BIGINT) AS v FROM (SELECT *, unnest(range(1, {dim + 1})) AS d FROM kept)),
+m0 AS (SELECT place AS c, d, v FROM x WHERE place < {clusters}),{",".join(made)},
+named AS (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM m{rounds} GROUP BY c)
+SELECT k.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.distance AS BIGINT) AS distance,
+  CAST(sum(a.distance) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.distance) OVER () AS BIGINT) AS inertia, n.centroid_sha256
+FROM a{rounds} a JOIN kept k ON k.pid = a.pid JOIN named n ON n.c = a.c
+"""
+
+
+ORACLES["op12_centroids"] = _clusters()
+
+#: Every pair of a label is compared; components by reachability.
+OP13 = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS pid, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (
+  SELECT pid, vec_id, label, e FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND list_bool_and(list_transform(e, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(e, lambda x: x <> 0))
+),
+links AS (
+  SELECT a.pid AS p, b.pid AS q FROM good a JOIN good b ON a.label = b.label AND len(a.e) = len(b.e) AND a.pid <> b.pid
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reached AS (SELECT pid AS p, pid AS q FROM v UNION SELECT r.p, l.q FROM reached r JOIN links l ON l.p = r.q),
+named AS (SELECT r.p, min(v.vec_id) AS component_id FROM reached r JOIN v ON v.pid = r.q GROUP BY r.p),
+counted AS (SELECT p, count(*) AS n FROM links GROUP BY p)
+SELECT v.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, n.component_id, v.vec_id = n.component_id AS kept
+FROM v JOIN named n ON n.p = v.pid LEFT JOIN counted c ON c.p = v.pid
+"""
+ORACLES["op13_embedding_dedup"] = OP13

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, classifier, decontam, license_scan, lm, merkle, quality_rules, sharding, simhash, substring_dedup, url_filter
+from . import bpe, centroids, classifier, decontam, embedding_dedup, license_scan, lm, merkle, quality_rules, sharding, simhash, substring_dedup, url_filter
 from .common import table
 from .oracles import ORACLES as _SQL
 
@@ -84,6 +85,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(docs, merkle.tampered_text(docs))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, final = centroids.clustering(table(spark, sf_dir, "embeddings"))
+    named = final.select("cluster", "cluster_inertia", "inertia", F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+    return assigned.join(F.broadcast(named), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_byte_bpe": op2_byte_bpe,
@@ -96,5 +107,7 @@ QUERIES: dict[str, Query] = {
     "op9_license_scan": op9_license_scan,
     "op10_lm_scores": op10_lm_scores,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_centroids": op12_centroids,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 ORACLES: dict[str, str] = dict(_SQL)
