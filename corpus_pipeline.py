@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from skeinwork.llm import bpe, classifier, decontam, simhash
 from skeinwork.llm import substring_dedup as spans
-from skeinwork.llm.common import cut, table
+from skeinwork.llm.common import Tables, cut, table
 from skeinwork.llm.queries import tokenizer_file
 
 
@@ -70,6 +70,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = cut(stage(spark, docs, sf_dir), f"stage{i + 1}")
+    with Tables() as tables:
+        for i, (_, stage) in enumerate(STAGES):
+            docs = cut(stage(spark, docs, sf_dir), f"stage{i + 1}")
+            tables.drop(spark, keep=f"stage{i + 1}")
     return docs
