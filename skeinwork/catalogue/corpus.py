@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from ..functions import text as tf
 from ..operators import examples, manifest, monitor, splits
 from ..plans import corpus
-from ..schemas import MESSAGES, USAGE
-from ..sources import files
+from ..schemas import MESSAGES, SPLIT_LINE, USAGE
+from ..sources import files, sync
 from ..sources.files import cap_per_domain
 from ..sources.fixed import EVAL_PROMPTS
 from ..streaming import streams
-from .tables import CODE, code_rows, scratch, table
+from .tables import CODE, CODE_ROWS, code_rows, scratch, table
 
 
 def _code_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -175,6 +175,51 @@ def a9_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 A9X = """SELECT doc_id, lang, CASE WHEN row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) <= floor(count(*) OVER () * 0.9::DOUBLE) THEN 'train' ELSE 'val' END AS split FROM documents"""
 
 
+def a9_written_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of written splits in the order of files and lines."""
+    folder = scratch(spark, "shuffled")
+    named = _messages(spark, sf_dir).withColumn("split", F.when(F.col("conv_id") % 10 == 0, "val").otherwise("train"))
+    corpus.write(named, folder, key=F.col("conv_id"))
+    read = [
+        files.lines_in_order(spark, f"{folder}/{split}.jsonl").select(F.lit(split).alias("split"), "place", F.from_json("value", SPLIT_LINE).getField("messages").alias("messages"))
+        for split in ("train", "val")
+    ]
+    both = read[0].unionByName(read[1])
+    first = F.element_at("messages", 1)
+    return both.select("split", "place", F.size("messages").alias("n"), F.md5(F.concat(first["role"], F.lit(":"), first["content"])).alias("digest"))
+
+
+A9W = """SELECT split, row_number() OVER (PARTITION BY split ORDER BY md5('42|' || conv_id)) - 1 AS place, n, digest FROM (
+  SELECT conv_id, CASE WHEN conv_id % 10 = 0 THEN 'val' ELSE 'train' END AS split, CAST(count(*) AS INT) AS n,
+    md5(arg_min(role, turn) || ':' || arg_min(text, turn)) AS digest FROM conversations GROUP BY conv_id) AS t"""
+
+
+def a1_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code files copied to a new folder, then again after some are gone from it and one has another size."""
+    root = _code_folder(spark, sf_dir)
+    target, reports = scratch(spark, "target"), scratch(spark, "reports")
+    first = sync.sync(spark, _uri(root), _uri(target), f"{reports}/first", 4)
+    # What the target lacks afterwards: all of one folder.
+    held = sync.listing(spark, _uri(target)).filter(~F.col("path").startswith("folder=d3/"))
+    again = sync.outdated(sync.listing(spark, _uri(root)), held)
+    parts = [
+        first.filter("error is null").select(F.lit("copied").alias("what"), "path", "length"),
+        again.select(F.lit("outdated").alias("what"), "path", "length"),
+        sync.outdated(sync.listing(spark, _uri(root)), sync.listing(spark, _uri(target))).select(F.lit("left").alias("what"), "path", "length"),
+    ]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    code = rows.filter("path like 'folder=%'").groupBy("what", F.split_part("path", F.lit("/"), F.lit(1)).alias("folder"))
+    return code.agg(F.sum("length").cast("long").alias("bytes"))
+
+
+def _uri(path: str) -> str:
+    return path if ":" in path else f"file://{path}"
+
+
+A1 = f"""WITH c AS (SELECT 'folder=d' || id % 6 AS folder, CAST(sum(strlen(code) + 1) AS BIGINT) AS bytes FROM ({CODE_ROWS}) AS t GROUP BY id % 6)
+SELECT 'copied' AS what, folder, bytes FROM c UNION ALL SELECT 'outdated', folder, bytes FROM c WHERE folder = 'folder=d3'"""
+
+
 def a9_domain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     examples = table(spark, sf_dir, "documents").select(F.struct(F.col("source").alias("domain")).alias("metadata"))
     return corpus.domain_counts(examples)
@@ -295,6 +340,16 @@ def a9e_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("digest string").json(f"{at}/out")
 
 
+def a9e_store_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct texts over the table as a stream that ends and goes on with more files."""
+    docs, at = table(spark, sf_dir, "documents"), scratch(spark, "stream")
+    for part in (0, 1):
+        docs.filter(F.col("doc_id") % 2 == part).select(F.col("text").alias("value")).write.mode("append").parquet(f"{at}/in")
+        stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 4).parquet(f"{at}/in")
+        streams.store_once(stream, f"{at}/out", f"{at}/state").awaitTermination()
+    return spark.read.schema("digest string").parquet(f"{at}/out")
+
+
 def x4_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("lang").alias("split"), "text")
     wanted = spark.sql("SELECT * FROM VALUES ('en'), ('de'), ('fr'), ('es'), ('none') AS t(split)")
@@ -309,7 +364,7 @@ _EVAL = ", ".join("('" + f"{i}:{p}".replace("'", "''") + "')" for i, p in EVAL_P
 
 QUERIES = {f.__name__: f for f in (
     a2_files, a3_decode, a4_source_cap, a5_extract_functions, a6_prompt_template, a6r_choice, a7_completion, a8_examples, a9_dedup,
-    a9_split, a9_domain_counts, a10_messages, e3_chat, e4_validate, e10_truncate, g2_token_count, t1_leakage, t2_intersection,
+    a1_sync, a9_split, a9_written_order, a9e_store_once, a9_domain_counts, a10_messages, e3_chat, e4_validate, e10_truncate, g2_token_count, t1_leakage, t2_intersection,
     t3_contains, x4_line_counts, x1_prefix, x5_cached_splits, e2_fallback, a9e_stream_dedup,
 )}
 ORACLES = {
@@ -327,6 +382,9 @@ ORACLES = {
     "a8_examples": A8,
     "a9_dedup": A9,
     "a9_split": A9X,
+    "a1_sync": A1,
+    "a9_written_order": A9W,
+    "a9e_store_once": "SELECT DISTINCT md5(text) AS digest FROM documents",
     "a9_domain_counts": "SELECT source AS domain, count(*) AS n FROM documents GROUP BY source",
     "a10_messages": A10,
     "e3_chat": "SELECT conv_id, string_agg('<|' || role || '|>' || chr(10) || text || chr(10), '' ORDER BY turn) AS chat FROM conversations WHERE role IN ('user', 'assistant', 'system') GROUP BY conv_id",

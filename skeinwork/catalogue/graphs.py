@@ -6,13 +6,13 @@ documents, their labels and sources serve as nodes and edges too.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tf
-from ..operators import graph, inference, topics
+from ..operators import graph, inference, topics, vector_index
 from ..plans.context_store import ContextStore
+from ..plans.stored import Kind, StoredTables
 from .tables import scratch, table
 
 
@@ -147,19 +147,23 @@ def g8_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def g8_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contexts reachable backwards by FOLLOWS, with the number of steps."""
-    graph.follows(_contexts(spark, sf_dir)).createOrReplaceTempView("skeinwork_follows")
-    return spark.sql(
-        """WITH RECURSIVE chain(start, id, steps) AS (
-             SELECT src, dst, 1 FROM skeinwork_follows
-             UNION ALL SELECT c.start, f.dst, c.steps + 1 FROM chain c JOIN skeinwork_follows f ON f.src = c.id)
-           SELECT start, max(steps) AS steps, min(id) AS first FROM chain GROUP BY start"""
-    )
+    walked = graph.chains(graph.follows(_contexts(spark, sf_dir)))
+    return walked.select("start", F.col("steps").cast("int").alias("steps"), F.col("least").alias("first"))
+
+
+def g8_long_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one session's contexts, each after the one before it by time."""
+    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("timestamp"), F.lit(1).alias("session_id"))
+    return graph.chains(graph.follows_by_ranges(events)).select("start", "end", "steps")
 
 
 G8C = """SELECT conv_id * 1000 + turn AS start, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS steps,
   min(conv_id * 1000 + turn) OVER (PARTITION BY conv_id) AS first FROM conversations QUALIFY steps > 0"""
 
 
+G8L = """SELECT event_id AS start, first_value(event_id) OVER (ORDER BY ts, event_id) AS "end", row_number() OVER (ORDER BY ts, event_id) - 1 AS steps FROM events QUALIFY steps > 0"""
+
+
 def g9_topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources, and one that no document has."""
     docs = table(spark, sf_dir, "documents")
@@ -172,15 +176,11 @@ def g10_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.topics(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-def letters(texts: list[str]) -> list:
-    """A stand-in for a model: how often each letter occurs."""
-    counts = [np.bincount(np.frombuffer(t.encode().lower(), np.uint8), minlength=256)[97:123] for t in texts]
-    return [c.astype(float) for c in counts]
-
-
 def g10k_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phrases of the benchmark's texts by their letters."""
-    return topics.key_phrases(table(spark, sf_dir, "benchmark"), "item_id", "text", letters).withColumn("score", F.round("score", 6))
+    """Phrases of all documents, by vectors fitted on them."""
+    docs = table(spark, sf_dir, "documents")
+    model = topics.fit_phrases(docs, "text")
+    return topics.model_phrases(docs, "doc_id", "text", model).withColumn("score", F.round("score", 6))
 
 
 _STOP = ", ".join(f"'{w}'" for w in topics.STOP_WORDS)
@@ -275,8 +275,8 @@ def _store(spark: SparkSession, sf_dir: str) -> ContextStore:
     store = ContextStore(spark, scratch(spark, "store"), lambda texts: [[1.0]] * len(texts), lambda: None)
     store.init_schema()
     inputs = _inputs(spark, sf_dir)
-    for batch, part in (("a", 0), ("b", 1), ("a", 0)):
-        store.store_batch(inputs.filter(F.col("id") % 2 == part), batch)
+    for part in (0, 1, 0):
+        store.store_batch(inputs.filter(F.col("id") % 2 == part))
     return store
 
 
@@ -293,13 +293,71 @@ def g18_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, sf_dir).topics_with_counts().select("name", "context_count")
 
 
+def g3_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events merged into a stored table by user and type, in three batches out of order, of which one comes twice."""
+    kind = Kind(("user_id", "event_type"), "user_id long, event_type string, event_id long, value double, ts timestamp_ntz", ("ts", "event_id"), ("event_id",), ("value",))
+    rows = StoredTables(spark, scratch(spark, "stored"), {"latest": kind}, 4)
+    events = table(spark, sf_dir, "events")
+    for part in (2, 0, 1, 0):
+        rows.merge({"latest": events.filter(F.col("event_id") % 3 == part)})
+    return rows.read("latest").select("user_id", "event_type", F.col("event_id").alias("id"), "value")
+
+
+def g15_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of a store's tables, and its edges from a context to the one before, after batches out of order."""
+    made = _store(spark, sf_dir).tables()
+    counts = [df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("string").alias("dst")) for name, df in made.items() if name != "follows"]
+    out = made["follows"].select(F.col("src").alias("part"), F.lit(1).cast("long").alias("n"), "dst")
+    for x in counts:
+        out = out.unionByName(x)
+    return out
+
+
+G15S = f"""WITH g AS ({G15}) SELECT part, count(*) AS n, CAST(NULL AS VARCHAR) AS dst FROM g WHERE part <> 'follows' GROUP BY part
+UNION ALL SELECT split_part(line, '|', 1), 1, split_part(line, '|', 2) FROM g WHERE part = 'follows'"""
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch(spark, "index")
+    vector_index.build_index(_embeddings(spark, sf_dir), path, "embeddings_embedding", "vec_id")
+    return path
+
+
+def _asking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _embeddings(spark, sf_dir).filter("vec_id % 50 = 0 or vec_id = -1")
+
+
+def g6_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whose id 50 divides asks a stored index; scores are those of the vectors."""
+    found = vector_index.search_index(spark, _indexed(spark, sf_dir), _asking(spark, sf_dir), 10, "vec_id", exact=True)
+    return found.select("query_id", "rank", F.round("score", 6).alias("score"))
+
+
+def g6_index_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the nearest lists alone give of the answers of a scan."""
+    e, asked = _embeddings(spark, sf_dir), _asking(spark, sf_dir)
+    found = vector_index.search_index(spark, _indexed(spark, sf_dir), asked, 10, "vec_id")
+    measured = vector_index.recall(found, graph.nearest_batch(e, asked, 10, "vec_id"))
+    return measured.select("n_queries", "n_exact", (F.col("recall") >= 0.9).alias("good"))
+
+
+def g19_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = vector_index.list_indexes(spark, [_indexed(spark, sf_dir)])
+    return listed.select("name", "property", "dimensions", "similarity", "lists", "entries", "state")
+
+
 QUERIES = {f.__name__: f for f in (
     g1_unique, g3_upsert, g4_follows, g4_latest, g5_edges, g6_topk, g6_topk_batch, g6_threshold, g7_neighbours, g8_by_topic, g8_by_file,
-    g8_history, g8_chain, g9_topic_counts, g10_topics, g10k_phrases, g11_entities, g12_delete, g13_embed, g15_ingest, g17_execute, g18_file_history, g18_topics,
+    g3_stored, g6_index, g6_index_recall, g15_stored, g19_index, g8_history, g8_chain, g8_long_chain, g9_topic_counts, g10_topics, g10k_phrases, g11_entities, g12_delete, g13_embed, g15_ingest, g17_execute, g18_file_history, g18_topics,
 )}
 ORACLES = {
     "g1_unique": "SELECT md5(text) AS digest, count(*) AS n FROM documents GROUP BY md5(text) HAVING count(*) > 1",
     "g3_upsert": G3,
+    "g3_stored": G3,
+    "g15_stored": G15S,
+    "g6_index": G6B,
+    "g6_index_recall": f"""WITH k AS ({G6B}) SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_exact, true AS good FROM k""",
+    "g19_index": f"""WITH {E} SELECT 'embeddings_embedding' AS name, 'embedding' AS property, 64 AS dimensions, 'cosine' AS similarity, CAST(ceil(sqrt(count(*))) AS INT) AS lists, count(*) AS entries, 'ONLINE' AS state FROM e""",
     "g4_follows": "SELECT * FROM (SELECT conv_id * 1000 + turn AS src, lag(conv_id * 1000 + turn) OVER (PARTITION BY conv_id ORDER BY turn) AS dst FROM conversations) AS t WHERE dst IS NOT NULL",
     "g4_latest": "SELECT conv_id AS session_id, max(conv_id * 1000 + turn) AS id FROM conversations GROUP BY conv_id",
     "g5_edges": G5,
@@ -311,6 +369,7 @@ ORACLES = {
     "g8_by_file": "SELECT p_partkey AS id FROM part WHERE p_size = 3",
     "g8_history": "SELECT conv_id * 1000 + turn AS id, role FROM conversations WHERE conv_id = 1",
     "g8_chain": G8C,
+    "g8_long_chain": G8L,
     "g9_topic_counts": "SELECT source AS name, 'd' AS description, count(*) AS context_count FROM documents GROUP BY source UNION ALL SELECT 'unused', 'd', 0",
     "g10_topics": G10,
     "g11_entities": G11,

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import distill, inference
+from ..operators import distill, inference, places
 from ..plans import epoch
 from ..plans.epoch import score_outputs
 from ..schemas import CORRECTION
 from ..sources.files import accumulated_corrections, append_metrics, read_prompts, write_corrections, write_single_json
 from ..sources.fixed import CORRECTION_SYSTEM, EVAL_PROMPTS, SAMPLE_PROMPTS, TEACHER_SYSTEM
 from . import distillation
-from .tables import code_rows, scratch, table
+from .tables import CODE_ROWS, code_rows, scratch, table
 
 NOW = "2024-01-01T00:00:00"
 
@@ -56,11 +56,21 @@ def b6_default_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("id", "success", "response")
 
 
+def b6_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places and ids of prompts that come out of a join, whose partitions no two plans need share."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id")
+    prompts = docs.join(labels.hint("shuffle_hash"), "doc_id").filter("text <> ''").select(F.col("text").alias("prompt"))
+    ids = inference.generate(prompts, stand_in, NOW, workers=4).select(F.lit("ids").alias("what"), "id")
+    both = places.numbered(prompts, "at").select(F.lit("places").alias("what"), F.col("at").cast("string").alias("id")).unionByName(ids)
+    last = F.max(F.col("id").cast("long")).alias("last")
+    return both.groupBy("what").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"), last)
+
+
 def b5_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch that is asked for in part, and then as a whole: the first answers stay."""
+    """A batch that is asked for in part, and then as a whole: the first answers stay, failures are asked for again."""
     path, prompts = scratch(spark, "answers"), _prompts(spark, sf_dir)
-    inference.generate_once(prompts.filter("CAST(id AS long) % 3 = 0"), stand_in, "first", path, parts=2, workers=2)
-    done = inference.generate_once(prompts, stand_in, "then", path, parts=3, workers=2)
+    inference.generate_once(prompts.filter("CAST(id AS long) % 3 = 0"), stand_in, "first", path, every=40, workers=2)
+    done = inference.generate_once(prompts, stand_in, "then", path, every=500, workers=2)
     return done.select("id", "response", "success", "timestamp")
 
 
@@ -180,6 +190,23 @@ def q4_compiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_outputs(outputs, compiler=True).select("id", F.col("quality.syntax").alias("syntax"), F.round("score", 6).alias("score"))
 
 
+def stub_check(units: list[str]) -> list[tuple[bool, str] | None]:
+    """A stand-in for a compiler: an error for each open call, a warning for each jump."""
+    said = ["x.c:1: error: unbalanced\n" * u.count("(unbalanced") + "x.c:2: warning: jump\n" * u.count("goto ") for u in units]
+    return [("error:" not in x, x) for x in said]
+
+
+def q4_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Syntax scores by a stand-in compiler; every code comes three times, some blank, and is checked once."""
+    rows = code_rows(spark, sf_dir).select("id", F.when(F.col("id") % 10 != 0, F.col("code")).otherwise(F.lit(" ")).alias("code"))
+    thrice = rows.select(F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("copy"), "id", "code")
+    return inference.compiled(thrice, "code", "syntax", stub_check).select("copy", "id", "syntax")
+
+
+Q4C = f"""WITH c AS ({CODE_ROWS}) SELECT copy, id, CAST(CASE WHEN id % 10 = 0 THEN 0 WHEN contains(code, '(unbalanced') THEN 4 WHEN contains(code, 'goto ') THEN 8.5 ELSE 10 END AS DOUBLE) AS syntax
+  FROM c CROSS JOIN (VALUES (0), (1), (2)) AS t(copy)"""
+
+
 def t11_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = table(spark, sf_dir, "events").selectExpr("event_id", "event_type", f"{_BODY} AS body")
     usage = bodies.select("event_type", inference.parse_body(F.col("body"))["usage"].alias("u"))
@@ -187,15 +214,17 @@ def t11_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    b1_prompts, b2_sample_prompts, b3_backoff, b3b_infer, b4_summary, b5_stored, b6_default_ids, b7_sorted, p1_parse, d4_corrections,
-    d9_metrics, d10_corrections_files, d11_summary_json, d17_evaluated, q0_outputs_by_id, q4_compiled, t11_usage,
+    b1_prompts, b2_sample_prompts, b3_backoff, b3b_infer, b4_summary, b5_stored, b6_default_ids, b6_places, b7_sorted, p1_parse, d4_corrections,
+    d9_metrics, d10_corrections_files, d11_summary_json, d17_evaluated, q0_outputs_by_id, q4_compiled, q4_checked, t11_usage,
 )}
 _LISTED = ", ".join("('%s', '%s', '%s')" % (i, p.replace("'", "''"), kind) for kind, listed in (("sample", SAMPLE_PROMPTS), ("eval", EVAL_PROMPTS)) for i, p in listed)
 _HALVES = f"""{D4}, h AS (SELECT CASE WHEN length(output) % 2 = 0 THEN 1 ELSE 2 END AS epoch FROM fixed)"""
 ORACLES = {
     "b1_prompts": f"WITH {ASKED} SELECT id, prompt FROM a",
     "b2_sample_prompts": f"SELECT * FROM (VALUES {_LISTED}) AS t(id, prompt, kind)",
-    "b5_stored": f"""WITH {DONE} SELECT id, replace(response, '{_TOLD}', '') AS response, success, CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN 'first' ELSE 'then' END AS timestamp FROM done""",
+    "b5_stored": f"""WITH {DONE} SELECT id, replace(response, '{_TOLD}', '') AS response, success, CASE WHEN success AND CAST(id AS BIGINT) % 3 = 0 THEN 'first' ELSE 'then' END AS timestamp FROM done""",
+    "b6_places": """SELECT what, n, n AS n_ids, n - 1 AS last FROM (SELECT count(*) AS n FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE d.text <> '')
+      CROSS JOIN (VALUES ('places'), ('ids')) AS t(what)""",
     "b6_default_ids": f"""WITH {ASKED} SELECT coalesce(id, place) AS id, length(prompt) % 11 <> 0 AND length(prompt) % 13 <> 0 AS success,
       CASE WHEN length(prompt) % 11 <> 0 AND length(prompt) % 13 <> 0 THEN '// {_TOLD}' || substr(prompt, 1, 10) END AS response FROM a WHERE prompt <> ''""",
     "b3_backoff": "SELECT DISTINCT event_id % 6 AS attempt, 0.1::DOUBLE * pow(2, event_id % 6) AS delay FROM events",
@@ -212,5 +241,6 @@ ORACLES = {
     "d17_evaluated": "SELECT item_id AS id, text AS prompt FROM benchmark ORDER BY item_id LIMIT 20",
     "q0_outputs_by_id": """SELECT u.conv_id * 1000 + u.turn + 1 AS id, u.text AS prompt, a.text AS output FROM conversations u JOIN conversations a
       ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'""",
+    "q4_checked": Q4C,
     "t11_usage": "SELECT event_type, CAST(sum(CASE event_id % 3 WHEN 0 THEN event_id % 9 ELSE 0 END) AS BIGINT) AS output_tokens FROM events GROUP BY event_type",
 }

@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import shared_folder
-
+from ..session import scratch
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder's path below the shared one, for queries that write and read again."""
-    return f"{shared_folder(spark)}/skeinwork-queries/{name}-{uuid.uuid4().hex}"
+__all__ = ["CODE", "CODE_ROWS", "PROMPT", "code_rows", "scratch", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tf
 from ..functions import vectors as vf
+from ..session import written
+from .places import ranked
 
 #: Query vectors, and vectors, that are compared as one matrix.
 QUERY_BLOCK, VECTOR_BLOCK = 1024, 4096
@@ -41,6 +43,58 @@ def follows(contexts: DataFrame, session: str = "session_id", at: str = "timesta
     return contexts.select(F.col("id").alias("src"), before.alias("dst")).filter("dst is not null")
 
 
+def follows_by_ranges(contexts: DataFrame, session: str = "session_id", at: str = "timestamp") -> DataFrame:
+    """As ``follows``, for sessions of which one may be longer than a task can sort.
+
+    All contexts are sorted by ranges and numbered, and each meets the number before its own.
+    """
+    places = ranked(contexts.select(F.col(session).alias("session"), F.col(at).alias("time"), "id"), ["session", "time", "id"], "at")
+    before = places.select((F.col("at") + 1).alias("at"), F.col("session").alias("before"), F.col("id").alias("dst"))
+    met = places.select("at", "session", F.col("id").alias("src")).join(before, "at")
+    return met.filter(F.col("session").eqNullSafe(F.col("before"))).select("src", "dst")
+
+
+def chains(edges: DataFrame) -> DataFrame:
+    """start, end, steps, least: how far the edges (src, dst) lead from each src, and the least node on the way.
+
+    A node has at most one edge that leaves it; rows that say the same twice do no harm.
+    By pointer doubling: in every round a node takes over what the node it points to
+    knows, so a chain of n nodes is walked in log2(n) rounds, each a join of the nodes
+    that are not at their end yet.  Nodes that are there are not written again.  A
+    cycle, or a node with two edges, is an error; edges with a null end are left out.
+    """
+    known = edges.filter("src is not null and dst is not null").select("src", "dst").distinct()
+    if known.groupBy("src").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
+        raise ValueError("a node has more than one edge that leaves it")
+    ways = known.select(F.col("src").alias("start"), F.col("dst").alias("end"), F.lit(1).cast("long").alias("steps"), F.least("src", "dst").alias("least"))
+    further = known.select(F.col("src").alias("end"), F.lit(True).alias("goes_on"))
+    active = written(ways.join(further, "end", "left").withColumn("done", F.col("goes_on").isNull()).drop("goes_on"), "chains")
+    columns = ["start", "end", "steps", "least", "done"]
+    ended, left = [active.filter("done").select(*columns)], active.filter("not done").select(*columns)
+    n = left.count()
+    # Each round doubles the steps, so no chain of the nodes that are there needs more.
+    for _ in range(n.bit_length() + 1):
+        if not n:
+            break
+        every = left
+        for part in ended:
+            every = every.unionByName(part)
+        ahead = every.select(F.col("start").alias("via"), F.col("end").alias("to"), F.col("steps").alias("more"), F.col("least").alias("lowest"), F.col("done").alias("there"))
+        met = left.join(ahead, left["end"] == ahead["via"]).select(
+            "start", F.col("to").alias("end"), (F.col("steps") + F.col("more")).alias("steps"), F.least("least", "lowest").alias("least"), F.col("there").alias("done")
+        )
+        now = written(met, "chains")
+        ended.append(now.filter("done"))
+        left = now.filter("not done")
+        n = left.count()
+    if n:
+        raise ValueError("the edges have a cycle")
+    every = ended[0]
+    for part in ended[1:]:
+        every = every.unionByName(part)
+    return every.drop("done")
+
+
 def session_history(contexts: DataFrame, session_id: object) -> DataFrame:
     return contexts.filter(F.col("session_id") == session_id).orderBy("timestamp", "id")
 
@@ -158,8 +212,8 @@ def search(contexts: DataFrame, query: list[float], kinds: dict, k: int = 10, le
     return found.orderBy(F.desc("score"), "id")
 
 
-def ingest(inputs: DataFrame) -> dict[str, DataFrame]:
-    """Node and edge tables of new contexts: one plan for any number of them.
+def rows_of(inputs: DataFrame) -> dict[str, DataFrame]:
+    """What new contexts say of each node and edge table, not merged yet.
 
     ``inputs``: id, summary, full_text, session_id, project, timestamp, embedding and
     topics (array of names).  Edges go by natural keys: a topic's name, and an entity's
@@ -172,14 +226,25 @@ def ingest(inputs: DataFrame) -> dict[str, DataFrame]:
     entities = inputs.select("id", "timestamp", F.explode(tf.code_entities(F.col("full_text"))).alias("e")).select(
         "id", "timestamp", "e.*", F.concat_ws("\x1f", "e.file_path", "e.name").alias("entity")
     )
-    order = ["timestamp", "id"]
     return {
         "contexts": contexts,
-        "sessions": upsert(inputs.withColumn("start_time", F.col("timestamp")), ["session_id"], order, ["project", "start_time"], []),
-        "topics": named.select(F.col("name").alias("id"), "name").distinct(),
-        "entities": upsert(entities.withColumn("src", F.col("id")), ["entity", "file_path", "name"], ["timestamp", "src"], [], ["entity_type"]),
+        "sessions": inputs.select("session_id", "project", F.col("timestamp").alias("start_time"), "timestamp", "id"),
+        "topics": named.select(F.col("name").alias("id"), "name"),
+        "entities": entities.select("entity", "file_path", "name", "entity_type", "timestamp", F.col("id").alias("src")),
         "belongs_to": contexts.select(F.col("id").alias("src"), F.col("session_id").alias("dst")),
-        "follows": follows(contexts),
-        "contains_topic": named.select(F.col("id").alias("src"), F.col("name").alias("dst")).distinct(),
-        "references_code": entities.select(F.col("id").alias("src"), F.col("entity").alias("dst")).distinct(),
+        "contains_topic": named.select(F.col("id").alias("src"), F.col("name").alias("dst")),
+        "references_code": entities.select(F.col("id").alias("src"), F.col("entity").alias("dst")),
+    }
+
+
+def ingest(inputs: DataFrame) -> dict[str, DataFrame]:
+    """Node and edge tables of new contexts: one plan for any number of them."""
+    rows = rows_of(inputs)
+    return rows | {
+        "sessions": upsert(rows["sessions"], ["session_id"], ["timestamp", "id"], ["project", "start_time"], []),
+        "topics": rows["topics"].distinct(),
+        "entities": upsert(rows["entities"], ["entity", "file_path", "name"], ["timestamp", "src"], [], ["entity_type"]),
+        "follows": follows(rows["contexts"]),
+        "contains_topic": rows["contains_topic"].distinct(),
+        "references_code": rows["references_code"].distinct(),
     }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .places import in_ranges
+
 BUCKET_DIGITS = 3
 
 
@@ -28,6 +30,14 @@ def shuffle_key(seed: int, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
 
 
+def shuffled(rows: DataFrame, key: Column, seed: int = 42) -> DataFrame:
+    """``rows`` in an order that depends on seed and key only; a write keeps it over its files.
+
+    Sorted by ranges of the seeded hash, so no task sorts the whole table.
+    """
+    return in_ranges(rows.withColumn("__h", shuffle_key(seed, key)), ["__h"]).drop("__h")
+
+
 def exact_split(rows: DataFrame, key: str, ratio: float = 0.9, seed: int = 42) -> DataFrame:
     """``rows`` with ``split``: exactly floor(n * ratio) rows are ``train``, the others ``val``.
 

@@ -1,8 +1,8 @@
 """The context store as one object: batches in, tables or JSON out.
 
-Every table is a Parquet folder of immutable input batches under ``root``; nodes with a
-natural key are merged when they are read, so a write is an append and a repeated
-write of a batch replaces that batch only.
+Node and edge tables are stored tables that a batch is merged into by key, so a write
+rewrites the buckets that it touches and a read is a scan.  A batch that is stored
+again replaces its own rows.
 """
 
 from __future__ import annotations
@@ -14,14 +14,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import token_count
-from ..operators import graph, topics
+from ..operators import graph, topics, vector_index
 from ..sources.files import exists
+from .stored import Kind, StoredTables
 
 INPUT = (
     "id string, summary string, full_text string, session_id string, project string, timestamp timestamp, "
     "embedding array<float>, topics array<string>"
 )
 
+EDGE = Kind(("src", "dst"), "src string, dst string", by=("src",))
+_BEFORE = "lag(id) OVER (PARTITION BY session_id ORDER BY timestamp, id)"
+#: A session's contexts share a bucket, so who follows whom is settled where they are merged.
+KINDS = {
+    "contexts": Kind(
+        ("session_id", "id"), "id string, summary string, full_text string, timestamp timestamp, session_id string, token_count int, embedding array<float>",
+        ("timestamp",), (), ("summary", "full_text", "timestamp", "token_count", "embedding"), ("session_id",), {"previous": _BEFORE},
+    ),
+    "sessions": Kind(("session_id",), "session_id string, project string, start_time timestamp, timestamp timestamp, id string", ("timestamp", "id"), ("project", "start_time")),
+    "topics": Kind(("id", "name"), "id string, name string", by=("name",)),
+    "entities": Kind(
+        ("entity", "file_path", "name"), "entity string, file_path string, name string, entity_type string, timestamp timestamp, src string",
+        ("timestamp", "src"), (), ("entity_type",), ("file_path",),
+    ),
+    "belongs_to": EDGE, "contains_topic": EDGE, "references_code": EDGE,
+}
+#: Vector indexes: the table and column of each.
+INDEXES = {"context_embedding": ("contexts", "embedding")}
 
 #: Rows of a page that comes to the driver as JSON.
 PAGE = 1000
@@ -33,17 +52,34 @@ class ContextStore:
     def __init__(self, spark: SparkSession, root: str, encode: Callable[[list[str]], list], now: Callable[[], object], project: str = "default", top_topics: int = 5):
         self.spark, self.root, self.encode, self.now = spark, root.rstrip("/"), encode, now
         self.project, self.top_topics = project, top_topics
+        self.stored = StoredTables(spark, self.root, KINDS)
 
     def init_schema(self) -> None:
-        """An empty input table, if there is none."""
-        if not exists(self.spark, f"{self.root}/inputs"):
-            self.spark.createDataFrame([], INPUT + ", batch string").write.partitionBy("batch").parquet(f"{self.root}/inputs")
+        """An empty snapshot, if there is none."""
+        if not self.stored.versions():
+            self.stored.merge({})
 
     def tables(self) -> dict[str, DataFrame]:
-        """Node and edge tables of all that is stored."""
-        if not exists(self.spark, f"{self.root}/inputs"):
-            return graph.ingest(self.spark.createDataFrame([], INPUT))
-        return graph.ingest(self.spark.read.schema(INPUT).parquet(f"{self.root}/inputs"))
+        """Node and edge tables of all that is stored, as of one snapshot."""
+        version, _ = self.stored.snapshot()
+        made = {name: self.stored.read(name, version) for name in KINDS}
+        contexts = made["contexts"]
+        follows = contexts.filter("previous is not null").select(F.col("id").alias("src"), F.col("previous").alias("dst"))
+        return made | {"contexts": contexts.drop("previous"), "follows": follows}
+
+    def build_indexes(self, dim: int | None = None, **how: object) -> None:
+        """Vector indexes of all that is stored now; those that are there are replaced."""
+        made, (version, _) = self.tables(), self.stored.snapshot()
+        for name, (table, column) in INDEXES.items():
+            vector_index.build_index(made[table], f"{self.root}/indexes/{name}", name, vector=column, dim=dim, **how)
+            self.spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("overwrite").json(f"{self.root}/indexes/{name}/version")
+
+    def indexes(self) -> DataFrame:
+        """The vector indexes with their state: ONLINE, or STALE if something was stored since."""
+        there = [name for name in INDEXES if exists(self.spark, f"{self.root}/indexes/{name}/version")]
+        found, (now, _) = vector_index.list_indexes(self.spark, [f"{self.root}/indexes/{name}" for name in there]), self.stored.snapshot()
+        old = [n for n in there if self.spark.read.schema("version long").json(f"{self.root}/indexes/{n}/version").first()["version"] < now]
+        return found.withColumn("state", F.when(F.col("name").isin(old), "STALE").otherwise(F.col("state")))
 
     def violations(self) -> dict[str, DataFrame]:
         """Keys that occur more than once in a table where they must not."""
@@ -51,10 +87,9 @@ class ContextStore:
         keys = {"contexts": ["id"], "sessions": ["session_id"], "topics": ["name"], "entities": ["file_path", "name"]}
         return {name: graph.violations(made[name], key) for name, key in keys.items()}
 
-    def store_batch(self, inputs: DataFrame, batch: str) -> None:
-        """Append contexts in the form of INPUT; storing a batch again replaces it."""
-        out = inputs.select(*[c.split()[0] for c in INPUT.split(", ")]).withColumn("batch", F.lit(batch))
-        out.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("batch").parquet(f"{self.root}/inputs")
+    def store_batch(self, inputs: DataFrame) -> int:
+        """Merge contexts in the form of INPUT; the number of the snapshot that holds them."""
+        return self.stored.merge(graph.rows_of(inputs.select(*[c.split()[0] for c in INPUT.split(", ")])))
 
     def store_context(self, summary: str, full_text: str, session_id: str, project: str | None = None) -> str:
         """Store one context with its frequent words as topics; a JSON text of what was found."""
@@ -71,11 +106,16 @@ class ContextStore:
             F.coalesce(F.transform("t", lambda t: t["name"]), F.array().cast("array<string>")).alias("topics"),
         )
         found = ready.select("id", "topics", token_count(F.col("full_text")).alias("n")).first()
-        self.store_batch(ready, found["id"])
+        self.store_batch(ready)
         refs = graph.ingest(ready)["references_code"].collect()
         names = sorted({p or n for p, n in (r["dst"].split("\x1f") for r in refs)})
         return json.dumps({"context_id": found["id"], "topics_extracted": list(found["topics"]), "code_refs_found": names, "token_count": found["n"]})
 
+    def nearest(self, query: str, top_k: int = 10, exact: bool = True) -> DataFrame:
+        """id, score of the contexts most like the query by their index, which must be ONLINE."""
+        asked = self.spark.createDataFrame([("", [float(x) for x in self.encode([query])[0]])], "id string, embedding array<double>")
+        return vector_index.search_index(self.spark, f"{self.root}/indexes/context_embedding", asked, top_k, exact=exact).select("id", "score")
+
     def search_contexts(self, query: str, top_k: int = 10, least: float = 0.75) -> str:
         made = self.tables()
         names = made["topics"].select("id", "name")
@@ -98,7 +138,8 @@ class ContextStore:
         return graph.contexts_linked_to(made["contexts"], made["references_code"], nodes, F.col("file_path") == file_path).drop("embedding")
 
     def session_history(self, session_id: str) -> DataFrame:
-        return graph.session_history(self.tables()["contexts"], session_id).drop("embedding")
+        """One bucket is read."""
+        return graph.session_history(self.stored.look_up("contexts", session_id=session_id), session_id).drop("embedding", "previous")
 
     def topics_with_counts(self) -> DataFrame:
         made = self.tables()

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.examples import training_examples
-from ..operators.splits import deduplicate, digest, exact_split
+from ..operators.splits import deduplicate, digest, exact_split, shuffled
 from ..sources.files import cap_per_domain, read_code_files, with_source, write_split
 from ..sources.fixed import SOURCES
 
@@ -21,9 +21,11 @@ def prepare(
     return exact_split(first, "key", ratio, seed).drop("key")
 
 
-def write(prepared: DataFrame, folder: str) -> None:
+def write(prepared: DataFrame, folder: str, seed: int = 42, key: Column | None = None) -> None:
+    """Both splits as JSON lines, shuffled by the seeded hash of ``key`` (default: the messages' digest)."""
+    key = digest(F.col("messages")) if key is None else key
     for split in ("train", "val"):
-        write_split(prepared.filter(F.col("split") == split), f"{folder}/{split}.jsonl")
+        write_split(shuffled(prepared.filter(F.col("split") == split), key, seed), f"{folder}/{split}.jsonl")
 
 
 def domain_counts(examples: DataFrame) -> DataFrame:

@@ -11,14 +11,17 @@ from ..operators import distill, inference
 from ..sources.files import write_corrections
 
 
-def score_outputs(outputs: DataFrame, compiler: bool = False) -> DataFrame:
+def score_outputs(outputs: DataFrame, compiler: bool = False, check: inference.Check = inference.compile_units) -> DataFrame:
     """``outputs`` (id, prompt, output) with ``quality`` and ``score``.
 
-    With ``compiler`` the syntax score is that of the executors' C compiler.
+    With ``compiler`` the syntax score is that of ``check``, the executors' C compiler.
     """
     code = outputs.withColumn("__code", code_block(F.col("output")))
-    syntax = inference.compiled_score(F.col("__code")) if compiler else None
-    return code.withColumn("quality", quality(F.col("__code"), F.col("prompt"), syntax)).withColumn("score", F.col("quality.overall")).drop("__code")
+    if compiler:
+        code = inference.compiled(code, "__code", "__syntax", check)
+    syntax = F.col("__syntax") if compiler else None
+    scored = code.withColumn("quality", quality(F.col("__code"), F.col("prompt"), syntax)).withColumn("score", F.col("quality.overall"))
+    return scored.drop("__code", "__syntax")
 
 
 def evaluated(prompts: DataFrame, n: int, order: str) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "skeinwork", **conf: str) -> SparkSession:
@@ -35,3 +36,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="skeinwork-")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the shared one."""
+    return f"{shared_folder(spark)}/skeinwork-tables/{name}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` as a table in the shared folder, read again: its lineage ends, and it never changes."""
+    path = scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import decode_code
 from ..operators.manifest import listing
 from ..schemas import CORRECTION, PROMPT, SPLIT_LINE
+from ..session import written
 from .fixed import EVAL_PROMPTS
 
 #: Suffixes of code files, in the order in which they are listed.
@@ -44,9 +45,10 @@ def cap_per_domain(files: DataFrame, n: int) -> DataFrame:
     rank = F.lit(len(EXTENSIONS))
     for i, e in reversed(list(enumerate(EXTENSIONS))):
         rank = F.when(F.col("path").endswith(e), i).otherwise(rank)
+    # Only paths are ranked, and met by their rows; a rank of a domain's start is cut off early.
     order = Window.partitionBy("domain").orderBy("__ext", "path")
-    ranked = files.withColumn("__ext", rank).withColumn("__r", F.row_number().over(order))
-    return ranked.filter(F.col("__r") <= n).drop("__ext", "__r")
+    ranked = files.select("domain", "path").distinct().withColumn("__ext", rank).withColumn("__r", F.row_number().over(order))
+    return files.join(ranked.filter(F.col("__r") <= n).select("domain", "path"), ["domain", "path"], "left_semi")
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
@@ -63,6 +65,16 @@ def write_split(examples: DataFrame, path: str, single_file: bool = False) -> No
     (out.coalesce(1) if single_file else out).write.mode("overwrite").json(path)
 
 
+def lines_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """value, place of the lines below ``path``: files by name, lines as they stand, from 0."""
+    mark = F.monotonically_increasing_id().alias("mark")
+    lines = written(spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", mark), "lines")
+    parts = lines.groupBy("file_path", "file_block_start").agg(F.min("mark").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file_path", "file_block_start").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("file_path", "file_block_start", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return lines.join(starts, ["file_path", "file_block_start"]).select("value", (F.col("start") + F.col("mark") - F.col("first")).alias("place"))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.text import log_metrics
+from ..sources.files import exists
 
 
 def dedup_lines(lines: DataFrame, delay: str | None = None, at: str = "ts") -> DataFrame:
@@ -24,6 +25,27 @@ def dedup_lines(lines: DataFrame, delay: str | None = None, at: str = "ts") -> D
     return keyed.dropDuplicates(["digest"])
 
 
+def store_once(lines: DataFrame, path: str, checkpoint: str, hours: float | None = None) -> StreamingQuery:
+    """Write the first row of each line ``value`` below ``path``, with its digest and time; exact over restarts.
+
+    A micro-batch meets the digests of those before it, which are what was written: no
+    state is kept in memory, and one that is run again replaces its own rows.  With
+    ``hours``, only rows of that time are met (files of older ones are skipped by their
+    times), and a line that comes again later is written again.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        known = spark.read.schema("digest string, at timestamp, batch long").parquet(path) if exists(spark, path) else spark.createDataFrame([], "digest string, at timestamp, batch long")
+        seen = known.filter(F.col("batch") < number)
+        if hours is not None:
+            seen = seen.filter(F.col("at") >= F.current_timestamp() - F.make_dt_interval(secs=F.lit(hours * 3600)))
+        first = batch.withColumn("digest", F.md5("value")).dropDuplicates(["digest"]).withColumn("at", F.current_timestamp())
+        first.join(seen.select("digest"), "digest", "left_anti").write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def metrics_of_log(lines: DataFrame) -> DataFrame:
     """The metrics of log lines ``value`` that hold at least one."""
     found = lines.select(log_metrics(F.col("value")).alias("m")).select("m.*")

@@ -1,8 +1,9 @@
 import datetime
 import json
 
+from skeinwork.operators import graph
 from skeinwork.plans import config
-from skeinwork.plans.context_store import ContextStore
+from skeinwork.plans.context_store import INPUT, ContextStore
 
 
 def test_store_and_read(spark, tmp_path):
@@ -23,6 +24,24 @@ def test_store_and_read(spark, tmp_path):
     assert {t["name"]: t["context_count"] for t in json.loads(store.list_topics())}["graph"] == 2
     assert store.execute("SELECT count(*) n FROM store_follows").first().n == 1
     assert all(v.count() == 0 for v in store.violations().values())
+    assert store.indexes().count() == 0
+    store.build_indexes()
+    assert store.indexes().select("name", "dimensions", "entries", "state").first() == ("context_embedding", 2, 2, "ONLINE")
+    assert [r.id for r in store.nearest("a graph question", 1).collect()] == [first["context_id"]]
+    # A context between the two changes who follows whom; the index is older than it.
+    third = json.loads(store.store_context("late", "late words", "S1"))
+    assert [r.dst for r in store.execute("SELECT dst FROM store_follows WHERE src = :id", id=third["context_id"]).collect()] == [second["context_id"]]
+    assert store.indexes().first().state == "STALE"
+
+
+def test_batches_out_of_order_link_as_at_once(spark, tmp_path):
+    rows = [(str(i), "s", "see src/a.py", f"S{i % 3}", "p" if i < 15 else "q", datetime.datetime(2024, 1, 1, i % 24), [1.0], ["t", f"t{i % 4}"]) for i in range(30)]
+    whole = graph.ingest(spark.createDataFrame(rows, INPUT))
+    store = ContextStore(spark, str(tmp_path / "s"), lambda ts: [[1.0]] * len(ts), lambda: None)
+    for part in (rows[20:], rows[:10], rows[5:25], rows[20:]):
+        store.store_batch(spark.createDataFrame(part, INPUT))
+    for name, made in store.tables().items():
+        assert sorted(map(str, made.select(*whole[name].columns).collect())) == sorted(map(str, whole[name].select(*whole[name].columns).collect())), name
 
 
 def test_config():

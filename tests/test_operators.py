@@ -96,24 +96,6 @@ def test_system_prompt_and_default_ids(spark, tmp_path):
     prompts = files.read_prompts(spark, str(tmp_path / "p.jsonl"))
     done = inference.generate(prompts, lambda p, s: {"content": [{"text": f"{s}:{p}"}]}, "now", 2, system="told")
     assert sorted((r.id, r.response) for r in done.collect()) == [("0", "told:a"), ("3", "told:c"), ("x", "told:b")]
-    spread = inference.numbered(spark.range(50).repartition(7).sortWithinPartitions("id"), "at")
-    assert sorted(r.at for r in spread.collect()) == list(range(50))
-
-
-def test_stored_answers_are_asked_for_once(spark, tmp_path):
-    calls = tmp_path / "calls"
-    calls.mkdir()
-
-    def client(prompt, system):
-        (calls / f"{prompt}-{len(list(calls.glob(prompt + '-*')))}").write_text("")
-        return {"content": [{"text": prompt}]}
-
-    prompts = spark.createDataFrame([(str(i), f"p{i}") for i in range(9)], "id string, prompt string")
-    path = str(tmp_path / "answers")
-    inference.generate_once(prompts.filter("id < '4'"), client, "now", path, parts=3, workers=2)
-    done = inference.generate_once(prompts, client, "now", path, parts=3, workers=2)
-    assert done.count() == done.count() == 9
-    assert sorted(p.name for p in calls.iterdir()) == [f"p{i}-0" for i in range(9)]
 
 
 def test_epoch(spark, tmp_path):
