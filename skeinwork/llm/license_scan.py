@@ -4,11 +4,13 @@ Base: places where the words of a fixed phrase stand one after the other.  Metho
 every rolling word k-gram of a document is hashed and joined with the k-gram
 positions of license templates.  Matches of one document and template that lie on
 one offset diagonal (place in the document less place in the template) vote for
-it; neighbouring diagonals, which small insertions and deletions make, are merged;
-a merged span is verified by the share of the template's words that its k-grams
-cover and by its length.  Of verified spans that begin or end at one word, as those
-of templates with much in common do, the best covered counts.  The score is the largest share of a template that a
-verified span covers, and 1 where a phrase stands.
+it; neighbouring diagonals, which small insertions and deletions make, are merged
+where they follow each other in the document and in the template.  A span, of one
+diagonal or merged, is verified by the share of the template's words that its k-grams
+cover and by its length, so a notice that stands whole on one diagonal counts whatever
+is repeated around it.  Of verified spans that begin or end at one word, as those of
+templates with much in common do, the best covered counts.  The score is the largest
+share of a template that a verified span covers, and 1 where a phrase stands.
 
 Hashes are two 64-bit values with different seeds.  The templates' k-grams are
 broadcast as long as there are no more than ``BROADCAST_GRAMS``; beyond that they
@@ -29,8 +31,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GRAM = 4
-#: Diagonals at most so far apart, one after the other, are one alignment.
-DIAGONAL_GAP = 4
+#: Diagonals at most so far apart, one after the other, may be one alignment, if no more
+#: words than PLACE_GAP lie between what they match.
+DIAGONAL_GAP, PLACE_GAP = 4, 20
 #: Least share of a template's words that a span must cover.
 VERIFY_SHARE = 0.6
 #: Some 3 MB.
@@ -139,31 +142,39 @@ def verified_spans(matches: DataFrame, size: int = GRAM, share: float = VERIFY_S
 
     ``rid`` names a document.
     """
+    names = ["rid", "template", "label", "n_template"]
     by_diagonal = (
         matches.withColumn("diagonal", F.col("at") - F.col("t_at"))
-        .groupBy("rid", "template", "label", "n_template", "diagonal")
+        .groupBy(*names, "diagonal")
         .agg(
             F.min("at").alias("first"),
             (F.max("at") + size - 1).alias("last"),
-            F.count(F.lit(1)).alias("votes"),
+            F.min("t_at").alias("t_first"),
+            F.max("t_at").alias("t_last"),
             F.collect_set("t_at").alias("t_ats"),
         )
     )
-    # Diagonals in order: a gap in offset or in place starts another alignment.
     order = Window.partitionBy("rid", "template").orderBy("diagonal")
-    apart = (
-        F.col("diagonal") - F.lag("diagonal").over(order) > DIAGONAL_GAP
-    ) | F.lag("diagonal").over(order).isNull()
-    joined = by_diagonal.withColumn("starts", F.coalesce(apart, F.lit(True)).cast("int")).withColumn(
-        "alignment", F.sum("starts").over(order)
+    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > DIAGONAL_GAP, F.lit(True))
+    banded = by_diagonal.withColumn("starts", apart.cast("int")).withColumn("band", F.sum("starts").over(order))
+    # Within a band by place; what lies inside another's place, such as a repeated k-gram, breaks no alignment.
+    along = Window.partitionBy("rid", "template", "band").orderBy("first", F.desc("last"), "diagonal")
+    reached = F.max("last").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    outer = banded.withColumn("reached", reached).filter(F.col("reached").isNull() | (F.col("last") > F.col("reached")))
+    goes_on = (
+        (F.col("first") - F.lag("last").over(along) <= PLACE_GAP)
+        & (F.col("t_first") > F.lag("t_first").over(along))
+        & (F.col("t_last") > F.lag("t_last").over(along))
     )
-    spans = joined.groupBy("rid", "template", "label", "n_template", "alignment").agg(
+    joined = outer.withColumn("starts", (~F.coalesce(goes_on, F.lit(False))).cast("int")).withColumn("alignment", F.sum("starts").over(along))
+    merged = joined.groupBy(*names, "band", "alignment").agg(
         F.min("first").alias("first"), F.max("last").alias("last"), F.array_distinct(F.flatten(F.collect_list("t_ats"))).alias("t_ats")
     )
+    spans = merged.select(*names, "first", "last", "t_ats").unionByName(by_diagonal.select(*names, "first", "last", "t_ats"))
     words = F.array_distinct(F.flatten(F.transform("t_ats", lambda t: F.sequence(t, t + (size - 1)))))
     covered = F.size(words) / F.col("n_template")
     fits = F.col("last") - F.col("first") + 1 <= 2 * F.col("n_template")
-    fitting = spans.withColumn("covered", covered).filter((covered >= share) & fits)
+    fitting = spans.withColumn("covered", covered).filter((covered >= share) & fits).drop("t_ats")
     for end in ("first", "last"):
         best = F.max("covered").over(Window.partitionBy("rid", end))
         fitting = fitting.withColumn(f"best_{end}", best)

@@ -180,22 +180,40 @@ places AS (
 base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM places GROUP BY doc_id),
 templates AS (SELECT row_number() OVER () AS template, label, {WORDS.replace("text", "body")} AS ts
   FROM (VALUES {TEMPLATE_ROWS}) AS t(label, body)),
-tgrams AS (SELECT template, label, len(ts) AS n_template, t_at, ts[t_at + 1:t_at + 4] AS gram
-  FROM (SELECT template, label, ts, unnest(range(len(ts) - 3)) AS t_at FROM templates)),
-grams AS (SELECT doc_id, i, ws[i + 1:i + 4] AS gram
-  FROM (SELECT doc_id, ws, unnest(range(greatest(len(ws) - 3, 0))) AS i FROM docs)),
-matches AS (SELECT doc_id, template, label, n_template, i, t_at, i - t_at AS diagonal FROM grams JOIN tgrams USING (gram)),
-marked AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w > 4 OR lag(diagonal) OVER w IS NULL THEN 1 ELSE 0 END AS starts
-  FROM (SELECT DISTINCT doc_id, template, diagonal FROM matches) WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)),
-aligned AS (SELECT doc_id, template, diagonal,
-  sum(starts) OVER (PARTITION BY doc_id, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS alignment FROM marked),
+twords AS (SELECT template, label, n_template, t, ts[t + 1] AS w FROM (SELECT template, label, ts, len(ts) AS n_template, unnest(range(len(ts))) AS t FROM templates)),
+dwords AS (SELECT doc_id, i, ws[i + 1] AS w FROM (SELECT doc_id, ws, unnest(range(len(ws))) AS i FROM docs)),
+equal AS (SELECT doc_id, template, label, n_template, i - t AS diagonal, t FROM dwords JOIN twords USING (w)),
+runs AS (
+  SELECT doc_id, template, label, n_template, diagonal, min(t) AS t0, max(t) AS t1
+  FROM (SELECT *, t - row_number() OVER (PARTITION BY doc_id, template, diagonal ORDER BY t) AS run FROM equal)
+  GROUP BY doc_id, template, label, n_template, diagonal, run HAVING count(*) >= 4
+),
+own AS (
+  SELECT doc_id, template, label, n_template, diagonal, diagonal + min(t0) AS first, diagonal + max(t1) AS last, min(t0) AS t_first, max(t1) - 3 AS t_last,
+    flatten(list(range(t0, t1 + 1))) AS covers
+  FROM runs GROUP BY doc_id, template, label, n_template, diagonal
+),
+banded AS (
+  SELECT *, sum(starts) OVER (PARTITION BY doc_id, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS band
+  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= 4 THEN 0 ELSE 1 END AS starts FROM own)
+),
+outermost AS (
+  SELECT * FROM (SELECT *, max(last) OVER (PARTITION BY doc_id, template, band ORDER BY first, last DESC, diagonal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM banded)
+  WHERE reached IS NULL OR last > reached
+),
+stepped AS (
+  SELECT *, CASE WHEN first - lag(last) OVER w <= 20 AND t_first > lag(t_first) OVER w AND t_last > lag(t_last) OVER w THEN 0 ELSE 1 END AS begins
+  FROM outermost WINDOW w AS (PARTITION BY doc_id, template, band ORDER BY first, last DESC, diagonal)
+),
 covers AS (
-  SELECT m.doc_id, m.template, m.label, m.n_template, a.alignment, min(m.i) AS first, max(m.i) + 3 AS last, list(m.t_at) AS t_ats
-  FROM matches m JOIN aligned a ON m.doc_id = a.doc_id AND m.template = a.template AND m.diagonal = a.diagonal
-  GROUP BY m.doc_id, m.template, m.label, m.n_template, a.alignment),
+  SELECT doc_id, template, label, n_template, min(first) AS first, max(last) AS last, flatten(list(covers)) AS covers
+  FROM (SELECT *, sum(begins) OVER (PARTITION BY doc_id, template, band ORDER BY first, last DESC, diagonal ROWS UNBOUNDED PRECEDING) AS alignment FROM stepped)
+  GROUP BY doc_id, template, label, n_template, band, alignment
+  UNION ALL SELECT doc_id, template, label, n_template, first, last, covers FROM own
+),
 fitting AS (
   SELECT doc_id, label, covered, max(covered) OVER (PARTITION BY doc_id, first) AS best_first, max(covered) OVER (PARTITION BY doc_id, last) AS best_last FROM (
-    SELECT *, len(list_distinct(flatten(list_transform(t_ats, lambda t: range(t, t + 4))))) / n_template AS covered FROM covers)
+    SELECT *, len(list_distinct(covers)) / n_template AS covered FROM covers)
   WHERE covered >= 0.6 AND last - first + 1 <= 2 * n_template),
 verified AS (SELECT doc_id, label, covered FROM fitting WHERE greatest(best_first, best_last) <= covered),
 named AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels

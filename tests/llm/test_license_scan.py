@@ -62,3 +62,33 @@ def test_many_and_short_templates(spark, monkeypatch):
     assert once == sorted(map(str, ls.license_scan(frame, templates).collect()))
     with pytest.raises(ValueError, match="fewer"):
         ls.license_scan(frame, spark.createDataFrame([("mit", "mit license")], "label string, body string"))
+
+
+def body_of(label, i=0):
+    return [body for name, body in ls.TEMPLATES if name == label][i]
+
+
+def test_whole_notices_beside_repeated_words(spark):
+    """Words of a notice that are repeated before or after it move no other span."""
+    mit, bsd = body_of("mit"), body_of("bsd-3")
+    half = bsd.split()
+    docs = [
+        "permission is hereby granted " * 300 + mit,
+        mit + " portions of the software" * 300,
+        bsd + " specific prior written permission" * 40,
+        "permission is hereby granted " * 50 + mit + " portions of the software" * 50 + " some prose " * 30 + mit,
+        "permission is hereby granted " * 300,
+        "specific prior written permission " * 40,
+        # Edited notices: the parts lie on neighbouring diagonals, with and without repeats around them.
+        " ".join([*half[:13], "really", *half[13:]]),
+        " ".join([*half[:13], *half[14:]]),
+        "may be used to endorse " * 20 + " ".join([*half[:13], "really", *half[13:]]) + " specific prior written permission" * 9,
+        " ".join([*half[:9], "and some words more than a gap " * 6, *half[9:18]]),
+    ]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    rows = {r.doc_id: (r.labels, r.score) for r in ls.license_scan(frame, spark.createDataFrame(ls.TEMPLATES, "label string, body string")).collect()}
+    assert [rows[i] for i in range(4)] == [("mit", 1.0), ("mit", 1.0), ("bsd-3", 1.0), ("mit", 1.0)]
+    assert rows[4] == rows[5] == ("", 0.0)
+    assert [rows[i][0] for i in (6, 7, 8)] == ["bsd-3"] * 3
+    assert all(0.8 <= rows[i][1] <= 1 for i in (6, 7, 8))
+    assert rows[9] == ("", 0.0)
