@@ -208,7 +208,7 @@ def a1_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
         sync.outdated(sync.listing(spark, _uri(root)), sync.listing(spark, _uri(target))).select(F.lit("left").alias("what"), "path", "length"),
     ]
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    code = rows.filter("path like 'folder=%'").groupBy("what", F.split_part("path", F.lit("/"), F.lit(1)).alias("folder"))
+    code = rows.filter("path like 'folder=%' and path not like '%.crc'").groupBy("what", F.split_part("path", F.lit("/"), F.lit(1)).alias("folder"))
     return code.agg(F.sum("length").cast("long").alias("bytes"))
 
 
@@ -347,7 +347,7 @@ def a9e_store_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs.filter(F.col("doc_id") % 2 == part).select(F.col("text").alias("value")).write.mode("append").parquet(f"{at}/in")
         stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 4).parquet(f"{at}/in")
         streams.store_once(stream, f"{at}/out", f"{at}/state").awaitTermination()
-    return spark.read.schema("digest string").parquet(f"{at}/out")
+    return spark.read.schema("digest string").parquet(f"{at}/out").select("digest")
 
 
 def x4_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

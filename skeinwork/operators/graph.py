@@ -208,7 +208,7 @@ def _matrix(rows: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
 def search(contexts: DataFrame, query: list[float], kinds: dict, k: int = 10, least: float = 0.75) -> DataFrame:
     """Top ``k`` first, then those of at least ``least`` with their neighbours, best first."""
     hits = nearest(contexts, query, k).filter(F.col("score") >= least)
-    found = neighbours(contexts.join(F.broadcast(hits), "id"), kinds)
+    found = neighbours(contexts.join(hits, "id"), kinds)
     return found.orderBy(F.desc("score"), "id")
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -148,31 +149,35 @@ class StoredTables:
         Buckets that no change falls into keep their folders.
         """
         version, folders = self.snapshot()
-        folders = {name: dict(held) for name, held in folders.items()}
         batch = f"{version + 1:09d}-{uuid.uuid4().hex[:8]}"
-        for name, given in changes.items():
-            kind = self.kinds[name]
-            rows = given.select(*[F.col(c).cast(t).alias(c) for c, t in kind.types().items()])
-            at = F.struct(*kind.order) if kind.order else None
-            rows = rows.select(*kind.stored(), *([at.alias("__early"), at.alias("__late")] if kind.order else []))
-            # The changes are written first: what they touch and what is merged must be the same rows.
-            staged = f"{self.root}/staged/{name}-{batch}"
-            rows.withColumn("bucket", self._bucket(kind)).write.parquet(staged)
-            change = self.spark.read.parquet(staged)
-            # At most as many as there are buckets.
-            touched = [str(r[0]) for r in change.select("bucket").distinct().collect()]
-            if not touched:
-                continue
-            held = [folders[name][b] for b in touched if b in folders[name]]
-            both = change.drop("bucket").unionByName(self._read(name, held).drop(*kind.derived))
-            target = f"{name}/{batch}"
-            out = self._merged(name, both)
-            # A bucket that is much larger than others may be split over tasks.
-            out.hint("rebalance", "bucket").sortWithinPartitions("bucket", *kind.key).write.partitionBy("bucket").parquet(f"{self.root}/{target}")
-            folders[name] |= {b: f"{target}/bucket={b}" for b in touched}
+        # The tables' jobs run beside each other; none is visible before all are written.
+        with ThreadPoolExecutor(max(1, len(changes))) as pool:
+            made = pool.map(lambda change: self._merge_one(*change, folders[change[0]], batch), changes.items())
+            folders = folders | {name: folders[name] | new for name, new in zip(changes, made, strict=True)}
         self._commit(version + 1, folders)
         return version + 1
 
+    def _merge_one(self, name: str, given: DataFrame, held: dict[str, str], batch: str) -> dict[str, str]:
+        """The new folders of the buckets of a table that ``given`` touches."""
+        kind = self.kinds[name]
+        rows = given.select(*[F.col(c).cast(t).alias(c) for c, t in kind.types().items()])
+        at = F.struct(*kind.order) if kind.order else None
+        rows = rows.select(*kind.stored(), *([at.alias("__early"), at.alias("__late")] if kind.order else []))
+        # The changes are written first: what they touch and what is merged must be the same rows.
+        staged = f"{self.root}/staged/{name}-{batch}"
+        rows.withColumn("bucket", self._bucket(kind)).write.parquet(staged)
+        change = self.spark.read.parquet(staged)
+        # At most as many as there are buckets.
+        touched = [str(r[0]) for r in change.select("bucket").distinct().collect()]
+        if not touched:
+            return {}
+        both = change.drop("bucket").unionByName(self._read(name, [held[b] for b in touched if b in held]).drop(*kind.derived))
+        target = f"{name}/{batch}"
+        out = self._merged(name, both)
+        # A bucket that is much larger than others may be split over tasks.
+        out.hint("rebalance", "bucket").sortWithinPartitions("bucket", *kind.key).write.partitionBy("bucket").parquet(f"{self.root}/{target}")
+        return {b: f"{target}/bucket={b}" for b in touched}
+
     def vacuum(self, keep: int = 1) -> list[str]:
         """Remove snapshots but the newest ``keep``, and folders that none of these names; their names."""
         known = self.versions()
