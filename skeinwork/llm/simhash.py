@@ -99,7 +99,10 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def _text_mark(docs: DataFrame) -> Column:
-    return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    """A hash of the text and of all columns but the id, so that rows with one mark and id are equal."""
+    others = [docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
+    rest = F.to_json(F.struct(*others)) if others else F.lit("")
+    return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")), rest)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -326,9 +329,10 @@ def _first_of_each(docs: DataFrame, known: DataFrame, components: DataFrame) ->
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of ``docs``, all columns, for each group: one that has its smallest doc_id.
 
-    Where several texts of a group have that doc_id, or all its ids are null, the
-    least fingerprint decides, then the text's mark.  A row of another text with the
-    same doc_id, in whatever group, is judged by its own group.
+    Where several rows of a group have that doc_id, or all its ids are null, the least
+    fingerprint decides, then a hash of the text and of the other columns; of rows that
+    are equal in all, one stays.  A row of another text with the same doc_id, in whatever
+    group, is judged by its own group.
     """
     known = cut(fingerprints(docs, shingle).withColumn("node", F.col("fp")), "fingerprints")
     return _first_of_each(docs, known, _components(known, radius))

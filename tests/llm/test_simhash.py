@@ -124,3 +124,15 @@ def test_keep_similar(spark, monkeypatch):
     assert set(far) <= got and not got & set(near)
     assert {d for d in got if d is not None and d >= 5000} == {5000, 9000, 9001, 9003}
     assert simhash.keep_similar(frame.limit(0)).collect() == []
+
+
+def test_rows_that_differ_in_other_columns_only(spark):
+    """Which of them stays depends on the rows, not on their order or partitions."""
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, "p", 3), (1, text, "q", 3), (1, text, "p", 3), (2, text, "a", 3), (None, "other words here", None, 1), (None, "other words here", "z", 1)]
+    for keep in (simhash.keep_first, simhash.keep_similar):
+        kept = set()
+        for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+            docs = spark.createDataFrame(order, "doc_id long, text string, source string, node int").repartition(3)
+            kept.add(tuple(sorted(map(str, keep(docs).collect()))))
+        assert len(kept) == 1 and len(next(iter(kept))) == 2
