@@ -6,11 +6,12 @@ linked; a component of links is a group, and the row with its smallest vec_id st
 Method: spherical k-means assigns the vectors to cells, and blocked matrix products of
 unit vectors compare within cells.  The centroids are fitted on a bounded sample
 (``SAMPLE`` vectors, expected, chosen by a hash); every vector is assigned.  No link is lost
-between cells: of two linked vectors in different cells, each lies on its side of the
-plane between the two centroids, so the sine of its angle to that plane is no more
-than that of the link's widest angle.  A vector that is so near to the plane of a cell
-with a higher number visits that cell and meets the vectors at home there.  Recall is 1
-by construction, whatever the centroids are; these decide the work only.
+between cells: the middle of two linked vectors lies in some cell, and each of the two is
+within half the link's widest angle of it.  A vector therefore goes to its own cell and
+to every cell to whose side of the dividing plane it is as near as that, which on the
+given vectors makes six cells each, however many cells there are; a pair that meets in
+several counts in the first.  Recall is 1 by construction, whatever the centroids are;
+these decide the work only.
 
 Equal vectors of one label are one class, told apart by 128 bits of hashes and counted
 on the map side, so copies cost nothing.  Cells are dealt into tiles of some ``TILE``
@@ -44,7 +45,7 @@ from .simhash import Forest
 
 SIMILARITY = 0.98
 #: Classes that a cell holds on average, cells altogether, and vectors they are fitted on.
-CELL, MAX_CELLS, SAMPLE, ROUNDS = 1024, 16_384, 65_536, 6
+CELL, MAX_CELLS, SAMPLE, ROUNDS = 256, 16_384, 65_536, 6
 #: Classes in a tile, and rows of a matrix product.
 TILE, STRIP = 1024, 256
 #: Links in a task's forest before it is passed on.
@@ -108,23 +109,22 @@ def fit_cells(classes: DataFrame, cell: int = CELL) -> dict[int, np.ndarray]:
     return {dim: np.array(c) for dim, c in made.items()}
 
 
-def cells_of(unit: np.ndarray, means: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cell of each row; and rows and cells of all visits, to cells of higher numbers."""
+def cells_of(unit: np.ndarray, means: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and cells of all places: of each row, its nearest cell and those near enough for a link's middle."""
     near = unit @ means.T
     home = near.argmax(axis=1)
-    apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * np.clip(means @ means.T, -1.0, 1.0)))
+    apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * np.clip(means[home] @ means.T, -1.0, 1.0)))
     gap = near[np.arange(len(unit)), home][:, None] - near
     # A little wider than needed, so that rounding never parts linked vectors.
-    reach = (math.sqrt(1.0 - similarity**2) + 1e-9) * apart[home] + 1e-9
-    rows, cells = np.nonzero((gap <= reach) & (np.arange(len(means))[None, :] > home[:, None]))
-    return home, rows, cells
+    reach = (math.sqrt((1.0 - similarity) / 2.0) + 1e-9) * apart + 1e-9
+    return np.nonzero(gap <= reach)
 
 
 def placed(classes: DataFrame, means: dict[int, np.ndarray], similarity: float) -> DataFrame:
-    """label, dim, cell, visits, node, n, unit: each class at home, and where it visits."""
+    """label, dim, cell, node, n, unit, cells: each class in each of its ``cells``."""
     label = classes.schema["label"].dataType
     sent = classes.sparkSession.sparkContext.broadcast(means)
-    names = ["label", "dim", "cell", "visits", "node", "n", "unit"]
+    names = ["label", "dim", "cell", "node", "n", "unit", "cells"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,41 +134,57 @@ def placed(classes: DataFrame, means: dict[int, np.ndarray], similarity: float)
                 unit = units(part.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
                 for i in range(0, len(unit), STRIP):
                     own = unit[i : i + STRIP]
-                    everyone = np.arange(len(own))
-                    home, rows, cells = cells_of(own, sent.value[dim], similarity) if dim in sent.value else (np.zeros(len(own), dtype=np.int64), everyone[:0], everyone[:0])
-                    at = np.concatenate([everyone, rows])
+                    at, cells = cells_of(own, sent.value[dim], similarity) if dim in sent.value else (np.arange(len(own)), np.zeros(len(own), dtype=np.int64))
                     held = part.slice(i, STRIP).take(pa.array(at))
                     vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * dim, pa.int32()), pa.array(own[at].ravel()))
-                    columns = [held.column(0), pa.array(np.full(len(at), dim), pa.int32()), pa.array(np.concatenate([home, cells]), pa.int32())]
-                    columns += [pa.array(np.arange(len(at)) >= len(own)), held.column(1), held.column(2), vectors]
+                    ends = np.searchsorted(at, np.arange(len(own) + 1))
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cells, pa.int32())).take(pa.array(at))
+                    columns = [held.column(0), pa.array(np.full(len(at), dim), pa.int32()), pa.array(cells, pa.int32()), held.column(1), held.column(2), vectors, lists]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     given = classes.select("label", "node", "n", "x")
-    return given.mapInArrow(run, f"label {label.simpleString()}, dim int, cell int, visits boolean, node long, n long, unit array<double>")
+    return given.mapInArrow(run, f"label {label.simpleString()}, dim int, cell int, node long, n long, unit array<double>, cells array<int>")
 
 
-def _side(rows: pa.StructArray, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    nodes, counts = (rows.field(c).to_numpy() for c in ("node", "n"))
-    return nodes, counts.astype(np.float64), rows.field("unit").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+class Side:
+    """A tile: its classes' numbers, how many vectors they stand for, unit vectors and cells."""
+
+    def __init__(self, rows: pa.StructArray, dim: int):
+        self.nodes, counts = (rows.field(c).to_numpy() for c in ("node", "n"))
+        self.counts = counts.astype(np.float64)
+        self.unit = rows.field("unit").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+        cells = rows.field("cells")
+        self.cells, self.owners = cells.flatten().to_numpy(), np.repeat(np.arange(len(self.nodes)), cells.value_lengths().to_numpy())
+
+    def before(self, cell: int) -> np.ndarray:
+        """The cells of its classes that come before ``cell``."""
+        return np.unique(self.cells[self.cells < cell])
+
+    def member(self, cells: np.ndarray) -> np.ndarray:
+        """Which class is in which of ``cells`` (in order), as a matrix."""
+        out = np.zeros((len(self.nodes), len(cells)), dtype=np.float32)
+        place = np.searchsorted(cells, self.cells).clip(max=len(cells) - 1)
+        there = cells[place] == self.cells
+        out[self.owners[there], place[there]] = 1.0
+        return out
 
 
 def tile_pairs(homes: DataFrame, tile: int) -> DataFrame:
-    """dim, same, left, right: all pairs of tiles whose vectors must meet.
+    """dim, cell, same, left, right: all pairs of tiles of a cell.
 
     ``homes``: what ``placed`` gives.  Which tiles meet is settled on their names, and
     every tile is a join key of its own.
     """
     key = ["label", "dim", "cell"]
-    sized = cut(homes.groupBy(*key, "visits").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("n_tiles")), "sized")
-    dealt = homes.join(sized, [*key, "visits"]).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("n_tiles")).cast("int"))
-    tiles = cut(dealt.groupBy(*key, "visits", "tile").agg(F.collect_list(F.struct("node", "n", "unit")).alias("rows")), "tiles")
-    at_home = sized.filter("not visits").select(*key, F.explode(F.sequence(F.lit(0), F.col("n_tiles") - 1)).alias("tile"))
-    names = tiles.select(*key, F.col("visits").alias("left_visits"), F.col("tile").alias("left_tile"))
-    met = names.join(at_home, key).filter(F.col("left_visits") | (F.col("left_tile") <= F.col("tile")))
-    lefts = tiles.select(*key, F.col("visits").alias("left_visits"), F.col("tile").alias("left_tile"), F.col("rows").alias("left"))
-    rights = tiles.filter("not visits").select(*key, "tile", F.col("rows").alias("right"))
-    same = ~F.col("left_visits") & (F.col("left_tile") == F.col("tile"))
-    return met.join(lefts, [*key, "left_visits", "left_tile"]).join(rights, [*key, "tile"]).select("dim", same.alias("same"), "left", "right")
+    sized = cut(homes.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("n_tiles")), "sized")
+    dealt = homes.join(sized, key).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("n_tiles")).cast("int"))
+    tiles = cut(dealt.groupBy(*key, "tile").agg(F.collect_list(F.struct("node", "n", "unit", "cells")).alias("rows")), "tiles")
+    numbers = sized.select(*key, F.explode(F.sequence(F.lit(0), F.col("n_tiles") - 1)).alias("tile"))
+    met = tiles.select(*key, F.col("tile").alias("left_tile")).join(numbers, key).filter(F.col("left_tile") <= F.col("tile"))
+    lefts = tiles.select(*key, F.col("tile").alias("left_tile"), F.col("rows").alias("left"))
+    rights = tiles.select(*key, "tile", F.col("rows").alias("right"))
+    same = F.col("left_tile") == F.col("tile")
+    return met.join(lefts, [*key, "left_tile"]).join(rights, [*key, "tile"]).select("dim", "cell", same.alias("same"), "left", "right")
 
 
 def linked(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -187,22 +203,25 @@ def linked(pairs: DataFrame, similarity: float) -> DataFrame:
         forest, found = Forest(), []
         for batch in batches:
             for i in range(batch.num_rows):
-                dim, same = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                left, n_left, x = _side(batch.column(2)[i].values, dim)
-                right, n_right, y = _side(batch.column(3)[i].values, dim)
-                of_left, of_right = np.zeros(len(left)), np.zeros(len(right))
-                for at in range(0, len(left), STRIP):
-                    near = x[at : at + STRIP] @ y.T >= similarity
+                dim, cell, same = (batch.column(c)[i].as_py() for c in range(3))
+                left, right = (Side(batch.column(c)[i].values, dim) for c in (3, 4))
+                shared = np.intersect1d(left.before(cell), right.before(cell))
+                members = (left.member(shared), right.member(shared)) if len(shared) else None
+                of_left, of_right = np.zeros(len(left.nodes)), np.zeros(len(right.nodes))
+                for at in range(0, len(left.nodes), STRIP):
+                    near = left.unit[at : at + STRIP] @ right.unit.T >= similarity
                     if same:
-                        near &= np.arange(len(right))[None, :] > np.arange(at, at + len(near))[:, None]
+                        near &= np.arange(len(right.nodes))[None, :] > np.arange(at, at + len(near))[:, None]
+                    if members and near.any():
+                        near &= members[0][at : at + STRIP] @ members[1].T == 0
                     a, b = np.nonzero(near)
                     if not len(a):
                         continue
-                    of_left[at : at + STRIP] += near @ n_right
-                    of_right += n_left[at : at + STRIP] @ near
-                    found += forest.link_all(left, right, a + at, b)
-                yield counted(left, of_left)
-                yield counted(right, of_right)
+                    of_left[at : at + STRIP] += near @ right.counts
+                    of_right += left.counts[at : at + STRIP] @ near
+                    found += forest.link_all(left.nodes, right.nodes, a + at, b)
+                yield counted(left.nodes, of_left)
+                yield counted(right.nodes, of_right)
             if len(found) > FOREST:
                 yield made(found)
                 forest, found = Forest(), []

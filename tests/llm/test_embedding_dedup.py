@@ -84,20 +84,21 @@ def test_empty_and_unlinkable(spark):
     assert order(dedup.near_duplicate_vectors(frame(spark, rows).filter("label is null")).collect()) == order(brute(rows[-2:], 0.98))
 
 
-def test_visits_lose_no_link():
+def test_cells_lose_no_link():
     """However badly the centroids are placed, every linked pair meets in one cell."""
     rng = np.random.default_rng(3)
     for dim, cells in ((3, 20), (8, 40), (32, 60)):
         middles = rng.normal(size=(60, dim))
         unit = dedup.units(np.concatenate([middles + rng.normal(size=middles.shape) * s for s in (0, 0.03, 0.1, 0.15, 0.2)]))
         for means in (dedup.spherical_means(unit, cells), dedup.units(rng.normal(size=(cells, dim))), unit[[0] * 3 + [1] * 2]):
-            home, rows, visited = dedup.cells_of(unit, means, 0.98)
-            visits = set(zip(rows.tolist(), visited.tolist(), strict=True))
+            rows, cells = dedup.cells_of(unit, means, 0.98)
+            places = [set() for _ in unit]
+            for i, c in zip(rows.tolist(), cells.tolist(), strict=True):
+                places[i].add(c)
+            assert all((unit @ means.T).argmax(axis=1)[i] in p for i, p in enumerate(places))
             a, b = np.nonzero(np.triu(unit @ unit.T >= 0.98, 1))
             assert len(a)
-            for i, j in zip(a.tolist(), b.tolist(), strict=True):
-                low, high = sorted((i, j), key=lambda x: home[x])
-                assert home[low] == home[high] or (low, home[high]) in visits
+            assert all(places[i] & places[j] for i, j in zip(a.tolist(), b.tolist(), strict=True))
 
 
 def test_means_of_opposite_and_equal_vectors():
