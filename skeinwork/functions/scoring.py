@@ -132,16 +132,20 @@ def quality(code: Column, prompt: Column, syntax: Column | None = None) -> Colum
 
     ``syntax`` is a compiler's score where there is one, else the rules' own.
     """
-    syntax, protocol = syntax_score(code) if syntax is None else syntax, protocol_score(code, prompt)
-    safety, style = safety_score(code), style_score(code)
-    return F.struct(
-        syntax.alias("syntax"),
-        protocol.alias("protocol"),
-        safety.alias("safety"),
-        style.alias("style"),
-        overall_score(syntax, protocol, safety, style).alias("overall"),
+    scores = F.struct(
+        (syntax_score(code) if syntax is None else syntax).alias("syntax"),
+        protocol_score(code, prompt).alias("protocol"),
+        safety_score(code).alias("safety"),
+        style_score(code).alias("style"),
     )
 
+    def whole(s: Column) -> Column:
+        parts = [s[c] for c in ("syntax", "protocol", "safety", "style")]
+        return F.struct(*[p.alias(c) for p, c in zip(parts, ("syntax", "protocol", "safety", "style"), strict=True)], overall_score(*parts).alias("overall"))
+
+    # Within the lambda the scores are a variable, so the sum does not compute them again.
+    return F.get(F.transform(F.array(scores), whole), F.lit(0))
+
 
 def needs_correction(overall: Column, threshold: float = CORRECTION_THRESHOLD) -> Column:
     return overall < threshold
