@@ -96,8 +96,12 @@ def cached_splits(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
     return None
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    metrics.write.mode("append").json(path)
+def append_metrics(metrics: DataFrame, path: str, batch: str | None = None) -> None:
+    """Append JSON lines; a named batch that is appended again replaces its own lines."""
+    if batch is None:
+        metrics.write.mode("append").json(path)
+    else:
+        metrics.write.mode("overwrite").json(f"{path}/batch={batch}")
 
 
 def write_corrections(corrections: DataFrame, folder: str, epoch: int) -> DataFrame:
