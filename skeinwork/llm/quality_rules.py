@@ -14,7 +14,9 @@ the same, so neither one long document nor junk of great length bends them.  Bot
 are kept in a table by language, which meets the documents in a join, however many
 languages there are.  Documents without a language, or of one with fewer than
 ``REFERENCE_MIN_DOCS`` judged documents, are held against the references of the
-``WIDESPREAD`` largest languages, of which the nearest counts.
+``WIDESPREAD`` largest languages, of which the nearest counts.  Where no language has
+a reference, as in a table without languages, character classes are held against the
+mean of all documents, and common words, which differ by language, are not judged.
 
 Null text: no words; base_failed is true as n_words is below 20.  Repeated rows
 are judged each for itself.  An empty table gives an empty result.
@@ -260,10 +262,31 @@ def references(docs: DataFrame) -> DataFrame:
     return cut(made.join(listed.select("lang", "words"), "lang"), "references")
 
 
+def whole_reference(docs: DataFrame) -> list[float] | None:
+    """Mean shares of character classes of all documents that are judged; None where they are too few."""
+    schema = pa.schema([("n", pa.int64()), ("chars", pa.list_(pa.float64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums = 0, np.zeros(len(CLASSES))
+        for batch in batches:
+            for raw in batch.column(0):
+                text = raw.as_py()
+                if len(text) >= CHAR_MIN and len(text.split()) >= WORD_MIN:
+                    n, sums = n + 1, sums + shares(char_histogram(text))
+        yield record_batch({"n": [n], "chars": [sums.tolist()]}, schema)
+
+    parts = _texts(docs).select("raw").mapInArrow(run, "n long, chars array<double>")
+    whole = [F.sum(F.round(F.col("chars")[i] * 1e9).cast("decimal(38,0)")).cast("double") for i in range(len(CLASSES))]
+    n, *sums = parts.agg(F.sum("n"), *whole).first()
+    return [s / n / 1e9 for s in sums] if n and n >= REFERENCE_MIN_DOCS else None
+
+
 class Reference:
-    def __init__(self, words: list[bytes], chars: list[float], word_shares: list[float]):
+    """Without shares of words these are not judged."""
+
+    def __init__(self, words: list[bytes], chars: list[float], word_shares: list[float] | None):
         self.places = {w: i for i, w in enumerate(words)}
-        self.chars, self.shares = np.array(chars), np.array(word_shares)
+        self.chars, self.shares = np.array(chars), None if word_shares is None else np.array(word_shares)
 
 
 def distances(text: bytes, lowered: list[bytes], refs: list[Reference]) -> tuple[float | None, float | None]:
@@ -272,8 +295,9 @@ def distances(text: bytes, lowered: list[bytes], refs: list[Reference]) -> tuple
     if refs and len(text) >= CHAR_MIN:
         own = shares(char_histogram(text))
         chars = min(jensen_shannon(own, r.chars) for r in refs)
-    if refs and len(text) >= CHAR_MIN and len(lowered) >= WORD_MIN:
-        words = min(jensen_shannon(shares(word_histogram(lowered, r.places)), r.shares) for r in refs)
+    with_words = [r for r in refs if r.shares is not None]
+    if with_words and len(text) >= CHAR_MIN and len(lowered) >= WORD_MIN:
+        words = min(jensen_shannon(shares(word_histogram(lowered, r.places)), r.shares) for r in with_words)
     return chars, words
 
 
@@ -286,7 +310,10 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     known = references(docs)
     # At most WIDESPREAD rows of some hundred numbers.
     largest = known.orderBy(F.desc("n"), "lang").limit(WIDESPREAD).select("words", "chars", "shares").collect()
-    sent = spark.sparkContext.broadcast([([bytes(w) for w in r["words"]], list(r["chars"]), list(r["shares"])) for r in largest])
+    listed = [([bytes(w) for w in r["words"]], list(r["chars"]), list(r["shares"])) for r in largest]
+    if not listed and (whole := whole_reference(docs)):
+        listed = [([], whole, None)]
+    sent = spark.sparkContext.broadcast(listed)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     schema = pa.schema(
         [("doc_id", pa.int64())]

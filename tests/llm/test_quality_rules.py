@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from skeinwork.llm import quality_rules as qr
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -100,3 +102,15 @@ def test_kept_matches_sql(spark):
     con.executemany("INSERT INTO documents VALUES (?, ?, ?)", docs)
     assert sorted(tuple(r) for r in rows) == sorted(con.execute(oracles.ORACLES["op3_quality_rules"]).fetchall())
     assert 0 < sum(r.kept for r in rows) < len(rows)
+
+
+def test_without_languages(spark):
+    """Character classes are judged by all documents' mean; what is clean with languages stays."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    named = {r.doc_id: r for r in qr.quality_rules(docs).collect()}
+    bare = {r.doc_id: r for r in qr.quality_rules(docs.withColumn("lang", F.lit(None).cast("string"))).collect()}
+    gone = {d for d, r in bare.items() if not r.base_failed and not r.kept}
+    assert gone and all(bare[d].word_distance is None and bare[d].char_distance > qr.CHAR_LIMIT for d in gone)
+    assert gone <= {d for d, r in named.items() if not r.kept}
+    few = docs.filter("doc_id < 5").withColumn("lang", F.lit(None).cast("string"))
+    assert all(r.char_distance is None for r in qr.quality_rules(few).collect())
