@@ -30,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 GRAM = 4
 #: Diagonals at most so far apart, one after the other, may be one alignment, if no more
 #: words than PLACE_GAP lie between what they match.
@@ -154,6 +156,8 @@ def verified_spans(matches: DataFrame, size: int = GRAM, share: float = VERIFY_S
             F.collect_set("t_at").alias("t_ats"),
         )
     )
+    # Written, as they are read twice; few documents have any.
+    by_diagonal = cut(by_diagonal, "diagonals")
     order = Window.partitionBy("rid", "template").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > DIAGONAL_GAP, F.lit(True))
     banded = by_diagonal.withColumn("starts", apart.cast("int")).withColumn("band", F.sum("starts").over(order))
