@@ -8,10 +8,10 @@ unit vectors compare within cells.  The centroids are fitted on a bounded sample
 (``SAMPLE`` vectors, expected, chosen by a hash); every vector is assigned.  No link is lost
 between cells: the middle of two linked vectors lies in some cell, and each of the two is
 within half the link's widest angle of it.  A vector therefore goes to its own cell and
-to every cell to whose side of the dividing plane it is as near as that, which on the
-given vectors makes six cells each, however many cells there are; a pair that meets in
-several counts in the first.  Recall is 1 by construction, whatever the centroids are;
-these decide the work only.
+to every cell to whose side of the dividing plane it is as near as that (six to ten
+cells on the given vectors, of 50 to 400); a pair that meets in several counts in the
+first.  Recall is 1 by construction, whatever the centroids are; these decide the work
+only.
 
 Equal vectors of one label are one class, told apart by 128 bits of hashes and counted
 on the map side, so copies cost nothing.  Cells are dealt into tiles of some ``TILE``
@@ -45,9 +45,9 @@ from .simhash import Forest
 
 SIMILARITY = 0.98
 #: Classes that a cell holds on average, cells altogether, and vectors they are fitted on.
-CELL, MAX_CELLS, SAMPLE, ROUNDS = 256, 16_384, 65_536, 6
+CELL, MAX_CELLS, SAMPLE, ROUNDS = 1024, 16_384, 65_536, 6
 #: Classes in a tile, and rows of a matrix product.
-TILE, STRIP = 1024, 256
+TILE, STRIP = 512, 256
 #: Links in a task's forest before it is passed on.
 FOREST = 500_000
 
