@@ -9,9 +9,8 @@ of its nearest centroid and stores, below one folder,
 - ``lists``: centroid, number of vectors and the cosine of the farthest member of each list;
 - ``about``: one row for ``list_indexes``.
 
-A search reads the codes of the lists that its queries probe, and the vectors of the
-best candidates only (folders of other lists are pruned).  The answers' scores are exact
-cosines.  By default the lists whose centroids are nearest are probed, as many as gave
+A search reads the codes and vectors of the lists that its queries probe (folders of
+other lists are pruned).  The answers' scores are exact cosines.  By default the lists whose centroids are nearest are probed, as many as gave
 the wanted recall on the sample.  With ``exact``, the answers so found only set a limit:
 every list that could hold a vector as near, by the angle of its farthest member, is
 scanned, and every code that could be as near, by its error, is scored, so the answers
@@ -182,16 +181,17 @@ def search_index(spark: SparkSession, path: str, queries: DataFrame, k: int = 10
     widest = np.array([np.arccos(np.clip(r["farthest"], -1, 1)) if r["n"] else -np.inf for r in lists])
     sent = spark.sparkContext.broadcast((means, widest))
     asked = _usable(queries, key, vector, about["dimensions"]).withColumnRenamed("id", "query_id")
-    first = _answers(spark, path, asked.withColumn("least", F.lit(None).cast("double")), sent, k, probes or about["probes"])
+    many = max(1, -(-asked.count() // QUERY_BLOCK))
+    first = _answers(spark, path, asked.withColumn("least", F.lit(None).cast("double")), sent, k, probes or about["probes"], many)
     if not exact:
         return first
     limits = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(-2.0)).alias("least"))
     limited = asked.join(limits, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(-2.0)))
-    return _answers(spark, path, limited, sent, k, 0)
+    return _answers(spark, path, limited, sent, k, 0, many)
 
 
-def _answers(spark: SparkSession, path: str, asked: DataFrame, sent, k: int, probes: int) -> DataFrame:  # noqa: ANN001
-    """Best ``k`` of the ``probes`` nearest lists, or of all that may hold a score of ``least``."""
+def _answers(spark: SparkSession, path: str, asked: DataFrame, sent, k: int, probes: int, many: int) -> DataFrame:  # noqa: ANN001
+    """Best ``k`` of the ``probes`` nearest lists, or of all that may hold a score of ``least``; queries come in ``many`` parts."""
     dim = sent.value[0].shape[1]
     asking, answering = asked.schema["query_id"].dataType.simpleString(), spark.read.parquet(f"{path}/vectors").schema["id"].dataType.simpleString()
 
@@ -212,11 +212,14 @@ def _answers(spark: SparkSession, path: str, asked: DataFrame, sent, k: int, pro
             held = batch.take(pa.array(at))
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), held.column(0), vectors, held.column(2)], names=["list", "query_id", "unit", "least"])
 
-    wanted = asked.select("query_id", "vector", "least").mapInArrow(probed, f"list int, query_id {asking}, unit array<double>, least double")
-    many = F.lit(max(1, -(-asked.count() // QUERY_BLOCK)))
-    grouped = wanted.groupBy("list", F.pmod(F.xxhash64("query_id"), many).alias("part")).agg(F.collect_list(F.struct("query_id", "unit", "least")).alias("asked"))
+    dealt = asked.select("query_id", "vector", "least").repartition(many, "query_id")
+    wanted = dealt.mapInArrow(probed, f"list int, query_id {asking}, unit array<double>, least double")
+    grouped = wanted.groupBy("list", F.pmod(F.xxhash64("query_id"), F.lit(many)).alias("part")).agg(F.collect_list(F.struct("query_id", "unit", "least")).alias("asked"))
     codes = spark.read.schema(f"rows array<struct<id:{answering},code:binary,low:double,step:double,error:double>>, list int").parquet(f"{path}/codes")
-    pairs = codes.join(grouped, "list").select("list", "rows", "asked")
+    # At most MAX_LISTS rows, which prune folders.  The lists' queries and candidates are many
+    # times what the planner expects of the functions that make them: they are never broadcast.
+    read = F.broadcast(wanted.select("list").distinct())
+    pairs = codes.join(read, "list", "left_semi").join(grouped.hint("merge"), "list").select("list", "rows", "asked")
     most = k * CANDIDATES
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +246,7 @@ def _answers(spark: SparkSession, path: str, asked: DataFrame, sent, k: int, pro
         place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("about"), "id"))
         found = found.withColumn("place", place).filter(F.col("place") <= most)
     vectors = spark.read.schema(f"id {answering}, vector array<double>, list int").parquet(f"{path}/vectors")
-    met = found.select("query_id", "id", "list").join(vectors, ["list", "id"]).join(asked.select("query_id", F.col("vector").alias("q")), "query_id")
+    met = found.select("query_id", "id", "list").hint("merge").join(vectors.join(read, "list", "left_semi"), ["list", "id"]).join(asked.select("query_id", F.col("vector").alias("q")), "query_id")
     scored = met.select("query_id", "id", vf.cosine(F.col("vector"), F.col("q")).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k)

@@ -50,6 +50,20 @@ def test_few_folders_are_read(spark, tmp_path):
     assert {a[3] % 12 for a in answers(found)} == {3}
 
 
+def test_no_search_broadcasts_queries_by_list_or_candidates(spark, tmp_path):
+    """There are as many as queries times lists, which the planner does not foresee; only the lists' numbers are sent."""
+    rows = frame(spark, clustered(4, 600, 16))
+    path = str(tmp_path / "index")
+    vector_index.build_index(rows, path, "e", lists=20)
+    for exact in (False, True):
+        found = vector_index.search_index(spark, path, rows.filter("id % 3 = 0"), 5, exact=exact)
+        found.collect()
+        final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        joins = {kind: final.count(f"{kind} [list#") for kind in ("SortMergeJoin", "BroadcastHashJoin")}
+        assert joins["SortMergeJoin"] == (4 if exact else 2) and joins["BroadcastHashJoin"] == final.count("LeftSemi")
+        assert "dynamicpruning" in final.lower()
+
+
 def test_empty_and_text_ids(spark, tmp_path):
     path = str(tmp_path / "a")
     vector_index.build_index(frame(spark, [(1, [0.0, 0.0])]), path, "e")
